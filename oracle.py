@@ -297,3 +297,212 @@ REPORT_SQL = {
 
 def oracle_queries() -> dict[str, str]:
     return {k: BASE + v for k, v in REPORT_SQL.items()}
+
+
+def _case(first: list[tuple[str, str]]) -> str:
+    def lit(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    return "CASE " + " ".join(f"WHEN {cond} THEN {lit(reason)}" for cond, reason in first) + " END"
+
+
+def _nn(cols: list[str]) -> list[tuple[str, str]]:
+    return [(f"{c} IS NULL", f"null in required column {c}") for c in cols]
+
+
+_REASONS = {
+    "customers": ("cust_tagged", _nn(["customer_id", "first_name", "last_name", "email", "signup_date"])),
+    "stores": ("store_tagged", [("store_id IS NULL OR store_name IS NULL", "missing store_id or store_name")]),
+    "products": ("prod_tagged", _nn(["product_id", "product_name", "price"])
+                 + [("NOT coalesce(price >= 0, false)", "price must not be negative")]),
+    "orders": ("ord_tagged", _nn(["order_id", "customer_id", "order_date"])),
+    "order_items": ("item_tagged", _nn(["order_item_id", "order_id", "product_id", "quantity", "unit_price"]) + [
+        ("NOT coalesce(quantity > 0, false)", "quantity must be greater than 0"),
+        ("NOT coalesce(unit_price >= 0, false)", "unit_price must not be negative"),
+        ("NOT coalesce(discount >= 0, false)", "discount must not be negative"),
+        ("NOT coalesce(discount <= quantity * unit_price, false)", "discount must not exceed quantity * unit_price"),
+    ]),
+    "payments": ("pay_tagged", _nn(["payment_id", "order_id", "amount", "payment_status"]) + [
+        ("NOT coalesce(amount >= 0, false)", "amount must not be negative"),
+        ("NOT coalesce(payment_status IN ('failed', 'pending', 'refunded', 'success'), false)",
+         "payment_status must be one of ['failed', 'pending', 'refunded', 'success']"),
+    ]),
+}
+
+_TAGGED = {t: cte for t, (cte, _) in _REASONS.items()}
+
+_DRY = {
+    "customers": ("feed_customers", ["customer_id", "first_name", "last_name", "email", "signup_date"]),
+    "products": ("feed_products", ["product_id", "product_name", "price"]),
+    "orders": ("feed_orders", ["order_id", "customer_id", "order_date"]),
+    "order_items": ("feed_items", ["order_item_id", "order_id", "product_id", "quantity", "unit_price"]),
+    "payments": ("feed_payments", ["payment_id", "order_id", "amount", "payment_status"]),
+}
+
+
+def _model_tests_sql() -> str:
+    from tillroll.plans.model_tests import GENERIC_TESTS
+
+    parts = []
+    for t in GENERIC_TESTS:
+        m, c = t.model, t.column
+        if t.kind == "not_null":
+            q = f"SELECT count(*) FROM {m} WHERE {c} IS NULL"
+        elif t.kind == "unique":
+            q = f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+        elif t.kind == "relationships":
+            pm, pf = t.to
+            q = (f"SELECT count(*) FROM {m} AS child LEFT JOIN {pm} AS parent ON child.{c} = parent.{pf} "
+                 f"WHERE child.{c} IS NOT NULL AND parent.{pf} IS NULL")
+        else:
+            vals = ", ".join(f"'{v}'" for v in t.values)
+            q = f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} NOT IN ({vals}) GROUP BY {c})"
+        parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, '{t.name}' AS test_name, "
+                     f"'{t.severity}' AS severity, CAST(({q}) AS BIGINT) AS failures")
+    singular = [
+        ("assert_fact_grain_unique", "order_id,order_item_id",
+         "SELECT count(*) FROM (SELECT order_id, order_item_id FROM fact_sales GROUP BY order_id, order_item_id HAVING count(*) > 1)"),
+        ("assert_positive_revenue", "total_amount", "SELECT count(*) FROM fact_sales WHERE total_amount < 0"),
+        ("assert_valid_orders", "order_id",
+         "SELECT count(*) FROM stg_orders o LEFT JOIN (SELECT DISTINCT order_id FROM fact_sales) f "
+         "ON o.order_id = f.order_id WHERE f.order_id IS NULL"),
+    ]
+    for name, col, q in singular:
+        parts.append(f"SELECT 'fact_sales' AS model, '{col}' AS column_name, '{name}' AS test_name, "
+                     f"'error' AS severity, CAST(({q}) AS BIGINT) AS failures")
+    body = " UNION ALL ".join(parts)
+    return (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END "
+            f"AS status FROM ({body}) AS t")
+
+
+def _extra_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["ingest_summary"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) FILTER (WHERE ok) AS rows_loaded, "
+        f"count(*) FILTER (WHERE NOT ok) AS rows_rejected FROM {cte}"
+        for t, cte in _TAGGED.items()
+    )
+    q["rejected_by_reason"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, reason, count(*) AS rejected_rows FROM "
+        f"(SELECT {_case(rs)} AS reason FROM {cte} WHERE NOT ok) AS r GROUP BY reason"
+        for t, (cte, rs) in _REASONS.items()
+    )
+    q["validation_dry_run"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS feed, CASE WHEN count(*) FILTER (WHERE NOT ok) = 0 THEN 'OK' ELSE 'ISSUES FOUND' END AS status, "
+        f"count(*) FILTER (WHERE ok) AS valid_rows, count(*) FILTER (WHERE NOT ok) AS invalid_rows "
+        f"FROM (SELECT ({' AND '.join(c + ' IS NOT NULL' for c in cols)}) AS ok FROM {cte}) AS v"
+        for t, (cte, cols) in _DRY.items()
+    )
+    checks = [
+        ("customers", "no_duplicate_customer_id", True,
+         "SELECT count(*) FROM (SELECT customer_id FROM raw_customers GROUP BY customer_id HAVING count(*) > 1)"),
+        ("order_items", "positive_quantity", True, "SELECT count(*) FROM raw_order_items WHERE quantity <= 0"),
+        ("order_items", "non_negative_unit_price", True, "SELECT count(*) FROM raw_order_items WHERE unit_price < 0"),
+        ("order_items", "non_negative_discount", True, "SELECT count(*) FROM raw_order_items WHERE discount < 0"),
+        ("order_items", "discount_not_above_line_value", True,
+         "SELECT count(*) FROM raw_order_items WHERE discount > quantity * unit_price"),
+        ("payments", "valid_payment_status", True,
+         "SELECT count(*) FROM raw_payments WHERE payment_status NOT IN ('success', 'failed', 'pending', 'refunded')"),
+        ("payments", "non_negative_amount", True, "SELECT count(*) FROM raw_payments WHERE amount < 0"),
+        ("order_items", "orphan_order_items", False,
+         "SELECT count(*) FROM raw_order_items oi LEFT JOIN raw_orders o ON oi.order_id = o.order_id WHERE o.order_id IS NULL"),
+        ("orders", "orphan_orders_missing_customer", False,
+         "SELECT count(*) FROM raw_orders o LEFT JOIN raw_customers c ON o.customer_id = c.customer_id WHERE c.customer_id IS NULL"),
+    ]
+    body = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{n}' AS check_name, {str(c).upper()} AS critical, CAST(({s}) AS BIGINT) AS failed_rows"
+        for t, n, c, s in checks
+    )
+    q["quality_checks"] = (
+        "SELECT *, CASE WHEN failed_rows = 0 THEN 'pass' WHEN critical THEN 'fail' ELSE 'warning' END AS status "
+        f"FROM ({body}) AS c"
+    )
+    q["model_tests"] = _model_tests_sql()
+    q["dim_customer"] = "SELECT * FROM dim_customer"
+    q["dim_product"] = "SELECT * FROM dim_product"
+    q["dim_store"] = "SELECT * FROM dim_store"
+    q["dim_date"] = "SELECT * FROM dim_date"
+    q["fact_sales"] = "SELECT * FROM fact_sales"
+    q["int_order_metrics"] = (
+        f"SELECT order_id, item_count, CAST(total_quantity AS BIGINT) AS total_quantity, "
+        f"CAST(order_subtotal AS {M}) AS order_subtotal FROM int_order_metrics"
+    )
+    q["int_customer_orders"] = (
+        f"SELECT customer_id, total_orders, CAST(lifetime_spend AS {M}) AS lifetime_spend, first_order_date, "
+        f"last_order_date FROM int_customer_orders"
+    )
+    q["latest_payment"] = "SELECT order_id, payment_status FROM latest_payment"
+    q["narrow_calendar_fact_rows"] = """
+        SELECT count(*) AS fact_rows
+        FROM stg_order_items oi
+        JOIN stg_orders o ON oi.order_id = o.order_id
+        JOIN dim_customer dc ON o.customer_id = dc.customer_id
+        JOIN dim_product dp ON oi.product_id = dp.product_id
+        JOIN dim_date dd ON o.order_date = dd.full_date
+        WHERE dd.full_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'"""
+    q["products_overlay"] = """
+        SELECT product_id, product_name, CAST(NULL AS VARCHAR) AS category, price, CAST(NULL AS BIGINT) AS store_id
+        FROM (
+          SELECT product_id, trim(product_name) AS product_name, price,
+                 row_number() OVER (PARTITION BY product_id ORDER BY src DESC, seq DESC) AS rn
+          FROM (
+            SELECT product_id, product_name, price, 0 AS src, seq FROM feed_products
+            UNION ALL
+            SELECT p_partkey, p_name, CAST((CAST(round(p_retailprice * 100) AS BIGINT) + 100) * 0.01 AS DECIMAL(12,2)),
+                   1, p_partkey FROM part WHERE p_partkey % 10 = 0) AS u) AS w
+        WHERE rn = 1 AND product_id IS NOT NULL AND product_name IS NOT NULL AND price IS NOT NULL
+          AND coalesce(price >= 0, false)"""
+    batch2 = """
+        SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name, lower(trim(email)) AS email,
+               TRY_CAST(signup_date AS DATE) AS signup_date
+        FROM (
+          SELECT c_custkey + off AS customer_id, '  ' || split_part(c_name, '#', 1) AS first_name,
+                 split_part(c_name, '#', 2) || sfx || ' ' AS last_name,
+                 CASE WHEN c_custkey % 50 = 3 THEN NULL
+                      ELSE ' Customer' || CAST(c_custkey + off AS VARCHAR) || '@Example.COM ' END AS email,
+                 CASE WHEN c_custkey % 50 = 7 THEN 'not-a-date'
+                      ELSE CAST(DATE '1995-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS VARCHAR) END AS signup_date
+          FROM (SELECT *, 0 AS off, '-v2' AS sfx FROM customer WHERE c_custkey % 5 = 0
+                UNION ALL SELECT *, 10000000 AS off, '' AS sfx FROM customer WHERE c_custkey % 25 = 1) AS b) AS t
+        WHERE customer_id IS NOT NULL AND first_name IS NOT NULL AND last_name IS NOT NULL
+          AND email IS NOT NULL AND signup_date IS NOT NULL"""
+    q["customers_upsert"] = f"""
+        , b1 AS (SELECT customer_id, first_name, last_name, email, phone,
+                        'City' || CAST(customer_id % 7 AS VARCHAR) AS city, state, country, signup_date
+                 FROM raw_customers),
+          b2 AS ({batch2})
+        SELECT * FROM b1 WHERE customer_id NOT IN (SELECT customer_id FROM b2)
+        UNION ALL
+        SELECT b2.customer_id, b2.first_name, b2.last_name, b2.email, b1.phone, b1.city, b1.state, b1.country,
+               b2.signup_date
+        FROM b2 LEFT JOIN b1 ON b2.customer_id = b1.customer_id"""
+    runs = """
+        , runs AS (
+          SELECT event_id AS run_id,
+                 CASE event_id % 3 WHEN 0 THEN 'full-pipeline' WHEN 1 THEN 'adhoc-quality-check'
+                      ELSE 'incremental-orders' END AS pipeline_name,
+                 CAST(ts AS TIMESTAMP) AS completed_at,
+                 CASE WHEN event_type IN ('purchase', 'view', 'signup') THEN 'success' ELSE 'failed' END AS status,
+                 event_id % 1000 AS records_processed,
+                 CASE WHEN event_type IN ('purchase', 'view', 'signup') AND event_id % 3 <> 1
+                      THEN CAST(ts AS TIMESTAMP) END AS watermark_end
+          FROM events)"""
+    q["last_successful_watermark"] = runs + """
+        SELECT DISTINCT ON (pipeline_name) pipeline_name, watermark_end
+        FROM runs WHERE status = 'success'
+        ORDER BY pipeline_name, completed_at DESC, run_id DESC"""
+    q["pipeline_run_summary"] = runs + """
+        SELECT pipeline_name, status, count(*) AS runs, CAST(sum(records_processed) AS BIGINT) AS records_processed,
+               count(watermark_end) AS runs_with_watermark
+        FROM runs GROUP BY pipeline_name, status"""
+    q["incremental_orders"] = """
+        SELECT order_id, customer_id, store_id, order_date, order_status
+        FROM ord_tagged WHERE ok AND updated_at > TIMESTAMP '1999-01-01 00:00:00'"""
+    return q
+
+
+def oracle_queries_all() -> dict[str, str]:
+    out = oracle_queries()
+    for k, v in _extra_sql().items():
+        out[k] = BASE + v
+    return out

@@ -36,5 +36,6 @@ def calendar_attributes(d: Column, pad_names: bool = False) -> dict[str, Column]
         "month_name": month_name,
         "day": F.dayofmonth(d),
         "day_of_week": F.weekday(d),
+        "day_name": day_name,
         "is_weekend": F.weekday(d) >= 5,
     }

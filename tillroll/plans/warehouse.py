@@ -27,6 +27,8 @@ from tillroll.sources import audit, fixtures, fs
 from tillroll.sources.tables import TableStore
 
 STATUS = "_status"
+# Bumped whenever the build changes what it writes, so older builds are not reused.
+BUILD_VERSION = "b3"
 # A fixed run timestamp keeps rebuilt tables byte-identical across reruns.
 DEFAULT_RUN_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 _LOCK = threading.Lock()
@@ -41,6 +43,7 @@ class Warehouse:
     calendar: tuple[dt.date, dt.date] = marts.FIXTURE_CALENDAR
     run_ts: dt.datetime = DEFAULT_RUN_TS
     store: TableStore = field(init=False)
+    last_run: object = None
 
     def __post_init__(self) -> None:
         self.store = TableStore(self.spark, self.root)
@@ -73,7 +76,7 @@ class Warehouse:
 
 
 def _root_for(spark: SparkSession, sf_dir: str, calendar) -> str:
-    tag = hashlib.sha1(f"{sf_dir.rstrip('/')}|{calendar[0]}|{calendar[1]}|v1".encode()).hexdigest()[:12]
+    tag = hashlib.sha1(f"{sf_dir.rstrip('/')}|{calendar[0]}|{calendar[1]}|{BUILD_VERSION}".encode()).hexdigest()[:12]
     return f"{work_root(spark)}/wh-{tag}"
 
 
@@ -113,9 +116,10 @@ def build(
     tune(spark)
     root = root or _root_for(spark, sf_dir, calendar)
     wh = Warehouse(spark, root, sf_dir, calendar, run_ts)
-    for name in ingest.TABLE_ORDER:
-        ingest_table(wh, name, wh.feed(name), f"fixture:{name}")
-    build_marts(wh)
+    from tillroll.plans.pipeline import run_pipeline
+
+    feeds = {name: (lambda n=name: wh.feed(n)) for name in ingest.TABLE_ORDER}
+    wh.last_run = run_pipeline(wh, feeds)
     fs.write_text(spark, f"{root}/_COMPLETE", "ok")
     return wh
 

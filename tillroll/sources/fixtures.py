@@ -38,21 +38,34 @@ def _iso_date(ts: Column) -> Column:
     return F.to_date(ts).cast("string")
 
 
-def customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers_feed(
+    spark: SparkSession,
+    sf_dir: str,
+    where: Column | None = None,
+    id_offset: int = 0,
+    last_name_suffix: str = "",
+    with_city: bool = False,
+) -> DataFrame:
+    """Customers feed; the extra arguments shape later batches for upsert tests."""
     c = table(spark, sf_dir, "customer")
+    if where is not None:
+        c = c.filter(where)
     k = F.col("c_custkey")
-    return c.select(
-        k.alias("customer_id"),
+    cid = k + F.lit(id_offset) if id_offset else k
+    cols = [
+        cid.alias("customer_id"),
         F.concat(F.lit("  "), F.split_part("c_name", F.lit("#"), F.lit(1))).alias("first_name"),
-        F.concat(F.split_part("c_name", F.lit("#"), F.lit(2)), F.lit(" ")).alias("last_name"),
+        F.concat(F.split_part("c_name", F.lit("#"), F.lit(2)), F.lit(last_name_suffix + " ")).alias("last_name"),
         F.when(k % 50 == 3, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(" Customer"), k.cast("string"), F.lit("@Example.COM ")))
+        .otherwise(F.concat(F.lit(" Customer"), cid.cast("string"), F.lit("@Example.COM ")))
         .alias("email"),
         F.when(k % 50 == 7, F.lit("not-a-date"))
         .otherwise(F.date_add(F.lit("1995-01-01").cast("date"), (k % 2000).cast("int")).cast("string"))
         .alias("signup_date"),
-        F.struct(k).alias(SEQ),
-    )
+    ]
+    if with_city:
+        cols.append(F.concat(F.lit("City"), (cid % 7).cast("string")).alias("city"))
+    return c.select(*cols, F.struct(cid.alias("c_custkey")).alias(SEQ))
 
 
 def stores_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,10 +16,34 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(v) if v else DEFAULT_BROADCAST_ROWS
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
+def _plan_key(df: DataFrame, bound: int) -> tuple | None:
+    try:
+        files = tuple(sorted(df.inputFiles()))
+    except Exception:  # noqa: BLE001 - plans without file inputs are not memoised
+        return None
+    if not files:
+        return None
+    return (df.semanticHash(), files, bound)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
+    """True iff ``df`` has at most ``max_rows`` rows; reads at most max_rows+1.
+
+    The answer is memoised per (canonical plan, input files): committed table
+    versions are immutable, so the same plan over the same files has the same
+    size.
+    """
     bound = broadcast_limit(df) if max_rows is None else max_rows
-    return df.limit(bound + 1).count() <= bound
+    key = _plan_key(df, bound)
+    if key is not None and key in _CHECKED:
+        return _CHECKED[key]
+    ok = df.limit(bound + 1).count() <= bound
+    if key is not None:
+        _CHECKED[key] = ok
+    return ok
 
 
 def dim_join(

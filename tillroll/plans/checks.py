@@ -48,7 +48,8 @@ def _stack(df: DataFrame, table: str, names: list[str]) -> DataFrame:
 
 
 def _anti_count(child: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
-    p = parent.select(key).distinct()
+    # anti join: duplicates in the parent do not change the result
+    p = parent.select(key)
     p = F.broadcast(p) if fits_broadcast(p) else p
     return child.select(key).join(p, key, "left_anti").agg(F.count(F.lit(1)).alias(name))
 

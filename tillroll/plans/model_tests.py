@@ -117,14 +117,39 @@ def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS) -> Dat
                     f"stack({len(folded)}, {pairs}) AS (column_name, test_name, severity, failures)",
                 ).withColumn("failures", F.col("failures").cast("long"))
             )
+        uniques = [t for t in ts if t.kind == "unique"]
+        if len(uniques) == 1:
+            t = uniques[0]
+            dup = (
+                df.filter(F.col(t.column).isNotNull()).groupBy(t.column).count()
+                .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures"))
+            )
+            parts.append(labelled(dup, model, t.column, t.name, t.severity))
+        elif uniques:
+            # all unique tests of a model in one shuffle: (test index, value) pairs
+            pairs = F.explode(F.array(*[
+                F.struct(F.lit(i).alias("i"), F.col(t.column).cast("string").alias("v"))
+                for i, t in enumerate(uniques)
+            ]))
+            dups = (
+                df.select(pairs.alias("p")).select("p.i", "p.v").filter(F.col("v").isNotNull())
+                .groupBy("i", "v").count().filter(F.col("count") > 1)
+                .groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+            )
+            meta = df.sparkSession.createDataFrame(
+                [(i, model, t.column, t.name, t.severity) for i, t in enumerate(uniques)],
+                "i int, model string, column_name string, test_name string, severity string",
+            )
+            parts.append(
+                meta.join(F.broadcast(dups), "i", "left").select(
+                    "model", "column_name", "test_name", "severity",
+                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("failures"),
+                )
+            )
         for t in ts:
             if t.kind == "unique":
-                dup = (
-                    df.filter(F.col(t.column).isNotNull()).groupBy(t.column).count()
-                    .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures"))
-                )
-                parts.append(labelled(dup, model, t.column, t.name, t.severity))
-            elif t.kind == "accepted_values":
+                continue
+            if t.kind == "accepted_values":
                 bad = (
                     df.filter(~F.col(t.column).isin(*t.values)).select(t.column).distinct()
                     .agg(F.count(F.lit(1)).alias("failures"))
@@ -132,7 +157,7 @@ def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS) -> Dat
                 parts.append(labelled(bad, model, t.column, t.name, t.severity))
             elif t.kind == "relationships":
                 parent_model, field = t.to
-                parent = models[parent_model].select(F.col(field).alias(t.column)).distinct()
+                parent = models[parent_model].select(F.col(field).alias(t.column))
                 parent = F.broadcast(parent) if fits_broadcast(parent) else parent
                 orphans = (
                     df.select(t.column).filter(F.col(t.column).isNotNull())

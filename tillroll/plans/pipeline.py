@@ -9,6 +9,7 @@ failed with its message.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -44,8 +45,14 @@ def run_pipeline(
     wm_start = ledger.get_last_successful_watermark(store, pipeline_name)
     run_id = ledger.start_pipeline_run(store, pipeline_name, wm_start, at=wh.run_ts)
     try:
-        for name in ingest.TABLE_ORDER:
-            ingest_table(wh, name, feeds[name](), (sources or {}).get(name, f"fixture:{name}"))
+        # the six feeds are independent: submit their jobs concurrently
+        with ThreadPoolExecutor(max_workers=len(ingest.TABLE_ORDER)) as pool:
+            futures = [
+                pool.submit(ingest_table, wh, name, feeds[name](), (sources or {}).get(name, f"fixture:{name}"))
+                for name in ingest.TABLE_ORDER
+            ]
+            for f in futures:
+                f.result()
         loaded = sum(
             wh.landing(n).filter(F.col("_status") == "valid").count() for n in ingest.TABLE_ORDER
         )

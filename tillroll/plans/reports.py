@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import month_start
-from tillroll.functions.coerce import line_total
 from tillroll.operators.joins import fits_broadcast
+from tillroll.plans import aggregations
 from tillroll.plans.warehouse import Warehouse
 from tillroll.schemas import SUM_MONEY
 
@@ -222,38 +222,20 @@ def dash_sales_by_store(wh: Warehouse) -> DataFrame:
 
 # ---- DataFrame aggregations over bronze rows (R-24 ... R-27) --------------------
 
-def _raw_lines(wh: Warehouse) -> DataFrame:
-    return wh.raw("order_items").select(
-        "order_id", "product_id", line_total("quantity", "unit_price", "discount").alias("line_total")
-    )
-
-
 def raw_total_revenue(wh: Warehouse) -> DataFrame:
-    return _raw_lines(wh).agg(_money(F.coalesce(F.sum("line_total"), F.lit(0))).alias("total_revenue"))
+    return aggregations.total_revenue(wh.raw("order_items"))
 
 
 def raw_revenue_by_date(wh: Warehouse) -> DataFrame:
-    orders = wh.raw("orders").select("order_id", "order_date")
-    j = _raw_lines(wh).join(orders, "order_id").filter(F.col("order_date").isNotNull())
-    return j.groupBy("order_date").agg(_money(F.sum("line_total")).alias("revenue")).orderBy("order_date")
+    return aggregations.revenue_by_date(wh.raw("order_items"), wh.raw("orders"))
 
 
 def raw_top_products(wh: Warehouse, n: int = 10) -> DataFrame:
-    products = wh.raw("products").select("product_id", "product_name")
-    per_product = _raw_lines(wh).groupBy("product_id").agg(F.sum("line_total").alias("_r"))
-    big = not fits_broadcast(products)
-    j = per_product.join(products if big else F.broadcast(products), "product_id")
-    r = j.groupBy("product_name").agg(_money(F.sum("_r")).alias("revenue"))
-    return r.orderBy(F.desc("revenue"), "product_name").limit(n)
+    return aggregations.top_n_products(wh.raw("order_items"), wh.raw("products"), n)
 
 
 def raw_average_order_value(wh: Warehouse) -> DataFrame:
-    f = _raw_lines(wh).agg(F.sum("line_total").alias("s"), F.count_distinct("order_id").alias("n"))
-    return f.select(
-        F.when(F.col("n") == 0, F.lit(0.0)).otherwise(F.col("s").cast("double") / F.col("n")).alias(
-            "average_order_value"
-        )
-    )
+    return aggregations.average_order_value(wh.raw("order_items"))
 
 
 REPORTS = {

@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ from tillroll.sources.tables import TableStore
 
 STATUS = "_status"
 # Bumped whenever the build changes what it writes, so older builds are not reused.
-BUILD_VERSION = "b3"
+BUILD_VERSION = "b4"
 # A fixed run timestamp keeps rebuilt tables byte-identical across reruns.
 DEFAULT_RUN_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 _LOCK = threading.Lock()
@@ -96,11 +97,17 @@ def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> None
 
 def build_marts(wh: Warehouse) -> None:
     stg = wh.stg()
-    n_small = None
-    wh.store.write(marts.dim_customer(stg["customers"], wh.run_ts, n_small), "marts", "dim_customer")
-    wh.store.write(marts.dim_product(stg["products"], wh.run_ts, n_small), "marts", "dim_product")
-    wh.store.write(marts.dim_store(stg["stores"], wh.run_ts, n_small), "marts", "dim_store")
-    wh.store.write(marts.dim_date(wh.spark, *wh.calendar), "marts", "dim_date")
+    jobs = {
+        "dim_customer": lambda: marts.dim_customer(stg["customers"], wh.run_ts),
+        "dim_product": lambda: marts.dim_product(stg["products"], wh.run_ts),
+        "dim_store": lambda: marts.dim_store(stg["stores"], wh.run_ts),
+        "dim_date": lambda: marts.dim_date(wh.spark, *wh.calendar),
+    }
+    # independent dimensions: their jobs run concurrently
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(lambda n=n, f=f: wh.store.write(f(), "marts", n)) for n, f in jobs.items()]
+        for fut in futures:
+            fut.result()
     dims = {k: wh.dim(k) for k in ("customer", "product", "store", "date")}
     lines = marts.fact_lines(stg, dims, wh.run_ts)
     wh.store.write(marts.fact_sales(lines), "marts", "fact_sales")
@@ -124,6 +131,12 @@ def build(
     return wh
 
 
+def register(wh: Warehouse) -> None:
+    """Make ``wh`` the warehouse ``open_warehouse`` returns for its input."""
+    with _LOCK:
+        _OPEN[(id(wh.spark), f"{wh.sf_dir}|{wh.calendar}")] = wh
+
+
 def open_warehouse(
     spark: SparkSession,
     sf_dir: str,

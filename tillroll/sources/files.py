@@ -100,8 +100,7 @@ def load_json(
             raise FeedLoadError(f"Could not parse JSON file {path}")
         _check_required(df.columns, required_columns, path)
         return _with_seq(df)
-    head = fs.read_head(spark, path, 4096).lstrip()
-    first = head[:1]
+    first = fs.first_non_blank(spark, path)
     if first not in (b"[", b"{"):
         raise FeedLoadError(f"Could not parse JSON file {path}")
     reader = spark.read.option("multiLine", True).option("mode", "PERMISSIVE")

@@ -53,14 +53,33 @@ def read_head(spark: SparkSession, path: str, n: int = 64) -> bytes:
         p = sorted(files, key=lambda x: str(x))[0]
     stream = fs.open(p)
     try:
-        buf = bytearray(n)
-        got = stream.read(buf, 0, n)
-        return bytes(buf[: max(got, 0)])
+        out = bytearray()
+        while len(out) < n:
+            b = stream.read()  # one byte per call: py4j copies arrays by value
+            if b < 0:
+                break
+            out.append(b)
+        return bytes(out)
     finally:
         stream.close()
 
 
-def read_text(spark: SparkSession, path: str) -> str | None:
-    if not exists(spark, path):
-        return None
-    return read_head(spark, path, 4096).decode("utf-8")
+def first_non_blank(spark: SparkSession, path: str, limit: int = 4096) -> bytes:
+    """The first non-whitespace byte of a file (b"" if none within ``limit``)."""
+    fs, p = _fs(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        files = [s.getPath() for s in fs.listStatus(p) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+        if not files:
+            return b""
+        p = sorted(files, key=lambda x: str(x))[0]
+    stream = fs.open(p)
+    try:
+        for _ in range(limit):
+            b = stream.read()
+            if b < 0:
+                return b""
+            if bytes([b]) not in (b" ", b"\t", b"\n", b"\r", b"\xef", b"\xbb", b"\xbf"):
+                return bytes([b])
+        return b""
+    finally:
+        stream.close()

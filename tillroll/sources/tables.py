@@ -27,6 +27,10 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # committed versions are immutable: resolved paths and their
+        # DataFrames are cached; our own writes move the pointer
+        self._current: dict[tuple[str, str], str] = {}
+        self._frames: dict[str, DataFrame] = {}
 
     # -- paths -------------------------------------------------------------
     def path(self, layer: str, name: str) -> str:
@@ -41,8 +45,15 @@ class TableStore:
         return sorted(out)
 
     def current_path(self, layer: str, name: str) -> str | None:
+        hit = self._current.get((layer, name))
+        if hit is not None:
+            return hit
         v = self.versions(layer, name)
-        return f"{self.path(layer, name)}/v{v[-1]:06d}" if v else None
+        if not v:
+            return None
+        p = f"{self.path(layer, name)}/v{v[-1]:06d}"
+        self._current[(layer, name)] = p
+        return p
 
     def exists(self, layer: str, name: str) -> bool:
         return self.current_path(layer, name) is not None
@@ -52,7 +63,10 @@ class TableStore:
         p = self.current_path(layer, name)
         if p is None:
             raise FileNotFoundError(f"no committed version of {layer}.{name} under {self.root}")
-        return self.spark.read.parquet(p)
+        df = self._frames.get(p)
+        if df is None:
+            df = self._frames[p] = self.spark.read.parquet(p)
+        return df
 
     def write(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> str:
         """Write ``df`` as the next version of ``layer.name`` (replace semantics)."""
@@ -66,6 +80,7 @@ class TableStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(target)
+        self._current[(layer, name)] = target
         return target
 
     def append(self, df: DataFrame, layer: str, name: str) -> None:

@@ -29,7 +29,7 @@ from tillroll.sources.tables import TableStore
 
 STATUS = "_status"
 # Bumped whenever the build changes what it writes, so older builds are not reused.
-BUILD_VERSION = "b4"
+BUILD_VERSION = "b5"
 # A fixed run timestamp keeps rebuilt tables byte-identical across reruns.
 DEFAULT_RUN_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 _LOCK = threading.Lock()
@@ -92,7 +92,7 @@ def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> None
     rejected = land.filter(F.col(STATUS) == "rejected")
     wh.store.upsert(valid, name, spec.pk, spec.struct(), wh.run_ts)
     rej = audit.rejected_records(rejected, source, name, spec.column_names, wh.run_ts)
-    wh.store.append(rej, "audit", "rejected_records")
+    wh.store.append(rej, "audit", "rejected_records", part=name)
 
 
 def build_marts(wh: Warehouse) -> None:

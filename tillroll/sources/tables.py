@@ -21,6 +21,7 @@ from tillroll.operators.joins import fits_broadcast
 from tillroll.sources import fs
 
 AUDIT_COLUMNS = ("created_at", "updated_at")
+PART = "_part"
 
 
 class TableStore:
@@ -83,8 +84,11 @@ class TableStore:
         self._current[(layer, name)] = target
         return target
 
-    def append(self, df: DataFrame, layer: str, name: str) -> None:
-        df.write.mode("append").parquet(self.path(layer, name))
+    def append(self, df: DataFrame, layer: str, name: str, part: str | None = None) -> None:
+        """Append rows. Concurrent writers must use distinct ``part`` values:
+        each job commits under its own folder."""
+        target = self.path(layer, name) + (f"/{PART}={part}" if part else "")
+        df.write.mode("append").parquet(target)
 
     def read_appended(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
         p = self.path(layer, name)
@@ -92,7 +96,8 @@ class TableStore:
             if schema is None:
                 raise FileNotFoundError(p)
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(p)
+        df = self.spark.read.parquet(p)
+        return df.drop(PART) if PART in df.columns else df
 
     # -- raw-layer loads ---------------------------------------------------
     def load(self, df: DataFrame, name: str, if_exists: str = "append", layer: str = "raw") -> DataFrame:

@@ -498,6 +498,7 @@ def _extra_sql() -> dict[str, str]:
     q["incremental_orders"] = """
         SELECT order_id, customer_id, store_id, order_date, order_status
         FROM ord_tagged WHERE ok AND updated_at > TIMESTAMP '1999-01-01 00:00:00'"""
+    q["streamed_orders"] = "SELECT order_id, customer_id, store_id, order_date, order_status FROM raw_orders"
     return q
 
 

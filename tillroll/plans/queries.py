@@ -158,6 +158,20 @@ def incremental_orders(spark, sf_dir) -> DataFrame:
     return tagged.filter(is_valid()).select(*SPECS["orders"].column_names)
 
 
+def streamed_orders(spark, sf_dir) -> DataFrame:
+    """S-1 + G-4 end to end: the orders feed is landed as CSV files, then
+    loaded by the incremental file stream into a fresh bronze table."""
+    from tillroll.streaming import ingest_stream
+
+    base = f"{work_root(spark)}/scratch/stream-{uuid.uuid4().hex[:12]}"
+    spec = SPECS["orders"]
+    feed = fixtures.orders_feed(spark, sf_dir).select(*[F.col(c).cast("string") for c in spec.column_names])
+    feed.write.option("header", True).csv(f"{base}/feed")
+    store = TableStore(spark, f"{base}/wh")
+    ingest_stream(spark, store, "orders", f"{base}/feed", f"{base}/ckpt", run_ts=dt.datetime(2024, 1, 1))
+    return store.read("raw", "orders").select(*spec.column_names)
+
+
 QUERIES = {
     "ingest_summary": ingest_summary,
     "rejected_by_reason": rejected_by_reason,
@@ -178,4 +192,5 @@ QUERIES = {
     "last_successful_watermark": last_successful_watermark,
     "pipeline_run_summary": pipeline_run_summary,
     "incremental_orders": incremental_orders,
+    "streamed_orders": streamed_orders,
 }

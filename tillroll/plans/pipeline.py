@@ -47,10 +47,11 @@ def run_pipeline(
     try:
         # the six feeds are independent: submit their jobs concurrently
         with ThreadPoolExecutor(max_workers=len(ingest.TABLE_ORDER)) as pool:
-            futures = [
-                pool.submit(ingest_table, wh, name, feeds[name](), (sources or {}).get(name, f"fixture:{name}"))
-                for name in ingest.TABLE_ORDER
-            ]
+            def one(name: str) -> None:
+                df = feeds[name]()
+                ingest_table(wh, name, df, (sources or {}).get(name, f"fixture:{name}"))
+
+            futures = [pool.submit(one, name) for name in ingest.TABLE_ORDER]
             for f in futures:
                 f.result()
         counts = None

@@ -87,7 +87,7 @@ GENERIC_TESTS: tuple[ModelTest, ...] = tuple(
 SINGULAR = ("assert_fact_grain_unique", "assert_positive_revenue", "assert_valid_orders")
 
 
-def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS) -> DataFrame:
+def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS, singular: bool = True) -> DataFrame:
     """(model, column_name, test_name, severity, failures, status) per test."""
     parts: list[DataFrame] = []
 
@@ -164,7 +164,12 @@ def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS) -> Dat
                     .join(parent, t.column, "left_anti").agg(F.count(F.lit(1)).alias("failures"))
                 )
                 parts.append(labelled(orphans, model, t.column, t.name, t.severity))
-    parts.extend(singular_tests(models))
+    if singular:
+        parts.extend(singular_tests(models))
+    return _finish(parts)
+
+
+def _finish(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -203,3 +208,15 @@ def singular_tests(models: Mapping[str, DataFrame]) -> list[DataFrame]:
         lab(negative, "assert_positive_revenue", "total_amount"),
         lab(missing, "assert_valid_orders", "order_id"),
     ]
+
+
+def test_groups(tests=GENERIC_TESTS) -> dict[str, tuple[ModelTest, ...]]:
+    """Tests per model: independent units that can run as concurrent jobs."""
+    groups: dict[str, list[ModelTest]] = {}
+    for t in tests:
+        groups.setdefault(t.model, []).append(t)
+    return {m: tuple(ts) for m, ts in groups.items()}
+
+
+def run_singular_tests(models: Mapping[str, DataFrame]) -> DataFrame:
+    return _finish(singular_tests(models))

@@ -9,6 +9,7 @@ failed with its message.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
@@ -31,6 +32,7 @@ class RunResult:
     records_processed: int
     gate_passed: bool
     tests_passed: bool
+    timings: dict | None = None
 
 
 def run_pipeline(
@@ -39,7 +41,15 @@ def run_pipeline(
     pipeline_name: str = "full-pipeline",
     sources: Mapping[str, str] | None = None,
 ) -> RunResult:
-    from tillroll.plans.warehouse import build_marts, ingest_table  # cyclic at import time
+    from tillroll.plans.warehouse import build_marts, ingest_table, last_batch  # cyclic at import time
+
+    timings: dict[str, float] = {}
+    clock = [time.time()]
+
+    def lap(phase: str) -> None:
+        now = time.time()
+        timings[phase] = round(now - clock[0], 3)
+        clock[0] = now
 
     store = wh.store
     wm_start = ledger.get_last_successful_watermark(store, pipeline_name)
@@ -54,28 +64,43 @@ def run_pipeline(
             futures = [pool.submit(one, name) for name in ingest.TABLE_ORDER]
             for f in futures:
                 f.result()
+        lap("ingest")
         counts = None
         for n in ingest.TABLE_ORDER:
-            c = wh.landing(n).agg(F.count_if(F.col("_status") == "valid").alias("n"))
+            c = last_batch(wh, n).agg(F.count_if(F.col("_status") == "valid").alias("n"))
             counts = c if counts is None else counts.unionByName(c)
         loaded = int(counts.agg(F.sum("n")).collect()[0][0] or 0)  # one job, six tiny aggregates
         results = checks.quality_checks(wh.raw)
         store.append(audit.quality_results(results, run_id, wh.run_ts), "audit", "data_quality_results")
         gate = checks.gate_passed(store.read_appended("audit", "data_quality_results").filter(F.col("pipeline_run_id") == run_id))
+        lap("quality_gate")
         if not gate:
             ledger.finish_pipeline_run(store, run_id, "failed", loaded, at=wh.run_ts)
             raise PipelineGateError("critical data quality checks failed")
-        build_marts(wh)
-        tests = model_tests.run_model_tests(models_of(wh)).withColumn("pipeline_run_id", F.lit(run_id).cast("long"))
-        store.append(tests, "audit", "model_test_results")
+        build_marts(wh, lap)
+        models = models_of(wh)
+        units = {m: (lambda ts=ts: model_tests.run_model_tests(models, ts, singular=False))
+                 for m, ts in model_tests.test_groups().items()}
+        units["singular"] = lambda: model_tests.run_singular_tests(models)
+
+        def run_unit(part: str) -> None:
+            df = units[part]().withColumn("pipeline_run_id", F.lit(run_id).cast("long"))
+            store.append(df, "audit", "model_test_results", part=f"{run_id}-{part}")
+
+        # tests of different models are independent jobs: run them concurrently
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            for f in [pool.submit(run_unit, u) for u in units]:
+                f.result()
         failed = (
             store.read_appended("audit", "model_test_results")
             .filter((F.col("pipeline_run_id") == run_id) & (F.col("status") == "fail"))
             .limit(1).count()
         )
+        lap("model_tests")
         status = "success" if failed == 0 else "failed"
         ledger.finish_pipeline_run(store, run_id, status, loaded, watermark_end=wh.run_ts, at=wh.run_ts)
-        return RunResult(run_id, status, loaded, True, failed == 0)
+        lap("ledger")
+        return RunResult(run_id, status, loaded, True, failed == 0, timings)
     except PipelineGateError:
         raise
     except Exception as exc:  # noqa: BLE001 - recorded, then re-raised

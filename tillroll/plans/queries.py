@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillroll.operators.rules import is_valid
 from tillroll.plans import checks, ingest, ledger, marts, model_tests
 from tillroll.plans.pipeline import models_of
-from tillroll.plans.warehouse import STATUS, Warehouse, open_warehouse
+from tillroll.plans.warehouse import STATUS, Warehouse, last_batch, open_warehouse
 from tillroll.schemas import SPECS
 from tillroll.session import work_root
 from tillroll.sources import fixtures
@@ -30,10 +30,10 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def ingest_summary(spark, sf_dir) -> DataFrame:
-    """I-7: rows loaded / rejected per table, from the landing tables."""
+    """I-7: rows loaded / rejected per table, from each table's last tagged batch."""
     wh = _wh(spark, sf_dir)
     parts = [
-        wh.landing(n).agg(
+        last_batch(wh, n).agg(
             F.count_if(F.col(STATUS) == "valid").alias("rows_loaded"),
             F.count_if(F.col(STATUS) == "rejected").alias("rows_rejected"),
         ).select(F.lit(n).alias("table_name"), "rows_loaded", "rows_rejected")

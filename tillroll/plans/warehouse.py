@@ -1,9 +1,10 @@
 """Build and open the warehouse for one input folder.
 
 ``build`` runs the batch pipeline over the fixture feeds derived from the
-given tables: ingest each feed once into a landing table (tagged rows,
-partitioned by status), upsert the valid rows into the bronze layer, append
-the rejects to the audit table, then materialise the dimensions and the fact.
+given tables: tag each feed once and write it once (the first bronze version,
+partitioned by status; later batches land and merge), append the rejects to
+the audit table, gate on the quality checks, then materialise the dimensions
+and the fact and run the model tests.
 Every stage boundary is a committed Parquet write under the cluster's shared
 folder (``spark.checkpoint.dir``), so a lost executor costs a task retry, not
 the run. ``open_warehouse`` reuses a completed build of the same input.
@@ -25,11 +26,10 @@ from tillroll.plans import ingest, marts, staging
 from tillroll.schemas import SPECS
 from tillroll.session import tune, work_root
 from tillroll.sources import audit, fixtures, fs
-from tillroll.sources.tables import TableStore
+from tillroll.sources.tables import STATUS, TableStore
 
-STATUS = "_status"
 # Bumped whenever the build changes what it writes, so older builds are not reused.
-BUILD_VERSION = "b6"
+BUILD_VERSION = "b8"
 # A fixed run timestamp keeps rebuilt tables byte-identical across reruns.
 DEFAULT_RUN_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 _LOCK = threading.Lock()
@@ -53,9 +53,6 @@ class Warehouse:
     def raw(self, name: str) -> DataFrame:
         return self.store.read("raw", name)
 
-    def landing(self, name: str) -> DataFrame:
-        return self.store.read("landing", name)
-
     def mart(self, name: str) -> DataFrame:
         return self.store.read("marts", name)
 
@@ -82,20 +79,40 @@ def _root_for(spark: SparkSession, sf_dir: str, calendar) -> str:
 
 
 def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> None:
-    """One feed: tag once, land once, then upsert valid rows and append rejects."""
+    """One feed: tag once and write the tagged batch once.
+
+    Initial load (no bronze table yet): the tagged batch, partitioned by
+    status, IS the first bronze version, so valid rows are written exactly
+    once. Later batches land first, then merge into a new bronze version.
+    Rejects are read back from the ``rejected`` partition of that write.
+    """
     spec = SPECS[name]
+    ts = F.lit(wh.run_ts).cast("timestamp")
     tagged = ingest.prepare(feed, name)
     landed = tagged.withColumn(STATUS, F.when(is_valid(), F.lit("valid")).otherwise(F.lit("rejected")))
-    wh.store.write(landed, "landing", name, partition_by=[STATUS])
-    land = wh.landing(name)
-    valid = land.filter(F.col(STATUS) == "valid").select(*spec.column_names)
-    rejected = land.filter(F.col(STATUS) == "rejected")
-    wh.store.upsert(valid, name, spec.pk, spec.struct(), wh.run_ts)
+    if not wh.store.exists("raw", name):
+        first = landed.withColumns({"created_at": ts, "updated_at": ts})
+        wh.store.write(first, "raw", name, partition_by=[STATUS])
+        batch = wh.store.read_batch("raw", name)
+    else:
+        wh.store.write(landed, "landing", name, partition_by=[STATUS])
+        batch = wh.store.read_batch("landing", name)
+        valid = batch.filter(F.col(STATUS) == "valid").select(*spec.column_names)
+        wh.store.upsert(valid, name, spec.pk, spec.struct(), wh.run_ts)
+    rejected = batch.filter(F.col(STATUS) == "rejected")
     rej = audit.rejected_records(rejected, source, name, spec.column_names, wh.run_ts)
     wh.store.append(rej, "audit", "rejected_records", part=name)
 
 
-def build_marts(wh: Warehouse) -> None:
+def last_batch(wh: Warehouse, name: str) -> DataFrame:
+    """The most recent tagged batch of a table (initial load or landing)."""
+    raw_path = wh.store.current_path("raw", name)
+    if raw_path is not None and wh.store.is_tagged(raw_path):
+        return wh.store.read_batch("raw", name)
+    return wh.store.read_batch("landing", name)
+
+
+def build_marts(wh: Warehouse, lap=None) -> None:
     stg = wh.stg()
     jobs = {
         "dim_customer": lambda: marts.dim_customer(stg["customers"], wh.run_ts),
@@ -108,9 +125,13 @@ def build_marts(wh: Warehouse) -> None:
         futures = [pool.submit(lambda n=n, f=f: wh.store.write(f(), "marts", n)) for n, f in jobs.items()]
         for fut in futures:
             fut.result()
+    if lap:
+        lap("dimensions")
     dims = {k: wh.dim(k) for k in ("customer", "product", "store", "date")}
     lines = marts.fact_lines(stg, dims, wh.run_ts)
     wh.store.write(marts.fact_sales(lines), "marts", "fact_sales")
+    if lap:
+        lap("fact")
 
 
 def build(

@@ -22,6 +22,10 @@ from tillroll.sources import fs
 
 AUDIT_COLUMNS = ("created_at", "updated_at")
 PART = "_part"
+# A tagged version holds a whole validated batch, partitioned by STATUS;
+# plain reads see only its valid rows (partition pruning), without tag columns.
+STATUS = "_status"
+TAG_COLUMNS = ("_reasons", "_reason")
 
 
 class TableStore:
@@ -66,9 +70,23 @@ class TableStore:
             raise FileNotFoundError(f"no committed version of {layer}.{name} under {self.root}")
         df = self._frames.get(p)
         if df is None:
-            df = self._frames[p] = self.spark.read.parquet(p)
+            df = self.spark.read.parquet(p)
+            if self.is_tagged(p):
+                df = df.filter(F.col(STATUS) == "valid").drop(STATUS, *TAG_COLUMNS)
+            self._frames[p] = df
         return df
 
+    def is_tagged(self, version_path: str) -> bool:
+        return any(d.startswith(f"{STATUS}=") for d in fs.list_dirs(self.spark, version_path))
+
+    def read_batch(self, layer: str, name: str) -> DataFrame:
+        """The whole tagged batch of the current version (valid and rejected
+        rows, with ``_status`` and the tag columns)."""
+        p = self.current_path(layer, name)
+        if p is None or not self.is_tagged(p):
+            raise FileNotFoundError(f"{layer}.{name} has no tagged current version")
+        return self.spark.read.parquet(p)
+
     def write(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> str:
         """Write ``df`` as the next version of ``layer.name`` (replace semantics)."""
         v = self.versions(layer, name)

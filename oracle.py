@@ -50,7 +50,7 @@ feed_products AS (
   SELECT p_partkey AS product_id, p_name || ' ' AS product_name,
          CASE WHEN p_partkey % 9 = 4 THEN NULL ELSE p_type END AS category,
          CAST((CASE WHEN p_partkey % 50 = 1 THEN -1 ELSE 1 END)
-              * CAST(round(p_retailprice * 100) AS BIGINT) * 0.01 AS DECIMAL(12,2)) AS price,
+              * CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT) * 0.01 AS DECIMAL(12,2)) AS price,
          p_partkey AS seq
   FROM part),
 prod_typed AS (
@@ -85,9 +85,9 @@ feed_items AS (
          l_partkey AS product_id,
          CASE WHEN l_orderkey % 53 = 7 THEN -CAST(l_quantity AS INTEGER) ELSE CAST(l_quantity AS INTEGER) END AS quantity,
          CAST((CASE WHEN l_orderkey % 59 = 9 THEN -1 ELSE 1 END)
-              * (CAST(round(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS INTEGER)) * 0.01 AS DECIMAL(12,2)) AS unit_price,
+              * (CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) // CAST(l_quantity AS INTEGER)) * 0.01 AS DECIMAL(12,2)) AS unit_price,
          CASE WHEN l_orderkey % 61 = 4 THEN NULL
-              ELSE CAST(((CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT)) // 100) * 0.01 AS DECIMAL(12,2)) END AS discount,
+              ELSE CAST(((CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) * CAST(floor(l_discount * 100 + 0.5) AS BIGINT)) // 100) * 0.01 AS DECIMAL(12,2)) END AS discount,
          l_partkey, l_suppkey, l_shipdate, l_tax
   FROM lineitem),
 item_first AS (
@@ -109,7 +109,7 @@ feed_payments AS (
          CASE event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failed' WHEN 'view' THEN 'pending'
                          WHEN 'signup' THEN 'refunded' WHEN 'click' THEN 'unknown_status' END AS payment_status,
          CAST((CASE WHEN event_id % 50 = 1 THEN -1 ELSE 1 END)
-              * CAST(round(value * 100) AS BIGINT) * 0.01 AS DECIMAL(12,2)) AS amount,
+              * CAST(floor(value * 100 + 0.5) AS BIGINT) * 0.01 AS DECIMAL(12,2)) AS amount,
          CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS payment_date,
          event_id AS seq
   FROM events),
@@ -448,7 +448,7 @@ def _extra_sql() -> dict[str, str]:
           FROM (
             SELECT product_id, product_name, price, 0 AS src, seq FROM feed_products
             UNION ALL
-            SELECT p_partkey, p_name, CAST((CAST(round(p_retailprice * 100) AS BIGINT) + 100) * 0.01 AS DECIMAL(12,2)),
+            SELECT p_partkey, p_name, CAST((CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT) + 100) * 0.01 AS DECIMAL(12,2)),
                    1, p_partkey FROM part WHERE p_partkey % 10 = 0) AS u) AS w
         WHERE rn = 1 AND product_id IS NOT NULL AND product_name IS NOT NULL AND price IS NOT NULL
           AND coalesce(price >= 0, false)"""

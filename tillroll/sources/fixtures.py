@@ -31,7 +31,9 @@ def _money_from_cents(cents: Column) -> Column:
 
 
 def _cents(x: Column) -> Column:
-    return F.round(x * 100).cast("long")
+    # Half-up to whole cents with double arithmetic (no per-row BigDecimal);
+    # the inputs carry two decimals, so x * 100 is within 1e-6 of an integer.
+    return F.floor(x * 100 + 0.5).cast("long")
 
 
 def _iso_date(ts: Column) -> Column:
@@ -131,8 +133,8 @@ def order_items_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
     q = F.col("l_quantity").cast("int")
-    cents = "cast(round(l_extendedprice * 100) as bigint)"
-    pct = "cast(round(l_discount * 100) as bigint)"
+    cents = "cast(floor(l_extendedprice * 100 + 0.5) as bigint)"
+    pct = "cast(floor(l_discount * 100 + 0.5) as bigint)"
     unit = _money_from_cents(F.expr(f"{cents} div cast(l_quantity as int)"))
     disc = _money_from_cents(F.expr(f"({cents} * {pct}) div 100"))
     quantity = F.when(k % 53 == 7, -q).otherwise(q)

@@ -32,3 +32,22 @@ def test_latest_per_group_desc_nulls_last(spark):
     out = {r.order_id: r.payment_status for r in latest_per_group(
         df, ["order_id"], ["payment_status"], [*desc_nulls_last("payment_date"), F.col("payment_id")]).collect()}
     assert out == {1: "b", 2: "e"}
+
+
+def test_dense_key_with_offset_table(spark, monkeypatch):
+    import tillroll.operators.keys as K
+
+    monkeypatch.setattr(K, "_LITERAL_OFFSETS", 2)
+    df = spark.range(0, 3000).select(((F.col("id") * 31) % 3001).alias("k"))
+    keyed = K.dense_key(df, ["k"], "key", num_partitions=5)
+    expected = df.withColumn("rn", F.row_number().over(Window.orderBy("k")))
+    assert keyed.join(expected, "k").filter(F.col("key") != F.col("rn")).count() == 0
+
+
+def test_partitions_for_grows_with_size(spark):
+    from tillroll.operators.keys import partitions_for
+
+    df = spark.range(0, 10)
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(df) == base
+    assert partitions_for(df, target_bytes=8) >= base

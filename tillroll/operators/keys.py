@@ -18,6 +18,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _LOW_BITS = (1 << 33) - 1
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 50_000
+_LITERAL_OFFSETS = 4096
+
+
+def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Range partitions for ``df``: at least ``spark.sql.shuffle.partitions``,
+    more when Catalyst's size estimate says partitions would exceed
+    ``target_bytes`` (capped; the estimate only sizes the work, it never
+    changes the result)."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - no estimate: keep the configured count
+        return base
+    return max(base, min(-(-est // target_bytes), MAX_PARTITIONS))
 
 
 def dense_key(
@@ -31,8 +47,7 @@ def dense_key(
 
     ``first=True`` puts the key as the first column.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or partitions_for(df)
     order = list(order_cols)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     per_part = (
@@ -46,10 +61,18 @@ def dense_key(
     for c in counts:
         offsets.append(acc)
         acc += c
-    offset = F.element_at(
-        F.array(*[F.lit(o).cast("long") for o in offsets]), F.spark_partition_id() + 1
-    )
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))
-    key = (offset + position + 1).cast("long").alias(out)
     cols = [c for c in df.columns if c != out]
-    return ranged.select(key, *cols) if first else ranged.select(*cols, key)
+    if parts <= _LITERAL_OFFSETS:
+        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.spark_partition_id() + 1)
+        key = (offset + position + 1).cast("long").alias(out)
+        return ranged.select(key, *cols) if first else ranged.select(*cols, key)
+    # many partitions: offsets as a small table (one row per partition) joined
+    # by broadcast; pid/position are taken before the join, in the same pass
+    spark = df.sparkSession
+    table = spark.createDataFrame(list(enumerate(offsets)), "_pid int, _offset long")
+    local = ranged.select(
+        F.spark_partition_id().alias("_pid"), position.alias("_pos"), *cols
+    )
+    numbered = local.join(F.broadcast(table), "_pid").withColumn(out, (F.col("_offset") + F.col("_pos") + 1).cast("long"))
+    return numbered.select(out, *cols) if first else numbered.select(*cols, out)

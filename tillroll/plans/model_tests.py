@@ -1,9 +1,10 @@
 """Declarative model tests (T-1 ... T-7), compiled to few scans.
 
 A generic test is (model, column, kind, args, severity). Per model, all
-``not_null`` and ``accepted_values`` tests fold into one aggregate; each
-``unique`` test is one group-by; each ``relationships`` test is one anti join
-(parent broadcast only when proven small). Failure counts follow dbt's test
+``not_null``, ``accepted_values`` and ``relationships`` tests compile into ONE
+aggregate over one scan (relationships as left joins against the parent's
+distinct keys, broadcast only when proven small; otherwise a shuffle anti
+join), and all ``unique`` tests share one group-by. Failure counts follow dbt's test
 queries: rows for not_null / relationships, duplicated values for unique,
 distinct offending values for accepted_values.
 """
@@ -105,18 +106,37 @@ def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS, singul
         by_model.setdefault(t.model, []).append(t)
     for model, ts in by_model.items():
         df = models[model]
-        folded = [t for t in ts if t.kind == "not_null"]
-        if folded:
-            agg = df.agg(*[F.count_if(F.col(t.column).isNull()).alias(f"f{i}") for i, t in enumerate(folded)])
+        # ONE scan per model for every not_null / relationships / accepted_values
+        # test: relationships become left joins against the parent's distinct
+        # keys (broadcast only when proven small), so child rows never multiply
+        scan = df
+        items: list[tuple[ModelTest, object]] = []
+        for i, t in enumerate(ts):
+            if t.kind == "not_null":
+                items.append((t, F.count_if(F.col(t.column).isNull())))
+            elif t.kind == "accepted_values":
+                bad = F.col(t.column).isNotNull() & ~F.col(t.column).isin(*t.values)
+                items.append((t, F.count_distinct(F.when(bad, F.col(t.column)))))
+            elif t.kind == "relationships":
+                parent_model, field = t.to
+                keys = models[parent_model].select(F.col(field).alias(f"_pk{i}")).distinct()
+                if not fits_broadcast(keys):
+                    continue  # handled below as a shuffle anti join
+                scan = scan.join(F.broadcast(keys.withColumn(f"_hit{i}", F.lit(True))),
+                                 F.col(t.column) == F.col(f"_pk{i}"), "left")
+                items.append((t, F.count_if(F.col(t.column).isNotNull() & F.col(f"_hit{i}").isNull())))
+        if items:
+            agg = scan.agg(*[c.cast("long").alias(f"f{j}") for j, (_, c) in enumerate(items)])
             pairs = ", ".join(
-                f"'{t.column}', '{t.name}', '{t.severity}', f{i}" for i, t in enumerate(folded)
+                f"'{t.column}', '{t.name}', '{t.severity}', f{j}" for j, (t, _) in enumerate(items)
             )
             parts.append(
                 agg.selectExpr(
                     f"'{model}' AS model",
-                    f"stack({len(folded)}, {pairs}) AS (column_name, test_name, severity, failures)",
+                    f"stack({len(items)}, {pairs}) AS (column_name, test_name, severity, failures)",
                 ).withColumn("failures", F.col("failures").cast("long"))
             )
+        done = {id(t) for t, _ in items}
         uniques = [t for t in ts if t.kind == "unique"]
         if len(uniques) == 1:
             t = uniques[0]
@@ -147,18 +167,10 @@ def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS, singul
                 )
             )
         for t in ts:
-            if t.kind == "unique":
-                continue
-            if t.kind == "accepted_values":
-                bad = (
-                    df.filter(~F.col(t.column).isin(*t.values)).select(t.column).distinct()
-                    .agg(F.count(F.lit(1)).alias("failures"))
-                )
-                parts.append(labelled(bad, model, t.column, t.name, t.severity))
-            elif t.kind == "relationships":
+            if t.kind == "relationships" and id(t) not in done:
+                # parent too big to broadcast: shuffle anti join on the key
                 parent_model, field = t.to
                 parent = models[parent_model].select(F.col(field).alias(t.column))
-                parent = F.broadcast(parent) if fits_broadcast(parent) else parent
                 orphans = (
                     df.select(t.column).filter(F.col(t.column).isNotNull())
                     .join(parent, t.column, "left_anti").agg(F.count(F.lit(1)).alias("failures"))

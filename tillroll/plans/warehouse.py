@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators.rules import REASON, REASONS, is_valid
+from tillroll.operators.rules import is_valid
 from tillroll.plans import ingest, marts, staging
 from tillroll.schemas import SPECS
 from tillroll.session import tune, work_root
@@ -184,4 +184,4 @@ def open_warehouse(
         return wh
 
 
-__all__ = ["Warehouse", "build", "build_marts", "ingest_table", "open_warehouse", "REASON", "REASONS"]
+__all__ = ["Warehouse", "build", "build_marts", "ingest_table", "last_batch", "open_warehouse", "register"]

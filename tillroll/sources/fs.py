@@ -17,11 +17,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def is_file(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p) and fs.getFileStatus(p).isFile())
-
-
 def size(spark: SparkSession, path: str) -> int:
     fs, p = _fs(spark, path)
     return int(fs.getContentSummary(p).getLength())
@@ -43,27 +38,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def read_head(spark: SparkSession, path: str, n: int = 64) -> bytes:
-    """First ``n`` bytes of a file (or of the first data file in a folder)."""
-    fs, p = _fs(spark, path)
-    if fs.getFileStatus(p).isDirectory():
-        files = [s.getPath() for s in fs.listStatus(p) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
-        if not files:
-            return b""
-        p = sorted(files, key=lambda x: str(x))[0]
-    stream = fs.open(p)
-    try:
-        out = bytearray()
-        while len(out) < n:
-            b = stream.read()  # one byte per call: py4j copies arrays by value
-            if b < 0:
-                break
-            out.append(b)
-        return bytes(out)
-    finally:
-        stream.close()
-
-
 def first_non_blank(spark: SparkSession, path: str, limit: int = 4096) -> bytes:
     """The first non-whitespace byte of a file (b"" if none within ``limit``)."""
     fs, p = _fs(spark, path)

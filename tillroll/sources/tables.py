@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 from tillroll.operators.joins import fits_broadcast
 from tillroll.sources import fs
 
-AUDIT_COLUMNS = ("created_at", "updated_at")
 PART = "_part"
 # A tagged version holds a whole validated batch, partitioned by STATUS;
 # plain reads see only its valid rows (partition pruning), without tag columns.

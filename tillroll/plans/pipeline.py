@@ -54,12 +54,15 @@ def run_pipeline(
     store = wh.store
     wm_start = ledger.get_last_successful_watermark(store, pipeline_name)
     run_id = ledger.start_pipeline_run(store, pipeline_name, wm_start, at=wh.run_ts)
+    lap("ledger_start")
     try:
         # the six feeds are independent: submit their jobs concurrently
         with ThreadPoolExecutor(max_workers=len(ingest.TABLE_ORDER)) as pool:
             def one(name: str) -> None:
+                t0 = time.time()
                 df = feeds[name]()
                 ingest_table(wh, name, df, (sources or {}).get(name, f"fixture:{name}"))
+                timings[f"ingest.{name}"] = round(time.time() - t0, 3)
 
             futures = [pool.submit(one, name) for name in ingest.TABLE_ORDER]
             for f in futures:

@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources import fs
 from tillroll.sources.tables import TableStore
 
 LEDGER = "pipeline_events"
@@ -31,11 +32,15 @@ def _append(store: TableStore, row: tuple) -> None:
     store.append(store.spark.createDataFrame([row], EVENT_SCHEMA), "audit", LEDGER)
 
 
+def _has_ledger(store: TableStore) -> bool:
+    return fs.exists(store.spark, store.path("audit", LEDGER))
+
+
 def start_pipeline_run(
     store: TableStore, pipeline_name: str, watermark_start: dt.datetime | None, at: dt.datetime | None = None
 ) -> int:
     """G-1: append a ``running`` start event; returns the new run id."""
-    last = _events(store).agg(F.max("run_id")).collect()[0][0]
+    last = _events(store).agg(F.max("run_id")).collect()[0][0] if _has_ledger(store) else None
     run_id = int(last or 0) + 1
     at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     _append(store, (run_id, pipeline_name, "start", at, "running", None, watermark_start, None, None))
@@ -94,6 +99,8 @@ def last_successful_watermarks(runs: DataFrame) -> DataFrame:
 
 def get_last_successful_watermark(store: TableStore, pipeline_name: str) -> dt.datetime | None:
     """G-3: None on the first run of a pipeline, meaning "load everything"."""
+    if not _has_ledger(store):
+        return None
     runs = pipeline_runs(_events(store)).filter(F.col("pipeline_name") == pipeline_name)
     row = last_successful_watermarks(runs).collect()
     return row[0]["watermark_end"] if row else None

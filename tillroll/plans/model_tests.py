@@ -119,9 +119,11 @@ def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS, singul
                 items.append((t, F.count_distinct(F.when(bad, F.col(t.column)))))
             elif t.kind == "relationships":
                 parent_model, field = t.to
-                keys = models[parent_model].select(F.col(field).alias(f"_pk{i}")).distinct()
-                if not fits_broadcast(keys):
+                parent_keys = models[parent_model].select(F.col(field).alias(f"_pk{i}"))
+                # parent rows bound its distinct keys: check the cheaper plan
+                if not fits_broadcast(parent_keys):
                     continue  # handled below as a shuffle anti join
+                keys = parent_keys.distinct()
                 scan = scan.join(F.broadcast(keys.withColumn(f"_hit{i}", F.lit(True))),
                                  F.col(t.column) == F.col(f"_pk{i}"), "left")
                 items.append((t, F.count_if(F.col(t.column).isNotNull() & F.col(f"_hit{i}").isNull())))

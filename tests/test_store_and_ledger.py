@@ -81,3 +81,25 @@ def test_incremental_filter_reaches_scan(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "updated_at" in plan
     assert F  # keep import used
+
+
+def test_upsert_large_batch_path_matches_small_batch_path(spark, tmp_path):
+    base = spark.createDataFrame([(i, f"F{i}", f"L{i}", f"e{i}@x", f"C{i}", dt.date(2024, 1, 1)) for i in range(20)], ROW)
+    batch = spark.createDataFrame(
+        [(i, f"F{i}", f"L{i}-v2", f"e{i}@x", dt.date(2024, 1, 2)) for i in range(10, 30)],
+        "customer_id long, first_name string, last_name string, email string, signup_date date")
+    results = []
+    for bound in (None, "0"):
+        if bound:
+            spark.conf.set("tillroll.broadcast.maxRows", bound)  # batch keys "too big": full outer path
+        try:
+            store = TableStore(spark, str(tmp_path / f"wh{bound}"))
+            store.upsert(base, "customers", ["customer_id"], CUSTOMERS.struct(), dt.datetime(2024, 1, 1))
+            out = store.upsert(batch, "customers", ["customer_id"], CUSTOMERS.struct(), dt.datetime(2024, 1, 2))
+            results.append(sorted(tuple(r) for r in out.collect()))
+        finally:
+            spark.conf.unset("tillroll.broadcast.maxRows")
+    assert results[0] == results[1]
+    rows = {r[0]: r for r in results[0]}
+    assert len(rows) == 30 and rows[15][2] == "L15-v2" and rows[15][5] == "C15" and rows[25][5] is None
+    assert rows[5][2] == "L5"

@@ -132,6 +132,71 @@ class TableStore:
         cur = self.read(layer, name)
         self.write(self.spark.createDataFrame([], cur.schema), layer, name)
 
+    def upsert(
+        self,
+        batch: DataFrame,
+        name: str,
+        pk: Sequence[str],
+        table_schema: T.StructType,
+        run_ts: dt.datetime,
+        layer: str = "raw",
+    ) -> DataFrame:
+        """S-5: insert new keys, update existing ones; only columns present in
+        the batch are overwritten (a null *in* the batch does overwrite).
+
+        ``created_at`` keeps the first load time, ``updated_at`` is bumped on
+        every write of the row. Returns the new table version (lazy read).
+        """
+        pk = list(pk)
+        ts = F.lit(run_ts).cast("timestamp")
+        cols = [f.name for f in table_schema.fields]
+        present = [c for c in cols if c in batch.columns]
+        missing = [c for c in cols if c not in batch.columns]
+        src = batch.select(*present)
+        if not self.exists(layer, name):
+            new = src.select(
+                *[F.col(c) if c in present else F.lit(None).cast(table_schema[c].dataType).alias(c) for c in cols],
+                ts.alias("created_at"),
+                ts.alias("updated_at"),
+            )
+        else:
+            target = self.read(layer, name)
+            keep_old = [c for c in missing if c not in pk]
+            keys = src.select(*pk)
+            if fits_broadcast(keys):
+                # small batch: both passes over the target are map-only joins
+                # against the broadcast batch keys; the target is never shuffled
+                kept = target.join(F.broadcast(keys), pk, "left_anti")
+                old = target.join(F.broadcast(keys), pk, "left_semi").select(*pk, *keep_old, "created_at")
+                merged = src.join(old, pk, "left").select(
+                    *[F.col(c) for c in cols],
+                    F.coalesce(F.col("created_at"), ts).alias("created_at"),
+                    ts.alias("updated_at"),
+                )
+                new = kept.select(*cols, "created_at", "updated_at").unionByName(merged)
+            else:
+                # large batch: one full outer join, one shuffle per side
+                s_ = src.select(*[F.col(c).alias(f"_n_{c}") if c not in pk else F.col(c) for c in present],
+                                F.lit(True).alias("_in_batch"))
+                j = target.join(s_, pk, "full_outer")
+                hit = F.col("_in_batch").isNotNull()
+                new = j.select(
+                    *[
+                        F.col(c) if c in pk
+                        else (F.when(hit, F.col(f"_n_{c}")).otherwise(F.col(c)) if c in present else F.col(c)).alias(c)
+                        for c in cols
+                    ],
+                    F.coalesce(F.col("created_at"), ts).alias("created_at"),
+                    F.when(hit, ts).otherwise(F.col("updated_at")).alias("updated_at"),
+                )
+        self.write(new, layer, name)
+        return self.read(layer, name)
+
+    def truncate(self, name: str, layer: str = "raw") -> None:
+        """S-7: the next version is empty, same schema."""
+        cur = self.read(layer, name)
+        self.write(self.spark.createDataFrame([], cur.schema), layer, name)
+
     def upsert(
         self,
         batch: DataFrame,

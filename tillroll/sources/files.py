@@ -2,8 +2,8 @@
 
 Everything is read as strings against an explicit schema (no inference);
 types are enforced later by ``try_cast`` so a bad value rejects its row
-instead of failing the batch. Each row gets ``_seq`` = (file, position) which
-defines "first copy" for keep-first de-duplication.
+instead of failing the batch. Each row gets ``_seq`` (its position in the
+scan, a long) which defines "first copy" for keep-first de-duplication.
 """
 
 from __future__ import annotations
@@ -40,7 +40,12 @@ JsonLoadError = FeedLoadError
 
 
 def _with_seq(df: DataFrame) -> DataFrame:
-    return df.withColumn(SEQ, F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos")))
+    # One long per row: partition index in the high bits, row in the low bits.
+    # Splits of one file get increasing partition indexes, so this is file
+    # order (what keep-first means for a single feed file); across files it is
+    # a fixed, deterministic order. A long, not the file path, rides through
+    # the de-duplication shuffle.
+    return df.withColumn(SEQ, F.struct(F.monotonically_increasing_id().alias("pos")))
 
 
 def _na_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -25,9 +25,6 @@ from tillroll.sources.files import CORRUPT, NA_TOKENS
 from tillroll.sources.fixtures import SEQ
 from tillroll.sources.tables import TableStore
 
-FILE = "_file"
-
-
 def feed_stream(spark: SparkSession, name: str, feed_dir: str, fmt: str = "csv") -> DataFrame:
     """Streaming read of a feed folder with the feed's all-string schema."""
     spec = SPECS[name]
@@ -39,15 +36,15 @@ def feed_stream(spark: SparkSession, name: str, feed_dir: str, fmt: str = "csv")
         df = reader.json(feed_dir)  # JSON Lines
     else:
         raise ValueError(f"unsupported feed format {fmt}")
-    return df.select("*", F.col("_metadata.file_path").alias(FILE))
+    return df
 
 
 def _load_batch(store: TableStore, name: str, batch: DataFrame, epoch_id: int, run_ts: dt.datetime) -> None:
     spec = SPECS[name]
-    cols = [c for c in batch.columns if c not in (FILE,)]
+    cols = list(batch.columns)
     df = batch.select(
         *[F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)).alias(c) if c != CORRUPT else F.col(c) for c in cols],
-        F.struct(F.col(FILE).alias("file"), F.monotonically_increasing_id().alias("pos")).alias(SEQ),
+        F.struct(F.monotonically_increasing_id().alias("pos")).alias(SEQ),
     )
     tagged = ingest.prepare(df, name).withColumn("_status", F.when(is_valid(), "valid").otherwise("rejected"))
     landing = f"{store.path('landing', name)}/epoch={epoch_id}"

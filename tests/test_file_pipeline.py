@@ -69,3 +69,19 @@ def test_pipeline_from_files(spark, tmp_path):
     assert len(runs) == 1 and runs[0].status == res.status
     tests = wh.store.read_appended("audit", "model_test_results")
     assert tests.filter(F.col("test_name") == "assert_valid_orders").first().failures == 1  # order 101 has no line
+
+
+def test_ingest_quality_transform_steps(spark, tmp_path):
+    from tillroll.plans.pipeline import ingest_all, run_quality, transform
+
+    feed_dir = tmp_path / "feeds"
+    feed_dir.mkdir()
+    _write(feed_dir)
+    wh = Warehouse(spark, str(tmp_path / "wh"), str(feed_dir), calendar=(dt.date(2024, 1, 1), dt.date(2024, 12, 31)))
+    feeds, labels = file_feeds(spark, str(feed_dir))
+    summary = {r.table_name: (r.rows_loaded, r.rows_rejected) for r in ingest_all(wh, feeds, labels).collect()}
+    assert summary["customers"] == (1, 2) and summary["order_items"] == (2, 3)
+    assert run_quality(wh) is True
+    assert ledger.get_last_successful_watermark(wh.store, "adhoc-quality-check") is None  # no watermark recorded
+    transform(wh)
+    assert wh.fact.count() == 2

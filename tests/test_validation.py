@@ -96,3 +96,16 @@ def test_missing_discount_column_defaults_to_zero(spark):
                                f"unit_price decimal(12,2), {SEQ} struct<p:int>")
     row = ingest.prepare(df, "order_items").first()
     assert row.discount == Decimal("0.00") and row[R.REASONS] == []
+
+
+def test_validate_schema_result(spark):
+    df = spark.createDataFrame(
+        [(1, "A", "B", "a@x", "2024-01-01"), (2, None, "B", "b@x", "2024-01-01"), (3, "C", "D", "c@x", "2024-01-01")],
+        "customer_id long, first_name string, last_name string, email string, signup_date string")
+    res = R.validate_schema(df, CUSTOMERS)
+    assert res.valid_rows.count() == 2 and res.invalid_rows.count() == 1 and not res.is_valid
+    assert res.errors == ["1 row(s) have null values in required columns "
+                          "['customer_id', 'first_name', 'last_name', 'email', 'signup_date']"]
+    only_id = R.validate_schema(df.select("customer_id"), CUSTOMERS)
+    assert only_id.valid_rows.count() == 0 and only_id.invalid_rows.count() == 3
+    assert only_id.errors[0].startswith("Missing required columns")

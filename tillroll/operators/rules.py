@@ -158,3 +158,35 @@ def check_no_duplicate_ids(df: DataFrame, id_column: str, order: Sequence[str |
 
 
 CORRUPT_COLUMN = "_corrupt_record"
+
+
+@dataclass(eq=False)
+class ValidationResult:
+    """Schema validation of one batch (V-1/V-2): lazy row splits plus the
+    error texts, which need one small aggregate and are computed on demand."""
+
+    table_name: str
+    valid_rows: DataFrame
+    invalid_rows: DataFrame
+    missing: list[str]
+    required: list[str]
+
+    @property
+    def errors(self) -> list[str]:
+        if self.missing:
+            return [f"Missing required columns: {self.missing}"]
+        n = self.invalid_rows.count()
+        return [f"{n} row(s) have null values in required columns {self.required}"] if n else []
+
+    @property
+    def is_valid(self) -> bool:
+        return not self.errors
+
+
+def validate_schema(df: DataFrame, spec: TableSpec) -> ValidationResult:
+    """Required columns present and non-null; invalid rows keep their reasons."""
+    missing = missing_columns(df, spec.required_columns)
+    present = [c for c in spec.required_columns if c in df.columns]
+    tagged = tag(df, [not_null(c) for c in present], f"Missing required columns: {missing}" if missing else None)
+    valid, invalid = split(tagged)
+    return ValidationResult(spec.name, valid, invalid, missing, present)

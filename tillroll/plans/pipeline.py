@@ -118,3 +118,47 @@ def models_of(wh) -> dict[str, DataFrame]:
         out[f"dim_{d}"] = wh.dim(d)
     out["fact_sales"] = wh.fact
     return out
+
+
+def ingest_all(wh, feeds: Mapping[str, Callable[[], DataFrame]], sources: Mapping[str, str] | None = None) -> DataFrame:
+    """The ``ingest`` step alone: every feed, concurrently; returns the
+    (table_name, rows_loaded, rows_rejected) summary of the batches."""
+    from tillroll.plans.warehouse import ingest_table, last_batch
+
+    with ThreadPoolExecutor(max_workers=len(ingest.TABLE_ORDER)) as pool:
+        futures = [
+            pool.submit(lambda n=n: ingest_table(wh, n, feeds[n](), (sources or {}).get(n, f"feed:{n}")))
+            for n in ingest.TABLE_ORDER
+        ]
+        for f in futures:
+            f.result()
+    out = None
+    for n in ingest.TABLE_ORDER:
+        part = last_batch(wh, n).agg(
+            F.count_if(F.col("_status") == "valid").alias("rows_loaded"),
+            F.count_if(F.col("_status") == "rejected").alias("rows_rejected"),
+        ).select(F.lit(n).alias("table_name"), "rows_loaded", "rows_rejected")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def run_quality(wh, pipeline_name: str = "adhoc-quality-check") -> bool:
+    """The ``quality`` step alone: a ledger run around the raw-layer checks.
+    Like the reference, it records success without a watermark_end."""
+    store = wh.store
+    wm = ledger.get_last_successful_watermark(store, pipeline_name)
+    run_id = ledger.start_pipeline_run(store, pipeline_name, wm, at=wh.run_ts)
+    results = checks.quality_checks(wh.raw)
+    store.append(audit.quality_results(results, run_id, wh.run_ts), "audit", "data_quality_results")
+    passed = checks.gate_passed(
+        store.read_appended("audit", "data_quality_results").filter(F.col("pipeline_run_id") == run_id)
+    )
+    ledger.finish_pipeline_run(store, run_id, "success" if passed else "failed", at=wh.run_ts)
+    return passed
+
+
+def transform(wh) -> None:
+    """The ``transform`` step alone: staging views, dimensions and the fact."""
+    from tillroll.plans.warehouse import build_marts
+
+    build_marts(wh)

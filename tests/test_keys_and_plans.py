@@ -51,3 +51,14 @@ def test_partitions_for_grows_with_size(spark):
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert partitions_for(df) == base
     assert partitions_for(df, target_bytes=8) >= base
+
+
+def test_fits_broadcast_declines_big_estimates_without_a_job(spark, monkeypatch):
+    import tillroll.operators.joins as J
+
+    df = spark.range(0, 100)
+    assert J.fits_broadcast(df, max_rows=1000) is True
+    monkeypatch.setattr(J, "NO_PROOF_NEEDED_BYTES", 1)
+    calls = []
+    monkeypatch.setattr(type(df), "count", lambda self: calls.append(1) or 0)
+    assert J.fits_broadcast(spark.range(0, 101), max_rows=1000) is False and not calls

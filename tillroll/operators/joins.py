@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # rows (after projecting it to the columns the join needs).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 CONF_KEY = "tillroll.broadcast.maxRows"
+# Above this estimated size the answer is "no" without running the row count
+# (declining to broadcast is always safe; only "yes" needs the proof).
+NO_PROOF_NEEDED_BYTES = 2 * 1024 * 1024 * 1024
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -29,8 +32,33 @@ def _plan_key(df: DataFrame, bound: int) -> tuple | None:
     return (df.semanticHash(), files, bound)
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (file sizes for scans; no job)."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except Exception:  # noqa: BLE001 - no estimate available
+        return None
+    return int(size) if isinstance(size, int) else int(str(size.toString()))
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes the plan reads: the sum of its leaf estimates (file sizes for
+    scans). Unlike the root estimate it is not inflated by joins."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total = 0
+        for i in range(leaves.size()):
+            size = leaves.apply(i).stats().sizeInBytes()
+            total += int(size) if isinstance(size, int) else int(str(size.toString()))
+        return total
+    except Exception:  # noqa: BLE001 - no estimate available
+        return None
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows; reads at most max_rows+1.
+    """True iff ``df`` has at most ``max_rows`` rows (a row-count proof over at
+    most max_rows+1 rows); plans estimated far above broadcast size are
+    declined without a job.
 
     The answer is memoised per (canonical plan, input files): committed table
     versions are immutable, so the same plan over the same files has the same
@@ -40,7 +68,12 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     key = _plan_key(df, bound)
     if key is not None and key in _CHECKED:
         return _CHECKED[key]
-    ok = df.limit(bound + 1).count() <= bound
+    est = estimated_bytes(df)
+    if est is not None and est > NO_PROOF_NEEDED_BYTES:
+        # a limit-count would read up to `bound` rows from every partition
+        ok = False
+    else:
+        ok = df.limit(bound + 1).count() <= bound
     if key is not None:
         _CHECKED[key] = ok
     return ok

@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.joins import input_bytes
+
 _LOW_BITS = (1 << 33) - 1
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 MAX_PARTITIONS = 50_000
@@ -25,13 +27,12 @@ _LITERAL_OFFSETS = 4096
 
 def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Range partitions for ``df``: at least ``spark.sql.shuffle.partitions``,
-    more when Catalyst's size estimate says partitions would exceed
-    ``target_bytes`` (capped; the estimate only sizes the work, it never
-    changes the result)."""
+    more when the bytes the plan reads (sum of its scans' sizes) would make
+    partitions exceed ``target_bytes`` (capped; the estimate only sizes the
+    work, it never changes the result)."""
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - no estimate: keep the configured count
+    est = input_bytes(df)
+    if est is None:
         return base
     return max(base, min(-(-est // target_bytes), MAX_PARTITIONS))
 

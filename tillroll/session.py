@@ -52,6 +52,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # independent jobs (six feeds, four dimensions, model-test units) are
         # submitted from threads; FAIR shares the cores between them
         .config("spark.scheduler.mode", "FAIR")
+        # dense_key's reliable checkpoint is as large as the table it numbers:
+        # delete checkpoint files once nothing references them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -109,3 +109,9 @@ def test_validate_schema_result(spark):
     only_id = R.validate_schema(df.select("customer_id"), CUSTOMERS)
     assert only_id.valid_rows.count() == 0 and only_id.invalid_rows.count() == 3
     assert only_id.errors[0].startswith("Missing required columns")
+
+
+def test_missing_key_column_rejects_every_row(spark):
+    df = spark.createDataFrame([("A", (1,)), ("B", (2,)), ("C", (3,))], f"first_name string, {SEQ} struct<p:int>")
+    valid, rejected = R.split(ingest.prepare(df, "customers"))
+    assert valid.count() == 0 and rejected.count() == 3

@@ -85,7 +85,10 @@ def prepare(feed: DataFrame, name: str) -> DataFrame:
         *([F.col(R.CORRUPT_COLUMN)] if R.CORRUPT_COLUMN in df.columns else []),
         F.col(SEQ),
     )
-    df = drop_exact_duplicates(df, list(spec.pk), order=[SEQ])
+    if not missing:
+        # with required columns absent every row is rejected as it is (V-1);
+        # a missing key column must not collapse the batch into one row
+        df = drop_exact_duplicates(df, list(spec.pk), order=[SEQ])
     rules: list[R.Rule] = []
     if R.CORRUPT_COLUMN in df.columns:
         rules.append(R.Rule("malformed record", F.col(R.CORRUPT_COLUMN).isNull()))

@@ -340,25 +340,84 @@ _DRY = {
 }
 
 
-def _model_tests_sql() -> str:
-    from tillroll.plans.model_tests import GENERIC_TESTS
+# The reference's generic model tests, transcribed independently of the library:
+# (model, column, test, parent model, parent column, severity).
+GENERIC_TESTS = [
+    ("stg_customers", "customer_id", "not_null", None, None, "error"),
+    ("stg_customers", "customer_id", "unique", None, None, "error"),
+    ("stg_customers", "email", "not_null", None, None, "error"),
+    ("stg_products", "product_id", "not_null", None, None, "error"),
+    ("stg_products", "product_id", "unique", None, None, "error"),
+    ("stg_products", "price", "not_null", None, None, "error"),
+    ("stg_stores", "store_id", "not_null", None, None, "error"),
+    ("stg_stores", "store_id", "unique", None, None, "error"),
+    ("stg_orders", "order_id", "not_null", None, None, "error"),
+    ("stg_orders", "order_id", "unique", None, None, "error"),
+    ("stg_orders", "customer_id", "not_null", None, None, "error"),
+    ("stg_orders", "customer_id", "relationships", "stg_customers", "customer_id", "error"),
+    ("stg_order_items", "order_item_id", "not_null", None, None, "error"),
+    ("stg_order_items", "order_item_id", "unique", None, None, "error"),
+    ("stg_order_items", "order_id", "not_null", None, None, "error"),
+    ("stg_order_items", "order_id", "relationships", "stg_orders", "order_id", "warn"),
+    ("stg_order_items", "product_id", "not_null", None, None, "error"),
+    ("stg_order_items", "product_id", "relationships", "stg_products", "product_id", "error"),
+    ("stg_order_items", "quantity", "not_null", None, None, "error"),
+    ("stg_payments", "payment_id", "not_null", None, None, "error"),
+    ("stg_payments", "payment_id", "unique", None, None, "error"),
+    ("stg_payments", "order_id", "not_null", None, None, "error"),
+    ("stg_payments", "order_id", "relationships", "stg_orders", "order_id", "warn"),
+    ("stg_payments", "payment_status", "accepted_values", None, None, "error"),
+    ("dim_customer", "customer_key", "not_null", None, None, "error"),
+    ("dim_customer", "customer_key", "unique", None, None, "error"),
+    ("dim_customer", "customer_id", "not_null", None, None, "error"),
+    ("dim_customer", "customer_id", "unique", None, None, "error"),
+    ("dim_product", "product_key", "not_null", None, None, "error"),
+    ("dim_product", "product_key", "unique", None, None, "error"),
+    ("dim_product", "product_id", "not_null", None, None, "error"),
+    ("dim_product", "product_id", "unique", None, None, "error"),
+    ("dim_store", "store_key", "not_null", None, None, "error"),
+    ("dim_store", "store_key", "unique", None, None, "error"),
+    ("dim_store", "store_id", "not_null", None, None, "error"),
+    ("dim_store", "store_id", "unique", None, None, "error"),
+    ("dim_date", "date_key", "not_null", None, None, "error"),
+    ("dim_date", "date_key", "unique", None, None, "error"),
+    ("dim_date", "full_date", "not_null", None, None, "error"),
+    ("dim_date", "full_date", "unique", None, None, "error"),
+    ("fact_sales", "sale_id", "not_null", None, None, "error"),
+    ("fact_sales", "sale_id", "unique", None, None, "error"),
+    ("fact_sales", "order_item_id", "not_null", None, None, "error"),
+    ("fact_sales", "customer_key", "not_null", None, None, "error"),
+    ("fact_sales", "customer_key", "relationships", "dim_customer", "customer_key", "error"),
+    ("fact_sales", "product_key", "not_null", None, None, "error"),
+    ("fact_sales", "product_key", "relationships", "dim_product", "product_key", "error"),
+    ("fact_sales", "date_key", "not_null", None, None, "error"),
+    ("fact_sales", "date_key", "relationships", "dim_date", "date_key", "error"),
+    ("fact_sales", "quantity", "not_null", None, None, "error"),
+    ("fact_sales", "total_amount", "not_null", None, None, "error"),
+]
+
+
+def _test_name(m, c, kind, pm, pf) -> str:
+    if kind == "relationships":
+        return f"relationships_{m}_{c}__{pf}__{pm}"
+    return f"{kind}_{m}_{c}"
 
+
+def _model_tests_sql() -> str:
     parts = []
-    for t in GENERIC_TESTS:
-        m, c = t.model, t.column
-        if t.kind == "not_null":
+    for m, c, kind, pm, pf, severity in GENERIC_TESTS:
+        if kind == "not_null":
             q = f"SELECT count(*) FROM {m} WHERE {c} IS NULL"
-        elif t.kind == "unique":
+        elif kind == "unique":
             q = f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
-        elif t.kind == "relationships":
-            pm, pf = t.to
+        elif kind == "relationships":
             q = (f"SELECT count(*) FROM {m} AS child LEFT JOIN {pm} AS parent ON child.{c} = parent.{pf} "
                  f"WHERE child.{c} IS NOT NULL AND parent.{pf} IS NULL")
         else:
-            vals = ", ".join(f"'{v}'" for v in t.values)
-            q = f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} NOT IN ({vals}) GROUP BY {c})"
-        parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, '{t.name}' AS test_name, "
-                     f"'{t.severity}' AS severity, CAST(({q}) AS BIGINT) AS failures")
+            q = (f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} NOT IN "
+                 f"('success', 'failed', 'pending', 'refunded') GROUP BY {c})")
+        parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, '{_test_name(m, c, kind, pm, pf)}' AS test_name, "
+                     f"'{severity}' AS severity, CAST(({q}) AS BIGINT) AS failures")
     singular = [
         ("assert_fact_grain_unique", "order_id,order_item_id",
          "SELECT count(*) FROM (SELECT order_id, order_item_id FROM fact_sales GROUP BY order_id, order_item_id HAVING count(*) > 1)"),

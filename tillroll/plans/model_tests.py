@@ -1,7 +1,8 @@
 """Declarative model tests (T-1 ... T-7), compiled to few scans.
 
-A generic test is (model, column, kind, args, severity). Per model, all
-``not_null``, ``accepted_values`` and ``relationships`` tests compile into ONE
+A generic test is (model, column, kind, args, severity). The tests compile to
+one Spark SQL statement, as dbt compiles tests to SQL. Per model, all
+``not_null``, ``accepted_values`` and ``relationships`` tests become ONE
 aggregate over one scan (relationships as left joins against the parent's
 distinct keys, broadcast only when proven small; otherwise a shuffle anti
 join), and all ``unique`` tests share one group-by. Failure counts follow dbt's test
@@ -11,11 +12,11 @@ distinct offending values for accepted_values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tillroll.operators.joins import fits_broadcast
 from tillroll.schemas import VALID_PAYMENT_STATUSES
@@ -88,140 +89,119 @@ GENERIC_TESTS: tuple[ModelTest, ...] = tuple(
 SINGULAR = ("assert_fact_grain_unique", "assert_positive_revenue", "assert_valid_orders")
 
 
-def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS, singular: bool = True) -> DataFrame:
-    """(model, column_name, test_name, severity, failures, status) per test."""
-    parts: list[DataFrame] = []
-
-    def labelled(df: DataFrame, t_model: str, column: str, name: str, severity: str) -> DataFrame:
-        return df.select(
-            F.lit(t_model).alias("model"),
-            F.lit(column).alias("column_name"),
-            F.lit(name).alias("test_name"),
-            F.lit(severity).alias("severity"),
-            F.col("failures").cast("long").alias("failures"),
-        )
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _lit(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
 
+
+def _rows_sql(model: str, items: list[tuple[ModelTest, str]], source: str, hints: list[str]) -> str:
+    """One aggregate over one scan, unpivoted to one row per test."""
+    aggs = ", ".join(f"CAST({expr} AS BIGINT) AS f{j}" for j, (_, expr) in enumerate(items))
+    stack = ", ".join(
+        f"{_lit(t.column)}, {_lit(t.name)}, {_lit(t.severity)}, f{j}" for j, (t, _) in enumerate(items)
+    )
+    hint = f"/*+ BROADCAST({', '.join(hints)}) */ " if hints else ""
+    return (
+        f"SELECT {_lit(model)} AS model, column_name, test_name, severity, failures FROM ("
+        f"SELECT stack({len(items)}, {stack}) AS (column_name, test_name, severity, failures) "
+        f"FROM (SELECT {hint}{aggs} FROM {source}) AS a) AS s"
+    )
+
+
+def _compile(models: Mapping[str, DataFrame], view: Mapping[str, str], tests, singular: bool) -> str:
     by_model: dict[str, list[ModelTest]] = {}
     for t in tests:
         by_model.setdefault(t.model, []).append(t)
+    parts: list[str] = []
     for model, ts in by_model.items():
-        df = models[model]
-        # ONE scan per model for every not_null / relationships / accepted_values
-        # test: relationships become left joins against the parent's distinct
-        # keys (broadcast only when proven small), so child rows never multiply
-        scan = df
-        items: list[tuple[ModelTest, object]] = []
+        v = view[model]
+        # ONE scan per model for not_null / accepted_values / relationships
+        source, hints, items = f"{v} AS c", [], []
         for i, t in enumerate(ts):
+            col = f"c.{_q(t.column)}"
             if t.kind == "not_null":
-                items.append((t, F.count_if(F.col(t.column).isNull())))
+                items.append((t, f"count_if({col} IS NULL)"))
             elif t.kind == "accepted_values":
-                bad = F.col(t.column).isNotNull() & ~F.col(t.column).isin(*t.values)
-                items.append((t, F.count_distinct(F.when(bad, F.col(t.column)))))
+                vals = ", ".join(_lit(x) for x in t.values)
+                items.append((t, f"count(DISTINCT CASE WHEN {col} IS NOT NULL AND {col} NOT IN ({vals}) THEN {col} END)"))
             elif t.kind == "relationships":
-                parent_model, field = t.to
-                parent_keys = models[parent_model].select(F.col(field).alias(f"_pk{i}"))
-                # parent rows bound its distinct keys: check the cheaper plan
-                if not fits_broadcast(parent_keys):
-                    continue  # handled below as a shuffle anti join
-                keys = parent_keys.distinct()
-                scan = scan.join(F.broadcast(keys.withColumn(f"_hit{i}", F.lit(True))),
-                                 F.col(t.column) == F.col(f"_pk{i}"), "left")
-                items.append((t, F.count_if(F.col(t.column).isNotNull() & F.col(f"_hit{i}").isNull())))
+                pm, pf = t.to
+                # parent rows bound its distinct keys: prove the cheaper plan small
+                if fits_broadcast(models[pm].select(pf)):
+                    alias = f"p{i}"
+                    source += (f" LEFT JOIN (SELECT DISTINCT {_q(pf)} AS k, true AS hit FROM {view[pm]}) AS {alias}"
+                               f" ON {col} = {alias}.k")
+                    hints.append(alias)
+                    items.append((t, f"count_if({col} IS NOT NULL AND {alias}.hit IS NULL)"))
+                else:  # parent too big to broadcast: shuffle anti join
+                    parts.append(
+                        f"SELECT {_lit(model)} AS model, {_lit(t.column)} AS column_name, {_lit(t.name)} AS test_name, "
+                        f"{_lit(t.severity)} AS severity, count(*) AS failures FROM {v} AS c "
+                        f"LEFT ANTI JOIN {view[pm]} AS p ON {col} = p.{_q(pf)} WHERE {col} IS NOT NULL"
+                    )
         if items:
-            agg = scan.agg(*[c.cast("long").alias(f"f{j}") for j, (_, c) in enumerate(items)])
-            pairs = ", ".join(
-                f"'{t.column}', '{t.name}', '{t.severity}', f{j}" for j, (t, _) in enumerate(items)
-            )
-            parts.append(
-                agg.selectExpr(
-                    f"'{model}' AS model",
-                    f"stack({len(items)}, {pairs}) AS (column_name, test_name, severity, failures)",
-                ).withColumn("failures", F.col("failures").cast("long"))
-            )
-        done = {id(t) for t, _ in items}
+            parts.append(_rows_sql(model, items, source, hints))
         uniques = [t for t in ts if t.kind == "unique"]
-        if len(uniques) == 1:
-            t = uniques[0]
-            dup = (
-                df.filter(F.col(t.column).isNotNull()).groupBy(t.column).count()
-                .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures"))
-            )
-            parts.append(labelled(dup, model, t.column, t.name, t.severity))
-        elif uniques:
-            # all unique tests of a model in one shuffle: (test index, value) pairs
-            pairs = F.explode(F.array(*[
-                F.struct(F.lit(i).alias("i"), F.col(t.column).cast("string").alias("v"))
-                for i, t in enumerate(uniques)
-            ]))
-            dups = (
-                df.select(pairs.alias("p")).select("p.i", "p.v").filter(F.col("v").isNotNull())
-                .groupBy("i", "v").count().filter(F.col("count") > 1)
-                .groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+        if uniques:
+            # every unique test of the model in one shuffle: (test index, value) pairs
+            pairs = ", ".join(
+                f"named_struct('i', {i}, 'v', CAST({_q(t.column)} AS STRING))" for i, t in enumerate(uniques)
             )
-            meta = df.sparkSession.createDataFrame(
-                [(i, model, t.column, t.name, t.severity) for i, t in enumerate(uniques)],
-                "i int, model string, column_name string, test_name string, severity string",
+            meta = ", ".join(
+                f"({i}, {_lit(t.column)}, {_lit(t.name)}, {_lit(t.severity)})" for i, t in enumerate(uniques)
             )
             parts.append(
-                meta.join(F.broadcast(dups), "i", "left").select(
-                    "model", "column_name", "test_name", "severity",
-                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("failures"),
-                )
+                f"SELECT {_lit(model)} AS model, m.column_name, m.test_name, m.severity, "
+                f"coalesce(d.n, 0) AS failures "
+                f"FROM (VALUES {meta}) AS m(i, column_name, test_name, severity) LEFT JOIN ("
+                f"SELECT i, count(*) AS n FROM (SELECT p.i, p.v FROM (SELECT explode(array({pairs})) AS p FROM {v}) AS e "
+                f"WHERE p.v IS NOT NULL GROUP BY p.i, p.v HAVING count(*) > 1) AS g GROUP BY i) AS d ON m.i = d.i"
             )
-        for t in ts:
-            if t.kind == "relationships" and id(t) not in done:
-                # parent too big to broadcast: shuffle anti join on the key
-                parent_model, field = t.to
-                parent = models[parent_model].select(F.col(field).alias(t.column))
-                orphans = (
-                    df.select(t.column).filter(F.col(t.column).isNotNull())
-                    .join(parent, t.column, "left_anti").agg(F.count(F.lit(1)).alias("failures"))
-                )
-                parts.append(labelled(orphans, model, t.column, t.name, t.severity))
     if singular:
-        parts.extend(singular_tests(models))
-    return _finish(parts)
-
-
-def _finish(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    status = (
-        F.when(F.col("failures") == 0, F.lit("pass"))
-        .when(F.col("severity") == "warn", F.lit("warn"))
-        .otherwise(F.lit("fail"))
-    )
-    return out.withColumn("status", status)
-
+        f, o = view["fact_sales"], view["stg_orders"]
+
+        def one(name: str, column: str, q: str) -> str:
+            return (f"SELECT 'fact_sales' AS model, {_lit(column)} AS column_name, {_lit(name)} AS test_name, "
+                    f"'error' AS severity, failures FROM ({q}) AS x")
+
+        parts += [
+            one("assert_fact_grain_unique", "order_id,order_item_id",
+                f"SELECT count(*) AS failures FROM (SELECT order_id, order_item_id FROM {f} "
+                f"GROUP BY order_id, order_item_id HAVING count(*) > 1) AS g"),
+            one("assert_positive_revenue", "total_amount", f"SELECT count_if(total_amount < 0) AS failures FROM {f}"),
+            # orders x fact: distinct fact order ids first (one row per order)
+            one("assert_valid_orders", "order_id",
+                f"SELECT count(*) AS failures FROM {o} AS o LEFT ANTI JOIN (SELECT DISTINCT order_id FROM {f}) AS fo "
+                f"ON o.order_id = fo.order_id"),
+        ]
+    body = " UNION ALL ".join(f"SELECT model, column_name, test_name, severity, CAST(failures AS BIGINT) AS failures "
+                              f"FROM ({p}) AS u{k}" for k, p in enumerate(parts))
+    return (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END "
+            f"AS status FROM ({body}) AS r")
 
-def singular_tests(models: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """T-5 fact grain unique, T-6 no negative revenue, T-7 every staged order
-    has a fact row (returned rows counted as failures)."""
-    fact = models["fact_sales"]
 
-    def lab(df: DataFrame, name: str, column: str) -> DataFrame:
-        return df.select(
-            F.lit("fact_sales").alias("model"), F.lit(column).alias("column_name"), F.lit(name).alias("test_name"),
-            F.lit("error").alias("severity"), F.col("failures").cast("long").alias("failures"),
-        )
+def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS, singular: bool = True) -> DataFrame:
+    """(model, column_name, test_name, severity, failures, status) per test.
 
-    grain = (
-        fact.groupBy("order_id", "order_item_id").count().filter(F.col("count") > 1)
-        .agg(F.count(F.lit(1)).alias("failures"))
-    )
-    negative = fact.agg(F.count_if(F.col("total_amount") < 0).alias("failures"))
-    # orders x fact on order_id: distinct fact order ids first (one row per order)
-    fact_orders = fact.select("order_id").distinct()
-    missing = (
-        models["stg_orders"].select("order_id").join(fact_orders, "order_id", "left_anti")
-        .agg(F.count(F.lit(1)).alias("failures"))
-    )
-    return [
-        lab(grain, "assert_fact_grain_unique", "order_id,order_item_id"),
-        lab(negative, "assert_positive_revenue", "total_amount"),
-        lab(missing, "assert_valid_orders", "order_id"),
-    ]
+    The declarative tests compile to ONE Spark SQL statement over temporary
+    views of the models (dropped again once the statement is analysed)."""
+    tests = tuple(tests)
+    needed = {t.model for t in tests} | {t.to[0] for t in tests if t.kind == "relationships"}
+    if singular:
+        needed |= {"fact_sales", "stg_orders"}
+    spark = next(iter(models.values())).sparkSession
+    tag = uuid.uuid4().hex[:10]
+    view = {m: f"_mt_{tag}_{m}" for m in needed}
+    for m, v in view.items():
+        models[m].createOrReplaceTempView(v)
+    try:
+        return spark.sql(_compile(models, view, tests, singular))
+    finally:
+        for v in view.values():
+            spark.catalog.dropTempView(v)
 
 
 def test_groups(tests=GENERIC_TESTS) -> dict[str, tuple[ModelTest, ...]]:
@@ -233,4 +213,4 @@ def test_groups(tests=GENERIC_TESTS) -> dict[str, tuple[ModelTest, ...]]:
 
 
 def run_singular_tests(models: Mapping[str, DataFrame]) -> DataFrame:
-    return _finish(singular_tests(models))
+    return run_model_tests(models, (), singular=True)

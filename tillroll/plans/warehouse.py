@@ -29,7 +29,7 @@ from tillroll.sources import audit, fixtures, fs
 from tillroll.sources.tables import STATUS, TableStore
 
 # Bumped whenever the build changes what it writes, so older builds are not reused.
-BUILD_VERSION = "b13"
+BUILD_VERSION = "b14"
 # A fixed run timestamp keeps rebuilt tables byte-identical across reruns.
 DEFAULT_RUN_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 _LOCK = threading.Lock()

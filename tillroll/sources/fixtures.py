@@ -27,7 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _money_from_cents(cents: Column) -> Column:
-    return (cents * _cent()).cast("decimal(12,2)")
+    # decimal(15,0) x decimal(2,2) = decimal(18,2): stays on Spark's long-backed
+    # decimal path (a bigint operand would make it decimal(23,2), BigDecimal)
+    return (cents.cast("decimal(15,0)") * _cent()).cast("decimal(12,2)")
 
 
 def _cents(x: Column) -> Column:

@@ -83,3 +83,13 @@ def test_json_malformed(spark, tmp_path):
     p.write_text("[{\"a\": 1,,}")
     with pytest.raises(FeedLoadError):
         load_json(spark, str(p))
+
+
+def test_json_lines(spark, tmp_path):
+    p = tmp_path / "p.jsonl"
+    p.write_text('{"payment_id": 1, "amount": 2.5}\n{"payment_id": 2, "amount": 3}\n')
+    from tillroll.schemas import PAYMENTS
+
+    df = load_json(spark, str(p), lines=True, schema=PAYMENTS.feed_struct())
+    rows = sorted((r.payment_id, r.amount) for r in df.collect())
+    assert rows == [("1", "2.5"), ("2", "3")]  # values read as text, typed later by try_cast

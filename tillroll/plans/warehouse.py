@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import threading
+from pathlib import Path
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -28,8 +29,17 @@ from tillroll.session import tune, work_root
 from tillroll.sources import audit, fixtures, fs
 from tillroll.sources.tables import STATUS, TableStore
 
-# Bumped whenever the build changes what it writes, so older builds are not reused.
-BUILD_VERSION = "b14"
+def _source_fingerprint() -> str:
+    """Hash of the library's source: a build made by other code is never reused."""
+    root = Path(__file__).resolve().parents[1]
+    h = hashlib.sha1()
+    for f in sorted(root.rglob("*.py")):
+        h.update(str(f.relative_to(root)).encode())
+        h.update(f.read_bytes())
+    return h.hexdigest()[:10]
+
+
+BUILD_VERSION = _source_fingerprint()
 # A fixed run timestamp keeps rebuilt tables byte-identical across reruns.
 DEFAULT_RUN_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 _LOCK = threading.Lock()

@@ -62,3 +62,18 @@ def test_fits_broadcast_declines_big_estimates_without_a_job(spark, monkeypatch)
     calls = []
     monkeypatch.setattr(type(df), "count", lambda self: calls.append(1) or 0)
     assert J.fits_broadcast(spark.range(0, 101), max_rows=1000) is False and not calls
+
+
+def test_dense_key_balances_a_hot_order(spark):
+    # one order holds a third of all lines: range partitions on (order_id,
+    # order_item_id) still split it, so no task numbers the hot order alone
+    n = 30000
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 10).alias("order_id"),
+        F.col("id").alias("order_item_id"),
+    )
+    keyed = dense_key(df, ["order_id", "order_item_id"], "sale_id", num_partitions=8)
+    sizes = [r["count"] for r in keyed.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == n and max(sizes) < 2 * n / 8
+    expected = df.withColumn("rn", F.row_number().over(Window.orderBy("order_id", "order_item_id")))
+    assert keyed.join(expected, ["order_id", "order_item_id"]).filter(F.col("sale_id") != F.col("rn")).count() == 0

@@ -26,3 +26,21 @@ def test_incremental_stream_loads_only_new_files(spark, tmp_path):
     assert rows[3].store_id is None and rows[3].order_status is None
     rej = store.read_appended("audit", "rejected_records").collect()
     assert [r.reason for r in rej] == ["null in required column order_date"]
+
+
+def test_incremental_stream_json_lines(spark, tmp_path):
+    feed = tmp_path / "payments"
+    feed.mkdir()
+    (feed / "a.json").write_text(
+        '{"payment_id": 1, "order_id": 10, "amount": 5.5, "payment_status": "success", "payment_date": "2024-01-02"}\n'
+        '{"payment_id": 2, "order_id": 10, "amount": -1, "payment_status": "success"}\n'
+        '{"payment_id": 3, "order_id": 11, "amount": 2, "payment_status": "bogus"}\n')
+    store = TableStore(spark, str(tmp_path / "wh"))
+    n = ingest_stream(spark, store, "payments", str(feed), str(tmp_path / "ckpt"), fmt="json",
+                      run_ts=dt.datetime(2024, 1, 1))
+    assert n == 1
+    rows = store.read("raw", "payments").collect()
+    assert [(r.payment_id, str(r.amount), r.payment_date) for r in rows] == [(1, "5.50", dt.date(2024, 1, 2))]
+    reasons = sorted(r.reason for r in store.read_appended("audit", "rejected_records").collect())
+    assert reasons == ["amount must not be negative",
+                       "payment_status must be one of ['failed', 'pending', 'refunded', 'success']"]

@@ -5,7 +5,7 @@ one Spark SQL statement, as dbt compiles tests to SQL. Per model, all
 ``not_null``, ``accepted_values`` and ``relationships`` tests become ONE
 aggregate over one scan (relationships as left joins against the parent's
 distinct keys, broadcast only when proven small; otherwise a shuffle anti
-join), and all ``unique`` tests share one group-by. Failure counts follow dbt's test
+join); the ``unique`` tests of all models share ONE group-by. Failure counts follow dbt's test
 queries: rows for not_null / relationships, duplicated values for unique,
 distinct offending values for accepted_values.
 """
@@ -144,22 +144,28 @@ def _compile(models: Mapping[str, DataFrame], view: Mapping[str, str], tests, si
                     )
         if items:
             parts.append(_rows_sql(model, items, source, hints))
-        uniques = [t for t in ts if t.kind == "unique"]
-        if uniques:
-            # every unique test of the model in one shuffle: (test index, value) pairs
-            pairs = ", ".join(
-                f"named_struct('i', {i}, 'v', CAST({_q(t.column)} AS STRING))" for i, t in enumerate(uniques)
-            )
-            meta = ", ".join(
-                f"({i}, {_lit(t.column)}, {_lit(t.name)}, {_lit(t.severity)})" for i, t in enumerate(uniques)
-            )
-            parts.append(
-                f"SELECT {_lit(model)} AS model, m.column_name, m.test_name, m.severity, "
-                f"coalesce(d.n, 0) AS failures "
-                f"FROM (VALUES {meta}) AS m(i, column_name, test_name, severity) LEFT JOIN ("
-                f"SELECT i, count(*) AS n FROM (SELECT p.i, p.v FROM (SELECT explode(array({pairs})) AS p FROM {v}) AS e "
-                f"WHERE p.v IS NOT NULL GROUP BY p.i, p.v HAVING count(*) > 1) AS g GROUP BY i) AS d ON m.i = d.i"
-            )
+    # every unique test of every model in ONE shuffle: (test id, value) pairs
+    uniques = [t for t in tests if t.kind == "unique"]
+    if uniques:
+        by_m: dict[str, list[tuple[int, ModelTest]]] = {}
+        for gid, t in enumerate(uniques):
+            by_m.setdefault(t.model, []).append((gid, t))
+        pairs = " UNION ALL ".join(
+            "SELECT explode(array(" + ", ".join(
+                f"named_struct('i', {gid}, 'v', CAST({_q(t.column)} AS STRING))" for gid, t in items
+            ) + f")) AS p FROM {view[m]}"
+            for m, items in by_m.items()
+        )
+        meta = ", ".join(
+            f"({gid}, {_lit(t.model)}, {_lit(t.column)}, {_lit(t.name)}, {_lit(t.severity)})"
+            for gid, t in enumerate(uniques)
+        )
+        parts.append(
+            f"SELECT m.model, m.column_name, m.test_name, m.severity, coalesce(d.n, 0) AS failures "
+            f"FROM (VALUES {meta}) AS m(i, model, column_name, test_name, severity) LEFT JOIN ("
+            f"SELECT i, count(*) AS n FROM (SELECT p.i, p.v FROM ({pairs}) AS e "
+            f"WHERE p.v IS NOT NULL GROUP BY p.i, p.v HAVING count(*) > 1) AS g GROUP BY i) AS d ON m.i = d.i"
+        )
     if singular:
         f, o = view["fact_sales"], view["stg_orders"]
 

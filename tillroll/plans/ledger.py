@@ -36,14 +36,27 @@ def _has_ledger(store: TableStore) -> bool:
     return fs.exists(store.spark, store.path("audit", LEDGER))
 
 
+def next_run_id(store: TableStore) -> int:
+    """The id the next run gets (no job while the ledger does not exist)."""
+    last = _events(store).agg(F.max("run_id")).collect()[0][0] if _has_ledger(store) else None
+    return int(last or 0) + 1
+
+
+def record_start(
+    store: TableStore, run_id: int, pipeline_name: str, watermark_start: dt.datetime | None,
+    at: dt.datetime | None = None,
+) -> None:
+    """Append the ``running`` start event of ``run_id``."""
+    at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    _append(store, (run_id, pipeline_name, "start", at, "running", None, watermark_start, None, None))
+
+
 def start_pipeline_run(
     store: TableStore, pipeline_name: str, watermark_start: dt.datetime | None, at: dt.datetime | None = None
 ) -> int:
     """G-1: append a ``running`` start event; returns the new run id."""
-    last = _events(store).agg(F.max("run_id")).collect()[0][0] if _has_ledger(store) else None
-    run_id = int(last or 0) + 1
-    at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    _append(store, (run_id, pipeline_name, "start", at, "running", None, watermark_start, None, None))
+    run_id = next_run_id(store)
+    record_start(store, run_id, pipeline_name, watermark_start, at)
     return run_id
 
 

@@ -53,11 +53,13 @@ def run_pipeline(
 
     store = wh.store
     wm_start = ledger.get_last_successful_watermark(store, pipeline_name)
-    run_id = ledger.start_pipeline_run(store, pipeline_name, wm_start, at=wh.run_ts)
+    run_id = ledger.next_run_id(store)
     lap("ledger_start")
     try:
-        # the six feeds are independent: submit their jobs concurrently
-        with ThreadPoolExecutor(max_workers=len(ingest.TABLE_ORDER)) as pool:
+        # the six feeds and the run's start event are independent jobs: submit
+        # them concurrently (events carry their own timestamps)
+        with ThreadPoolExecutor(max_workers=len(ingest.TABLE_ORDER) + 1) as pool:
+            started = pool.submit(ledger.record_start, store, run_id, pipeline_name, wm_start, wh.run_ts)
             def one(name: str) -> None:
                 t0 = time.time()
                 df = feeds[name]()
@@ -65,6 +67,7 @@ def run_pipeline(
                 timings[f"ingest.{name}"] = round(time.time() - t0, 3)
 
             futures = [pool.submit(one, name) for name in ingest.TABLE_ORDER]
+            started.result()
             for f in futures:
                 f.result()
         lap("ingest")

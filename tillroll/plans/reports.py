@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import month_start
@@ -146,8 +146,6 @@ def category_performance(wh: Warehouse) -> DataFrame:
 
 def payment_status_share(wh: Warehouse) -> DataFrame:
     # The window runs over the aggregated rows: one per payment status.
-    from pyspark.sql import Window
-
     counts = wh.fact.groupBy("payment_status").agg(F.count(F.lit(1)).alias("line_items"))
     total = F.sum("line_items").over(Window.partitionBy())
     return counts.select(

@@ -107,3 +107,22 @@ def test_dim_date_reference_calendar(spark):
     r = d.filter(F.col("full_date") == dt.date(2024, 3, 2)).first()
     assert (r.date_key, r.quarter, r.day_of_week, r.is_weekend, r.month_name) == (20240302, 1, 5, True, "March    ")
     pytest.importorskip("duckdb")
+
+
+def test_latest_payment_with_a_hot_order_combines_map_side(spark):
+    from tillroll.plans.marts import latest_payment
+
+    n = 30000
+    pays = spark.range(0, n).select(
+        F.col("id").alias("payment_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("order_id"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.date_add(F.lit("2024-01-01").cast("date"),
+                                                                        (F.col("id") % 40).cast("int"))).alias("payment_date"),
+        F.concat(F.lit("s"), F.col("id").cast("string")).alias("payment_status"),
+    )
+    out = latest_payment(pays)
+    assert "partial_max_by" in _plan(out)
+    hot = out.filter(F.col("order_id") == 7).first()
+    # latest date wins (nulls last), then the highest payment_id among that date
+    best = max((i for i in range(0, n, 3) if i % 5 != 0), key=lambda i: (i % 40, i))
+    assert hot.payment_status == f"s{best}"

@@ -85,3 +85,36 @@ def test_ingest_quality_transform_steps(spark, tmp_path):
     assert ledger.get_last_successful_watermark(wh.store, "adhoc-quality-check") is None  # no watermark recorded
     transform(wh)
     assert wh.fact.count() == 2
+
+
+def test_bad_api_extract_falls_back_to_snapshot(spark, tmp_path):
+    feed_dir = tmp_path / "feeds"
+    feed_dir.mkdir()
+    _write(feed_dir)
+    (feed_dir / "products_api.json").write_text("{not json")
+    feeds, labels = file_feeds(spark, str(feed_dir))
+    df = feeds["products"]()
+    assert labels["products"] == "csv:products.csv"
+    assert sorted(r.product_id for r in df.select("product_id").collect()) == ["10", "11", "12"]
+    assert "category" in df.columns  # snapshot path keeps every column
+
+
+def test_catalog_after_an_upsert(spark, tmp_path):
+    from tillroll.plans.catalog import register_catalog
+    from tillroll.plans.pipeline import ingest_all, transform
+
+    feed_dir = tmp_path / "feeds"
+    feed_dir.mkdir()
+    _write(feed_dir)
+    wh = Warehouse(spark, str(tmp_path / "wh"), str(feed_dir), calendar=(dt.date(2024, 1, 1), dt.date(2024, 12, 31)))
+    feeds, labels = file_feeds(spark, str(feed_dir))
+    ingest_all(wh, feeds, labels)
+    (feed_dir / "customers.csv").write_text(
+        "customer_id,first_name,last_name,email,signup_date\n1,Ann,Lee-Ray,a@x.com,2024-01-05\n4,Dee,Fox,d@x.com,2024-02-02\n")
+    feeds, labels = file_feeds(spark, str(feed_dir))
+    ingest_all(wh, {**feeds}, labels)  # second batch of every feed: merged versions
+    transform(wh)
+    register_catalog(spark, wh)
+    rows = {r.customer_id: r for r in spark.sql("select * from raw.customers").collect()}
+    assert sorted(rows) == [1, 4] and rows[1].last_name == "Lee-Ray" and rows[1].city == "Pune"
+    assert spark.sql("select count(*) as n from warehouse.fact_sales").first().n == 2

@@ -107,7 +107,11 @@ def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> None
     else:
         wh.store.write(landed, "landing", name, partition_by=[STATUS])
         batch = wh.store.read_batch("landing", name)
-        valid = batch.filter(F.col(STATUS) == "valid").select(*spec.column_names)
+        # only columns the feed really has overwrite stored values (a missing
+        # discount column counts as present: it defaults to 0 before loading)
+        present = [c for c in spec.column_names
+                   if c in feed.columns or (c == "discount" and ingest.job(name).default_discount)]
+        valid = batch.filter(F.col(STATUS) == "valid").select(*present)
         wh.store.upsert(valid, name, spec.pk, spec.struct(), wh.run_ts)
     rejected = batch.filter(F.col(STATUS) == "rejected")
     rej = audit.rejected_records(rejected, source, name, spec.column_names, wh.run_ts)

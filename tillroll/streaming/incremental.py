@@ -6,7 +6,9 @@ The stream's checkpoint (offset log) is the high-water mark: files already
 loaded are never read again. Each micro-batch runs the same batch job as a
 full load (tag -> land -> upsert valid rows -> append rejects). A retried
 micro-batch rewrites its own epoch folders and re-upserts the same keys, so
-it is idempotent.
+it is idempotent. A stream reads with the feed's declared schema, so every
+declared column counts as present in each batch (a file without a column
+loads nulls into it).
 """
 
 from __future__ import annotations

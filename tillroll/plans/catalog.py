@@ -18,9 +18,16 @@ from tillroll.sources import fs
 MARTS = ("dim_customer", "dim_product", "dim_store", "dim_date", "fact_sales")
 
 
+def _drop(spark: SparkSession, qualified: str) -> None:
+    if not spark.catalog.tableExists(qualified):
+        return
+    kind = spark.catalog.getTable(qualified).tableType
+    spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {qualified}")
+
+
 def _table(spark: SparkSession, db: str, name: str, path: str, where: str | None = None) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-    spark.sql(f"DROP VIEW IF EXISTS {db}.{name}")
+    _drop(spark, f"{db}.{name}")
+    _drop(spark, f"{db}.{name}__batch")
     if where is None:
         spark.sql(f"CREATE TABLE {db}.{name} USING parquet LOCATION '{path}'")
         return

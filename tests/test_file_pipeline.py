@@ -118,3 +118,27 @@ def test_catalog_after_an_upsert(spark, tmp_path):
     rows = {r.customer_id: r for r in spark.sql("select * from raw.customers").collect()}
     assert sorted(rows) == [1, 4] and rows[1].last_name == "Lee-Ray" and rows[1].city == "Pune"
     assert spark.sql("select count(*) as n from warehouse.fact_sales").first().n == 2
+
+
+def test_pipeline_twice_is_idempotent_and_moves_the_watermark(spark, tmp_path):
+    feed_dir = tmp_path / "feeds"
+    feed_dir.mkdir()
+    _write(feed_dir)
+    cal = (dt.date(2024, 1, 1), dt.date(2024, 12, 31))
+    first = Warehouse(spark, str(tmp_path / "wh"), str(feed_dir), calendar=cal, run_ts=dt.datetime(2024, 6, 1))
+    feeds, labels = file_feeds(spark, str(feed_dir))
+    r1 = run_pipeline(first, feeds, sources=labels)
+    snap = {n: sorted(tuple(x) for x in first.raw(n).drop("created_at", "updated_at").collect())
+            for n in ("customers", "orders", "order_items", "payments", "products", "stores")}
+    fact1 = sorted(tuple(x) for x in first.fact.drop("created_at").collect())
+    second = Warehouse(spark, str(tmp_path / "wh"), str(feed_dir), calendar=cal, run_ts=dt.datetime(2024, 6, 2))
+    feeds, labels = file_feeds(spark, str(feed_dir))
+    r2 = run_pipeline(second, feeds, sources=labels)
+    assert r2.run_id == r1.run_id + 1
+    for n, rows in snap.items():
+        assert sorted(tuple(x) for x in second.raw(n).drop("created_at", "updated_at").collect()) == rows, n
+    assert sorted(tuple(x) for x in second.fact.drop("created_at").collect()) == fact1
+    runs = {r.run_id: r for r in ledger.pipeline_runs(second.store.read_appended("audit", "pipeline_events")).collect()}
+    assert runs[r2.run_id].watermark_start == dt.datetime(2024, 6, 1) or r1.status != "success"
+    c = second.raw("customers").first()
+    assert c.created_at == dt.datetime(2024, 6, 1) and c.updated_at == dt.datetime(2024, 6, 2)

@@ -97,3 +97,13 @@ def test_top_n_products(spark):
     products = spark.createDataFrame([(1, "Laptop"), (2, "Pen")], "product_id int, product_name string")
     rows = aggregations.top_n_products(items, products, n=2).collect()
     assert rows[0].product_name == "Laptop" and rows[1].product_name == "Pen"
+
+
+def test_integer_coercion_accepts_integral_text(spark):
+    from tillroll.functions import coerce_to
+
+    df = spark.createDataFrame([("2",), ("2.0",), ("2.5",), ("-2.5",), (" 3 ",), ("1e2",), ("abc",), (None,)], "q string")
+    out = [r.q for r in df.select(coerce_to("q", "int").alias("q")).collect()]
+    assert out == [2, 2, 3, -3, 3, 100, None, None]
+    typed = spark.createDataFrame([(2.5,), (7.0,)], "q double")
+    assert [r.q for r in typed.select(coerce_to("q", "bigint", typed.schema["q"].dataType).alias("q")).collect()] == [3, 7]

@@ -11,13 +11,30 @@ from pyspark.sql import types as T
 from tillroll.schemas import LINE_MONEY, MONEY
 
 
-def coerce_to(c: Column | str, dtype: str) -> Column:
-    """Cast that turns unparsable values (and NaN) into null instead of failing."""
+INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
+
+
+def coerce_to(c: Column | str, dtype: str, source: T.DataType | None = None) -> Column:
+    """Cast that turns unparsable values (and NaN) into null instead of failing.
+
+    Integer targets accept integral text such as ``2.0`` or ``1e2`` (as a
+    float parser does) and round fractional values half away from zero, as
+    the database does on insert into an integer column. ``source`` is the
+    input column's type when known: integral inputs take a plain cast.
+    """
     col = F.col(c) if isinstance(c, str) else c
     if dtype == "string":
         return col.cast("string")
     if dtype == "date":
-        return col.cast("string").try_cast(T.DateType())
+        return col if isinstance(source, T.DateType) else col.cast("string").try_cast(T.DateType())
+    if dtype in INTEGRAL:
+        if isinstance(source, T.IntegralType):
+            return col.try_cast(dtype)
+        if isinstance(source, (T.FractionalType,)):
+            return F.round(col, 0).try_cast(dtype)
+        # text: clean integers take the direct cast; anything else is parsed
+        # as a number first (only evaluated when the direct cast gave null)
+        return F.coalesce(col.try_cast(dtype), F.round(col.cast("string").try_cast("decimal(38,9)"), 0).try_cast(dtype))
     return _try_cast(col, dtype)
 
 

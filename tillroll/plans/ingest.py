@@ -79,7 +79,8 @@ def prepare(feed: DataFrame, name: str) -> DataFrame:
     # coerce every declared column; absent ones become typed nulls
     df = df.select(
         *[
-            (coerce_to(c.name, c.dtype) if c.name in df.columns else F.lit(None).cast(c.dtype)).alias(c.name)
+            (coerce_to(c.name, c.dtype, df.schema[c.name].dataType) if c.name in df.columns
+             else F.lit(None).cast(c.dtype)).alias(c.name)
             for c in spec.columns
         ],
         *([F.col(R.CORRUPT_COLUMN)] if R.CORRUPT_COLUMN in df.columns else []),

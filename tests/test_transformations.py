@@ -107,3 +107,9 @@ def test_integer_coercion_accepts_integral_text(spark):
     assert out == [2, 2, 3, -3, 3, 100, None, None]
     typed = spark.createDataFrame([(2.5,), (7.0,)], "q double")
     assert [r.q for r in typed.select(coerce_to("q", "bigint", typed.schema["q"].dataType).alias("q")).collect()] == [3, 7]
+
+
+def test_date_forms(spark):
+    df = spark.createDataFrame([("2024-01-05",), ("01/05/2024",), ("2024/1/5",), ("31-31-2026",), ("not-a-date",)], "d string")
+    out = [r.d for r in coerce_dates(df, ["d"]).collect()]
+    assert out == [dt.date(2024, 1, 5), dt.date(2024, 1, 5), dt.date(2024, 1, 5), None, None]

@@ -12,6 +12,15 @@ from tillroll.schemas import LINE_MONEY, MONEY
 
 
 INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
+# Text date forms accepted besides ISO (month-first as a
+# general date parser reads them).
+DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d")
+
+
+def parse_date(c: Column | str) -> Column:
+    """Text -> date: ISO forms first, then the forms above; otherwise null."""
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.coalesce(text.try_cast(T.DateType()), *[F.try_to_date(text, fmt) for fmt in DATE_FORMATS])
 
 
 def coerce_to(c: Column | str, dtype: str, source: T.DataType | None = None) -> Column:
@@ -26,7 +35,7 @@ def coerce_to(c: Column | str, dtype: str, source: T.DataType | None = None) ->
     if dtype == "string":
         return col.cast("string")
     if dtype == "date":
-        return col if isinstance(source, T.DateType) else col.cast("string").try_cast(T.DateType())
+        return col if isinstance(source, T.DateType) else parse_date(col)
     if dtype in INTEGRAL:
         if isinstance(source, T.IntegralType):
             return col.try_cast(dtype)
@@ -52,7 +61,7 @@ def coerce_numeric(df: DataFrame, columns: Iterable[str], dtype: str = MONEY) ->
 def coerce_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """To date; bad values become null (absent columns ignored)."""
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: F.col(c).cast("string").try_cast(T.DateType()) for c in present}) if present else df
+    return df.withColumns({c: parse_date(c) for c in present}) if present else df
 
 
 def line_total(quantity: Column | str, unit_price: Column | str, discount: Column | str | None) -> Column:

@@ -50,9 +50,9 @@ def accepted_values(column: str, allowed: Iterable[str]) -> Rule:
 
 
 def valid_date(column: str) -> Rule:
-    return Rule(
-        f"{column} is not a valid date", F.col(column).cast("string").try_cast("date").isNotNull()
-    )
+    from tillroll.functions.coerce import parse_date
+
+    return Rule(f"{column} is not a valid date", parse_date(column).isNotNull())
 
 
 def discount_not_exceed_line_value(

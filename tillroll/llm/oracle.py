@@ -58,3 +58,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND failed_rules IS NULL AS kept, coalesce(failed_rules, '') AS failed_rules
 FROM f LEFT JOIN bad USING (text_no)
 """
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def near_duplicates(k: int, percent: int) -> str:
+    """Exact: prefix filter over shingles ordered by rarity, then whole sets."""
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+                          WHEN len(ws) < {k} THEN [array_to_string(ws, ' ')]
+                          ELSE list_distinct(list_transform(range(1, len(ws) - {k - 2}), lambda i: array_to_string(ws[i:i + {k - 1}], ' '))) END AS g
+      FROM d),
+e AS (SELECT doc_id, unnest(g) AS x FROM s),
+rare AS (SELECT x, count(*) AS c FROM e GROUP BY x),
+p AS (SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY c, x) AS r FROM e JOIN rare USING (x)),
+pre AS (SELECT p.doc_id, x FROM p JOIN s USING (doc_id) WHERE 100 * r <= 100 * len(g) - {percent} * len(g) + 100),
+cand AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM pre a JOIN pre b ON a.x = b.x AND a.doc_id < b.doc_id),
+m AS (SELECT a, b, len(sa.g) AS na, len(sb.g) AS nb, len(list_intersect(sa.g, sb.g)) AS c
+      FROM cand JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b),
+l AS (SELECT a, b FROM m WHERE 100 * c >= {percent} * (na + nb - c)),
+sym AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT reach.a, sym.b FROM reach JOIN sym ON sym.a = reach.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""

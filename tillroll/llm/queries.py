@@ -8,13 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import oracle, quality_rules
+from tillroll.llm import near_duplicates, oracle, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), k=2).drop("set_digest")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -22,9 +26,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_near_duplicates": op3_near_duplicates,
     "op5_quality_rules": op5_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_near_duplicates": oracle.near_duplicates(2, 80),
     "op5_quality_rules": oracle.quality_rules(),
 }

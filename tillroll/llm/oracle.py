@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from tillroll.llm.mixing import MOST_EPOCHS, SEED
 from tillroll.llm.quality_rules import DELTA, MAX_REPEAT_PERCENT, MIN_WORDS, RISK, RULES
+from tillroll.llm.warc import LEAST_REVISIT
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -84,3 +86,55 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT reach.a, sym.b FRO
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT s.doc_id, len(g)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
 """
+
+
+def decontamination(k: int, percent: int) -> str:
+    """Exact containment of every pair that shares a shingle."""
+    def shingles(table: str, ident: str) -> str:
+        return rf"""
+SELECT DISTINCT {ident}, n, unnest(CASE WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < {k} THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - {k - 2}), lambda i: array_to_string(ws[i:i + {k - 1}], ' ')) END) AS g
+FROM (SELECT row_number() OVER () AS n, {ident}, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') AS ws FROM {table})"""
+
+    return rf"""
+WITH d AS ({shingles('documents', 'doc_id')}), i AS ({shingles('benchmark', 'item_id')}),
+q AS (SELECT n, count(*) AS q FROM i GROUP BY n),
+p AS (SELECT d.doc_id, i.item_id, d.n AS dn, i.n AS iq, count(*) AS c FROM d JOIN i USING (g) GROUP BY ALL)
+SELECT DISTINCT doc_id, item_id, q.q::BIGINT AS n_item_shingles, c::BIGINT AS n_shared, c / q.q AS containment
+FROM p JOIN q ON q.n = p.iq WHERE 100 * c >= {percent} * q.q
+"""
+
+
+def mixing() -> str:
+    return rf"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+d AS (SELECT doc_id, source, len(regexp_extract_all(t, '{WORD}'))::BIGINT AS size,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS signs,
+             (('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || t), 1, 13))::BIGINT::DOUBLE + 0.5) / {float(1 << 52)!r} AS u FROM t),
+k AS (SELECT *, -ln(u) / greatest(0.1, 1.0::DOUBLE - signs::DOUBLE / greatest(size, 1)::DOUBLE) AS x FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
+r AS (SELECT *, ((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1)::DOUBLE AS w, ({MOST_EPOCHS} * source_size)::DOUBLE AS cap FROM s),
+f AS (SELECT *, row_number() OVER o AS rank,
+             (sum(source_size) OVER ()::DOUBLE - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+             / (sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)) AS level
+      FROM r WINDOW o AS (ORDER BY cap / w, source IS NULL, encode(source))),
+free AS (SELECT min(rank) AS first, min_by(level, rank) AS level FROM f WHERE cap / w > level),
+g AS (SELECT source, source_size, CASE WHEN free.first IS NULL OR rank < free.first THEN cap ELSE least(cap, w * free.level) END AS target FROM f, free),
+b AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), {MOST_EPOCHS})::BIGINT ELSE 0 END AS epochs FROM g),
+p AS (SELECT k.doc_id, k.size, b.source_size, b.target, b.epochs, target - epochs * source_size AS rest,
+             sum(size) OVER (PARTITION BY k.source ORDER BY x) AS ends, sum(size) OVER (PARTITION BY k.source, x) AS own
+      FROM k JOIN b ON k.source IS NOT DISTINCT FROM b.source),
+c AS (SELECT *, (epochs + CASE WHEN 2 * ends - own <= 2 * rest AND rest > 0 THEN 1 ELSE 0 END)::BIGINT AS copies FROM p)
+SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM c
+"""
+
+
+def warc() -> str:
+    return f"""
+WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p GROUP BY payload_digest),
+r AS (SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+             CASE WHEN payload_bytes >= {LEAST_REVISIT} AND page_id > first THEN first END AS refers_to FROM p JOIN f USING (payload_digest))
+SELECT *, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type FROM r
+"""

@@ -8,29 +8,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import near_duplicates, oracle, quality_rules
+from tillroll.llm import decontamination, mixing, near_duplicates, oracle, quality_rules, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), k=2).drop("set_digest")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "failed_rules")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(_table(spark, sf_dir, "documents")).drop("source")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
+    "op8_mixing": op8_mixing,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": oracle.decontamination(5, 80),
     "op3_near_duplicates": oracle.near_duplicates(2, 80),
+    "op4_warc": oracle.warc(),
     "op5_quality_rules": oracle.quality_rules(),
+    "op8_mixing": oracle.mixing(),
 }

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from tillroll.llm import arrays as A
 from tillroll.llm.membership import BITS, bitmap, has
-from tillroll.llm.scratch import document_batches, free_name, written
+from tillroll.llm.scratch import free_name, ready, written
 
 SHINGLE = 5
 PERCENT = 80
@@ -102,7 +102,7 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id
     pair once; rows that share an id but not a text are searched apart. Empty
     tables give an empty result; other columns aren't read.
     """
-    document_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     table = written(item_shingles(items, item_id, text, k, percent), "item-shingles")
     mask = F.lit((1 << BITS) - 1)
     sc = docs.sparkSession.sparkContext

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tillroll.llm import arrays as A
-from tillroll.llm.scratch import document_batches
+from tillroll.llm.scratch import ready
 
 #: name -> what it counts over the whole text (null text: 0 each)
 FEATURES = {
@@ -115,7 +115,7 @@ def text_features(docs: DataFrame, keep: list[str], text: str = "text", named: b
     Null text counts as empty (all zero); repeated rows give repeated rows; an
     empty table gives an empty table; other columns of ``docs`` are not read.
     """
-    document_batches(docs.sparkSession)
+    ready(docs.sparkSession)
     names = [f"_k{i}" for i in range(len(keep))]
     src = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names)], docs[text].alias("_text"))
     schema = T.StructType(

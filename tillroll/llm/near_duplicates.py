@@ -5,6 +5,10 @@
    with value v flips bit h(i, v) of a bitmap, so equal samples of two documents
    cancel in the XOR and the population count z of the XOR estimates the
    similarity, J ~ 1 + n / (4 s) * ln(1 - 2 z / n) for s samples and n bits.
+   A second odd sketch takes every shingle as a sample. The XOR then has at most
+   as many bits as the sets differ in shingles, so a count above the difference
+   that the threshold allows, (100 - p) / (100 + p) of both sizes, is proof that
+   the pair is no link.
 2. Documents with the same shingle set are one node, named by the smallest id.
 3. Nodes that share a band key are candidates. Of each bucket the smallest node
    is the centre; each node is first paired with the smallest centre whose odd
@@ -32,14 +36,16 @@ from pyspark.sql import types as T
 from tillroll.llm import arrays as A
 from tillroll.llm.components import components
 from tillroll.llm.membership import bitmap, has, position
-from tillroll.llm.scratch import document_batches, free_name, written
+from tillroll.llm.scratch import free_name, ready, written
 
 PERCENT = 80
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
 _SAMPLES = BANDS * ROWS
-_SKETCH_LONGS = SKETCH_BITS // 64
+SET_BITS = 2048
+_LONGS = (SKETCH_BITS + SET_BITS) // 64
+_CHUNK = 256
 _LEAST_ESTIMATE = 0.55
 _rng = np.random.RandomState(20240607)
 _MUL = _rng.randint(0, 1 << 62, _SAMPLES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,14 +86,21 @@ def odd_sketches(sig: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(len(sig), SKETCH_BITS), axis=1, bitorder="little").view(np.uint64)
 
 
+def set_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity bitmap of a whole shingle set."""
+    bits = (A.mix(shingles) % np.uint64(SET_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(bits, minlength=SET_BITS) & 1).astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def sketch(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
-    """_id, _n, _set (digest of the shingle set), _bands, _odd of every document."""
-    document_batches(docs.sparkSession)
+    """_id, _n, _set (digest of the shingle set), _bands, _odd (the odd
+    sketches of samples and of the set, joined) of every document."""
+    ready(docs.sparkSession)
     src = docs.select(docs[doc_id].alias("_id"), docs[text].alias("_text"))
     longs = T.ArrayType(T.LongType())
     schema = T.StructType([
         src.schema["_id"], T.StructField("_n", T.LongType()), T.StructField("_set", T.BinaryType()),
-        T.StructField("_bands", longs), T.StructField("_odd", longs),
+        T.StructField("_bands", longs), T.StructField("_odd", T.BinaryType()),
     ])
 
     def run(batches):
@@ -96,31 +109,73 @@ def sketch(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
         for batch in batches:
             for part in A.blocks(batch, "_text"):
                 raw, offsets = A.utf8(part.column("_text"))
-                n, digests, sigs = [], [], []
+                n, digests, sigs, sets = [], [], [], []
                 for s in A.shingles(A.lower_ascii(raw), offsets, k):
                     n.append(len(s))
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     sigs.append(signature(s))
+                    sets.append(set_sketch(s))
                 sig = np.stack(sigs)
 
-                def lists(values, width):
-                    flat = pa.array(np.ascontiguousarray(values).view(np.int64).ravel())
-                    return pa.ListArray.from_arrays(pa.array(np.arange(len(sig) + 1, dtype=np.int32) * width), flat)
-
+                bands = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(sig) + 1, dtype=np.int32) * BANDS), pa.array(band_keys(sig).view(np.int64).ravel()))
+                odd = np.concatenate([odd_sketches(sig), np.stack(sets)], axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                     lists(band_keys(sig), BANDS), lists(odd_sketches(sig), _SKETCH_LONGS)],
+                    [part.column("_id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), bands,
+                     pa.array([x.tobytes() for x in odd], pa.binary())],
                     names=schema.names,
                 )
 
     return src.mapInArrow(run, schema)
 
 
-def _flips(a: str, b: str) -> Column:
-    out = F.lit(0)
-    for i in range(_SKETCH_LONGS):
-        out = out + F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i]))
-    return out
+def _sketch_matrix(column: pa.Array) -> np.ndarray:
+    """A binary column of sketches as (rows, longs)."""
+    flat = pa.concat_arrays([column]).cast(pa.large_binary())
+    offsets = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
+    return np.frombuffer(flat.buffers()[2], np.uint64, len(flat) * _LONGS, int(offsets[0])).reshape(len(flat), _LONGS) if len(flat) else np.zeros((0, _LONGS), np.uint64)
+
+
+def possible(na, a: np.ndarray, nb, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether set sizes and sketches (last axis: longs) leave a link possible."""
+    flips = np.bitwise_count(a ^ b).astype(np.int64)
+    of_samples = flips[..., : SKETCH_BITS // 64].sum(axis=-1)
+    of_sets = flips[..., SKETCH_BITS // 64 :].sum(axis=-1)
+    return (of_samples <= most_flips()) & (of_sets <= (na + nb) * (100 - percent) // (100 + percent))
+
+
+def _near(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches _na, _sa, _nb, _sb leave a link possible."""
+    def run(batches):
+        for batch in batches:
+            n = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("_na", "_nb")]
+            m = [_sketch_matrix(batch.column(c)) for c in ("_sa", "_sb")]
+            yield batch.select(["a", "b"]).filter(pa.array(possible(n[0], m[0], n[1], m[1], percent)))
+
+    return pairs.mapInArrow(run, pairs.select("a", "b").schema)
+
+
+def _near_across(blocks: DataFrame, ids: T.StructType, percent: int) -> DataFrame:
+    """Pairs (a, b, _ca, _cb) across components of each row's ``_left`` and ``_right``
+    (arrays of _id, _c, _n, _odd), of which ``_left`` is outside ``_main``."""
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                left, right = (batch.column(c)[i].values for c in ("_left", "_right"))
+                main = batch.column("_main")[i]
+                lm, rm = _sketch_matrix(left.field("_odd")), _sketch_matrix(right.field("_odd"))
+                ln, rn = (x.field("_n").to_numpy(zero_copy_only=False) for x in (left, right))
+                lc, rc = left.field("_c").to_numpy(zero_copy_only=False), right.field("_c").to_numpy(zero_copy_only=False)
+                ok = (rc[None, :] == main.as_py()) | (rc[None, :] < lc[:, None])
+                x, y = np.nonzero(ok)
+                near = np.concatenate([possible(ln[x[j : j + 65536]], lm[x[j : j + 65536]], rn[y[j : j + 65536]], rm[y[j : j + 65536]], percent)
+                                       for j in range(0, len(x), 65536)] or [np.zeros(0, bool)])
+                x, y = pa.array(x[near]), pa.array(y[near])
+                yield pa.RecordBatch.from_arrays(
+                    [left.field("_id").take(x), right.field("_id").take(y), left.field("_c").take(x), right.field("_c").take(y)],
+                    names=["a", "b", "_ca", "_cb"])
+
+    return blocks.mapInArrow(run, ids)
 
 
 def _texts_of(docs: DataFrame, doc_id: str, text: str, ids: DataFrame) -> DataFrame:
@@ -177,42 +232,44 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     all_sketches = written(sketch(docs, doc_id, text, k), "sketches")
     linkable = all_sketches.where("_n > 0 and _id is not null")
     # nodes: distinct shingle sets; the first aggregation combines before the shuffle
-    by_set = linkable.groupBy("_set").agg(F.min("_id").alias("_node"))
+    by_set = written(linkable.groupBy("_set").agg(F.min("_id").alias("_node")), "sets")
     members = written(linkable.select("_id", "_set").join(by_set, "_set").select("_id", "_set", "_node"), "members")
     nodes = linkable.join(by_set.select("_node"), F.col("_id") == F.col("_node"), "left_semi")
 
     banded = nodes.select("_id", F.explode("_bands").alias("_key"))
     shared = banded.groupBy("_key").agg(F.min("_id").alias("_centre"), F.max("_id").alias("_last")).where("_centre <> _last")
     buckets = written(banded.join(shared, "_key").select("_key", "_id", "_centre"), "buckets")
-    odd = written(nodes.join(buckets.select("_id").distinct(), "_id", "left_semi").select("_id", "_odd"), "odd")
-    odd_a = odd.select(F.col("_id").alias("a"), F.col("_odd").alias("_oa"))
-    odd_b = odd.select(F.col("_id").alias("b"), F.col("_odd").alias("_ob"))
+    odd = written(nodes.join(buckets.select("_id").distinct(), "_id", "left_semi").select("_id", "_n", "_odd"), "odd")
     texts = written(_texts_of(docs, doc_id, text, odd.select("_id")), "texts")
-    most = most_flips()
 
     starred = buckets.where("_id <> _centre").select(F.col("_id").alias("a"), F.col("_centre").alias("b")).distinct()
-    first = written(
-        starred.join(odd_a, "a").join(odd_b, "b").where(_flips("_oa", "_ob") <= most).groupBy("a").agg(F.min("b").alias("b")),
-        "first-pairs",
-    )
+    starred = starred.join(odd.toDF("a", "_na", "_sa"), "a").join(odd.toDF("b", "_nb", "_sb"), "b")
+    first = written(_near(starred, percent).groupBy("a").agg(F.min("b").alias("b")), "first-pairs")
     links = written(_confirmed(first, texts, k, percent), "first-links")
     label = written(components(links), "components")
 
     named = buckets.select("_key", "_id").join(label.withColumnRenamed("id", "_id"), "_id", "left").select(
         "_key", "_id", F.coalesce("component", "_id").alias("_c"))
+    # of a bucket with more than one component, pairs with an end outside its
+    # largest one are compared, in blocks of about 256 x 256 nodes: a component that
+    # fills a bucket is not compared with itself, and no task holds a whole bucket
     split = (
         named.groupBy("_key", "_c").agg(F.count("*").alias("_size"))
-        .groupBy("_key").agg(F.max(F.struct("_size", "_c"))["_c"].alias("_main"), F.count("*").alias("_parts"))
-        .where("_parts > 1").select("_key", "_main")
+        .groupBy("_key").agg(F.max(F.struct("_size", "_c")).alias("_most"), F.sum("_size").alias("_all"), F.count("*").alias("_parts"))
+        .where("_parts > 1").select("_key", F.col("_most._c").alias("_main"), "_all", (F.col("_all") - F.col("_most._size")).alias("_rest"))
     )
-    open_ = written(named.join(split, "_key").join(odd, "_id").select("_key", "_id", "_c", "_main", "_odd"), "open-buckets")
-    # one end lies outside the bucket's largest component, so a component that
-    # fills a bucket is not compared with itself
-    left = open_.where("_c <> _main").select("_key", "_main", F.col("_id").alias("a"), F.col("_c").alias("_ca"), F.col("_odd").alias("_oa"))
-    right = open_.select("_key", F.col("_id").alias("b"), F.col("_c").alias("_cb"), F.col("_odd").alias("_ob"))
+    open_ = written(named.join(split, "_key").join(odd, "_id"), "open-buckets")
+
+    def dealt(df: DataFrame, size: str, name: str) -> DataFrame:
+        part = F.pmod(F.xxhash64("_id"), F.call_function("div", F.col(size) + _CHUNK - 1, F.lit(_CHUNK)))
+        return df.groupBy("_key", "_main", part.alias(f"{name}_part")).agg(F.collect_list(F.struct("_id", "_c", "_n", "_odd")).alias(name))
+
+    blocks = dealt(open_.where("_c <> _main"), "_rest", "_left").drop("_left_part").join(
+        dealt(open_, "_all", "_right").select("_key", "_right"), "_key")
+    kind = docs.schema[doc_id].dataType
+    fields = T.StructType([T.StructField(c, kind) for c in ("a", "b", "_ca", "_cb")])
     cross = (
-        left.join(right, "_key").where("(_cb = _main or _cb < _ca)").where(_flips("_oa", "_ob") <= most)
-        .select("a", "b", "_ca", "_cb").distinct()
+        _near_across(blocks.select("_main", "_left", "_right"), fields, percent).distinct()
         .join(first, ["a", "b"], "left_anti")
         .join(first.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
     )
@@ -235,3 +292,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             F.hex("_set").alias("set_digest"),
         )
     )
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that are kept, columns as they were; of rows that repeat
+    id and text one stays. Rows with a null id all stay, as they can't be named."""
+    ident, row_hash = free_name(docs, "gone_id", "gone_text")
+    found = near_duplicates(docs, doc_id, text, k, percent)
+    gone = written(found.where(~F.col("kept")).select(F.col(doc_id).alias(ident)).distinct(), "gone")
+    again = written(
+        docs.where(docs[doc_id].isNotNull()).groupBy(docs[doc_id].alias(ident), F.xxhash64(docs[text]).alias(row_hash))
+        .agg(F.count("*").alias("n")).where("n > 1").select(ident, row_hash), "repeated")
+    left = docs.join(gone, docs[doc_id] == gone[ident], "left_anti")
+    same = (left[doc_id] == again[ident]) & (F.xxhash64(left[text]) == again[row_hash])
+    once = left.join(again, same, "left_semi").dropDuplicates([doc_id, text])
+    return left.join(again, same, "left_anti").unionByName(once)

@@ -3,12 +3,17 @@ lost executor, and keep a narrow copy of what later steps read again."""
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.session import shared_dir
 
+_SHIPPED: dict[str, str] = {}
+
 
 def folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tillroll-llm/{name}-{uuid.uuid4().hex[:16]}"
@@ -29,9 +34,19 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def document_batches(spark: SparkSession) -> None:
-    """Arrow batches of a few MB: long texts then can't fill a worker's memory."""
+def ready(spark: SparkSession) -> None:
+    """What operators with Python tasks need: this package on every executor, and
+    Arrow batches of a few MB, so that long texts can't fill a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    sc = spark.sparkContext
+    if _SHIPPED.get(sc.applicationId) is None:
+        root = pathlib.Path(__file__).resolve().parents[1]
+        name = pathlib.Path(tempfile.mkdtemp(prefix="tillroll-code-")) / "tillroll-code.zip"
+        with zipfile.ZipFile(name, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(name))  # Spark itself copies it to the executors
+        _SHIPPED[sc.applicationId] = str(name)
 
 
 def free_name(df: DataFrame, *wanted: str) -> list[str]:

@@ -27,7 +27,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.scratch import folder, written
+from tillroll.llm.scratch import folder, ready, written
 
 LEAST_REVISIT = 100
 DATE = "2024-01-01T00:00:00Z"
@@ -192,6 +192,7 @@ def normalise_file(source_uri: str, target_dir: str) -> int:
 def normalise(spark: SparkSession, path: str, target: str) -> DataFrame:
     """Normalise every *.gz archive under ``path`` into ``target`` (a file is one
     task's work and is streamed); (archive, records) of each."""
+    ready(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path")
 
     def run(batches):
@@ -225,6 +226,7 @@ def parse_member(data: bytes) -> dict:
 def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Every record that the sidecar indexes under ``path`` list (columns RECORD;
     payload null for revisits, or for all if not asked for)."""
+    ready(spark)
     index = read_index(spark, path).select("archive", "offset", "length")
     schema = RECORD if payloads else RECORD.replace(", payload string", "")
     names = [c.split()[0] for c in schema.split(", ")]

@@ -8,13 +8,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontamination, mixing, near_duplicates, oracle, quality_rules, sharding, warc
+from tillroll.llm import (
+    decontamination,
+    language_id,
+    mixing,
+    near_duplicates,
+    oracle,
+    pseudonyms,
+    quality_model,
+    quality_rules,
+    secrets_crf,
+    sharding,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    spans = language_id.training_spans(docs.where(~language_id.held_out(F.col("doc_id"))))
+    found = language_id.identify(docs, spans)
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_hash")
 
@@ -33,10 +52,30 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "failed_rules")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return secrets_crf.digest(secrets_crf.find(docs, secrets_crf.train(docs)))
+
+
+#: a fixed key makes the query repeatable; a user passes a secret of their own
+DEMONSTRATION_KEY = "demonstration key, not a secret"
+
+
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, DEMONSTRATION_KEY, counts=True)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents")).drop("source")
 
 
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_model.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"),
+                                    lambda doc_id: ~language_id.held_out(doc_id, 3, 1))
+    return scored.select("doc_id", language_id.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(_table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -44,11 +83,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_warc": op4_warc,
     "op5_quality_rules": op5_quality_rules,
+    "op6_secrets": op6_secrets,
+    "op7_pseudonyms": op7_pseudonyms,
     "op8_mixing": op8_mixing,
+    "op9_quality_model": op9_quality_model,
     "op10_sharding": op10_sharding,
 }
 

@@ -7,7 +7,6 @@ from tillroll.functions.coerce import (
     coerce_numeric,
     coerce_to,
     line_total,
-    with_default_discount,
 )
 from tillroll.functions.text import normalize_emails, standardize_text_case, strip_text, trim_whitespace
 
@@ -24,5 +23,4 @@ __all__ = [
     "standardize_text_case",
     "strip_text",
     "trim_whitespace",
-    "with_default_discount",
 ]

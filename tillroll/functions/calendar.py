@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def aware(ts: dt.datetime) -> dt.datetime:
+    """``ts`` in UTC; one without a zone is taken as UTC, never as local time."""
+    return ts.replace(tzinfo=dt.timezone.utc) if ts.tzinfo is None else ts.astimezone(dt.timezone.utc)
+
+
+def utc(ts: dt.datetime) -> Column:
+    """A timestamp literal that doesn't depend on the driver's time zone."""
+    return F.lit(aware(ts)).cast("timestamp")
+
+
 def date_key(d: Column) -> Column:
     """YYYYMMDD as an int (to_char(d, 'YYYYMMDD')::int)."""
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.schemas import LINE_MONEY, MONEY
+from tillroll.schemas import LINE_MONEY, MONEY, WIDE_MONEY
 
 
 INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
@@ -17,10 +17,14 @@ INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long"}
 DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d")
 
 
+# an ISO date, alone or with a time of day and zone; nothing else may follow
+ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})?)?\s*$"
+
+
 def parse_date(c: Column | str) -> Column:
     """Text -> date: ISO forms first, then the forms above; otherwise null."""
     text = (F.col(c) if isinstance(c, str) else c).cast("string")
-    return F.coalesce(text.try_cast(T.DateType()), *[F.try_to_date(text, fmt) for fmt in DATE_FORMATS])
+    return F.coalesce(F.when(text.rlike(ISO_DATE), text.try_cast(T.DateType())), *[F.try_to_date(text, fmt) for fmt in DATE_FORMATS])
 
 
 def coerce_to(c: Column | str, dtype: str, source: T.DataType | None = None) -> Column:
@@ -64,18 +68,11 @@ def coerce_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: parse_date(c) for c in present}) if present else df
 
 
-def line_total(quantity: Column | str, unit_price: Column | str, discount: Column | str | None) -> Column:
+def line_total(quantity: Column | str, unit_price: Column | str, discount: Column | str | None, dtype: str = LINE_MONEY) -> Column:
     q = F.col(quantity) if isinstance(quantity, str) else quantity
     p = F.col(unit_price) if isinstance(unit_price, str) else unit_price
     d = F.lit(0) if discount is None else (F.col(discount) if isinstance(discount, str) else discount)
-    return (q * p - d).cast(LINE_MONEY)
-
-
-def with_default_discount(df: DataFrame, column: str = "discount") -> DataFrame:
-    """Missing discount column becomes a constant 0 (P-8)."""
-    if column in df.columns:
-        return df
-    return df.withColumn(column, F.lit(0).cast(MONEY))
+    return (q * p - d).cast(dtype)
 
 
 def add_line_total(
@@ -85,6 +82,8 @@ def add_line_total(
     discount_col: str = "discount",
     output_col: str = "line_total",
 ) -> DataFrame:
-    """quantity * unit_price - discount; a missing discount column counts as 0 (P-7)."""
+    """quantity * unit_price - discount; a missing discount column counts as 0 (P-7).
+    The result type holds every value of the inputs (models use a narrower one,
+    behind a rule at ingest)."""
     disc = discount_col if discount_col in df.columns else None
-    return df.withColumn(output_col, line_total(quantity_col, unit_price_col, disc))
+    return df.withColumn(output_col, line_total(quantity_col, unit_price_col, disc, WIDE_MONEY))

@@ -7,14 +7,17 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Leading/trailing whitespace as Python's str.strip sees it: Unicode White_Space
-# plus the ASCII separators 0x1c-0x1f. Spark's trim() removes spaces only.
-_EDGE_SPACE = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
+# White space as Python's str.strip sees it (Spark's trim() without a
+# character list removes spaces only)
+_SPACE = "".join(map(chr, [
+    0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+    *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]))
 
 
 def strip_text(c: Column | str) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(col.cast("string"), _EDGE_SPACE, "")
+    return F.trim(col.cast("string"), F.lit(_SPACE))
 
 
 def trim_whitespace(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.schemas import TableSpec
+from tillroll.schemas import LINE_MONEY, TableSpec
 
 REASONS = "_reasons"
 REASON = "_reason"
@@ -66,6 +66,17 @@ def discount_not_exceed_line_value(
     )
 
 
+def line_value_in_range(
+    quantity_column: str = "quantity",
+    unit_price_column: str = "unit_price",
+    discount_column: str = "discount",
+    dtype: str = LINE_MONEY,
+) -> Rule:
+    """The line's value fits the type that the models keep it in."""
+    value = F.col(quantity_column) * F.col(unit_price_column) - F.coalesce(F.col(discount_column), F.lit(0))
+    return Rule(f"{quantity_column} * {unit_price_column} is out of range", value.try_cast(dtype).isNotNull())
+
+
 def not_null(column: str, reason: str | None = None) -> Rule:
     return Rule(reason or f"null in required column {column}", F.col(column).isNotNull())
 

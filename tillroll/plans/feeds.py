@@ -3,7 +3,9 @@
 Default names as in the reference: customers.csv, stores.csv, products.csv,
 orders.csv, order_items.csv, payments.json; an optional landed products API
 extract (products_api.json: id, title, price) is overlaid on the snapshot and
-the snapshot alone is used when it cannot be read.
+the snapshot alone is used when it cannot be read. Any feed may instead be a
+JSON Lines file or folder (customers.jsonl ...), which Spark can split, and a CSV
+feed may be a folder of files under its name.
 """
 
 from __future__ import annotations
@@ -36,7 +38,12 @@ def file_feeds(spark: SparkSession, feed_dir: str) -> tuple[dict[str, Callable[[
     for name, fname in FILES.items():
         path = f"{base}/{fname}"
         req = ["store_id", "store_name"] if name == "stores" else SPECS[name].required_columns
-        if fname.endswith(".json"):
+        jsonl = f"{base}/{name}.jsonl"
+        if fs.exists(spark, jsonl):
+            # values as text, like CSV; the rules and casts come later
+            feeds[name] = lambda p=jsonl, r=req, s=SPECS[name].feed_struct(): load_json(spark, p, required_columns=r, lines=True, schema=s)
+            labels[name] = f"jsonl:{name}.jsonl"
+        elif fname.endswith(".json"):
             feeds[name] = lambda p=path, r=req: load_json(spark, p, required_columns=r)
             labels[name] = f"json:{fname}"
         else:

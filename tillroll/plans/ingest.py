@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.coerce import coerce_to
 from tillroll.functions.text import normalize_emails, trim_whitespace
@@ -21,6 +22,9 @@ from tillroll.operators.dedup import drop_exact_duplicates
 from tillroll.schemas import SPECS, VALID_PAYMENT_STATUSES, TableSpec
 from tillroll.sources.fixtures import SEQ
 
+# struct of the texts that didn't parse, by column
+RAW = "_raw"
+
 
 @dataclass(frozen=True)
 class IngestJob:
@@ -44,6 +48,7 @@ def _jobs() -> dict[str, IngestJob]:
                 R.non_negative("unit_price"),
                 R.non_negative("discount"),
                 R.discount_not_exceed_line_value(),
+                R.line_value_in_range(),
             ),
             default_discount=True,
         ),
@@ -76,27 +81,38 @@ def prepare(feed: DataFrame, name: str) -> DataFrame:
     # P-8: the discount column defaults to 0 when the feed has none
     if jb.default_discount and "discount" not in df.columns:
         df = df.withColumn("discount", F.lit(0))
-    # coerce every declared column; absent ones become typed nulls
+    # coerce every declared column; absent ones become typed nulls. Text that
+    # doesn't parse is kept beside its null: it keeps rows with different bad ids
+    # apart and goes into the reject record.
+    typed, raw = [], []
+    for c in spec.columns:
+        if c.name not in df.columns:
+            typed.append(F.lit(None).cast(c.dtype).alias(c.name))
+            continue
+        value = coerce_to(c.name, c.dtype, df.schema[c.name].dataType)
+        typed.append(value.alias(c.name))
+        if isinstance(df.schema[c.name].dataType, T.StringType) and c.dtype != "string":
+            raw.append(F.when(value.isNull(), F.col(c.name)).alias(c.name))
     df = df.select(
-        *[
-            (coerce_to(c.name, c.dtype, df.schema[c.name].dataType) if c.name in df.columns
-             else F.lit(None).cast(c.dtype)).alias(c.name)
-            for c in spec.columns
-        ],
+        *typed,
+        (F.struct(*raw) if raw else F.lit(None).cast("struct<none:string>")).alias(RAW),
         *([F.col(R.CORRUPT_COLUMN)] if R.CORRUPT_COLUMN in df.columns else []),
         F.col(SEQ),
     )
     if not missing:
         # with required columns absent every row is rejected as it is (V-1);
         # a missing key column must not collapse the batch into one row
-        df = drop_exact_duplicates(df, list(spec.pk), order=[SEQ])
+        unparsed = [f.name for f in df.schema[RAW].dataType.fields]
+        keys = [*spec.pk, *(f"_key_{c}" for c in spec.pk if c in unparsed)]
+        df = df.withColumns({f"_key_{c}": F.col(f"{RAW}.{c}") for c in spec.pk if c in unparsed})
+        df = drop_exact_duplicates(df, keys, order=[SEQ])
     rules: list[R.Rule] = []
     if R.CORRUPT_COLUMN in df.columns:
         rules.append(R.Rule("malformed record", F.col(R.CORRUPT_COLUMN).isNull()))
     rules += R.required_rules(spec, jb.required_reason) + list(jb.rules)
     batch_reason = f"Missing required columns: {missing}" if missing else None
     tagged = R.tag(df, rules, batch_reason)
-    return tagged.select(*spec.column_names, R.REASONS, R.REASON)
+    return tagged.select(*spec.column_names, R.REASONS, R.REASON, RAW)
 
 
 def summary(tagged: Mapping[str, DataFrame]) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.calendar import calendar_attributes
+from tillroll.functions.calendar import calendar_attributes, utc
 from tillroll.functions.coerce import line_total
 from tillroll.operators.joins import dim_join
 from tillroll.operators.keys import dense_key
@@ -28,8 +28,7 @@ REFERENCE_CALENDAR = (dt.date(2023, 1, 1), dt.date(2027, 12, 31))
 FIXTURE_CALENDAR = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 
 
-def _now(run_ts: dt.datetime):
-    return F.lit(run_ts).cast("timestamp")
+_now = utc
 
 
 def dim_customer(stg_customers: DataFrame, run_ts: dt.datetime, num_partitions: int | None = None) -> DataFrame:

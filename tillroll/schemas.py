@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 MONEY = "decimal(12,2)"
 LINE_MONEY = "decimal(18,2)"
+# quantity x price for any integer quantity and any MONEY price
+WIDE_MONEY = "decimal(26,2)"
 SUM_MONEY = "decimal(38,2)"
 
 
@@ -143,6 +145,5 @@ SPECS: dict[str, TableSpec] = {
     s.name: s for s in (CUSTOMERS, STORES, PRODUCTS, ORDERS, ORDER_ITEMS, PAYMENTS)
 }
 
-# Fixed values that must equal the reference: accepted status sets.
+# Fixed values that must equal the reference: accepted statuses.
 VALID_PAYMENT_STATUSES = ("success", "failed", "pending", "refunded")
-VALID_ORDER_STATUSES = ("placed", "shipped", "delivered", "cancelled", "returned")

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.calendar import utc
 from tillroll.operators.rules import REASON, REASONS
 
 QUALITY_STATUSES = ("pass", "fail", "warning")
@@ -21,15 +22,26 @@ def rejected_records(
     run_ts: dt.datetime,
 ) -> DataFrame:
     """One audit row per rejected row: the row as JSON (nulls kept), the first
-    failed rule as ``reason`` and all failed rules as ``reasons``."""
-    record = F.to_json(F.struct(*record_columns), {"ignoreNullFields": "false"})
+    failed rule as ``reason`` and all failed rules as ``reasons``. A row with text
+    that didn't parse is recorded as text throughout, with that text in place."""
+    keep = {"ignoreNullFields": "false"}
+    record = F.to_json(F.struct(*record_columns), keep)
+    raw = rejected.schema["_raw"].dataType.names if "_raw" in rejected.columns else []
+    raw = [c for c in raw if c in record_columns]
+    if raw:
+        unparsed = F.coalesce(*[F.col(f"_raw.{c}") for c in raw]).isNotNull()
+        text = F.struct(*[
+            (F.coalesce(F.col(c).cast("string"), F.col(f"_raw.{c}")) if c in raw else F.col(c).cast("string")).alias(c)
+            for c in record_columns
+        ])
+        record = F.when(unparsed, F.to_json(text, keep)).otherwise(record)
     return rejected.select(
         F.lit(source).alias("source"),
         F.lit(table_name).alias("table_name"),
         record.alias("record_data"),
         F.col(REASON).alias("reason"),
         F.col(REASONS).alias("reasons"),
-        F.lit(run_ts).cast("timestamp").alias("rejected_at"),
+        utc(run_ts).alias("rejected_at"),
     )
 
 
@@ -44,5 +56,5 @@ def quality_results(checks: DataFrame, run_id: int, run_ts: dt.datetime) -> Data
             F.raise_error(F.concat(F.lit("status must be 'pass', 'fail' or 'warning': "), F.col("status")))
         ).alias("status"),
         "failed_rows",
-        F.lit(run_ts).cast("timestamp").alias("checked_at"),
+        utc(run_ts).alias("checked_at"),
     )

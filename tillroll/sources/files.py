@@ -2,8 +2,9 @@
 
 Everything is read as strings against an explicit schema (no inference);
 types are enforced later by ``try_cast`` so a bad value rejects its row
-instead of failing the batch. Each row gets ``_seq`` (its position in the
-scan, a long) which defines "first copy" for keep-first de-duplication.
+instead of failing the batch. Each row gets ``_seq``, its place in the feed
+(file, start of its block, position), which defines "first copy" for keep-first
+de-duplication and doesn't depend on how Spark packs splits.
 """
 
 from __future__ import annotations
@@ -39,13 +40,15 @@ JsonFileNotFoundError = FeedNotFoundError
 JsonLoadError = FeedLoadError
 
 
+#: one type for every feed file, so positions of different readers compare
+SEQ_TYPE = T.StructType([T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("pos", T.LongType())])
+
+
 def _with_seq(df: DataFrame) -> DataFrame:
-    # One long per row: partition index in the high bits, row in the low bits.
-    # Splits of one file get increasing partition indexes, so this is file
-    # order (what keep-first means for a single feed file); across files it is
-    # a fixed, deterministic order. A long, not the file path, rides through
-    # the de-duplication shuffle.
-    return df.withColumn(SEQ, F.struct(F.monotonically_increasing_id().alias("pos")))
+    # rows of one block keep their order in monotonically_increasing_id
+    m = F.col("_metadata")
+    return df.withColumn(SEQ, F.struct(
+        m["file_path"].alias("file"), m["file_block_start"].cast("long").alias("block"), F.monotonically_increasing_id().alias("pos")))
 
 
 def _na_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -59,29 +62,61 @@ def _check_required(columns: Sequence[str], required: Sequence[str] | None, path
             raise FeedLoadError(f"{path} is missing required columns: {missing}")
 
 
-def load_csv(spark: SparkSession, path: str, required_columns: Sequence[str] | None = None) -> DataFrame:
+def _quotes(line: str) -> F.Column:
+    return F.length(line) - F.length(F.replace(F.col(line), F.lit('"'), F.lit("")))
+
+
+def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field holds a line end: some line has an odd number of
+    quotes. One scan of the text, which stops at the first such line."""
+    return not spark.read.text(path).where(_quotes("value") % 2 == 1).isEmpty()
+
+
+def csv_columns(header: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in header] + [T.StructField(CORRUPT, T.StringType())])
+
+
+def keep_short_rows(df: DataFrame, n_columns: int) -> DataFrame:
+    """A row with fewer fields than the header is valid and has nulls at the end;
+    one with more fields, or with an open quote, stays marked as malformed."""
+    bare = F.regexp_replace(F.col(CORRUPT), '"(?:[^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    short = (fields <= n_columns) & (_quotes(CORRUPT) % 2 == 0)
+    return df.withColumn(CORRUPT, F.when(~short, F.col(CORRUPT)))
+
+
+def load_csv(
+    spark: SparkSession, path: str, required_columns: Sequence[str] | None = None, multi_line: bool | None = None,
+) -> DataFrame:
     """CSV with a header row -> all-string DataFrame (+ ``_seq``).
 
+    Quotes inside quoted fields are doubled. ``multi_line`` says whether quoted
+    fields may hold line ends; None finds out (one more scan of the text). Files
+    with such fields can't be split: each is one task's work.
+
     Malformed rows are kept with ``_corrupt_record`` set, so validation rejects
-    them row by row instead of failing the whole feed.
+    them row by row instead of failing the whole feed; rows shorter than the header
+    get nulls.
     """
     if not fs.exists(spark, path):
         raise FeedNotFoundError(f"CSV file not found: {path}")
     if fs.size(spark, path) == 0:
         raise FeedLoadError(f"CSV file is empty: {path}")
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    if multi_line is None:
+        multi_line = has_quoted_newlines(spark, path)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    header = reader.option("inferSchema", False).csv(path).columns
     if not header:
         raise FeedLoadError(f"CSV file is empty: {path}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header] + [T.StructField(CORRUPT, T.StringType())])
     df = (
-        spark.read.schema(schema)
-        .option("header", True)
+        reader.schema(csv_columns(header))
+        .option("enforceSchema", False)  # files of one feed must agree on the header
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
     _check_required(header, required_columns, path)
-    return _with_seq(_na_to_null(df, header))
+    return keep_short_rows(_na_to_null(_with_seq(df), header), len(header))
 
 
 def load_json(
@@ -94,7 +129,8 @@ def load_json(
     """A JSON list of records, or an object whose ``data`` is that list.
 
     ``lines=True`` reads JSON Lines instead (splittable: the shape for large
-    feeds). Values are read as strings when ``schema`` is given.
+    feeds; a list or an object is one task's work). Values are read as strings when
+    ``schema`` is given.
     """
     if not fs.exists(spark, path):
         raise FeedNotFoundError(f"JSON file not found: {path}")
@@ -132,13 +168,5 @@ def load_json(
         return _with_seq(df)
     # envelope: the records of one file come from one row; keep array order
     exploded = seq_src.select(F.col("_metadata.file_path").alias("_f"), F.posexplode("data").alias("_p", "_r"))
-    cols = df.columns
-    return exploded.select(*[F.col(f"_r.{c}").alias(c) for c in cols], F.struct(F.col("_f").alias("file"), F.col("_p").cast("long").alias("pos")).alias(SEQ))
-
-
-def load_parquet(spark: SparkSession, path: str, required_columns: Sequence[str] | None = None) -> DataFrame:
-    if not fs.exists(spark, path):
-        raise FeedNotFoundError(f"Parquet file not found: {path}")
-    df = spark.read.parquet(path)
-    _check_required(df.columns, required_columns, path)
-    return _with_seq(df)
+    place = F.struct(F.col("_f").alias("file"), F.lit(0).cast("long").alias("block"), F.col("_p").cast("long").alias("pos"))
+    return exploded.select(*[F.col(f"_r.{c}").alias(c) for c in df.columns], place.alias(SEQ))

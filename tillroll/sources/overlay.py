@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from tillroll.schemas import PRODUCTS
 from tillroll.sources.fixtures import SEQ
 
 
+log = logging.getLogger(__name__)
+
+
 def overlay_products(snapshot: DataFrame, extract: DataFrame) -> DataFrame:
     """Snapshot rows overlaid by the API extract: per product_id the last row
     of (snapshot in file order, then extract in order) wins.
@@ -23,11 +28,10 @@ def overlay_products(snapshot: DataFrame, extract: DataFrame) -> DataFrame:
     """
     req = PRODUCTS.required_columns
     api = extract.withColumnRenamed("id", "product_id").withColumnRenamed("title", "product_name")
-    s_seq, a_seq = F.col(SEQ), F.col(SEQ)
-    if snapshot.schema[SEQ].dataType != api.schema[SEQ].dataType:
-        s_seq, a_seq = F.to_json(s_seq), F.to_json(a_seq)
-    snap = snapshot.select(*req, F.struct(F.lit(0).alias("src"), s_seq.alias("pos")).alias(SEQ))
-    api = api.select(*req, F.struct(F.lit(1).alias("src"), a_seq.alias("pos")).alias(SEQ))
+    if snapshot.schema[SEQ].dataType.simpleString() != api.schema[SEQ].dataType.simpleString():
+        raise ValueError("both feeds need positions of one type")
+    snap = snapshot.select(*req, F.struct(F.lit(0).alias("src"), F.col(SEQ).alias("pos")).alias(SEQ))
+    api = api.select(*req, F.struct(F.lit(1).alias("src"), F.col(SEQ).alias("pos")).alias(SEQ))
     rest = [c for c in req if c != "product_id"]
     last = snap.unionByName(api).groupBy("product_id").agg(
         F.max_by(F.struct(*rest, F.col(SEQ)), F.col(SEQ)).alias("_w")
@@ -40,11 +44,14 @@ def products_input(
     extract: Callable[[], DataFrame] | None,
 ) -> tuple[DataFrame, str]:
     """(products feed, source label): overlay when the extract reads, else the snapshot."""
+    ext = None
     if extract is not None:
         try:
             ext = extract()
             ext.schema  # resolves the plan: fails here if the landed extract is unreadable
-            return overlay_products(snapshot(), ext), "api:products+csv:snapshot"
-        except Exception:  # noqa: BLE001 - any read failure means fall back
-            pass
-    return snapshot(), "csv:products.csv"
+        except (OSError, RuntimeError, ValueError, PySparkException) as exc:
+            log.warning("products extract can't be read, using the snapshot alone: %s", exc)
+            ext = None
+    if ext is None:
+        return snapshot(), "csv:products.csv"
+    return overlay_products(snapshot(), ext), "api:products+csv:snapshot"

@@ -6,7 +6,10 @@ The stream's checkpoint (offset log) is the high-water mark: files already
 loaded are never read again. Each micro-batch runs the same batch job as a
 full load (tag -> land -> upsert valid rows -> append rejects). A retried
 micro-batch rewrites its own epoch folders and re-upserts the same keys, so
-it is idempotent. A stream reads with the feed's declared schema, so every
+it is idempotent. Folders and reject parts carry the stream's own name, taken
+from its checkpoint folder, so streams that share a store don't meet. CSV files
+must have the declared columns in the declared order: a file with another header
+fails the batch instead of loading values into the wrong columns. A stream reads with the feed's declared schema, so every
 declared column counts as present in each batch (a file without a column
 loads nulls into it).
 """
@@ -14,6 +17,7 @@ loads nulls into it).
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +27,7 @@ from tillroll.operators.rules import is_valid
 from tillroll.plans import ingest
 from tillroll.schemas import SPECS
 from tillroll.sources import audit
-from tillroll.sources.files import CORRUPT, NA_TOKENS
+from tillroll.sources.files import CORRUPT, NA_TOKENS, keep_short_rows
 from tillroll.sources.fixtures import SEQ
 from tillroll.sources.tables import TableStore
 
@@ -33,7 +37,8 @@ def feed_stream(spark: SparkSession, name: str, feed_dir: str, fmt: str = "csv")
     schema = T.StructType(spec.feed_struct().fields + [T.StructField(CORRUPT, T.StringType())])
     reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if fmt == "csv":
-        df = reader.option("header", True).csv(feed_dir)
+        df = reader.option("header", True).option("escape", '"').option("enforceSchema", False).csv(feed_dir)
+        df = keep_short_rows(df, len(spec.columns))
     elif fmt == "json":
         df = reader.json(feed_dir)  # JSON Lines
     else:
@@ -41,22 +46,22 @@ def feed_stream(spark: SparkSession, name: str, feed_dir: str, fmt: str = "csv")
     return df
 
 
-def _load_batch(store: TableStore, name: str, batch: DataFrame, epoch_id: int, run_ts: dt.datetime) -> None:
+def _load_batch(store: TableStore, name: str, batch: DataFrame, epoch_id: int, run_ts: dt.datetime, stream: str) -> None:
     spec = SPECS[name]
     cols = list(batch.columns)
     df = batch.select(
         *[F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)).alias(c) if c != CORRUPT else F.col(c) for c in cols],
-        F.struct(F.monotonically_increasing_id().alias("pos")).alias(SEQ),
+        F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("pos")).alias(SEQ),
     )
     tagged = ingest.prepare(df, name).withColumn("_status", F.when(is_valid(), "valid").otherwise("rejected"))
-    landing = f"{store.path('landing', name)}/epoch={epoch_id}"
+    landing = f"{store.path('landing', name)}/stream={stream}/epoch={epoch_id}"
     tagged.write.mode("overwrite").parquet(landing)
     land = store.spark.read.parquet(landing)
     valid = land.filter(F.col("_status") == "valid").select(*spec.column_names)
     store.upsert(valid, name, spec.pk, spec.struct(), run_ts)
     rej = audit.rejected_records(land.filter(F.col("_status") == "rejected"), f"stream:{name}", name,
                                  spec.column_names, run_ts)
-    rej.write.mode("overwrite").parquet(f"{store.path('audit', 'rejected_records')}/_part={name}-epoch{epoch_id}")
+    rej.write.mode("overwrite").parquet(f"{store.path('audit', 'rejected_records')}/_part={name}-{stream}-epoch{epoch_id}")
 
 
 def ingest_stream(
@@ -70,11 +75,12 @@ def ingest_stream(
 ) -> int:
     """Load every feed file not loaded before; returns the number of
     micro-batches run. Blocks until the available files are done."""
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
     batches = []
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        _load_batch(store, name, batch, epoch_id, run_ts)
+        _load_batch(store, name, batch, epoch_id, run_ts, stream)
         batches.append(epoch_id)
 
     q = (

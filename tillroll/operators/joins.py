@@ -2,34 +2,34 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A dimension is broadcast only when a count proves it is at most this many
-# rows (after projecting it to the columns the join needs).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-CONF_KEY = "tillroll.broadcast.maxRows"
-# Above this estimated size the answer is "no" without running the row count
-# (declining to broadcast is always safe; only "yes" needs the proof).
-NO_PROOF_NEEDED_BYTES = 2 * 1024 * 1024 * 1024
+# A side is broadcast only when its measured size is at most this many bytes
+# (after projecting it to the columns the join needs).
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+CONF_KEY = "tillroll.broadcast.maxBytes"
+# Above this estimate (compressed files) the answer is "no" without a job:
+# declining to broadcast is always safe, only "yes" needs the proof.
+NO_PROOF_NEEDED_BYTES = 1024 * 1024 * 1024
+# what Catalyst says of a source whose size it doesn't know
+_NO_ESTIMATE = 1 << 60
+# what a row takes besides its values
+_ROW_BYTES = 48
 
 
 def broadcast_limit(df: DataFrame) -> int:
     v = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(v) if v else DEFAULT_BROADCAST_ROWS
-
+    return int(v) if v else DEFAULT_BROADCAST_BYTES
 
-_CHECKED: dict[tuple, bool] = {}
 
-
-def _plan_key(df: DataFrame, bound: int) -> tuple | None:
-    try:
-        files = tuple(sorted(df.inputFiles()))
-    except Exception:  # noqa: BLE001 - plans without file inputs are not memoised
-        return None
-    if not files:
-        return None
-    return (df.semanticHash(), files, bound)
+@lru_cache(maxsize=512)
+def _known(key: tuple) -> list:
+    """One mutable slot per (plan, estimate, limit); the oldest are forgotten."""
+    return []
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -55,28 +55,33 @@ def input_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows (a row-count proof over at
-    most max_rows+1 rows); plans estimated far above broadcast size are
-    declined without a job.
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df`` in memory: a fixed part per row and the lengths
+    of its strings. One aggregation, combined before the shuffle."""
+    width = F.lit(_ROW_BYTES + 8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`"))))
+    return int(df.agg(F.sum(width)).first()[0] or 0)
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True iff the rows of ``df`` take at most ``max_bytes``, proven by measuring
+    them; plans estimated far above that are declined without a job.
 
-    The answer is memoised per (canonical plan, input files): committed table
-    versions are immutable, so the same plan over the same files has the same
-    size.
+    The answer is kept per (canonical plan, estimate): committed table versions are
+    immutable, and another version has another path and so another plan.
     """
-    bound = broadcast_limit(df) if max_rows is None else max_rows
-    key = _plan_key(df, bound)
-    if key is not None and key in _CHECKED:
-        return _CHECKED[key]
+    bound = broadcast_limit(df) if max_bytes is None else max_bytes
     est = estimated_bytes(df)
-    if est is not None and est > NO_PROOF_NEEDED_BYTES:
-        # a limit-count would read up to `bound` rows from every partition
-        ok = False
-    else:
-        ok = df.limit(bound + 1).count() <= bound
-    if key is not None:
-        _CHECKED[key] = ok
-    return ok
+    if est is not None and max(NO_PROOF_NEEDED_BYTES, bound) < est < _NO_ESTIMATE:
+        return False
+    slot = _known((id(df.sparkSession), df.semanticHash(), est, bound))
+    if not slot:
+        slot.append(measured_bytes(df) <= bound)
+    return slot[0]
 
 
 def dim_join(
@@ -84,10 +89,10 @@ def dim_join(
     dim: DataFrame,
     on,
     how: str = "inner",
-    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Join ``fact`` to ``dim``: broadcast-hash when ``dim`` is proven small,
     else a shuffle join (AQE splits skewed partitions)."""
-    if fits_broadcast(dim, max_rows):
+    if fits_broadcast(dim, max_bytes):
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)

@@ -21,20 +21,19 @@ from tillroll.operators.joins import input_bytes
 
 _LOW_BITS = (1 << 33) - 1
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PARTITIONS = 50_000
 _LITERAL_OFFSETS = 4096
 
 
 def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Range partitions for ``df``: at least ``spark.sql.shuffle.partitions``,
     more when the bytes the plan reads (sum of its scans' sizes) would make
-    partitions exceed ``target_bytes`` (capped; the estimate only sizes the
-    work, it never changes the result)."""
+    partitions exceed ``target_bytes`` (the estimate only sizes the work, it
+    never changes the result)."""
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     est = input_bytes(df)
     if est is None:
         return base
-    return max(base, min(-(-est // target_bytes), MAX_PARTITIONS))
+    return max(base, -(-est // target_bytes))
 
 
 def dense_key(

@@ -16,8 +16,9 @@ _ROOT_NAME = "tillroll"
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and written tables.
 
-    Read from ``spark.checkpoint.dir``; a folder of our own is set only where
-    the session has none (local tests).
+    Read from ``spark.checkpoint.dir``. A session without one gets a temporary
+    folder only if its master is local; on a cluster that folder would be the
+    driver's alone, so this raises there.
     """
     sc = spark.sparkContext
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
@@ -28,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(local)
     return local

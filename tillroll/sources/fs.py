@@ -38,8 +38,53 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def first_non_blank(spark: SparkSession, path: str, limit: int = 4096) -> bytes:
-    """The first non-whitespace byte of a file (b"" if none within ``limit``)."""
+def read_text(spark: SparkSession, path: str) -> str:
+    """The whole of a small file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it exists. Atomic where the file system's own
+    creation is (HDFS, local disks): of several callers one gets True."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        return bool(fs.createNewFile(p))
+    except Exception:  # noqa: BLE001 - some file systems raise instead
+        if fs.exists(p):
+            return False
+        raise
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Files, bytes and times of ``path``: changes when its content is replaced. A
+    folder is listed by Spark, so its files don't pass through Python."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return "absent"
+    status = fs.getFileStatus(p)
+    if status.isFile():
+        return f"1:{status.getLen()}:{status.getModificationTime()}"
+    row = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        .selectExpr("count(*)", "sum(length)", "max(modificationTime)", "sum(cast(xxhash64(path, length, modificationTime) as decimal(38,0)))").first()
+    )
+    return ":".join(str(v) for v in row)
+
+
+def first_non_blank(spark: SparkSession, path: str) -> bytes:
+    """The first byte of a file that isn't white space or a byte order mark (b"" if
+    there is none), however far in it lies."""
     fs, p = _fs(spark, path)
     if fs.getFileStatus(p).isDirectory():
         files = [s.getPath() for s in fs.listStatus(p) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
@@ -48,12 +93,11 @@ def first_non_blank(spark: SparkSession, path: str, limit: int = 4096) -> bytes:
         p = sorted(files, key=lambda x: str(x))[0]
     stream = fs.open(p)
     try:
-        for _ in range(limit):
+        while True:
             b = stream.read()
             if b < 0:
                 return b""
             if bytes([b]) not in (b" ", b"\t", b"\n", b"\r", b"\xef", b"\xbb", b"\xbf"):
                 return bytes([b])
-        return b""
     finally:
         stream.close()

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions.calendar import utc
 from tillroll.operators.joins import fits_broadcast
 from tillroll.sources import fs
 
@@ -24,7 +25,9 @@ PART = "_part"
 # A tagged version holds a whole validated batch, partitioned by STATUS;
 # plain reads see only its valid rows (partition pruning), without tag columns.
 STATUS = "_status"
-TAG_COLUMNS = ("_reasons", "_reason")
+TAG_COLUMNS = ("_reasons", "_reason", "_raw")
+# in a version that was appended to: the names of the earlier folders it includes
+PARTS = "_parts.txt"
 
 
 class TableStore:
@@ -63,15 +66,39 @@ class TableStore:
         return self.current_path(layer, name) is not None
 
     # -- read / write ------------------------------------------------------
+    def _parts(self, version_path: str) -> list[str]:
+        """All folders of a version, oldest first."""
+        listed = f"{version_path}/{PARTS}"
+        earlier = fs.read_text(self.spark, listed).split() if fs.exists(self.spark, listed) else []
+        base = version_path.rsplit("/", 1)[0]
+        return [*(f"{base}/{v}" for v in earlier), version_path]
+
+    def folders(self, layer: str, name: str) -> list[str]:
+        """The data folders of the current version (none if there is none)."""
+        p = self.current_path(layer, name)
+        return self._parts(p) if p is not None else []
+
+    def _folder(self, path: str) -> DataFrame:
+        df = self.spark.read.parquet(path)
+        if self.is_tagged(path):
+            df = df.filter(F.col(STATUS) == "valid")
+        return df.drop(STATUS, *TAG_COLUMNS)
+
     def read(self, layer: str, name: str) -> DataFrame:
         p = self.current_path(layer, name)
         if p is None:
             raise FileNotFoundError(f"no committed version of {layer}.{name} under {self.root}")
         df = self._frames.get(p)
         if df is None:
-            df = self.spark.read.parquet(p)
-            if self.is_tagged(p):
-                df = df.filter(F.col(STATUS) == "valid").drop(STATUS, *TAG_COLUMNS)
+            parts = self._parts(p)
+            tagged = [f for f in parts if self.is_tagged(f)]
+            plain = [f for f in parts if f not in tagged]
+            frames = [self._folder(f) for f in tagged]
+            if plain:
+                frames.append(self.spark.read.option("mergeSchema", len(plain) > 1).parquet(*plain).drop(*TAG_COLUMNS))
+            df = frames[0]
+            for more in frames[1:]:
+                df = df.unionByName(more, allowMissingColumns=True)
             self._frames[p] = df
         return df
 
@@ -86,15 +113,19 @@ class TableStore:
             raise FileNotFoundError(f"{layer}.{name} has no tagged current version")
         return self.spark.read.parquet(p)
 
-    def write(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> str:
-        """Write ``df`` as the next version of ``layer.name`` (replace semantics)."""
+    def write(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = (), parts: Sequence[str] = ()) -> str:
+        """Write ``df`` as the next version of ``layer.name`` (replace semantics);
+        ``parts`` are earlier folders that the version includes."""
         v = self.versions(layer, name)
         nxt = (v[-1] + 1) if v else 1
         # a folder left by a failed attempt has no _SUCCESS; skip past it
         while fs.exists(self.spark, f"{self.path(layer, name)}/v{nxt:06d}"):
             nxt += 1
         target = f"{self.path(layer, name)}/v{nxt:06d}"
-        w = df.write.mode("error")
+        if parts:
+            # before the job commits: a version without its list is never visible
+            fs.write_text(self.spark, f"{target}/{PARTS}", "\n".join(f.rsplit("/", 1)[-1] for f in parts))
+        w = df.write.mode("append" if parts else "error")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(target)
@@ -118,13 +149,15 @@ class TableStore:
 
     # -- raw-layer loads ---------------------------------------------------
     def load(self, df: DataFrame, name: str, if_exists: str = "append", layer: str = "raw") -> DataFrame:
-        """S-6: append to or replace a table; returns the new table."""
+        """S-6: append to or replace a table; returns the new table. An empty
+        batch changes nothing. An append writes the batch alone: the new version
+        refers to the folders of the one before."""
         if if_exists not in ("append", "replace"):
             raise ValueError("if_exists must be 'append' or 'replace'")
-        new = df
-        if if_exists == "append" and self.exists(layer, name):
-            new = self.read(layer, name).unionByName(df, allowMissingColumns=True)
-        self.write(new, layer, name)
+        before = self.folders(layer, name) if if_exists == "append" else []
+        if self.exists(layer, name) and df.isEmpty():
+            return self.read(layer, name)
+        self.write(df, layer, name, parts=before)
         return self.read(layer, name)
 
     def truncate(self, name: str, layer: str = "raw") -> None:
@@ -140,19 +173,31 @@ class TableStore:
         table_schema: T.StructType,
         run_ts: dt.datetime,
         layer: str = "raw",
+        order: str | None = None,
     ) -> DataFrame:
         """S-5: insert new keys, update existing ones; only columns present in
         the batch are overwritten (a null *in* the batch does overwrite).
 
+        Of rows that repeat a key the last wins, by the batch column ``order`` or
+        else by position in the batch's scan. An empty batch makes no new version.
         ``created_at`` keeps the first load time, ``updated_at`` is bumped on
         every write of the row. Returns the new table version (lazy read).
         """
         pk = list(pk)
-        ts = F.lit(run_ts).cast("timestamp")
+        ts = utc(run_ts)
         cols = [f.name for f in table_schema.fields]
         present = [c for c in cols if c in batch.columns]
         missing = [c for c in cols if c not in batch.columns]
-        src = batch.select(*present)
+        if self.exists(layer, name) and batch.isEmpty():
+            return self.read(layer, name)
+        rest = [c for c in present if c not in pk]
+        last = F.col(order) if order else F.monotonically_increasing_id()
+        # one row per key; repeated keys combine before the shuffle
+        src = (
+            batch.select(*present, last.alias("_last")).groupBy(*pk)
+            .agg(F.max_by(F.struct(F.lit(True).alias("_row"), *rest), "_last").alias("_w"))
+            .select(*pk, *[F.col(f"_w.{c}").alias(c) for c in rest])
+        )
         if not self.exists(layer, name):
             new = src.select(
                 *[F.col(c) if c in present else F.lit(None).cast(table_schema[c].dataType).alias(c) for c in cols],
@@ -192,51 +237,18 @@ class TableStore:
         self.write(new, layer, name)
         return self.read(layer, name)
 
-    def truncate(self, name: str, layer: str = "raw") -> None:
-        """S-7: the next version is empty, same schema."""
-        cur = self.read(layer, name)
-        self.write(self.spark.createDataFrame([], cur.schema), layer, name)
-
-    def upsert(
-        self,
-        batch: DataFrame,
-        name: str,
-        pk: Sequence[str],
-        table_schema: T.StructType,
-        run_ts: dt.datetime,
-        layer: str = "raw",
-    ) -> DataFrame:
-        """S-5: insert new keys, update existing ones; only columns present in
-        the batch are overwritten (a null *in* the batch does overwrite).
-
-        ``created_at`` keeps the first load time, ``updated_at`` is bumped on
-        every write of the row. Returns the new table version (lazy read).
-        """
-        pk = list(pk)
-        ts = F.lit(run_ts).cast("timestamp")
-        cols = [f.name for f in table_schema.fields]
-        present = [c for c in cols if c in batch.columns]
-        missing = [c for c in cols if c not in batch.columns]
-        src = batch.select(*present)
-        if not self.exists(layer, name):
-            new = src.select(
-                *[F.col(c) if c in present else F.lit(None).cast(table_schema[c].dataType).alias(c) for c in cols],
-                ts.alias("created_at"),
-                ts.alias("updated_at"),
-            )
-        else:
-            target = self.read(layer, name)
-            keys = src.select(*pk)
-            small = fits_broadcast(keys)
-            keys_side = F.broadcast(keys) if small else keys
-            kept = target.join(keys_side, pk, "left_anti")
-            old = target.select(*pk, *[c for c in missing if c not in pk], "created_at")
-            merged = src.join(old, pk, "left")
-            merged = merged.select(
-                *[F.col(c) for c in cols],
-                F.coalesce(F.col("created_at"), ts).alias("created_at"),
-                ts.alias("updated_at"),
-            )
-            new = kept.select(*cols, "created_at", "updated_at").unionByName(merged)
-        self.write(new, layer, name)
-        return self.read(layer, name)
+    # -- retention -----------------------------------------------------------
+    def expire(self, layer: str, name: str, keep: int) -> list[int]:
+        """Delete all but the newest ``keep`` versions, except folders that a kept
+        version refers to; returns the deleted versions. Readers of an older
+        version must be done."""
+        if keep < 1:
+            raise ValueError("keep must be 1 or more")
+        versions = self.versions(layer, name)
+        base = self.path(layer, name)
+        needed = {f for v in versions[-keep:] for f in self._parts(f"{base}/v{v:06d}")}
+        gone = [v for v in versions[:-keep] if f"{base}/v{v:06d}" not in needed]
+        for v in gone:
+            fs.delete(self.spark, f"{base}/v{v:06d}")
+            self._frames.pop(f"{base}/v{v:06d}", None)
+        return gone

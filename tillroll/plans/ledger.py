@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.calendar import aware, utc
 from tillroll.sources import fs
 from tillroll.sources.tables import TableStore
 
@@ -21,7 +22,7 @@ EVENT_SCHEMA = (
     "run_id long, pipeline_name string, event string, event_at timestamp, status string, "
     "records_processed long, watermark_start timestamp, watermark_end timestamp, error_message string"
 )
-RUN_STATUSES = ("running", "success", "failed")
+RUN_IDS = "run_ids"
 
 
 def _events(store: TableStore) -> DataFrame:
@@ -29,7 +30,9 @@ def _events(store: TableStore) -> DataFrame:
 
 
 def _append(store: TableStore, row: tuple) -> None:
-    store.append(store.spark.createDataFrame([row], EVENT_SCHEMA), "audit", LEDGER)
+    row = tuple(aware(v) if isinstance(v, dt.datetime) else v for v in row)
+    # a folder of its own: runs that write together don't share a commit
+    store.append(store.spark.createDataFrame([row], EVENT_SCHEMA), "audit", LEDGER, part=f"{row[0]:012d}-{row[2]}")
 
 
 def _has_ledger(store: TableStore) -> bool:
@@ -37,9 +40,13 @@ def _has_ledger(store: TableStore) -> bool:
 
 
 def next_run_id(store: TableStore) -> int:
-    """The id the next run gets (no job while the ledger does not exist)."""
+    """Claim the next run id. A claim is a file that only one caller can create, so
+    runs that start together get different ids."""
     last = _events(store).agg(F.max("run_id")).collect()[0][0] if _has_ledger(store) else None
-    return int(last or 0) + 1
+    run_id = int(last or 0) + 1
+    while not fs.create_new(store.spark, f"{store.path('audit', RUN_IDS)}/{run_id:012d}"):
+        run_id += 1
+    return run_id
 
 
 def record_start(
@@ -47,7 +54,7 @@ def record_start(
     at: dt.datetime | None = None,
 ) -> None:
     """Append the ``running`` start event of ``run_id``."""
-    at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    at = at or dt.datetime.now(dt.timezone.utc)
     _append(store, (run_id, pipeline_name, "start", at, "running", None, watermark_start, None, None))
 
 
@@ -72,7 +79,7 @@ def finish_pipeline_run(
     """G-2: append a finish event; status must be success or failed."""
     if status not in ("success", "failed"):
         raise ValueError("status must be 'success' or 'failed'")
-    at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    at = at or dt.datetime.now(dt.timezone.utc)
     name = _events(store).filter(F.col("run_id") == run_id).select("pipeline_name").limit(1).collect()
     _append(store, (run_id, name[0][0] if name else None, "finish", at, status, records_processed,
                     None, watermark_end, error_message))
@@ -111,20 +118,23 @@ def last_successful_watermarks(runs: DataFrame) -> DataFrame:
 
 
 def get_last_successful_watermark(store: TableStore, pipeline_name: str) -> dt.datetime | None:
-    """G-3: None on the first run of a pipeline, meaning "load everything"."""
+    """G-3, in UTC: None on the first run of a pipeline, meaning "load everything"."""
     if not _has_ledger(store):
         return None
     runs = pipeline_runs(_events(store)).filter(F.col("pipeline_name") == pipeline_name)
-    row = last_successful_watermarks(runs).collect()
-    return row[0]["watermark_end"] if row else None
+    row = last_successful_watermarks(runs).select(F.unix_micros("watermark_end").alias("t")).collect()
+    if not row or row[0]["t"] is None:
+        return None
+    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=row[0]["t"])
 
 
 def incremental(df: DataFrame, watermark: dt.datetime | dt.date | None, column: str = "updated_at") -> DataFrame:
     """G-4: rows changed after the watermark (everything when there is none).
-    A plain filter, so it reaches the scan as a pushed predicate."""
+    A plain filter, so it reaches the scan as a pushed predicate. A watermark
+    without a zone is UTC."""
     if watermark is None:
         return df
-    return df.filter(F.col(column) > F.lit(watermark))
+    return df.filter(F.col(column) > (utc(watermark) if isinstance(watermark, dt.datetime) else F.lit(watermark)))
 
 
 def fixture_ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:

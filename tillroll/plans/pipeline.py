@@ -80,7 +80,7 @@ def run_pipeline(
 
         def record_checks() -> None:
             results = checks.quality_checks(wh.raw)
-            store.append(audit.quality_results(results, run_id, wh.run_ts), "audit", "data_quality_results")
+            store.append(audit.quality_results(results, run_id, wh.run_ts), "audit", "data_quality_results", part=str(run_id))
 
         with ThreadPoolExecutor(max_workers=2) as pool:
             loaded_f, checks_f = pool.submit(count_loaded), pool.submit(record_checks)
@@ -127,7 +127,7 @@ def run_pipeline(
     except PipelineGateError:
         raise
     except Exception as exc:  # noqa: BLE001 - recorded, then re-raised
-        ledger.finish_pipeline_run(store, run_id, "failed", error_message=str(exc)[:1000], at=wh.run_ts)
+        ledger.finish_pipeline_run(store, run_id, "failed", error_message=str(exc), at=wh.run_ts)
         raise
 
 
@@ -170,7 +170,7 @@ def run_quality(wh, pipeline_name: str = "adhoc-quality-check") -> bool:
     wm = ledger.get_last_successful_watermark(store, pipeline_name)
     run_id = ledger.start_pipeline_run(store, pipeline_name, wm, at=wh.run_ts)
     results = checks.quality_checks(wh.raw)
-    store.append(audit.quality_results(results, run_id, wh.run_ts), "audit", "data_quality_results")
+    store.append(audit.quality_results(results, run_id, wh.run_ts), "audit", "data_quality_results", part=str(run_id))
     passed = checks.gate_passed(
         store.read_appended("audit", "data_quality_results").filter(F.col("pipeline_run_id") == run_id)
     )

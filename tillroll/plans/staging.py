@@ -5,70 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 Reader = Callable[[str], DataFrame]
 
 
-def stg_customers(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "customer_id",
-        F.trim("first_name").alias("first_name"),
-        F.trim("last_name").alias("last_name"),
-        F.lower(F.trim("email")).alias("email"),
+# staging model -> columns as SQL, the one definition of the frames and of the
+# catalog's views
+MODELS: dict[str, list[str]] = {
+    "customers": [
+        "customer_id", "trim(first_name) AS first_name", "trim(last_name) AS last_name", "lower(trim(email)) AS email",
         "phone", "city", "state", "country", "signup_date", "created_at", "updated_at",
-    )
-
-
-def stg_products(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "product_id",
-        F.trim("product_name").alias("product_name"),
-        F.coalesce(F.trim("category"), F.lit("Uncategorized")).alias("category"),
+    ],
+    "products": [
+        "product_id", "trim(product_name) AS product_name", "coalesce(trim(category), 'Uncategorized') AS category",
         "price", "store_id", "created_at", "updated_at",
-    )
-
-
-def stg_stores(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "store_id", F.trim("store_name").alias("store_name"),
-        "city", "state", "country", "created_at", "updated_at",
-    )
-
-
-def stg_orders(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "order_id", "customer_id", "store_id", "order_date",
-        F.coalesce(F.col("order_status"), F.lit("unknown")).alias("order_status"),
+    ],
+    "stores": ["store_id", "trim(store_name) AS store_name", "city", "state", "country", "created_at", "updated_at"],
+    "orders": [
+        "order_id", "customer_id", "store_id", "order_date", "coalesce(order_status, 'unknown') AS order_status",
         "created_at", "updated_at",
-    )
-
-
-def stg_order_items(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    ],
+    "order_items": [
         "order_item_id", "order_id", "product_id", "quantity", "unit_price",
-        F.coalesce(F.col("discount"), F.lit(0).cast("decimal(12,2)")).alias("discount"),
-        "created_at", "updated_at",
-    )
+        "coalesce(discount, cast(0 AS decimal(12,2))) AS discount", "created_at", "updated_at",
+    ],
+    "payments": [
+        "payment_id", "order_id", "payment_method", "amount", "payment_status", "payment_date", "created_at", "updated_at",
+    ],
+}
 
 
-def stg_payments(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "payment_id", "order_id", "payment_method", "amount", "payment_status",
-        "payment_date", "created_at", "updated_at",
-    )
+def stage(name: str, raw: DataFrame) -> DataFrame:
+    """The staging model over a bronze table."""
+    return raw.selectExpr(*MODELS[name])
 
 
-STAGING = {
-    "customers": stg_customers,
-    "products": stg_products,
-    "stores": stg_stores,
-    "orders": stg_orders,
-    "order_items": stg_order_items,
-    "payments": stg_payments,
-}
+def view_sql(name: str, source: str) -> str:
+    return f"SELECT {', '.join(MODELS[name])} FROM {source}"
 
 
 def staging(read_raw: Reader) -> dict[str, DataFrame]:
     """All staging views, keyed by source table name (lazy)."""
-    return {name: fn(read_raw(name)) for name, fn in STAGING.items()}
+    return {name: stage(name, read_raw(name)) for name in MODELS}

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import logging
 import threading
 from pathlib import Path
 from concurrent.futures import ThreadPoolExecutor
@@ -22,28 +23,30 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators.rules import is_valid
+from tillroll.functions.calendar import utc
+from tillroll.operators.rules import REASON, REASONS, is_valid
 from tillroll.plans import ingest, marts, staging
 from tillroll.schemas import SPECS
 from tillroll.session import tune, work_root
 from tillroll.sources import audit, fixtures, fs
-from tillroll.sources.tables import STATUS, TableStore
+from tillroll.sources.tables import STATUS, TAG_COLUMNS, TableStore
 
 def _source_fingerprint() -> str:
     """Hash of the library's source: a build made by other code is never reused."""
     root = Path(__file__).resolve().parents[1]
-    h = hashlib.sha1()
+    h = hashlib.sha256()
     for f in sorted(root.rglob("*.py")):
         h.update(str(f.relative_to(root)).encode())
         h.update(f.read_bytes())
-    return h.hexdigest()[:10]
+    return h.hexdigest()[:16]
 
 
 BUILD_VERSION = _source_fingerprint()
 # A fixed run timestamp keeps rebuilt tables byte-identical across reruns.
 DEFAULT_RUN_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 _LOCK = threading.Lock()
-_OPEN: dict[tuple[int, str], "Warehouse"] = {}
+_OPEN: dict[tuple[int, str], tuple[str, "Warehouse"]] = {}
+log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -79,13 +82,29 @@ class Warehouse:
     def dim(self, name: str) -> DataFrame:
         return self.mart(f"dim_{name}")
 
+    @property
+    def status(self) -> str:
+        """How the build's run ended: success, or failed (a model test failed; the
+        tables are complete). The reports show what is there either way."""
+        return self.last_run.status if self.last_run is not None else fs.read_text(self.spark, f"{self.root}/_COMPLETE")
+
     def feed(self, name: str) -> DataFrame:
         return fixtures.feed(self.spark, self.sf_dir, name)
 
 
-def _root_for(spark: SparkSession, sf_dir: str, calendar) -> str:
-    tag = hashlib.sha1(f"{sf_dir.rstrip('/')}|{calendar[0]}|{calendar[1]}|{BUILD_VERSION}".encode()).hexdigest()[:12]
-    return f"{work_root(spark)}/wh-{tag}"
+# the given tables that the feeds are projected from
+INPUTS = ("customer", "supplier", "nation", "region", "part", "orders", "lineitem", "events")
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> str:
+    """Files, bytes and times of the input tables: other content, another state."""
+    base = sf_dir.rstrip("/")
+    return "|".join(fs.fingerprint(spark, f"{base}/{t}.parquet") for t in INPUTS)
+
+
+def _root_for(spark: SparkSession, sf_dir: str, calendar, state: str) -> str:
+    key = f"{sf_dir.rstrip('/')}|{calendar[0]}|{calendar[1]}|{BUILD_VERSION}|{state}"
+    return f"{work_root(spark)}/wh-{hashlib.sha256(key.encode()).hexdigest()[:16]}"
 
 
 def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> None:
@@ -97,15 +116,21 @@ def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> None
     Rejects are read back from the ``rejected`` partition of that write.
     """
     spec = SPECS[name]
-    ts = F.lit(wh.run_ts).cast("timestamp")
+    ts = utc(wh.run_ts)
     tagged = ingest.prepare(feed, name)
     landed = tagged.withColumn(STATUS, F.when(is_valid(), F.lit("valid")).otherwise(F.lit("rejected")))
     if not wh.store.exists("raw", name):
         first = landed.withColumns({"created_at": ts, "updated_at": ts})
-        wh.store.write(first, "raw", name, partition_by=[STATUS])
+        path = wh.store.write(first, "raw", name, partition_by=[STATUS])
+        if not wh.store.is_tagged(path):
+            # an empty feed leaves no partition and so no schema to read
+            wh.store.write(wh.spark.createDataFrame([], first.drop(STATUS, *TAG_COLUMNS).schema), "raw", name)
+            return
         batch = wh.store.read_batch("raw", name)
     else:
-        wh.store.write(landed, "landing", name, partition_by=[STATUS])
+        path = wh.store.write(landed, "landing", name, partition_by=[STATUS])
+        if not wh.store.is_tagged(path):
+            return  # an empty feed changes nothing
         batch = wh.store.read_batch("landing", name)
         # only columns the feed really has overwrite stored values (a missing
         # discount column counts as present: it defaults to 0 before loading)
@@ -119,11 +144,16 @@ def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> None
 
 
 def last_batch(wh: Warehouse, name: str) -> DataFrame:
-    """The most recent tagged batch of a table (initial load or landing)."""
-    raw_path = wh.store.current_path("raw", name)
-    if raw_path is not None and wh.store.is_tagged(raw_path):
-        return wh.store.read_batch("raw", name)
-    return wh.store.read_batch("landing", name)
+    """The most recent tagged batch of a table: its first load or the last landed
+    feed; no rows if that feed was empty."""
+    for layer in ("landing", "raw"):
+        path = wh.store.current_path(layer, name)
+        if path is not None and wh.store.is_tagged(path):
+            return wh.store.read_batch(layer, name)
+        if path is not None and layer == "landing":
+            break
+    first = wh.raw(name).limit(0)
+    return first.withColumns({STATUS: F.lit("valid"), REASON: F.lit(""), REASONS: F.array().cast("array<string>")})
 
 
 def build_marts(wh: Warehouse, lap=None) -> None:
@@ -156,20 +186,21 @@ def build(
     run_ts: dt.datetime = DEFAULT_RUN_TS,
 ) -> Warehouse:
     tune(spark)
-    root = root or _root_for(spark, sf_dir, calendar)
+    root = root or _root_for(spark, sf_dir, calendar, input_state(spark, sf_dir))
     wh = Warehouse(spark, root, sf_dir, calendar, run_ts)
     from tillroll.plans.pipeline import run_pipeline
 
     feeds = {name: (lambda n=name: wh.feed(n)) for name in ingest.TABLE_ORDER}
     wh.last_run = run_pipeline(wh, feeds)
-    fs.write_text(spark, f"{root}/_COMPLETE", "ok")
+    fs.write_text(spark, f"{root}/_COMPLETE", wh.last_run.status)
     return wh
 
 
 def register(wh: Warehouse) -> None:
     """Make ``wh`` the warehouse ``open_warehouse`` returns for its input."""
+    state = input_state(wh.spark, wh.sf_dir)
     with _LOCK:
-        _OPEN[(id(wh.spark), f"{wh.sf_dir}|{wh.calendar}")] = wh
+        _OPEN[(id(wh.spark), f"{wh.sf_dir}|{wh.calendar}")] = (state, wh)
 
 
 def open_warehouse(
@@ -177,15 +208,17 @@ def open_warehouse(
     sf_dir: str,
     calendar: tuple[dt.date, dt.date] = marts.FIXTURE_CALENDAR,
 ) -> Warehouse:
-    """The completed warehouse for ``sf_dir``; built on first use."""
+    """The completed warehouse for ``sf_dir`` as its tables are now: built on first
+    use, and again when an input table was replaced."""
     key = (id(spark), f"{sf_dir}|{calendar}")
+    state = input_state(spark, sf_dir)
     with _LOCK:
-        wh = _OPEN.get(key)
-        if wh is not None:
+        known, wh = _OPEN.get(key, (None, None))
+        if known == state:
             return wh
         # an unfinished earlier attempt leaves uncommitted folders; a new
         # attempt goes to a fresh folder so nothing half-written is reused
-        base = _root_for(spark, sf_dir, calendar)
+        base = _root_for(spark, sf_dir, calendar, state)
         attempt, i = base, 0
         while fs.exists(spark, attempt) and not fs.exists(spark, f"{attempt}/_COMPLETE"):
             i += 1
@@ -194,7 +227,9 @@ def open_warehouse(
             wh = Warehouse(spark, attempt, sf_dir, calendar)
         else:
             wh = build(spark, sf_dir, attempt, calendar)
-        _OPEN[key] = wh
+        if wh.status != "success":
+            log.warning("the build of %s ended as %s; see audit.model_test_results", sf_dir, wh.status)
+        _OPEN[key] = (state, wh)
         return wh
 
 

@@ -57,11 +57,12 @@ def test_fits_broadcast_declines_big_estimates_without_a_job(spark, monkeypatch)
     import tillroll.operators.joins as J
 
     df = spark.range(0, 100)
-    assert J.fits_broadcast(df, max_rows=1000) is True
+    assert J.fits_broadcast(df, max_bytes=100_000) is True
+    assert J.fits_broadcast(df, max_bytes=1_000) is False
     monkeypatch.setattr(J, "NO_PROOF_NEEDED_BYTES", 1)
     calls = []
-    monkeypatch.setattr(type(df), "count", lambda self: calls.append(1) or 0)
-    assert J.fits_broadcast(spark.range(0, 101), max_rows=1000) is False and not calls
+    monkeypatch.setattr(J, "measured_bytes", lambda df: calls.append(1) or 0)
+    assert J.fits_broadcast(spark.range(0, 101), max_bytes=2) is False and not calls
 
 
 def test_dense_key_balances_a_hot_order(spark):

@@ -28,7 +28,7 @@ def small_path_results(spark):
 
 def test_shuffle_paths_match_broadcast_paths(spark, small_path_results):
     qs = E.queries()
-    spark.conf.set("tillroll.broadcast.maxRows", "0")
+    spark.conf.set("tillroll.broadcast.maxBytes", "0")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
@@ -39,6 +39,6 @@ def test_shuffle_paths_match_broadcast_paths(spark, small_path_results):
                 assert "BroadcastHashJoin" not in plan or q == "model_tests", q
             assert _rows(df) == small_path_results[q], q
     finally:
-        spark.conf.unset("tillroll.broadcast.maxRows")
+        spark.conf.unset("tillroll.broadcast.maxBytes")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -56,10 +56,10 @@ def test_ledger_watermark_moves_after_success(spark, tmp_path):
     r1 = ledger.start_pipeline_run(store, "p", None, at=dt.datetime(2024, 1, 1))
     ledger.finish_pipeline_run(store, r1, "success", 10, watermark_end=dt.datetime(2024, 1, 1, 1),
                                at=dt.datetime(2024, 1, 1, 1))
-    assert ledger.get_last_successful_watermark(store, "p") == dt.datetime(2024, 1, 1, 1)
+    assert ledger.get_last_successful_watermark(store, "p") == dt.datetime(2024, 1, 1, 1, tzinfo=dt.timezone.utc)
     r2 = ledger.start_pipeline_run(store, "p", dt.datetime(2024, 1, 1, 1), at=dt.datetime(2024, 1, 2))
     ledger.finish_pipeline_run(store, r2, "failed", at=dt.datetime(2024, 1, 2, 1))
-    assert ledger.get_last_successful_watermark(store, "p") == dt.datetime(2024, 1, 1, 1)
+    assert ledger.get_last_successful_watermark(store, "p") == dt.datetime(2024, 1, 1, 1, tzinfo=dt.timezone.utc)
     runs = {r.run_id: r for r in ledger.pipeline_runs(ledger._events(store)).collect()}
     assert runs[r2].status == "failed" and runs[r2].watermark_start == dt.datetime(2024, 1, 1, 1)
 
@@ -91,14 +91,14 @@ def test_upsert_large_batch_path_matches_small_batch_path(spark, tmp_path):
     results = []
     for bound in (None, "0"):
         if bound:
-            spark.conf.set("tillroll.broadcast.maxRows", bound)  # batch keys "too big": full outer path
+            spark.conf.set("tillroll.broadcast.maxBytes", bound)  # batch keys "too big": full outer path
         try:
             store = TableStore(spark, str(tmp_path / f"wh{bound}"))
             store.upsert(base, "customers", ["customer_id"], CUSTOMERS.struct(), dt.datetime(2024, 1, 1))
             out = store.upsert(batch, "customers", ["customer_id"], CUSTOMERS.struct(), dt.datetime(2024, 1, 2))
             results.append(sorted(tuple(r) for r in out.collect()))
         finally:
-            spark.conf.unset("tillroll.broadcast.maxRows")
+            spark.conf.unset("tillroll.broadcast.maxBytes")
     assert results[0] == results[1]
     rows = {r[0]: r for r in results[0]}
     assert len(rows) == 30 and rows[15][2] == "L15-v2" and rows[15][5] == "C15" and rows[25][5] is None

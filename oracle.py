@@ -516,6 +516,59 @@ def _extra_sql() -> dict[str, str]:
     q["incremental_orders"] = """
         SELECT order_id, customer_id, store_id, order_date, order_status
         FROM ord_tagged WHERE ok AND updated_at > TIMESTAMP '1999-01-01 00:00:00'"""
+    def outcome(table: str, source: str, rules: list[tuple[str, str]]) -> str:
+        return f"SELECT '{table}' AS table_name, {_case(rules)} AS reason, count(*) AS n_rows FROM {source} GROUP BY ALL"
+
+    q["csv_customers"] = """SELECT customer_id, 'A "quoted", ' || first_name AS first_name, last_name, email, signup_date FROM raw_customers"""
+    q["json_payments"] = "SELECT payment_id, order_id, amount, payment_status, payment_date FROM raw_payments"
+    q["products_fallback"] = "SELECT product_id, product_name, category, price, 'csv:products.csv' AS source FROM raw_products"
+    q["appended_parts"] = "SELECT p_partkey, p_name, p_size FROM part"
+    q["quality_results"] = (
+        "SELECT 7::BIGINT AS pipeline_run_id, table_name, check_name, status, failed_rows, '2024-01-01 00:00:00' AS checked_at "
+        f"FROM ({q['quality_checks']}) AS c"
+    )
+    q["reject_payloads"] = """
+        SELECT order_id::VARCHAR AS order_id, f.order_date, 'null in required column order_date' AS reason
+        FROM feed_orders f WHERE TRY_CAST(order_date AS DATE) IS NULL"""
+    q["title_case_parts"] = """
+        SELECT p_partkey, upper(p_name) AS upper,
+               array_to_string([upper(w[1]) || lower(w[2:]) FOR w IN string_split(p_name, ' ')], ' ') AS title FROM part"""
+    q["numbers_from_text"] = """
+        SELECT count(*) FILTER (WHERE l_orderkey % 7 <> 0) AS n_numbers,
+               (sum(floor(l_extendedprice * 100 + 0.5)::BIGINT) FILTER (WHERE l_orderkey % 7 <> 0))::BIGINT AS cents,
+               count(*) FILTER (WHERE l_orderkey % 5 <> 0) AS n_days,
+               min(l_shipdate::DATE) FILTER (WHERE l_orderkey % 5 <> 0) AS first_day,
+               max(l_shipdate::DATE) FILTER (WHERE l_orderkey % 5 <> 0) AS last_day
+        FROM lineitem"""
+    q["default_discount_items"] = outcome("order_items", """(
+          SELECT order_id % 41 = 3 AS big, quantity, unit_price FROM (
+            SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY l_partkey, l_suppkey, l_shipdate, quantity, unit_price,
+                                         (discount IS NOT NULL), discount NULLS FIRST, l_tax) AS copy FROM feed_items) WHERE copy = 1)""", [
+        ("NOT big AND quantity <= 0", "quantity must be greater than 0"),
+        ("NOT big AND unit_price < 0", "unit_price must not be negative"),
+        ("big", "quantity * unit_price is out of range"),
+    ])
+    q["orders_without_date"] = "SELECT 'orders' AS table_name, 'Missing required columns: [''order_date'']' AS reason, count(*) AS n_rows FROM feed_orders"
+    q["stores_without_name"] = outcome("stores", "feed_stores", [("store_id % 10 = 3", "missing store_id or store_name")])
+    q["invalid_order_dates"] = f"SELECT {_case([('TRY_CAST(order_date AS DATE) IS NULL', 'order_date is not a valid date')])} AS reason, count(*) AS n_rows FROM feed_orders GROUP BY ALL"
+    q["duplicate_lines"] = """
+        SELECT l_orderkey, 'duplicate l_orderkey' AS reason, count(*) - 1 AS n_rows
+        FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice FROM lineitem)
+        GROUP BY l_orderkey HAVING count(*) > 1"""
+    q["padded_calendar"] = """
+        SELECT DISTINCT o_orderdate::DATE AS full_date, rpad(strftime(o_orderdate, '%B'), 9, ' ') AS month_name,
+               rpad(strftime(o_orderdate, '%A'), 9, ' ') AS day_name FROM orders"""
+    q["order_calendar"] = """
+        SELECT strftime(full_date, '%Y%m%d')::INTEGER AS date_key, full_date, year(full_date)::INTEGER AS year,
+               quarter(full_date)::INTEGER AS quarter, month(full_date)::INTEGER AS month, strftime(full_date, '%B') AS month_name,
+               day(full_date)::INTEGER AS day, (isodow(full_date) - 1)::INTEGER AS day_of_week, strftime(full_date, '%A') AS day_name,
+               isodow(full_date) > 5 AS is_weekend
+        FROM (SELECT unnest(generate_series(make_date(min(year(order_date)), 1, 1), make_date(max(year(order_date)), 12, 31), INTERVAL 1 DAY))::DATE AS full_date
+              FROM raw_orders)"""
+    q["pipeline_outcome"] = f"""
+        SELECT 'full-pipeline' AS pipeline_name, CASE WHEN (SELECT count(*) FROM ({q['model_tests']}) WHERE status = 'fail') > 0 THEN 'failed' ELSE 'success' END AS status,
+               ({' + '.join(f'(SELECT count(*) FROM {cte} WHERE ok)' for cte in _TAGGED.values())})::BIGINT AS records_processed,
+               '2024-01-01 00:00:00' AS started_at, '2024-01-01 00:00:00' AS watermark_end"""
     q["streamed_orders"] = "SELECT order_id, customer_id, store_id, order_date, order_status FROM raw_orders"
     return q
 

@@ -65,6 +65,14 @@ def dim_date(
     )
 
 
+def dim_date_of(rows: DataFrame, column: str, pad_names: bool = False) -> DataFrame:
+    """Calendar of the whole years between the smallest and the largest date of a
+    column; no days where it holds none."""
+    years = rows.agg(F.trunc(F.min(column), "year").alias("a"), F.last_day(F.add_months(F.trunc(F.max(column), "year"), 11)).alias("b"))
+    days = years.where("a is not null").select(F.explode(F.sequence("a", "b")).alias("d"))
+    return days.select(*[c.alias(n) for n, c in calendar_attributes(F.col("d"), pad_names).items()])
+
+
 def latest_payment(stg_payments: DataFrame) -> DataFrame:
     """W-3: per order the status of the latest attempt
     (payment_date desc nulls last, payment_id desc)."""

@@ -5,8 +5,8 @@ one Spark SQL statement, as dbt compiles tests to SQL. Per model, all
 ``not_null``, ``accepted_values`` and ``relationships`` tests become ONE
 aggregate over one scan (relationships as left joins against the parent's
 distinct keys, broadcast only when proven small; otherwise a shuffle anti
-join); the ``unique`` tests of all models share ONE group-by. Failure counts follow dbt's test
-queries: rows for not_null / relationships, duplicated values for unique,
+join); the ``unique`` tests of all models share one group-by per type of key. Failure
+counts: rows for not_null / relationships, duplicated values for unique,
 distinct offending values for accepted_values.
 """
 
@@ -17,6 +17,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tillroll.operators.joins import fits_broadcast
 from tillroll.schemas import VALID_PAYMENT_STATUSES
@@ -144,17 +145,22 @@ def _compile(models: Mapping[str, DataFrame], view: Mapping[str, str], tests, si
                     )
         if items:
             parts.append(_rows_sql(model, items, source, hints))
-    # every unique test of every model in ONE shuffle: (test id, value) pairs
+    # the unique tests of all models in one shuffle per type of key: (test id, key)
+    # pairs, integers as longs, dates as dates, all else as text
     uniques = [t for t in tests if t.kind == "unique"]
     if uniques:
-        by_m: dict[str, list[tuple[int, ModelTest]]] = {}
+        by_type: dict[str, dict[str, list[tuple[int, ModelTest]]]] = {}
         for gid, t in enumerate(uniques):
-            by_m.setdefault(t.model, []).append((gid, t))
-        pairs = " UNION ALL ".join(
-            "SELECT explode(array(" + ", ".join(
-                f"named_struct('i', {gid}, 'v', CAST({_q(t.column)} AS STRING))" for gid, t in items
-            ) + f")) AS p FROM {view[m]}"
-            for m, items in by_m.items()
+            kind = _key_type(models[t.model].schema[t.column].dataType)
+            by_type.setdefault(kind, {}).setdefault(t.model, []).append((gid, t))
+        repeated = " UNION ALL ".join(
+            f"SELECT p.i, count(*) AS n FROM (SELECT p.i, p.v FROM (" + " UNION ALL ".join(
+                "SELECT explode(array(" + ", ".join(
+                    f"named_struct('i', {gid}, 'v', CAST({_q(t.column)} AS {kind}))" for gid, t in items
+                ) + f")) AS p FROM {view[m]}"
+                for m, items in by_m.items()
+            ) + ") AS e WHERE p.v IS NOT NULL GROUP BY p.i, p.v HAVING count(*) > 1) AS p GROUP BY p.i"
+            for kind, by_m in by_type.items()
         )
         meta = ", ".join(
             f"({gid}, {_lit(t.model)}, {_lit(t.column)}, {_lit(t.name)}, {_lit(t.severity)})"
@@ -162,9 +168,7 @@ def _compile(models: Mapping[str, DataFrame], view: Mapping[str, str], tests, si
         )
         parts.append(
             f"SELECT m.model, m.column_name, m.test_name, m.severity, coalesce(d.n, 0) AS failures "
-            f"FROM (VALUES {meta}) AS m(i, model, column_name, test_name, severity) LEFT JOIN ("
-            f"SELECT i, count(*) AS n FROM (SELECT p.i, p.v FROM ({pairs}) AS e "
-            f"WHERE p.v IS NOT NULL GROUP BY p.i, p.v HAVING count(*) > 1) AS g GROUP BY i) AS d ON m.i = d.i"
+            f"FROM (VALUES {meta}) AS m(i, model, column_name, test_name, severity) LEFT JOIN ({repeated}) AS d ON m.i = d.i"
         )
     if singular:
         f, o = view["fact_sales"], view["stg_orders"]
@@ -189,6 +193,12 @@ def _compile(models: Mapping[str, DataFrame], view: Mapping[str, str], tests, si
             f"AS status FROM ({body}) AS r")
 
 
+def _key_type(kind: T.DataType) -> str:
+    if isinstance(kind, T.IntegralType):
+        return "BIGINT"
+    return "DATE" if isinstance(kind, T.DateType) else "STRING"
+
+
 def run_model_tests(models: Mapping[str, DataFrame], tests=GENERIC_TESTS, singular: bool = True) -> DataFrame:
     """(model, column_name, test_name, severity, failures, status) per test.
 

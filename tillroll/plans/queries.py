@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.rules import is_valid
-from tillroll.plans import checks, ingest, ledger, marts, model_tests
+from tillroll.plans import checks, feature_queries, ingest, ledger, marts, model_tests
 from tillroll.plans.pipeline import models_of
 from tillroll.plans.warehouse import STATUS, Warehouse, last_batch, open_warehouse
 from tillroll.schemas import SPECS
@@ -194,3 +194,5 @@ QUERIES = {
     "incremental_orders": incremental_orders,
     "streamed_orders": streamed_orders,
 }
+
+QUERIES.update(feature_queries.QUERIES)

@@ -39,7 +39,9 @@ PATTERNS = {
     "ssn": rf"{_LEFT}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_RIGHT}(?!-[0-9])",
     "card": rf"{_LEFT}(?:{_CARD}){_RIGHT}",
 }
-ANY = "|".join(PATTERNS.values())
+#: numbers and dates begin with one of few characters; asked first, that spares most positions
+NUMBERS = "(?=[0-9(+])(?:" + "|".join(p for k, p in PATTERNS.items() if k != "email") + ")"
+ANY = f"{PATTERNS['email']}|{NUMBERS}"
 
 
 def _long(text: Column) -> Column:
@@ -50,22 +52,30 @@ def _div(x: Column, by: Column) -> Column:
     return F.call_function("div", x, by)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once. Inside array functions Spark
+    shares no common expressions, so a name used twice would be computed twice."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def feistel(x: Column, a: Column, b: Column, key: str, tweak: Column) -> Column:
     """A keyed permutation of 0 ... a * b - 1 (all longs)."""
     def f(i: Column, half: Column) -> Column:
         h = F.sha2(F.concat_ws(":", F.lit(key), tweak, i.cast("string"), half.cast("string")), 256)
         return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
 
-    def step(s: Column, i: Column) -> Column:
-        even = i % 2 == 0
-        return F.struct(
-            F.when(even, F.pmod(s["l"] + F.pmod(f(i, s["r"]), a), a)).otherwise(s["l"]).alias("l"),
-            F.when(even, s["r"]).otherwise(F.pmod(s["r"] + F.pmod(f(i, s["l"]), b), b)).alias("r"),
-        )
+    def network(v: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            even = i % 2 == 0
+            return F.struct(
+                F.when(even, F.pmod(s["l"] + F.pmod(f(i, s["r"]), v["a"]), v["a"])).otherwise(s["l"]).alias("l"),
+                F.when(even, s["r"]).otherwise(F.pmod(s["r"] + F.pmod(f(i, s["l"]), v["b"]), v["b"])).alias("r"),
+            )
+
+        start = F.struct(_div(v["x"], v["b"]).alias("l"), F.pmod(v["x"], v["b"]).alias("r"))
+        return F.aggregate(F.array(*[F.lit(i) for i in range(ROUNDS)]), start, step, lambda s: s["l"] * v["b"] + s["r"])
 
-    start = F.struct(_div(x, b).alias("l"), F.pmod(x, b).alias("r"))
-    rounds = F.array(*[F.lit(i) for i in range(ROUNDS)])
-    return F.aggregate(rounds, start, step, lambda s: s["l"] * b + s["r"])
+    return _let(F.struct(x.alias("x"), a.alias("a"), b.alias("b")), network)
 
 
 def _digits(m: Column) -> Column:
@@ -74,25 +84,26 @@ def _digits(m: Column) -> Column:
 
 def _refill(m: Column, digits: Column) -> Column:
     """``m`` with its digits replaced in order."""
-    return F.aggregate(
+    return _let(digits, lambda own: F.aggregate(
         F.split(m, "(?!^)"),
         F.struct(F.lit("").alias("out"), F.lit(1).alias("i")),
         lambda s, c: F.when(
-            c.rlike("^[0-9]$"), F.struct(F.concat(s["out"], F.substring(digits, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))
+            c.rlike("^[0-9]$"), F.struct(F.concat(s["out"], F.substring(own, s["i"], F.lit(1))).alias("out"), (s["i"] + 1).alias("i"))
         ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["i"].alias("i"))),
         lambda s: s["out"],
-    )
+    ))
 
 
 def _luhn_sum(digits: Column, doubled_from_right: int) -> Column:
     """Sum of digits, every second one doubled, beginning with the given parity."""
-    n = F.length(digits)
+    def total(own: Column) -> Column:
+        def add(acc: Column, i: Column) -> Column:
+            d = F.substring(own, F.length(own) + 1 - i, F.lit(1)).cast("int") * F.when(i % 2 == doubled_from_right % 2, 2).otherwise(1)
+            return acc + d - F.when(d > 9, 9).otherwise(0)
 
-    def add(acc: Column, i: Column) -> Column:
-        d = F.substring(digits, n + 1 - i, F.lit(1)).cast("int") * F.when(i % 2 == doubled_from_right % 2, 2).otherwise(1)
-        return acc + d - F.when(d > 9, 9).otherwise(0)
+        return F.aggregate(F.sequence(F.lit(1), F.length(own)), F.lit(0), add)
 
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
+    return _let(digits, total)
 
 
 def _ten(n: Column) -> Column:
@@ -100,47 +111,57 @@ def _ten(n: Column) -> Column:
 
 
 def _card(m: Column, key: str) -> Column:
-    digits = _digits(m)
-    n = F.length(digits) - 2
-    inner = F.substring(digits, F.lit(2), n)
-    left = _div(n, F.lit(2)).cast("int")
-    moved = feistel(_long(inner), _ten(n - left), _ten(left), key, F.concat(F.lit("card"), F.substring(digits, 1, 1), n.cast("string")))
-    body = F.concat(F.substring(digits, 1, 1), F.lpad(moved.cast("string"), n, "0"))
-    check = F.pmod(10 - F.pmod(_luhn_sum(body, 1), F.lit(10)), F.lit(10))
-    return _refill(m, F.concat(body, check.cast("string")))
+    def moved(digits: Column) -> Column:
+        n = F.length(digits) - 2
+        left = _div(n, F.lit(2)).cast("int")
+        inner = feistel(_long(F.substring(digits, F.lit(2), n)), _ten(n - left), _ten(left), key,
+                        F.concat(F.lit("card"), F.substring(digits, 1, 1), n.cast("string")))
+        return F.concat(F.substring(digits, 1, 1), F.lpad(inner.cast("string"), n, "0"))
+
+    def checked(body: Column) -> Column:
+        return F.concat(body, F.pmod(10 - F.pmod(_luhn_sum(body, 1), F.lit(10)), F.lit(10)).cast("string"))
+
+    return _refill(m, _let(_let(_digits(m), moved), checked))
 
 
 def _phone(m: Column, key: str) -> Column:
+    def moved(d: Column) -> Column:
+        part = lambda a, n: _long(F.substring(d, a, n))
+        x = ((part(1, 3) - 200) * 800 + part(4, 3) - 200) * 10000 + part(7, 4)
+        return feistel(x, F.lit(80000).cast("long"), F.lit(80000).cast("long"), key, F.lit("phone"))
+
+    def shown(y: Column) -> Column:
+        return (_div(y, F.lit(8_000_000)) + 200) * 10_000_000 + (_div(F.pmod(y, F.lit(8_000_000)), F.lit(10_000)) + 200) * 10_000 + F.pmod(y, F.lit(10000))
+
     country = F.regexp_extract(m, r"^(\+1[ .-]?)?", 0)
-    rest = F.substring(m, F.length(country) + 1, F.length(m))
-    d = _digits(rest)
-    part = lambda a, n: _long(F.substring(d, a, n))
-    x = ((part(1, 3) - 200) * 800 + part(4, 3) - 200) * 10000 + part(7, 4)
-    y = feistel(x, F.lit(80000).cast("long"), F.lit(80000).cast("long"), key, F.lit("phone"))
-    shown = (_div(y, F.lit(8_000_000)) + 200) * 10_000_000 + (_div(F.pmod(y, F.lit(8_000_000)), F.lit(10_000)) + 200) * 10_000 + F.pmod(y, F.lit(10000))
-    return F.concat(country, _refill(rest, shown.cast("long").cast("string")))
+    rest = F.regexp_replace(m, r"^\+1[ .-]?", "")
+    digits = _let(_let(_digits(rest), moved), lambda y: shown(y).cast("long").cast("string"))
+    return F.concat(country, _refill(rest, digits))
 
 
-def _octet(m: Column, i: int) -> Column:
-    return _long(F.element_at(F.split(m, r"\."), i))
+def _octets(m: Column) -> Column:
+    return F.transform(F.split(m, r"\."), _long)
 
 
 def _ip(m: Column, key: str) -> Column:
-    x = ((_octet(m, 1) * 256 + _octet(m, 2)) * 256 + _octet(m, 3)) * 256 + _octet(m, 4)
+    x = F.aggregate(_octets(m), F.lit(0).cast("long"), lambda acc, o: acc * 256 + o)
     y = feistel(x, F.lit(65536).cast("long"), F.lit(65536).cast("long"), key, F.lit("ip"))
-    return F.concat_ws(".", *[F.shiftright(y, s).bitwiseAND(F.lit(255)).cast("string") for s in (24, 16, 8, 0)])
+    return _let(y, lambda v: F.concat_ws(".", *[F.shiftright(v, s).bitwiseAND(F.lit(255)).cast("string") for s in (24, 16, 8, 0)]))
 
 
 def _ssn(m: Column, key: str) -> Column:
     area = _long(F.substring(m, 1, 3))
     area = area - F.when(area > 666, 2).otherwise(1)
     x = (area * 99 + _long(F.substring(m, 5, 2)) - 1) * 9999 + _long(F.substring(m, 8, 4)) - 1
-    y = feistel(x, F.lit(898 * 99).cast("long"), F.lit(9999).cast("long"), key, F.lit("ssn"))
-    high = _div(y, F.lit(9999))
-    out = _div(high, F.lit(99))
-    out = out + F.when(out >= 665, 2).otherwise(1)
-    return F.concat_ws("-", F.lpad(out.cast("string"), 3, "0"), F.lpad((F.pmod(high, F.lit(99)) + 1).cast("string"), 2, "0"),
-                       F.lpad((F.pmod(y, F.lit(9999)) + 1).cast("string"), 4, "0"))
+
+    def shown(y: Column) -> Column:
+        high = _div(y, F.lit(9999))
+        out = _div(high, F.lit(99))
+        out = out + F.when(out >= 665, 2).otherwise(1)
+        return F.concat_ws("-", F.lpad(out.cast("string"), 3, "0"), F.lpad((F.pmod(high, F.lit(99)) + 1).cast("string"), 2, "0"),
+                           F.lpad((F.pmod(y, F.lit(9999)) + 1).cast("string"), 4, "0"))
+
+    return _let(feistel(x, F.lit(898 * 99).cast("long"), F.lit(9999).cast("long"), key, F.lit("ssn")), shown)
 
 
 def _day(m: Column) -> Column:
@@ -157,11 +178,11 @@ def _date(m: Column, key: str) -> Column:
     x = F.datediff(_day(m), base).cast("long")
     y = F.date_add(base, feistel(x, F.lit(189).cast("long"), F.lit(773).cast("long"), key, F.lit("date")).cast("int"))
     day_first = F.try_to_date(F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)), "yyyy-MM-dd").isNotNull()
-    return (
-        F.when(F.substring(m, 5, 1) == "-", F.date_format(y, "yyyy-MM-dd"))
-        .when(F.substring(m, 3, 1) == ".", F.date_format(y, "dd.MM.yyyy"))
-        .when(day_first, F.date_format(y, "dd/MM/yyyy")).otherwise(F.date_format(y, "MM/dd/yyyy"))
-    )
+    return _let(y, lambda d: (
+        F.when(F.substring(m, 5, 1) == "-", F.date_format(d, "yyyy-MM-dd"))
+        .when(F.substring(m, 3, 1) == ".", F.date_format(d, "dd.MM.yyyy"))
+        .when(day_first, F.date_format(d, "dd/MM/yyyy")).otherwise(F.date_format(d, "MM/dd/yyyy"))
+    ))
 
 
 def _email(m: Column, key: str) -> Column:
@@ -179,25 +200,37 @@ def kind_of(m: Column) -> Column:
         "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
         "card": _CARD,
     }.items()}
-    octets = _octet(m, 1)
-    for i in (2, 3, 4):
-        octets = F.greatest(octets, _octet(m, i))
     return (
         F.when(F.contains(m, F.lit("@")), F.lit("email"))
         .when(shape["date"], F.when(F.year(_day(m)).between(1800, 2199), F.lit("date")))
-        .when(shape["ip"], F.when(octets <= 255, F.lit("ip")))
+        .when(shape["ip"], F.when(F.array_max(_octets(m)) <= 255, F.lit("ip")))
         .when(shape["phone"], F.when(m.rlike(r"^(?:\+1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-]?[2-9]"), F.lit("phone")))
         .when(shape["ssn"], F.when(m.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"), F.lit("ssn")))
         .when(shape["card"], F.when((_luhn_sum(digits, 0) % 10 == 0) & ~digits.rlike("^(.)\\1+$"), F.lit("card")))
     )
 
 
-def pseudonym(m: Column, key: str) -> Column:
-    kind = kind_of(m)
-    return (
-        F.when(kind == "email", _email(m, key)).when(kind == "date", _date(m, key)).when(kind == "ip", _ip(m, key))
-        .when(kind == "phone", _phone(m, key)).when(kind == "ssn", _ssn(m, key)).when(kind == "card", _card(m, key)).otherwise(m)
+def pseudonym(m: Column, key: str, kind: Column | None = None) -> Column:
+    def of(k: Column) -> Column:
+        return (
+            F.when(k == "email", _email(m, key)).when(k == "date", _date(m, key)).when(k == "ip", _ip(m, key))
+            .when(k == "phone", _phone(m, key)).when(k == "ssn", _ssn(m, key)).when(k == "card", _card(m, key)).otherwise(m)
+        )
+
+    return _let(kind_of(m), of) if kind is None else of(kind)
+
+
+def _replaced(text: Column, pattern: str, any_: Column, key: str) -> tuple[Column, Column]:
+    """``text`` with every match replaced, and the kinds of the matches (an empty
+    array where ``any_`` says that there is none)."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
+    rebuilt = F.concat(
+        F.element_at(gaps, 1),
+        F.array_join(F.zip_with(found, F.slice(gaps, 2, F.size(found)), lambda m, g: F.concat(pseudonym(m, key), g)), ""),
     )
+    none = F.array().cast("array<string>")
+    return F.when(any_, rebuilt).otherwise(text), F.when(any_, F.transform(found, kind_of)).otherwise(none)
 
 
 def _is(kind: str):
@@ -211,16 +244,12 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = F
     A null text stays null, an empty one empty; values that fail validation stay;
     repeated rows give equal rows; an empty table gives an empty one.
     """
-    found = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(ANY), F.lit(0))
-    gaps = F.split(F.col(f"`{text}`"), ANY, -1)
-    rebuilt = F.concat(
-        F.element_at(gaps, 1),
-        F.array_join(F.zip_with(found, F.slice(gaps, 2, F.size(found)), lambda m, g: F.concat(pseudonym(m, key), g)), ""),
-    )
-    any_ = F.col(f"`{text}`").rlike(ANY)
-    out = {text: F.when(any_, rebuilt).otherwise(F.col(f"`{text}`"))}
+    column = F.col(f"`{text}`")
+    # e-mail addresses first: what replaces them holds no number or date
+    mail, mails = _replaced(column, PATTERNS["email"], F.contains(column, F.lit("@")), key)
+    out, numbers = _replaced(mail, NUMBERS, mail.rlike(NUMBERS), key)
+    more = {}
     if counts:
-        kinds = F.when(any_, F.transform(found, kind_of))
-        for k in PATTERNS:
-            out[f"n_{k}"] = F.coalesce(F.when(any_, F.size(F.filter(kinds, _is(k)))), F.lit(0)).cast("long")
-    return docs.withColumns(out)
+        kinds = F.concat(mails, numbers)
+        more = {f"n_{k}": F.coalesce(F.size(F.filter(kinds, _is(k))), F.lit(0)).cast("long") for k in PATTERNS}
+    return docs.withColumns({**more, text: out})

@@ -9,9 +9,7 @@ every report is a grouping of that relation, rendered from a short declaration
 
 from __future__ import annotations
 
-CALENDAR = ("1995-01-01", "2001-12-31")
-
-BASE = f"""
+BASE = """
 WITH
 feed_customers AS (
   SELECT c_custkey AS customer_id,
@@ -150,7 +148,8 @@ dim_store AS (
   FROM stg_stores),
 date_spine AS (
   SELECT CAST(d AS DATE) AS full_date
-  FROM generate_series(DATE '{CALENDAR[0]}', DATE '{CALENDAR[1]}', INTERVAL 1 DAY) AS t(d)),
+  FROM (SELECT unnest(generate_series(make_date(min(year(order_date)), 1, 1), make_date(max(year(order_date)), 12, 31), INTERVAL 1 DAY)) AS d
+        FROM raw_orders)),
 dim_date AS (
   SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_key, full_date,
          CAST(extract(year FROM full_date) AS INTEGER) AS year,

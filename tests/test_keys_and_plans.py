@@ -34,12 +34,11 @@ def test_latest_per_group_desc_nulls_last(spark):
     assert out == {1: "b", 2: "e"}
 
 
-def test_dense_key_with_offset_table(spark, monkeypatch):
+def test_dense_key_with_offset_table(spark, tmp_path):
     import tillroll.operators.keys as K
 
-    monkeypatch.setattr(K, "_LITERAL_OFFSETS", 2)
     df = spark.range(0, 3000).select(((F.col("id") * 31) % 3001).alias("k"))
-    keyed = K.dense_key(df, ["k"], "key", num_partitions=5)
+    keyed = K.dense_key(df, ["k"], "key", num_partitions=5, scratch=str(tmp_path))
     expected = df.withColumn("rn", F.row_number().over(Window.orderBy("k")))
     assert keyed.join(expected, "k").filter(F.col("key") != F.col("rn")).count() == 0
 
@@ -78,3 +77,16 @@ def test_dense_key_balances_a_hot_order(spark):
     assert sum(sizes) == n and max(sizes) < 2 * n / 8
     expected = df.withColumn("rn", F.row_number().over(Window.orderBy("order_id", "order_item_id")))
     assert keyed.join(expected, ["order_id", "order_item_id"]).filter(F.col("sale_id") != F.col("rn")).count() == 0
+
+
+def test_dense_key_runs_a_join_once(spark, tmp_path):
+    """With a scratch folder the joined rows are stored before range partitioning
+    samples them, and the keys are the same for any number of partitions."""
+    left = spark.range(0, 5000).select((F.col("id") % 700).alias("a"), F.col("id").alias("b"))
+    joined = left.join(spark.range(0, 650).select(F.col("id").alias("a"), (F.col("id") * 2).alias("c")), "a")
+    expected = {(r.a, r.b): i + 1 for i, r in enumerate(joined.orderBy("a", "b").collect())}
+    for n in (1, 4, 17):
+        keyed = dense_key(joined, ["a", "b"], "k", n, scratch=str(tmp_path / f"s{n}"))
+        assert "SortMergeJoin" not in keyed._jdf.queryExecution().optimizedPlan().toString()
+        assert {(r.a, r.b): r.k for r in keyed.collect()} == expected
+        assert (tmp_path / f"s{n}" / "input" / "_SUCCESS").exists()

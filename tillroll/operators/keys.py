@@ -1,11 +1,11 @@
 """Dense surrogate keys without a single-partition window (W-1, W-2).
 
 ``row_number() over (order by k)`` with no partition runs in one task. Here:
-range-partition on the order columns, sort within partitions, cut the lineage
-with ``checkpoint()`` so counting and numbering see identical partitions, count
-rows per partition (one small aggregate, one row per partition), and number
-each row as offset(partition) + position in partition. The position comes from
-``monotonically_increasing_id`` (partition index in the high bits, record
+range-partition on the order columns, sort within partitions, and store each row
+with its partition and position, so counting and numbering see identical
+partitions; then count rows per partition (a scan of one column, one row per
+partition) and number each row as offset(partition) + position. The position comes
+from ``monotonically_increasing_id`` (partition index in the high bits, record
 number in the low 33 bits), so numbering is a narrow projection: no second
 shuffle. Equals the global row_number when the order columns are unique.
 """
@@ -21,7 +21,6 @@ from tillroll.operators.joins import input_bytes
 
 _LOW_BITS = (1 << 33) - 1
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-_LITERAL_OFFSETS = 4096
 
 
 def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
@@ -42,37 +41,40 @@ def dense_key(
     out: str,
     num_partitions: int | None = None,
     first: bool = True,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order_cols`` order.
 
+    ``scratch`` is a shared folder of the caller's, who deletes it once the result
+    has been stored; without one the ranged rows go to a reliable checkpoint.
     ``first=True`` puts the key as the first column.
     """
-    n = num_partitions or partitions_for(df)
     order = list(order_cols)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
-    per_part = (
-        ranged.groupBy(F.spark_partition_id().alias("pid")).count().collect()
-    )  # one row per partition: bounded by the partition count, not the data
-    parts = ranged.rdd.getNumPartitions()
-    counts = [0] * parts
-    for r in per_part:
-        counts[r["pid"]] = r["count"]
-    offsets, acc = [], 0
-    for c in counts:
-        offsets.append(acc)
-        acc += c
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))
     cols = [c for c in df.columns if c != out]
-    if parts <= _LITERAL_OFFSETS:
-        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.spark_partition_id() + 1)
-        key = (offset + position + 1).cast("long").alias(out)
-        return ranged.select(key, *cols) if first else ranged.select(*cols, key)
-    # many partitions: offsets as a small table (one row per partition) joined
-    # by broadcast; pid/position are taken before the join, in the same pass
     spark = df.sparkSession
-    table = spark.createDataFrame(list(enumerate(offsets)), "_pid int, _offset long")
-    local = ranged.select(
-        F.spark_partition_id().alias("_pid"), position.alias("_pos"), *cols
-    )
-    numbered = local.join(F.broadcast(table), "_pid").withColumn(out, (F.col("_offset") + F.col("_pos") + 1).cast("long"))
+    if scratch is not None and _joins(df):
+        # range partitioning samples its input: a join would run twice
+        df = _stored(df, f"{scratch}/input")
+    ranged = df.repartitionByRange(num_partitions or partitions_for(df), *order).sortWithinPartitions(*order)
+    placed = ranged.select(
+        F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS)).alias("_pos"), *cols)
+    # place and rows are fixed together: counting and numbering see the same
+    placed = _stored(placed, f"{scratch}/ranged") if scratch is not None else placed.checkpoint(eager=True)
+    # one row per partition: bounded by the partition count, not the data
+    counts = sorted((r["_pid"], r["count"]) for r in placed.groupBy("_pid").count().collect())
+    offsets, before = [], 0
+    for pid, n in counts:
+        offsets.append((pid, before))
+        before += n
+    table = spark.createDataFrame(offsets, "_pid int, _offset long")
+    numbered = placed.join(F.broadcast(table), "_pid").withColumn(out, (F.col("_offset") + F.col("_pos") + 1).cast("long"))
     return numbered.select(out, *cols) if first else numbered.select(*cols, out)
+
+
+def _joins(df: DataFrame) -> bool:
+    return "Join" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,32 +22,30 @@ from tillroll.operators.joins import dim_join
 from tillroll.operators.keys import dense_key
 from tillroll.operators.latest import desc_nulls_last, latest_per_group
 
-# The reference's calendar is 2023-01-01 .. 2027-12-31; it is a parameter
-# here because the fixture orders run 1995 .. 2001.
+# Fixed value: the default range of a calendar that is generated on its own
 REFERENCE_CALENDAR = (dt.date(2023, 1, 1), dt.date(2027, 12, 31))
-FIXTURE_CALENDAR = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 
 
 _now = utc
 
 
-def dim_customer(stg_customers: DataFrame, run_ts: dt.datetime, num_partitions: int | None = None) -> DataFrame:
+def dim_customer(stg_customers: DataFrame, run_ts: dt.datetime, num_partitions: int | None = None, scratch: str | None = None) -> DataFrame:
     base = stg_customers.select(
         "customer_id", "first_name", "last_name", "email", "city", "state", "country", "signup_date"
     )
-    keyed = dense_key(base, ["customer_id"], "customer_key", num_partitions)
+    keyed = dense_key(base, ["customer_id"], "customer_key", num_partitions, scratch=scratch)
     return keyed.withColumns({"created_at": _now(run_ts), "updated_at": _now(run_ts)})
 
 
-def dim_product(stg_products: DataFrame, run_ts: dt.datetime, num_partitions: int | None = None) -> DataFrame:
+def dim_product(stg_products: DataFrame, run_ts: dt.datetime, num_partitions: int | None = None, scratch: str | None = None) -> DataFrame:
     base = stg_products.select("product_id", "product_name", "category", "price")
-    keyed = dense_key(base, ["product_id"], "product_key", num_partitions)
+    keyed = dense_key(base, ["product_id"], "product_key", num_partitions, scratch=scratch)
     return keyed.withColumns({"created_at": _now(run_ts), "updated_at": _now(run_ts)})
 
 
-def dim_store(stg_stores: DataFrame, run_ts: dt.datetime, num_partitions: int | None = None) -> DataFrame:
+def dim_store(stg_stores: DataFrame, run_ts: dt.datetime, num_partitions: int | None = None, scratch: str | None = None) -> DataFrame:
     base = stg_stores.select("store_id", "store_name", "city", "state", "country")
-    keyed = dense_key(base, ["store_id"], "store_key", num_partitions)
+    keyed = dense_key(base, ["store_id"], "store_key", num_partitions, scratch=scratch)
     return keyed.withColumns({"created_at": _now(run_ts), "updated_at": _now(run_ts)})
 
 
@@ -125,9 +123,9 @@ def fact_lines(
     )
 
 
-def fact_sales(lines: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def fact_sales(lines: DataFrame, num_partitions: int | None = None, scratch: str | None = None) -> DataFrame:
     """M-5: number the lines by (order_id, order_item_id) -> sale_id."""
-    return dense_key(lines, ["order_id", "order_item_id"], "sale_id", num_partitions)
+    return dense_key(lines, ["order_id", "order_item_id"], "sale_id", num_partitions, scratch=scratch)
 
 
 def int_order_metrics(stg_order_items: DataFrame) -> DataFrame:

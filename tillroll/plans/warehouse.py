@@ -16,6 +16,7 @@ import datetime as dt
 import hashlib
 import logging
 import threading
+import uuid
 from pathlib import Path
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -54,7 +55,8 @@ class Warehouse:
     spark: SparkSession
     root: str
     sf_dir: str
-    calendar: tuple[dt.date, dt.date] = marts.FIXTURE_CALENDAR
+    # first and last day of dim_date; None: the whole years that the orders span
+    calendar: tuple[dt.date, dt.date] | None = None
     run_ts: dt.datetime = DEFAULT_RUN_TS
     store: TableStore = field(init=False)
     last_run: object = None
@@ -103,7 +105,7 @@ def input_state(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _root_for(spark: SparkSession, sf_dir: str, calendar, state: str) -> str:
-    key = f"{sf_dir.rstrip('/')}|{calendar[0]}|{calendar[1]}|{BUILD_VERSION}|{state}"
+    key = f"{sf_dir.rstrip('/')}|{calendar}|{BUILD_VERSION}|{state}"
     return f"{work_root(spark)}/wh-{hashlib.sha256(key.encode()).hexdigest()[:16]}"
 
 
@@ -158,22 +160,29 @@ def last_batch(wh: Warehouse, name: str) -> DataFrame:
 
 def build_marts(wh: Warehouse, lap=None) -> None:
     stg = wh.stg()
+    scratch = f"{wh.root}/scratch/{uuid.uuid4().hex[:12]}"
     jobs = {
-        "dim_customer": lambda: marts.dim_customer(stg["customers"], wh.run_ts),
-        "dim_product": lambda: marts.dim_product(stg["products"], wh.run_ts),
-        "dim_store": lambda: marts.dim_store(stg["stores"], wh.run_ts),
-        "dim_date": lambda: marts.dim_date(wh.spark, *wh.calendar),
+        "dim_customer": lambda s: marts.dim_customer(stg["customers"], wh.run_ts, scratch=s),
+        "dim_product": lambda s: marts.dim_product(stg["products"], wh.run_ts, scratch=s),
+        "dim_store": lambda s: marts.dim_store(stg["stores"], wh.run_ts, scratch=s),
+        "dim_date": lambda s: marts.dim_date(wh.spark, *wh.calendar) if wh.calendar else marts.dim_date_of(stg["orders"], "order_date"),
     }
+
+    def stored(name: str, model) -> None:
+        # the folder holds rows on their way to the table; it goes when they are there
+        wh.store.write(model(f"{scratch}/{name}"), "marts", name)
+        fs.delete(wh.spark, f"{scratch}/{name}")
+
     # independent dimensions: their jobs run concurrently
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = [pool.submit(lambda n=n, f=f: wh.store.write(f(), "marts", n)) for n, f in jobs.items()]
+        futures = [pool.submit(stored, n, f) for n, f in jobs.items()]
         for fut in futures:
             fut.result()
     if lap:
         lap("dimensions")
     dims = {k: wh.dim(k) for k in ("customer", "product", "store", "date")}
     lines = marts.fact_lines(stg, dims, wh.run_ts)
-    wh.store.write(marts.fact_sales(lines), "marts", "fact_sales")
+    stored("fact_sales", lambda s: marts.fact_sales(lines, scratch=s))
     if lap:
         lap("fact")
 
@@ -182,7 +191,7 @@ def build(
     spark: SparkSession,
     sf_dir: str,
     root: str | None = None,
-    calendar: tuple[dt.date, dt.date] = marts.FIXTURE_CALENDAR,
+    calendar: tuple[dt.date, dt.date] | None = None,
     run_ts: dt.datetime = DEFAULT_RUN_TS,
 ) -> Warehouse:
     tune(spark)
@@ -206,7 +215,7 @@ def register(wh: Warehouse) -> None:
 def open_warehouse(
     spark: SparkSession,
     sf_dir: str,
-    calendar: tuple[dt.date, dt.date] = marts.FIXTURE_CALENDAR,
+    calendar: tuple[dt.date, dt.date] | None = None,
 ) -> Warehouse:
     """The completed warehouse for ``sf_dir`` as its tables are now: built on first
     use, and again when an input table was replaced."""

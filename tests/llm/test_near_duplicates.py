@@ -76,6 +76,15 @@ def test_a_large_group_of_copies_costs_no_pairs_of_its_own(spark):
     assert {r["component_id"] for r in got if r["doc_id"] >= 2000} == {2000}
 
 
+def test_a_row_repeated_thousands_of_times_is_one_node(spark):
+    rng = random.Random(3)
+    base = rng.choices([f"w{i}" for i in range(500)], k=100)
+    near = [*base[:50], "other", *base[51:]]
+    docs = [(1, " ".join(base))] * 4000 + [(2, " ".join(near))] * 4000
+    got = N.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), k=2).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert {(r["doc_id"], r["component_id"], r["kept"], r["count"]) for r in got} == {(1, 1, True, 4000), (2, 1, False, 4000)}
+
+
 def test_sketches_estimate_and_never_exclude_a_link():
     rng = np.random.RandomState(4)
     for _ in range(60):

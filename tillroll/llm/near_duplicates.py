@@ -231,16 +231,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     all_sketches = written(sketch(docs, doc_id, text, k), "sketches")
     linkable = all_sketches.where("_n > 0 and _id is not null")
-    # nodes: distinct shingle sets; the first aggregation combines before the shuffle
-    by_set = written(linkable.groupBy("_set").agg(F.min("_id").alias("_node")), "sets")
+    # one node for each distinct shingle set, named by its smallest id; copies and
+    # repeated rows combine before the shuffle
+    nodes = linkable.groupBy("_set").agg(F.min_by(F.struct("_id", "_n", "_bands", "_odd"), "_id").alias("_first"))
+    nodes = written(nodes.select("_set", "_first.*"), "nodes")
+    by_set = nodes.select("_set", F.col("_id").alias("_node"))
     members = written(linkable.select("_id", "_set").join(by_set, "_set").select("_id", "_set", "_node"), "members")
-    nodes = linkable.join(by_set.select("_node"), F.col("_id") == F.col("_node"), "left_semi")
 
     banded = nodes.select("_id", F.explode("_bands").alias("_key"))
     shared = banded.groupBy("_key").agg(F.min("_id").alias("_centre"), F.max("_id").alias("_last")).where("_centre <> _last")
     buckets = written(banded.join(shared, "_key").select("_key", "_id", "_centre"), "buckets")
     odd = written(nodes.join(buckets.select("_id").distinct(), "_id", "left_semi").select("_id", "_n", "_odd"), "odd")
-    texts = written(_texts_of(docs, doc_id, text, odd.select("_id")), "texts")
+    # once each: repeated rows must not multiply pairs
+    texts = written(_texts_of(docs, doc_id, text, odd.select("_id")).distinct(), "texts")
 
     starred = buckets.where("_id <> _centre").select(F.col("_id").alias("a"), F.col("_centre").alias("b")).distinct()
     starred = starred.join(odd.toDF("a", "_na", "_sa"), "a").join(odd.toDF("b", "_nb", "_sb"), "b")

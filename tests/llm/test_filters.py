@@ -59,6 +59,36 @@ def test_binomial_tail_is_exact():
         assert quality_rules.binomial_tail(k, n, p) == pytest.approx(want, rel=1e-10)
 
 
+def test_the_joint_path_needs_fewer_labels_and_single_rules_still_act(spark):
+    """en: few labels, bad documents full of signs; xx: many labels, and most good documents break another rule."""
+    rng = random.Random(6)
+    out = []
+    for i in range(3200):
+        lang, bad = "en" if i < 200 else "xx", i % 7 == 0
+        bang = lang == "xx" and rng.random() < 0.9
+        words = [f"w{rng.randint(0, 99999)}" + ("$" if bad else "") + ("!!" if bang else "") for _ in range(60)]
+        out.append((i, " ".join(words), lang, int(not bad)))
+    df = spark.createDataFrame(out, "doc_id long, text string, lang string, quality int").cache()
+    kept = quality_rules.keep_good(df.drop("quality"), df.select("doc_id", "quality"))
+    pdf = df.toPandas()
+    pdf["kept"] = pdf.doc_id.isin([r["doc_id"] for r in kept.collect()])
+    assert not pdf[pdf.quality == 0].kept.any()
+    assert pdf[pdf.quality == 1].kept.all()
+
+
+def test_joint_cutoffs_hold_the_risk():
+    grid = quality_rules.RULES
+    steps = quality_rules.joint_path(grid)
+    assert [list(g) for _, _, g in grid.values()] == [list(dict.fromkeys(s[r] for s in steps)) for r in grid]
+
+    def proven(n, lost):
+        row = {"stratum": "en", "n_good": n} | {f"joint_{i}": k for i, k in enumerate(lost)}
+        return {c for _, _, c in quality_rules.proven_jointly([row], grid, 0.05, 0.025)}
+
+    assert proven(71, [0] * 10) == {None} and None not in proven(72, [0] * 10)
+    assert proven(200, [3] + [11] * 9) == set(steps[0].values())
+
+
 def test_quality_edge_cases(spark, odd_docs, no_docs, labels):
     judged = {r["doc_id"]: r for r in quality_rules.judge(odd_docs, labels).collect()}
     assert judged[3]["n_words"] == judged[4]["n_words"] == judged[6]["n_words"] == 0

@@ -54,5 +54,14 @@ def test_stages(spark, docs, labels):
     _check_shards(sharded.collect(), 8)
 
 
+def test_quality_stage_where_cutoffs_act(spark, tmp_path):
+    """250 good labels, far fewer than a rule needs by itself."""
+    out = [(i, " ".join(f"w{i}x{j}" + ("#" if i % 6 == 0 else "") for j in range(60)), "en", int(i % 6 != 0)) for i in range(300)]
+    df = spark.createDataFrame(out, "doc_id long, text string, lang string, quality int")
+    df.select("doc_id", "quality").write.parquet(f"{tmp_path}/labels.parquet")
+    got = P.quality(spark, df.drop("quality"), str(tmp_path))
+    assert sorted(r["doc_id"] for r in got.collect()) == [i for i, _, _, good in out if good]
+
+
 def test_run_equals_the_stages(spark):
     assert P.run(spark, SF).count() > 0 and P.ORACLE_SQL is None

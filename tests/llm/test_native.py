@@ -1,6 +1,7 @@
 """Mixing, sharding, pseudonyms."""
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -201,6 +202,29 @@ def test_every_kind_keeps_its_format(spark):
     assert len(set(out)) == len(set(ips)) and all(all(0 <= int(x) < 256 for x in o.split(".")) for o in out)
 
 
+def test_phone_numbers_outside_the_number_plan(spark):
+    rng = random.Random(9)
+    pairs = [(17, 555), (132, 555), (0, 0), (199, 999), (200, 0), (999, 199), (200, 199), (199, 200)]
+    pairs += [(rng.randrange(200), rng.randrange(1000)) for _ in range(100)] + [(rng.randrange(200, 1000), rng.randrange(200)) for _ in range(100)]
+    phones = sorted({f"({a:03}) {e:03}-{rng.randrange(10000):04}" for a, e in pairs})
+    out = _perm(spark, phones)
+    assert len(set(out)) == len(phones) and all(o != p and len(o) == 14 for o, p in zip(out, phones))
+    assert all(o[1] < "2" or o[6] < "2" for o in out)
+    assert _perm(spark, ["+1 " + p for p in phones]) == ["+1 " + o for o in out]
+    df = spark.createDataFrame([("call +1 (017) 555-7713 or 132-555-1352",)], "text string")
+    r = pseudonyms.pseudonymise(df, "k", counts=True).collect()[0]
+    assert r["n_phone"] == 2 and "555-7713" not in r["text"] and "132-555-1352" not in r["text"]
+
+
+def test_every_phone_number_found_is_replaced(spark, docs):
+    out = QUERIES["op7_pseudonyms"](spark, SF).withColumnRenamed("text", "new").join(docs.select("doc_id", "text"), "doc_id")
+    form = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+    texts = out.select("text", "new", "n_phone").collect()
+    found = [(p, r["new"]) for r in texts for p in re.findall(form, r["text"])]
+    assert found and not [p for p, new in found if p in new]
+    assert sum(r["n_phone"] for r in texts) >= len(found)
+
+
 def test_pseudonyms_link_across_documents_and_keep_the_rest(spark):
     texts = ["Call +1 (499) 555-6503!!! now", "499-555-6503", "pay 4111 1111 1111 1111, or 4111111111111111.", "4111111111111112 300.1.1.1 2021-02-30 000-12-3456",
              "at 152.143.123.131.", "A@x.example.com wrote; a@x.example.com too", "v1.2.3.4.5 12345678901234567890 abc4111111111111111", "é 漢 2020-02-29 $$"]

@@ -11,7 +11,8 @@ to be walked back in:
 
 * card: 13 to 19 digits (bare, or in groups of 4-4-4-4 or 4-6-5) with a Luhn check digit; the first digit stays, the inner
   ones are permuted, the check digit is computed anew;
-* phone: area and exchange 200 to 999, four more digits: 80000 x 80000;
+* phone: area and exchange 200 to 999, four more digits: 80000 x 80000; numbers of that form with another area or
+  exchange (000 to 199) are permuted among themselves: 60000 x 60000;
 * ip: four octets: 65536 x 65536;
 * ssn: area 001 to 899 but 666, group 01 to 99, serial 0001 to 9999: 88902 x 9999;
 * date: days of the 400 Gregorian years from 1800: 146097 = 189 x 773.
@@ -127,16 +128,32 @@ def _card(m: Column, key: str) -> Column:
 def _phone(m: Column, key: str) -> Column:
     def moved(d: Column) -> Column:
         part = lambda a, n: _long(F.substring(d, a, n))
-        x = ((part(1, 3) - 200) * 800 + part(4, 3) - 200) * 10000 + part(7, 4)
-        return feistel(x, F.lit(80000).cast("long"), F.lit(80000).cast("long"), key, F.lit("phone"))
-
-    def shown(y: Column) -> Column:
-        return (_div(y, F.lit(8_000_000)) + 200) * 10_000_000 + (_div(F.pmod(y, F.lit(8_000_000)), F.lit(10_000)) + 200) * 10_000 + F.pmod(y, F.lit(10000))
+        area, exchange, line = part(1, 3), part(4, 3), part(7, 4)
+        planned = (area >= 200) & (exchange >= 200)
+        # outside the number plan: 200 areas with any exchange, then 800 with an exchange below 200
+        pair = (
+            F.when(planned, (area - 200) * 800 + exchange - 200)
+            .when(area < 200, area * 1000 + exchange).otherwise(200_000 + (area - 200) * 200 + exchange)
+        )
+        half = F.when(planned, 80000).otherwise(60000).cast("long")
+        return F.struct(planned.alias("planned"), half.alias("half"), (pair * 10000 + line).alias("x"))
+
+    def permuted(v: Column) -> Column:
+        tweak = F.when(v["planned"], "phone").otherwise("phone outside the plan")
+        return F.struct(v["planned"].alias("planned"), feistel(v["x"], v["half"], v["half"], key, tweak).alias("y"))
+
+    def shown(v: Column) -> Column:
+        pair = _div(v["y"], F.lit(10000))
+        rest = pair - 200_000
+        front = (
+            F.when(v["planned"], (_div(pair, F.lit(800)) + 200) * 1000 + F.pmod(pair, F.lit(800)) + 200)
+            .when(rest < 0, pair).otherwise((_div(rest, F.lit(200)) + 200) * 1000 + F.pmod(rest, F.lit(200)))
+        )
+        return F.lpad((front * 10000 + F.pmod(v["y"], F.lit(10000))).cast("long").cast("string"), 10, "0")
 
     country = F.regexp_extract(m, r"^(\+1[ .-]?)?", 0)
     rest = F.regexp_replace(m, r"^\+1[ .-]?", "")
-    digits = _let(_let(_digits(rest), moved), lambda y: shown(y).cast("long").cast("string"))
-    return F.concat(country, _refill(rest, digits))
+    return F.concat(country, _refill(rest, _let(_let(_let(_digits(rest), moved), permuted), shown)))
 
 
 def _octets(m: Column) -> Column:
@@ -204,7 +221,7 @@ def kind_of(m: Column) -> Column:
         F.when(F.contains(m, F.lit("@")), F.lit("email"))
         .when(shape["date"], F.when(F.year(_day(m)).between(1800, 2199), F.lit("date")))
         .when(shape["ip"], F.when(F.array_max(_octets(m)) <= 255, F.lit("ip")))
-        .when(shape["phone"], F.when(m.rlike(r"^(?:\+1[ .-]?)?\(?[2-9][0-9]{2}\)?[ .-]?[2-9]"), F.lit("phone")))
+        .when(shape["phone"], F.lit("phone"))
         .when(shape["ssn"], F.when(m.rlike(r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)"), F.lit("ssn")))
         .when(shape["card"], F.when((_luhn_sum(digits, 0) % 10 == 0) & ~digits.rlike("^(.)\\1+$"), F.lit("card")))
     )

@@ -138,3 +138,81 @@ r AS (SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
              CASE WHEN payload_bytes >= {LEAST_REVISIT} AND page_id > first THEN first END AS refers_to FROM p JOIN f USING (payload_digest))
 SELECT *, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type FROM r
 """
+
+
+def fill_in_middle() -> str:
+    from tillroll.llm.fill_in_middle import FIM_PERCENT, MIDDLE, PREFIX, SEED, SPM_PERCENT, SUFFIX
+
+    draw = "('0x' || substr(h, {}, 8))::BIGINT"
+    sentinel = " OR ".join(f"contains(t, '{s}')" for s in (PREFIX, SUFFIX, MIDDLE))
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+l AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS ls FROM d),
+c AS (SELECT *, len(ls)::BIGINT AS n, {draw.format(1)} % (len(ls) + 1) AS x, {draw.format(9)} % (len(ls) + 1) AS y,
+             CASE WHEN t = '' OR {sentinel} OR {draw.format(17)} % 100 >= {FIM_PERCENT} THEN 'plain'
+                  WHEN {draw.format(25)} % 100 < {SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM l),
+p AS (SELECT *, array_to_string(ls[1:least(x, y)], '') AS pre, array_to_string(ls[least(x, y) + 1:greatest(x, y)], '') AS mid,
+             array_to_string(ls[greatest(x, y) + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{PREFIX}' || pre || '{SUFFIX}' || suf || '{MIDDLE}' || mid
+              ELSE '{SUFFIX}' || suf || '{PREFIX}' || pre || '{MIDDLE}' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def centroids() -> str:
+    from tillroll.llm.centroids import CLUSTERS, DIMENSIONS, ROUNDS, SCALE, SEED
+
+    steps = []
+    for i in range(ROUNDS + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT rid, any_value(x.v) AS v, min(row(d, c)) AS best
+      FROM (SELECT rid, k.v, c, list_sum(list_transform(list_zip(k.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+            FROM kept k CROSS JOIN c{i} m) x GROUP BY rid)""")
+        if i < ROUNDS:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c, coalesce(n.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+      SELECT c, list(s ORDER BY j) AS v FROM (
+        SELECT best[2] AS c, j, floor(sum(v[j]) / count(*))::BIGINT AS s FROM a{i}, (SELECT unnest(range(1, {DIMENSIONS} + 1)) AS j) GROUP BY ALL)
+      GROUP BY c) n USING (c))""")
+    chain = ",\n".join(steps)
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {DIMENSIONS}
+   AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {DIMENSIONS}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (
+  SELECT sha256('{SEED}:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM kept ORDER BY h, v LIMIT {CLUSTERS})),
+{chain},
+f AS (SELECT vec_id, best[2] AS c, best[1] AS distance FROM kept JOIN a{ROUNDS} USING (rid))
+SELECT vec_id, c::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256
+FROM f JOIN c{ROUNDS} USING (c)
+"""
+
+
+def suffix_dedup() -> str:
+    from tillroll.llm.suffix_index import MATCH
+
+    m, block = MATCH, 1000
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (SELECT rid, doc_id, x, length(x)::BIGINT // 2 AS n FROM d),
+b AS (SELECT rid, doc_id, n, o, substr(x, 2 * o + 1, {2 * (block + m - 1)}) AS y
+      FROM s, LATERAL (SELECT unnest(range(0, n - {m - 1}, {block})) AS o) WHERE doc_id IS NOT NULL),
+w AS (SELECT rid, doc_id, o + i AS p, substr(y, 2 * i + 1, {2 * m}) AS g
+      FROM b, LATERAL (SELECT unnest(range(0, least({block}, n - {m - 1} - o))) AS i)),
+hit AS (SELECT rid, p FROM w JOIN (SELECT g, min(doc_id) AS least FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)) USING (g)
+        WHERE least < doc_id),
+run AS (SELECT rid, p, sum(new) OVER (PARTITION BY rid ORDER BY p) AS k
+        FROM (SELECT rid, p, CASE WHEN p <= lag(p) OVER (PARTITION BY rid ORDER BY p) + {m} THEN 0 ELSE 1 END AS new FROM hit)),
+span AS (SELECT rid, k, min(p) AS a, max(p) + {m} AS e FROM run GROUP BY rid, k),
+-- the kept pieces lie between the spans
+gone AS (SELECT rid, sum(e - a)::BIGINT AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS starts, list(e ORDER BY a) AS ends
+         FROM span GROUP BY rid)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN x ELSE array_to_string(list_transform(range(1, n_spans + 2), lambda i:
+         substr(x, 2 * (CASE WHEN i = 1 THEN 0 ELSE ends[i - 1] END) + 1,
+                2 * ((CASE WHEN i > n_spans THEN n ELSE starts[i] END) - (CASE WHEN i = 1 THEN 0 ELSE ends[i - 1] END)))), '') END)) AS kept_sha256
+FROM s LEFT JOIN gone USING (rid)
+"""

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
+    centroids,
     decontamination,
+    fill_in_middle,
     language_id,
     mixing,
     near_duplicates,
@@ -19,6 +21,7 @@ from tillroll.llm import (
     quality_rules,
     secrets_crf,
     sharding,
+    suffix_index,
     warc,
 )
 
@@ -82,6 +85,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(_table(spark, sf_dir, "embeddings"))
+    digits = F.concat_ws(",", F.col("centroid").cast("array<string>"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(digits, 256).alias("centroid_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_index.remove_repeats(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                          F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -93,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_quality_model": op9_quality_model,
     "op10_sharding": op10_sharding,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -101,4 +126,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_warc": oracle.warc(),
     "op5_quality_rules": oracle.quality_rules(),
     "op8_mixing": oracle.mixing(),
+    "op11_centroid_clusters": oracle.centroids(),
+    "op12_fill_in_middle": oracle.fill_in_middle(),
+    "op13_suffix_dedup": oracle.suffix_dedup(),
 }

@@ -15,8 +15,13 @@ from tillroll.session import shared_dir
 _SHIPPED: dict[str, str] = {}
 
 
+def own_folder(spark: SparkSession) -> str:
+    """The folder of this application: no other session's tables lie in it."""
+    return f"{shared_dir(spark)}/tillroll-llm/{spark.sparkContext.applicationId}"
+
+
 def folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tillroll-llm/{name}-{uuid.uuid4().hex[:16]}"
+    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex[:16]}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -26,12 +31,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def clear(spark: SparkSession) -> None:
-    """Delete every table written by this subpackage; call it when the results
-    that were derived from them have been stored."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tillroll-llm")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete every table that this application wrote through this subpackage; call
+    it when the results that were derived from them have been stored."""
+    delete(spark, own_folder(spark))
 
 
 def ready(spark: SparkSession) -> None:

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,14 +121,33 @@ def _assign(state: DataFrame, centroids: np.ndarray, loosen: np.ndarray | None)
 
 
 def _summary(state: DataFrame, k: int, dimensions: int) -> tuple[np.ndarray, ...]:
-    """Count, component sums, largest and summed squared distance by cluster: k rows."""
-    sums = [F.sum(F.col("_v")[i]) for i in range(dimensions)]
-    rows = state.groupBy("cluster").agg(F.count("*"), F.max("distance"), F.sum("distance"), F.array(*sums)).collect()
-    count, most, total = (np.zeros(k, np.int64) for _ in range(3))
-    summed = np.zeros((k, dimensions), np.int64)
-    for c, n, far, inertia, values in rows:
-        count[c], most[c], total[c], summed[c] = n, far, inertia, values
-    return count, most, total, summed
+    """Count, component sums, largest and summed squared distance by cluster. Each task
+    sums its own rows first, so k rows a task are shuffled and k x dimensions collected."""
+    def run(batches):
+        sums, most = np.zeros((k, dimensions + 2), np.int64), np.zeros(k, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                x = _matrix(batch.column("_v"), dimensions).astype(np.int64)
+                own, at = batch.column("distance").to_numpy(), batch.column("cluster").to_numpy()
+                order = np.argsort(at, kind="stable")
+                first = np.flatnonzero(np.diff(at[order], prepend=-1))
+                one = np.column_stack([x, np.ones(len(x), np.int64), own])
+                sums[at[order][first]] += np.add.reduceat(one[order], first, axis=0)
+                np.maximum.at(most, at, own)
+        some = np.flatnonzero(sums[:, dimensions])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array(most[some]), pa.array(sums[some].tolist(), pa.list_(pa.int64()))],
+            names=["cluster", "most", "sums"])
+
+    parts = state.select("_v", "cluster", "distance").mapInArrow(run, "cluster int, most long, sums array<long>")
+    rows = (
+        parts.select("cluster", "most", F.posexplode("sums").alias("at", "value"))
+        .groupBy("cluster", "at").agg(F.sum("value"), F.max("most")).collect()
+    )
+    all_, most = np.zeros((k, dimensions + 2), np.int64), np.zeros(k, np.int64)
+    for c, at, value, far in rows:
+        all_[c, at], most[c] = value, far
+    return all_[:, dimensions], most, all_[:, dimensions + 1], all_[:, :dimensions]
 
 
 def cluster(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", clusters: int = CLUSTERS,

@@ -521,6 +521,18 @@ def _extra_sql() -> dict[str, str]:
     q["csv_customers"] = """SELECT customer_id, 'A "quoted", ' || first_name AS first_name, last_name, email, signup_date FROM raw_customers"""
     q["json_payments"] = "SELECT payment_id, order_id, amount, payment_status, payment_date FROM raw_payments"
     q["products_fallback"] = "SELECT product_id, product_name, category, price, 'csv:products.csv' AS source FROM raw_products"
+    record = """'{"payment_id": "' || CASE WHEN event_id % 97 = 7 THEN 'id-' ELSE '' END || event_id || '", "order_id": "' || (event_id // 2)
+      || '", "payment_status": "success", "amount": "' || (event_id % 1000) || '.50"}'"""
+    q["broken_json_lines"] = q["streamed_json_lines"] = f"""
+    SELECT CASE WHEN bad IS NULL THEN event_id END AS payment_id, CASE WHEN bad IS NULL THEN (event_id % 1000 + 0.5)::DECIMAL(12,2) END AS amount,
+           CASE bad WHEN 'id' THEN 'null in required column payment_id' WHEN 'line' THEN 'malformed record' END AS reason, text
+    FROM (SELECT event_id, CASE event_id % 97 WHEN 5 THEN 'line' WHEN 6 THEN 'line' WHEN 7 THEN 'id' END AS bad,
+                 CASE event_id % 97 WHEN 5 THEN substr({record}, 1, 40) WHEN 6 THEN '# ' || event_id WHEN 7 THEN 'id-' || event_id END AS text
+          FROM (SELECT DISTINCT event_id FROM events))"""
+    q["two_writers"] = """
+    SELECT customer_id, last_name || CASE WHEN customer_id % 6 = 0 THEN '-v2' ELSE '' END AS last_name, email,
+           (customer_id % 3 + 1)::INTEGER AS created, (CASE WHEN customer_id % 6 = 0 THEN 4 ELSE customer_id % 3 + 1 END)::INTEGER AS updated
+    FROM raw_customers"""
     q["appended_parts"] = "SELECT p_partkey, p_name, p_size FROM part"
     q["quality_results"] = (
         "SELECT 7::BIGINT AS pipeline_run_id, table_name, check_name, status, failed_rows, '2024-01-01 00:00:00' AS checked_at "

@@ -58,6 +58,63 @@ def json_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.prepare(loaded, "payments").where(R.is_valid()).select("payment_id", "order_id", "amount", "payment_status", "payment_date")
 
 
+def _payment_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Land payments as JSON Lines; some lines are cut off, some are no JSON, and some
+    ids are no numbers."""
+    k = F.col("event_id")
+    record = F.concat(F.lit('{"payment_id": "'), F.when(k % 97 == 7, F.lit("id-")).otherwise(F.lit("")), k.cast("string"), F.lit('", "order_id": "'),
+                      F.expr("event_id div 2").cast("string"), F.lit('", "payment_status": "success", "amount": "'), (k % 1000).cast("string"), F.lit('.50"}'))
+    line = F.when(k % 97 == 5, F.substring(record, 1, 40)).when(k % 97 == 6, F.concat(F.lit("# "), k.cast("string"))).otherwise(record)
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+
+
+def _loaded_and_rejected(valid: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Loaded payments, and of rejects the reason with the line's text or the bad id."""
+    text = F.coalesce(F.get_json_object("record_data", "$._corrupt_record"), F.get_json_object("record_data", "$.payment_id"))
+    return valid.select("payment_id", "amount", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("text")).unionByName(
+        rejects.select(F.lit(None).cast("long").alias("payment_id"), F.lit(None).cast("decimal(12,2)").alias("amount"), "reason", text.alias("text")))
+
+
+def broken_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-2, S-8, I-6: each broken line is a reject of its own, recorded with its text."""
+    path = _scratch(spark, "lines")
+    _payment_lines(spark, sf_dir, path)
+    spec = SPECS["payments"]
+    tagged = ingest.prepare(load_json(spark, path, lines=True, schema=spec.feed_struct()), "payments")
+    rejects = audit.rejected_records(tagged.where(~R.is_valid()), "lines", "payments", spec.column_names, RUN_TS)
+    return _loaded_and_rejected(tagged.where(R.is_valid()), rejects)
+
+
+def streamed_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines through the incremental file stream."""
+    from tillroll.streaming import ingest_stream
+
+    base = _scratch(spark, "line-stream")
+    _payment_lines(spark, sf_dir, f"{base}/feed")
+    store = TableStore(spark, f"{base}/wh")
+    ingest_stream(spark, store, "payments", f"{base}/feed", f"{base}/ckpt", fmt="json", run_ts=RUN_TS)
+    return _loaded_and_rejected(store.read("raw", "payments"), store.read_appended("audit", "rejected_records"))
+
+
+def two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-5, S-10: two stores over one root upsert in turn; no batch is lost, and small
+    buckets make each upsert rewrite a part of the table."""
+    root, spec = _scratch(spark, "writers"), SPECS["customers"]
+    one, two = (TableStore(spark, root, bucket_bytes=1 << 15) for _ in range(2))
+    k = F.col("c_custkey")
+
+    def upsert(store: TableStore, day: int, where, suffix: str = "") -> None:
+        feed = fixtures.customers_feed(spark, sf_dir, where=where, last_name_suffix=suffix)
+        batch = ingest.prepare(feed, "customers").where(R.is_valid()).select(*spec.column_names)
+        store.upsert(batch, "customers", spec.pk, spec.struct(), dt.datetime(2024, 1, day))
+
+    upsert(one, 1, k % 3 == 0)
+    upsert(two, 2, k % 3 == 1)
+    upsert(one, 3, k % 3 == 2)
+    upsert(two, 4, k % 6 == 0, "-v2")
+    return one.read("raw", "customers").select("customer_id", "last_name", "email", F.dayofmonth("created_at").alias("created"), F.dayofmonth("updated_at").alias("updated"))
+
+
 def products_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-4: no extract has landed, so the snapshot alone is the products feed."""
     feed, label = products_input(lambda: fixtures.products_feed(spark, sf_dir), lambda: load_json(spark, _scratch(spark, "no-extract")))
@@ -166,7 +223,7 @@ def pipeline_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    csv_customers, json_payments, products_fallback, appended_parts, quality_results, reject_payloads, title_case_parts, numbers_from_text,
+    csv_customers, json_payments, broken_json_lines, streamed_json_lines, two_writers, products_fallback, appended_parts, quality_results, reject_payloads, title_case_parts, numbers_from_text,
     default_discount_items, orders_without_date, stores_without_name, invalid_order_dates, duplicate_lines, padded_calendar, order_calendar,
     pipeline_outcome,
 )}

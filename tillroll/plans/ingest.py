@@ -93,6 +93,9 @@ def prepare(feed: DataFrame, name: str) -> DataFrame:
         typed.append(value.alias(c.name))
         if isinstance(df.schema[c.name].dataType, T.StringType) and c.dtype != "string":
             raw.append(F.when(value.isNull(), F.col(c.name)).alias(c.name))
+    # so is the text of a record that is malformed as a whole
+    if R.CORRUPT_COLUMN in df.columns:
+        raw.append(F.col(R.CORRUPT_COLUMN))
     df = df.select(
         *typed,
         (F.struct(*raw) if raw else F.lit(None).cast("struct<none:string>")).alias(RAW),
@@ -105,6 +108,10 @@ def prepare(feed: DataFrame, name: str) -> DataFrame:
         unparsed = [f.name for f in df.schema[RAW].dataType.fields]
         keys = [*spec.pk, *(f"_key_{c}" for c in spec.pk if c in unparsed)]
         df = df.withColumns({f"_key_{c}": F.col(f"{RAW}.{c}") for c in spec.pk if c in unparsed})
+        if R.CORRUPT_COLUMN in df.columns:
+            # a malformed record is no copy of another: its place in the feed is its key
+            df = df.withColumn("_key_place", F.when(F.col(R.CORRUPT_COLUMN).isNotNull(), F.col(SEQ)))
+            keys.append("_key_place")
         df = drop_exact_duplicates(df, keys, order=[SEQ])
     rules: list[R.Rule] = []
     if R.CORRUPT_COLUMN in df.columns:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import utc
-from tillroll.operators.rules import REASON, REASONS
+from tillroll.operators.rules import CORRUPT_COLUMN, REASON, REASONS
 
 QUALITY_STATUSES = ("pass", "fail", "warning")
 
@@ -23,10 +23,13 @@ def rejected_records(
 ) -> DataFrame:
     """One audit row per rejected row: the row as JSON (nulls kept), the first
     failed rule as ``reason`` and all failed rules as ``reasons``. A row with text
-    that didn't parse is recorded as text throughout, with that text in place."""
+    that didn't parse is recorded as text throughout, with that text in place; of a
+    record that is malformed as a whole the text itself is recorded, as
+    ``{"_corrupt_record": ...}``."""
     keep = {"ignoreNullFields": "false"}
     record = F.to_json(F.struct(*record_columns), keep)
     raw = rejected.schema["_raw"].dataType.names if "_raw" in rejected.columns else []
+    malformed = CORRUPT_COLUMN in raw
     raw = [c for c in raw if c in record_columns]
     if raw:
         unparsed = F.coalesce(*[F.col(f"_raw.{c}") for c in raw]).isNotNull()
@@ -35,6 +38,9 @@ def rejected_records(
             for c in record_columns
         ])
         record = F.when(unparsed, F.to_json(text, keep)).otherwise(record)
+    if malformed:
+        line = F.col(f"_raw.{CORRUPT_COLUMN}")
+        record = F.when(line.isNotNull(), F.to_json(F.struct(line.alias(CORRUPT_COLUMN)))).otherwise(record)
     return rejected.select(
         F.lit(source).alias("source"),
         F.lit(table_name).alias("table_name"),

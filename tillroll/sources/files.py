@@ -119,6 +119,25 @@ def load_csv(
     return keep_short_rows(_na_to_null(_with_seq(df), header), len(header))
 
 
+def json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records of a DataFrame with one line of JSON in ``value``: the columns of
+    ``schema`` and ``_corrupt_record``, the line's text where it is no object; other
+    columns stay. Blank lines are left out. A line that is a JSON list gives a record
+    for each of its objects."""
+    others = [c for c in lines.columns if c != "value"]
+    text = F.trim(F.regexp_replace("value", "^\ufeff", ""))
+    one = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in schema.fields if f.name != CORRUPT), T.StructField(CORRUPT, T.StringType())])
+    keep = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    is_list = text.startswith("[")
+    listed = F.from_json(text, T.ArrayType(one), keep)
+    broken = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in one.fields[:-1]], F.col("value").alias(CORRUPT))
+    plain = F.when(text.startswith("{"), F.from_json(F.when(text.startswith("{"), text), one, keep)).otherwise(broken)
+    records = F.when(is_list & listed.isNotNull() & ~F.exists(listed, lambda r: r.isNull() | r[CORRUPT].isNotNull()), listed).otherwise(F.array(plain))
+    out = lines.where(F.length(text) > 0).select("value", *others, F.posexplode(records).alias("_at", "_r"))
+    line = F.when(F.col(f"_r.{CORRUPT}").isNotNull(), F.col("value")).alias(CORRUPT)
+    return out.select(*[F.col(f"_r.{f.name}").alias(f.name) for f in one.fields[:-1]], line, *others, "_at")
+
+
 def load_json(
     spark: SparkSession,
     path: str,
@@ -129,18 +148,19 @@ def load_json(
     """A JSON list of records, or an object whose ``data`` is that list.
 
     ``lines=True`` reads JSON Lines instead (splittable: the shape for large
-    feeds; a list or an object is one task's work). Values are read as strings when
-    ``schema`` is given.
+    feeds; a list or an object is one task's work). A line that can't be parsed is kept
+    with its text in ``_corrupt_record`` and its own place in the feed, so each becomes
+    a reject of its own. Values are read as strings when ``schema`` is given.
     """
     if not fs.exists(spark, path):
         raise FeedNotFoundError(f"JSON file not found: {path}")
     if lines:
-        reader = spark.read.option("mode", "PERMISSIVE")
-        df = reader.schema(schema).json(path) if schema is not None else reader.json(path)
-        if df.columns == [CORRUPT]:
-            raise FeedLoadError(f"Could not parse JSON file {path}")
-        _check_required(df.columns, required_columns, path)
-        return _with_seq(df)
+        if schema is None:
+            schema = spark.read.option("mode", "PERMISSIVE").json(path).schema
+            if schema.names == [CORRUPT]:
+                raise FeedLoadError(f"Could not parse JSON file {path}")
+        _check_required(schema.names, required_columns, path)
+        return json_lines(_with_seq(spark.read.text(path)), schema).drop("_at")
     first = fs.first_non_blank(spark, path)
     if first not in (b"[", b"{"):
         raise FeedLoadError(f"Could not parse JSON file {path}")

@@ -27,7 +27,7 @@ from tillroll.operators.rules import is_valid
 from tillroll.plans import ingest
 from tillroll.schemas import SPECS
 from tillroll.sources import audit
-from tillroll.sources.files import CORRUPT, NA_TOKENS, keep_short_rows
+from tillroll.sources.files import CORRUPT, NA_TOKENS, json_lines, keep_short_rows
 from tillroll.sources.fixtures import SEQ
 from tillroll.sources.tables import TableStore
 
@@ -40,7 +40,8 @@ def feed_stream(spark: SparkSession, name: str, feed_dir: str, fmt: str = "csv")
         df = reader.option("header", True).option("escape", '"').option("enforceSchema", False).csv(feed_dir)
         df = keep_short_rows(df, len(spec.columns))
     elif fmt == "json":
-        df = reader.json(feed_dir)  # JSON Lines
+        # JSON Lines, each line with its text: broken ones are rejects of their own
+        df = json_lines(spark.readStream.text(feed_dir), spec.feed_struct()).drop("_at")
     else:
         raise ValueError(f"unsupported feed format {fmt}")
     return df

@@ -41,7 +41,7 @@ def run_pipeline(
     pipeline_name: str = "full-pipeline",
     sources: Mapping[str, str] | None = None,
 ) -> RunResult:
-    from tillroll.plans.warehouse import build_marts, ingest_table, last_batch  # cyclic at import time
+    from tillroll.plans.warehouse import build_marts, ingest_table  # cyclic at import time
 
     timings: dict[str, float] = {}
     clock = [time.time()]
@@ -60,32 +60,23 @@ def run_pipeline(
         # them concurrently (events carry their own timestamps)
         with ThreadPoolExecutor(max_workers=len(ingest.TABLE_ORDER) + 1) as pool:
             started = pool.submit(ledger.record_start, store, run_id, pipeline_name, wm_start, wh.run_ts)
-            def one(name: str) -> None:
+
+            def one(name: str) -> int:
                 t0 = time.time()
                 df = feeds[name]()
-                ingest_table(wh, name, df, (sources or {}).get(name, f"fixture:{name}"))
+                rows, _ = ingest_table(wh, name, df, (sources or {}).get(name, f"fixture:{name}"))
                 timings[f"ingest.{name}"] = round(time.time() - t0, 3)
+                return rows
 
             futures = [pool.submit(one, name) for name in ingest.TABLE_ORDER]
             started.result()
-            for f in futures:
-                f.result()
+            loaded = sum(f.result() for f in futures)
         lap("ingest")
-        def count_loaded() -> int:
-            counts = None
-            for n in ingest.TABLE_ORDER:
-                c = last_batch(wh, n).agg(F.count_if(F.col("_status") == "valid").alias("n"))
-                counts = c if counts is None else counts.unionByName(c)
-            return int(counts.agg(F.sum("n")).collect()[0][0] or 0)  # one job, six tiny aggregates
-
-        def record_checks() -> None:
-            results = checks.quality_checks(wh.raw)
-            store.append(audit.quality_results(results, run_id, wh.run_ts), "audit", "data_quality_results", part=str(run_id))
-
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            loaded_f, checks_f = pool.submit(count_loaded), pool.submit(record_checks)
-            checks_f.result()
-            loaded = loaded_f.result()
+        wh.cluster_orders()
+        lap("cluster")
+
+        results = checks.quality_checks(wh.raw)
+        store.append(audit.quality_results(results, run_id, wh.run_ts), "audit", "data_quality_results", part=str(run_id))
         gate = checks.gate_passed(
             store.read_appended("audit", "data_quality_results").filter(F.col("pipeline_run_id") == run_id)
         )
@@ -144,23 +135,15 @@ def models_of(wh, marts: bool = True) -> dict[str, DataFrame]:
 def ingest_all(wh, feeds: Mapping[str, Callable[[], DataFrame]], sources: Mapping[str, str] | None = None) -> DataFrame:
     """The ``ingest`` step alone: every feed, concurrently; returns the
     (table_name, rows_loaded, rows_rejected) summary of the batches."""
-    from tillroll.plans.warehouse import ingest_table, last_batch
+    from tillroll.plans.warehouse import ingest_table
 
     with ThreadPoolExecutor(max_workers=len(ingest.TABLE_ORDER)) as pool:
-        futures = [
-            pool.submit(lambda n=n: ingest_table(wh, n, feeds[n](), (sources or {}).get(n, f"feed:{n}")))
+        futures = {
+            n: pool.submit(lambda n=n: ingest_table(wh, n, feeds[n](), (sources or {}).get(n, f"feed:{n}")))
             for n in ingest.TABLE_ORDER
-        ]
-        for f in futures:
-            f.result()
-    out = None
-    for n in ingest.TABLE_ORDER:
-        part = last_batch(wh, n).agg(
-            F.count_if(F.col("_status") == "valid").alias("rows_loaded"),
-            F.count_if(F.col("_status") == "rejected").alias("rows_rejected"),
-        ).select(F.lit(n).alias("table_name"), "rows_loaded", "rows_rejected")
-        out = part if out is None else out.unionByName(part)
-    return out
+        }
+        rows = [(n, *f.result()) for n, f in futures.items()]
+    return wh.spark.createDataFrame(rows, "table_name string, rows_loaded long, rows_rejected long")
 
 
 def run_quality(wh, pipeline_name: str = "adhoc-quality-check") -> bool:
@@ -182,4 +165,5 @@ def transform(wh) -> None:
     """The ``transform`` step alone: staging views, dimensions and the fact."""
     from tillroll.plans.warehouse import build_marts
 
+    wh.cluster_orders()
     build_marts(wh)

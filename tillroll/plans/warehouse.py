@@ -21,7 +21,7 @@ from pathlib import Path
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import utc
@@ -29,7 +29,7 @@ from tillroll.operators.rules import REASON, REASONS, is_valid
 from tillroll.plans import ingest, marts, staging
 from tillroll.schemas import SPECS
 from tillroll.session import tune, work_root
-from tillroll.sources import audit, fixtures, fs
+from tillroll.sources import audit, clustered, fixtures, fs
 from tillroll.sources.tables import STATUS, TAG_COLUMNS, TableStore
 
 def _source_fingerprint() -> str:
@@ -60,14 +60,33 @@ class Warehouse:
     run_ts: dt.datetime = DEFAULT_RUN_TS
     store: TableStore = field(init=False)
     last_run: object = None
+    # buckets of the copies on order_id; None: as many as a shuffle's partitions then
+    buckets: int | None = None
 
     def __post_init__(self) -> None:
         self.store = TableStore(self.spark, self.root)
+        known = f"{self.root}/clustered/_buckets"
+        if self.buckets is None and fs.exists(self.spark, known):
+            self.buckets = int(fs.read_text(self.spark, known))
 
     # layers
     def raw(self, name: str) -> DataFrame:
+        """A bronze table; those of orders as bucketed on order_id once that is done."""
+        if name in BY_ORDER and self.buckets is not None:
+            copy = clustered.clustered(self.store, "raw", name, "order_id", self.buckets)
+            if copy is not None:
+                return copy
         return self.store.read("raw", name)
 
+    def cluster_orders(self) -> None:
+        """Copies of orders, order lines and payments on order_id, in like buckets."""
+        buckets = clustered.bucket_count(self.spark)
+        with ThreadPoolExecutor(max_workers=len(BY_ORDER)) as pool:
+            for f in [pool.submit(clustered.cluster, self.store, "raw", n, "order_id", buckets) for n in BY_ORDER if self.store.exists("raw", n)]:
+                f.result()
+        fs.write_text(self.spark, f"{self.root}/clustered/_buckets", str(buckets))
+        self.buckets = buckets
+
     def mart(self, name: str) -> DataFrame:
         return self.store.read("marts", name)
 
@@ -94,6 +113,8 @@ class Warehouse:
         return fixtures.feed(self.spark, self.sf_dir, name)
 
 
+# bronze tables that plans join or group on order_id
+BY_ORDER = ("orders", "order_items", "payments")
 # the given tables that the feeds are projected from
 INPUTS = ("customer", "supplier", "nation", "region", "part", "orders", "lineitem", "events")
 
@@ -109,8 +130,9 @@ def _root_for(spark: SparkSession, sf_dir: str, calendar, state: str) -> str:
     return f"{work_root(spark)}/wh-{hashlib.sha256(key.encode()).hexdigest()[:16]}"
 
 
-def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> None:
-    """One feed: tag once and write the tagged batch once.
+def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> tuple[int, int]:
+    """One feed: tag once and write the tagged batch once; returns the rows loaded and
+    rejected, counted while they are written.
 
     Initial load (no bronze table yet): the tagged batch, partitioned by
     status, IS the first bronze version, so valid rows are written exactly
@@ -120,19 +142,21 @@ def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> None
     spec = SPECS[name]
     ts = utc(wh.run_ts)
     tagged = ingest.prepare(feed, name)
-    landed = tagged.withColumn(STATUS, F.when(is_valid(), F.lit("valid")).otherwise(F.lit("rejected")))
+    seen = Observation()
+    landed = tagged.withColumn(STATUS, F.when(is_valid(), F.lit("valid")).otherwise(F.lit("rejected"))).observe(
+        seen, F.count_if(is_valid()).alias("loaded"), F.count_if(~is_valid()).alias("rejected"))
     if not wh.store.exists("raw", name):
         first = landed.withColumns({"created_at": ts, "updated_at": ts})
         path = wh.store.write(first, "raw", name, partition_by=[STATUS])
         if not wh.store.is_tagged(path):
             # an empty feed leaves no partition and so no schema to read
             wh.store.write(wh.spark.createDataFrame([], first.drop(STATUS, *TAG_COLUMNS).schema), "raw", name)
-            return
+            return 0, 0
         batch = wh.store.read_batch("raw", name)
     else:
         path = wh.store.write(landed, "landing", name, partition_by=[STATUS])
         if not wh.store.is_tagged(path):
-            return  # an empty feed changes nothing
+            return 0, 0  # an empty feed changes nothing
         batch = wh.store.read_batch("landing", name)
         # only columns the feed really has overwrite stored values (a missing
         # discount column counts as present: it defaults to 0 before loading)
@@ -143,6 +167,8 @@ def ingest_table(wh: Warehouse, name: str, feed: DataFrame, source: str) -> None
     rejected = batch.filter(F.col(STATUS) == "rejected")
     rej = audit.rejected_records(rejected, source, name, spec.column_names, wh.run_ts)
     wh.store.append(rej, "audit", "rejected_records", part=name)
+    counts = seen.get
+    return counts["loaded"], counts["rejected"]
 
 
 def last_batch(wh: Warehouse, name: str) -> DataFrame:

@@ -521,6 +521,9 @@ def _extra_sql() -> dict[str, str]:
     q["csv_customers"] = """SELECT customer_id, 'A "quoted", ' || first_name AS first_name, last_name, email, signup_date FROM raw_customers"""
     q["json_payments"] = "SELECT payment_id, order_id, amount, payment_status, payment_date FROM raw_payments"
     q["products_fallback"] = "SELECT product_id, product_name, category, price, 'csv:products.csv' AS source FROM raw_products"
+    q["quoted_products"] = """
+    SELECT product_id, CASE product_id % 3 WHEN 0 THEN 'big "new",' || chr(10) WHEN 1 THEN 'two' || chr(10) || chr(10) || 'lines ' ELSE '' END || product_name AS product_name,
+           category, price FROM raw_products"""
     record = """'{"payment_id": "' || CASE WHEN event_id % 97 = 7 THEN 'id-' ELSE '' END || event_id || '", "order_id": "' || (event_id // 2)
       || '", "payment_status": "success", "amount": "' || (event_id % 1000) || '.50"}'"""
     q["broken_json_lines"] = q["streamed_json_lines"] = f"""

@@ -58,6 +58,18 @@ def json_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.prepare(loaded, "payments").where(R.is_valid()).select("payment_id", "order_id", "amount", "payment_status", "payment_date")
 
 
+def quoted_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-1: product names with commas, quotes and line ends inside quoted fields; such
+    files are read in splits."""
+    path = _scratch(spark, "quoted")
+    k = F.col("product_id").cast("long")
+    lead = F.when(k % 3 == 0, F.lit('big "new",\n')).when(k % 3 == 1, F.lit("two\n\nlines ")).otherwise(F.lit(""))
+    feed = _text(fixtures.products_feed(spark, sf_dir)).withColumn("product_name", F.concat(lead, "product_name"))
+    feed.write.option("header", True).option("escape", '"').csv(path)
+    loaded = load_csv(spark, path, SPECS["products"].required_columns)
+    return ingest.prepare(loaded, "products").where(R.is_valid()).select("product_id", "product_name", "category", "price")
+
+
 def _payment_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Land payments as JSON Lines; some lines are cut off, some are no JSON, and some
     ids are no numbers."""
@@ -223,7 +235,7 @@ def pipeline_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    csv_customers, json_payments, broken_json_lines, streamed_json_lines, two_writers, products_fallback, appended_parts, quality_results, reject_payloads, title_case_parts, numbers_from_text,
+    csv_customers, quoted_products, json_payments, broken_json_lines, streamed_json_lines, two_writers, products_fallback, appended_parts, quality_results, reject_payloads, title_case_parts, numbers_from_text,
     default_discount_items, orders_without_date, stores_without_name, invalid_order_dates, duplicate_lines, padded_calendar, order_calendar,
     pipeline_outcome,
 )}

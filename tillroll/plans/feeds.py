@@ -44,7 +44,7 @@ def file_feeds(spark: SparkSession, feed_dir: str) -> tuple[dict[str, Callable[[
             feeds[name] = lambda p=jsonl, r=req, s=SPECS[name].feed_struct(): load_json(spark, p, required_columns=r, lines=True, schema=s)
             labels[name] = f"jsonl:{name}.jsonl"
         elif fname.endswith(".json"):
-            feeds[name] = lambda p=path, r=req: load_json(spark, p, required_columns=r)
+            feeds[name] = lambda p=path, r=req, s=SPECS[name].feed_struct(): load_json(spark, p, required_columns=r, schema=s)
             labels[name] = f"json:{fname}"
         else:
             feeds[name] = lambda p=path, r=req: load_csv(spark, p, required_columns=r)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tillroll.sources import fs
 from tillroll.sources.fixtures import SEQ
+from tillroll.sources.spliced import ListElements, QuotedLines, file_ends, pieces, splice
 
 # Fixed values that must equal pandas' default missing-value tokens.
 NA_TOKENS = (
@@ -44,7 +45,7 @@ JsonLoadError = FeedLoadError
 SEQ_TYPE = T.StructType([T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("pos", T.LongType())])
 
 
-def _with_seq(df: DataFrame) -> DataFrame:
+def with_seq(df: DataFrame) -> DataFrame:
     # rows of one block keep their order in monotonically_increasing_id
     m = F.col("_metadata")
     return df.withColumn(SEQ, F.struct(
@@ -66,7 +67,7 @@ def _quotes(line: str) -> F.Column:
     return F.length(line) - F.length(F.replace(F.col(line), F.lit('"'), F.lit("")))
 
 
-def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
+def has_quoted_newlines(spark: SparkSession, path: str | Sequence[str]) -> bool:
     """Whether a quoted field holds a line end: some line has an odd number of
     quotes. One scan of the text, which stops at the first such line."""
     return not spark.read.text(path).where(_quotes("value") % 2 == 1).isEmpty()
@@ -85,38 +86,65 @@ def keep_short_rows(df: DataFrame, n_columns: int) -> DataFrame:
     return df.withColumn(CORRUPT, F.when(~short, F.col(CORRUPT)))
 
 
+def _ddl(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
+
+
+def _spliced_csv(spark: SparkSession, path: str | Sequence[str], header: Sequence[str]) -> DataFrame:
+    """CSV whose quoted fields hold line ends, read in splits all the same."""
+    records = splice(pieces(spark, path, QuotedLines.separator), QuotedLines)
+    text = F.regexp_replace(F.regexp_replace("value", "\r$", ""), "^\ufeff", "")
+    is_header = (F.col("block") == 0) & (F.col("pos") == 0)
+    parse = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'}
+    names = F.from_csv(text, _ddl([f"c{i}" for i in range(len(header))]), {"escape": '"'})
+    # files of one feed must agree on the header
+    agrees = F.concat_ws("\n", *[names[f"c{i}"] for i in range(len(header))]) == F.lit("\n".join(header))
+    other = records.where(is_header & ~agrees).select(text.alias("h")).limit(1).collect()
+    if other:
+        raise FeedLoadError(f"{path}: a file's header is {other[0].h!r}, not {','.join(header)!r}")
+    row = F.from_csv(text, _ddl([*header, CORRUPT]), parse)
+    seq = F.struct("file", "block", "pos").alias(SEQ)
+    return records.where(~is_header & (F.length(text) > 0)).select(row.alias("_r"), seq).select(
+        *[F.col(f"_r.`{c}`").alias(c) for c in [*header, CORRUPT]], SEQ)
+
+
 def load_csv(
-    spark: SparkSession, path: str, required_columns: Sequence[str] | None = None, multi_line: bool | None = None,
+    spark: SparkSession, path: str | Sequence[str], required_columns: Sequence[str] | None = None, multi_line: bool | None = None,
 ) -> DataFrame:
-    """CSV with a header row -> all-string DataFrame (+ ``_seq``).
+    """CSV with a header row -> all-string DataFrame (+ ``_seq``); ``path`` is a file, a
+    folder or a list of files.
 
     Quotes inside quoted fields are doubled. ``multi_line`` says whether quoted
-    fields may hold line ends; None finds out (one more scan of the text). Files
-    with such fields can't be split: each is one task's work.
+    fields may hold line ends; None finds out (one more scan of the text). Such files
+    are split as well: see ``spliced``.
 
     Malformed rows are kept with ``_corrupt_record`` set, so validation rejects
     them row by row instead of failing the whole feed; rows shorter than the header
     get nulls.
     """
-    if not fs.exists(spark, path):
-        raise FeedNotFoundError(f"CSV file not found: {path}")
-    if fs.size(spark, path) == 0:
+    paths = [path] if isinstance(path, str) else list(path)
+    for p in paths:
+        if not fs.exists(spark, p):
+            raise FeedNotFoundError(f"CSV file not found: {p}")
+    if sum(fs.size(spark, p) for p in paths) == 0:
         raise FeedLoadError(f"CSV file is empty: {path}")
     if multi_line is None:
-        multi_line = has_quoted_newlines(spark, path)
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    header = reader.option("inferSchema", False).csv(path).columns
+        multi_line = has_quoted_newlines(spark, paths)
+    reader = spark.read.option("header", True).option("escape", '"')
+    header = reader.option("inferSchema", False).csv(paths).columns
     if not header:
         raise FeedLoadError(f"CSV file is empty: {path}")
-    df = (
-        reader.schema(csv_columns(header))
-        .option("enforceSchema", False)  # files of one feed must agree on the header
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
-    _check_required(header, required_columns, path)
-    return keep_short_rows(_na_to_null(_with_seq(df), header), len(header))
+    _check_required(header, required_columns, str(path))
+    if multi_line:
+        df = _spliced_csv(spark, paths, header)
+    else:
+        df = with_seq(
+            reader.schema(csv_columns(header))
+            .option("enforceSchema", False)  # files of one feed must agree on the header
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .csv(paths))
+    return keep_short_rows(_na_to_null(df, header), len(header))
 
 
 def json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
@@ -138,6 +166,20 @@ def json_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     return out.select(*[F.col(f"_r.{f.name}").alias(f.name) for f in one.fields[:-1]], line, *others, "_at")
 
 
+def _spliced_list(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The elements of a JSON list, whose file is read in splits."""
+    parts = pieces(spark, path, ListElements.separator)
+    for file, (open_, depth) in file_ends(parts, ListElements).items():
+        # behind the list's end stands no brace: the last piece counts one too many
+        if open_ or depth != -1:
+            raise FeedLoadError(f"Could not parse JSON file {file}")
+    records = splice(parts, ListElements)
+    element = F.regexp_replace(F.concat("value", F.lit(ListElements.separator)), "^[\\s,\ufeff]*(\\[\\s*(?=[{}\\]]))?", "")
+    lines = records.select(element.alias("value"), F.struct("file", "block", "pos").alias(SEQ))
+    # the last piece: the list's end and nothing else
+    return json_lines(lines.where(~F.col("value").rlike("^\\s*\\]\\s*\\}$")), schema).drop("_at")
+
+
 def load_json(
     spark: SparkSession,
     path: str,
@@ -147,8 +189,9 @@ def load_json(
 ) -> DataFrame:
     """A JSON list of records, or an object whose ``data`` is that list.
 
-    ``lines=True`` reads JSON Lines instead (splittable: the shape for large
-    feeds; a list or an object is one task's work). A line that can't be parsed is kept
+    A list with a ``schema`` is read in splits (see ``spliced``); an element that is no
+    object is kept with its text in ``_corrupt_record``. An object, and a list without a
+    schema, is one task's work. ``lines=True`` reads JSON Lines instead. A line that can't be parsed is kept
     with its text in ``_corrupt_record`` and its own place in the feed, so each becomes
     a reject of its own. Values are read as strings when ``schema`` is given.
     """
@@ -160,10 +203,13 @@ def load_json(
             if schema.names == [CORRUPT]:
                 raise FeedLoadError(f"Could not parse JSON file {path}")
         _check_required(schema.names, required_columns, path)
-        return json_lines(_with_seq(spark.read.text(path)), schema).drop("_at")
+        return json_lines(with_seq(spark.read.text(path)), schema).drop("_at")
     first = fs.first_non_blank(spark, path)
     if first not in (b"[", b"{"):
         raise FeedLoadError(f"Could not parse JSON file {path}")
+    if first == b"[" and schema is not None:
+        _check_required(schema.names, required_columns, path)
+        return _spliced_list(spark, path, schema)
     reader = spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
     if first == b"{":
         env_schema = T.StructType([T.StructField("data", T.ArrayType(schema))]) if schema is not None else None
@@ -185,7 +231,7 @@ def load_json(
         raise FeedLoadError(f"JSON file {path} contains no records")
     _check_required(df.columns, required_columns, path)
     if seq_src is df:
-        return _with_seq(df)
+        return with_seq(df)
     # envelope: the records of one file come from one row; keep array order
     exploded = seq_src.select(F.col("_metadata.file_path").alias("_f"), F.posexplode("data").alias("_p", "_r"))
     place = F.struct(F.col("_f").alias("file"), F.lit(0).cast("long").alias("block"), F.col("_p").cast("long").alias("pos"))

@@ -3,15 +3,17 @@
 A feed folder is read as a file stream; ``trigger(availableNow=True)`` turns
 each run into "load every file that arrived since the last run, then stop".
 The stream's checkpoint (offset log) is the high-water mark: files already
-loaded are never read again. Each micro-batch runs the same batch job as a
-full load (tag -> land -> upsert valid rows -> append rejects). A retried
+loaded are never read again. The stream itself carries the files' paths; each
+micro-batch reads its files with the same readers as a full load, so quoted line
+ends, short rows and broken lines mean the same in both, and runs the same job
+(tag -> land -> upsert valid rows -> append rejects). A retried
 micro-batch rewrites its own epoch folders and re-upserts the same keys, so
 it is idempotent. Folders and reject parts carry the stream's own name, taken
 from its checkpoint folder, so streams that share a store don't meet. CSV files
 must have the declared columns in the declared order: a file with another header
-fails the batch instead of loading values into the wrong columns. A stream reads with the feed's declared schema, so every
-declared column counts as present in each batch (a file without a column
-loads nulls into it).
+fails the batch instead of loading values into the wrong columns. A stream reads
+with the feed's declared schema, so every declared column counts as present in each
+batch (a file without a column loads nulls into it).
 """
 
 from __future__ import annotations
@@ -21,39 +23,45 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillroll.operators.rules import is_valid
 from tillroll.plans import ingest
 from tillroll.schemas import SPECS
-from tillroll.sources import audit
-from tillroll.sources.files import CORRUPT, NA_TOKENS, json_lines, keep_short_rows
+from tillroll.sources import audit, fs
+from tillroll.sources.files import CORRUPT, NA_TOKENS, FeedLoadError, json_lines, load_csv, with_seq
 from tillroll.sources.fixtures import SEQ
 from tillroll.sources.tables import TableStore
 
-def feed_stream(spark: SparkSession, name: str, feed_dir: str, fmt: str = "csv") -> DataFrame:
-    """Streaming read of a feed folder with the feed's all-string schema."""
+FORMATS = ("csv", "json")
+
+
+def feed_stream(spark: SparkSession, feed_dir: str) -> DataFrame:
+    """The paths of the files of a feed folder as they arrive; their content isn't read."""
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    return files.load(feed_dir).select("path")
+
+
+def read_files(spark: SparkSession, name: str, paths: list[str], fmt: str) -> DataFrame:
+    """The records of some files of a feed, as text in its declared columns."""
     spec = SPECS[name]
-    schema = T.StructType(spec.feed_struct().fields + [T.StructField(CORRUPT, T.StringType())])
-    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    if fmt == "csv":
-        df = reader.option("header", True).option("escape", '"').option("enforceSchema", False).csv(feed_dir)
-        df = keep_short_rows(df, len(spec.columns))
-    elif fmt == "json":
-        # JSON Lines, each line with its text: broken ones are rejects of their own
-        df = json_lines(spark.readStream.text(feed_dir), spec.feed_struct()).drop("_at")
-    else:
-        raise ValueError(f"unsupported feed format {fmt}")
+    if fmt == "json":
+        lines = with_seq(spark.read.text(paths))
+        df = json_lines(lines, spec.feed_struct()).drop("_at")
+        return df.withColumns({c: F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)) for c in spec.column_names})
+    df = load_csv(spark, paths)
+    header = [c for c in df.columns if c not in (CORRUPT, SEQ)]
+    if header != spec.column_names:
+        raise FeedLoadError(f"{name}: the header of {paths[0]} is {header}, not {spec.column_names}")
     return df
 
 
-def _load_batch(store: TableStore, name: str, batch: DataFrame, epoch_id: int, run_ts: dt.datetime, stream: str) -> None:
+def _load_batch(store: TableStore, name: str, batch: DataFrame, epoch_id: int, run_ts: dt.datetime, stream: str, fmt: str) -> None:
     spec = SPECS[name]
-    cols = list(batch.columns)
-    df = batch.select(
-        *[F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)).alias(c) if c != CORRUPT else F.col(c) for c in cols],
-        F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("pos")).alias(SEQ),
-    )
+    paths = sorted(r.path for r in batch.collect())  # the files of one micro-batch
+    paths = [p for p in paths if fs.size(store.spark, p)]
+    if not paths:
+        return
+    df = read_files(store.spark, name, paths, fmt)
     tagged = ingest.prepare(df, name).withColumn("_status", F.when(is_valid(), "valid").otherwise("rejected"))
     landing = f"{store.path('landing', name)}/stream={stream}/epoch={epoch_id}"
     tagged.write.mode("overwrite").parquet(landing)
@@ -80,12 +88,15 @@ def ingest_stream(
     stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
     batches = []
 
+    if fmt not in FORMATS:
+        raise ValueError(f"unsupported feed format {fmt}")
+
     def each(batch: DataFrame, epoch_id: int) -> None:
-        _load_batch(store, name, batch, epoch_id, run_ts, stream)
+        _load_batch(store, name, batch, epoch_id, run_ts, stream, fmt)
         batches.append(epoch_id)
 
     q = (
-        feed_stream(spark, name, feed_dir, fmt)
+        feed_stream(spark, feed_dir)
         .writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

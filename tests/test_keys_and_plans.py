@@ -79,14 +79,32 @@ def test_dense_key_balances_a_hot_order(spark):
     assert keyed.join(expected, ["order_id", "order_item_id"]).filter(F.col("sale_id") != F.col("rn")).count() == 0
 
 
-def test_dense_key_runs_a_join_once(spark, tmp_path):
-    """With a scratch folder the joined rows are stored before range partitioning
-    samples them, and the keys are the same for any number of partitions."""
-    left = spark.range(0, 5000).select((F.col("id") % 700).alias("a"), F.col("id").alias("b"))
+def test_dense_key_of_a_join_moves_the_rows_once(spark, tmp_path):
+    """With a scratch folder the joined keys alone are stored, and the keys are the same
+    for any number of partitions; the rows meet one exchange after the join."""
+    left = spark.range(0, 5000).select((F.col("id") % 700).alias("a"), F.col("id").alias("b"), F.lit("x" * 50).alias("wide"))
     joined = left.join(spark.range(0, 650).select(F.col("id").alias("a"), (F.col("id") * 2).alias("c")), "a")
     expected = {(r.a, r.b): i + 1 for i, r in enumerate(joined.orderBy("a", "b").collect())}
     for n in (1, 4, 17):
         keyed = dense_key(joined, ["a", "b"], "k", n, scratch=str(tmp_path / f"s{n}"))
-        assert "SortMergeJoin" not in keyed._jdf.queryExecution().optimizedPlan().toString()
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("REPARTITION_BY_NUM") == 1
+        assert "rangepartitioning" not in plan and (n == 1 or "SinglePartition" not in plan)
         assert {(r.a, r.b): r.k for r in keyed.collect()} == expected
-        assert (tmp_path / f"s{n}" / "input" / "_SUCCESS").exists()
+        assert spark.read.parquet(str(tmp_path / f"s{n}" / "keys")).columns == ["a", "b"]
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(12,2)"])
+def test_dense_key_of_other_types_with_nulls_and_hot_values(spark, kind):
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 400).cast("int"))
+    value = {"string": F.concat(F.lit('q"\\'), F.col("id") % 300), "date": day, "decimal(12,2)": F.col("id") / 7}[kind].cast(kind)
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, value).alias("k"), F.col("id").alias("v"))  # a third is null
+    keyed = dense_key(df, ["k", "v"], "key", num_partitions=9)
+    expected = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "v")))
+    assert keyed.join(expected, "v").filter(F.col("key") != F.col("rn")).count() == 0
+    sizes = [r["count"] for r in keyed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 5 and max(sizes) < 1200  # null keys are split by the second column
+
+
+def test_dense_key_of_no_rows(spark):
+    assert dense_key(spark.range(0).select(F.col("id").alias("k")), ["k"], "key", 4).count() == 0

@@ -1,26 +1,35 @@
 """Dense surrogate keys without a single-partition window (W-1, W-2).
 
-``row_number() over (order by k)`` with no partition runs in one task. Here:
-range-partition on the order columns, sort within partitions, and store each row
-with its partition and position, so counting and numbering see identical
-partitions; then count rows per partition (a scan of one column, one row per
-partition) and number each row as offset(partition) + position. The position comes
-from ``monotonically_increasing_id`` (partition index in the high bits, record
-number in the low 33 bits), so numbering is a narrow projection: no second
-shuffle. Equals the global row_number when the order columns are unique.
+``row_number() over (order by k)`` with no partition runs in one task. Here only the
+order columns are looked at before the rows move:
+
+1. of the distinct keys those with the smallest hashes, a uniform sample, give range
+   bounds;
+2. a histogram of the keys over these ranges gives the number of rows before each;
+3. the rows move once, to the partition of their range, are sorted there, and get
+   rows before the range + position in the partition. The position comes from
+   ``monotonically_increasing_id`` (record number in the low 33 bits) after the sort, so
+   numbering is a narrow projection and the result is written where the caller wants
+   it, once.
+
+Equals the global row_number when the order columns are unique.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.operators.joins import input_bytes
 
 _LOW_BITS = (1 << 33) - 1
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+#: sampled keys a range (ranges then differ by about a tenth of their size), and in all
+_SAMPLED, _MOST_SAMPLED = 100, 200_000
 
 
 def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
@@ -43,32 +52,67 @@ def dense_key(
     first: bool = True,
     scratch: str | None = None,
 ) -> DataFrame:
-    """Add ``out`` = 1-based position of each row in ``order_cols`` order.
+    """Add ``out`` = 1-based position of each row in ``order_cols`` order (nulls first).
 
-    ``scratch`` is a shared folder of the caller's, who deletes it once the result
-    has been stored; without one the ranged rows go to a reliable checkpoint.
+    The order columns are read on their own before, so ``df`` must give the same rows
+    each time. ``scratch`` is a shared folder of the caller's, who deletes it once the
+    result has been stored: keys that a join makes are stored there, to make them once.
     ``first=True`` puts the key as the first column.
     """
     order = list(order_cols)
     cols = [c for c in df.columns if c != out]
-    spark = df.sparkSession
-    if scratch is not None and _joins(df):
-        # range partitioning samples its input: a join would run twice
-        df = _stored(df, f"{scratch}/input")
-    ranged = df.repartitionByRange(num_partitions or partitions_for(df), *order).sortWithinPartitions(*order)
-    placed = ranged.select(
-        F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS)).alias("_pos"), *cols)
-    # place and rows are fixed together: counting and numbering see the same
-    placed = _stored(placed, f"{scratch}/ranged") if scratch is not None else placed.checkpoint(eager=True)
-    # one row per partition: bounded by the partition count, not the data
-    counts = sorted((r["_pid"], r["count"]) for r in placed.groupBy("_pid").count().collect())
-    offsets, before = [], 0
-    for pid, n in counts:
-        offsets.append((pid, before))
-        before += n
-    table = spark.createDataFrame(offsets, "_pid int, _offset long")
-    numbered = placed.join(F.broadcast(table), "_pid").withColumn(out, (F.col("_offset") + F.col("_pos") + 1).cast("long"))
-    return numbered.select(out, *cols) if first else numbered.select(*cols, out)
+    keys = df.select(*order)
+    if scratch is not None and _joins(keys):
+        keys = _stored(keys, f"{scratch}/keys")
+    n = num_partitions or partitions_for(df)
+    bounds = range_bounds(keys, order, n)
+    place = range_of(keys.schema, order, bounds)
+    # one row per range: bounded by the partition count, not the data
+    counts = {r["p"]: r["count"] for r in keys.groupBy(place.alias("p")).count().collect()}
+    before, offsets = 0, []
+    for p in range(len(bounds) + 1):
+        offsets.append(before)
+        before += counts.get(p, 0)
+    ranged = df.withColumn("_range", place).repartitionById(len(offsets), F.col("_range")).sortWithinPartitions(*order)
+    start = F.element_at(_literal(offsets, T.ArrayType(T.LongType())), F.col("_range") + 1)
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))
+    numbered = ranged.select((start + position + 1).alias(out), *cols)
+    return numbered if first else numbered.select(*cols, out)
+
+
+def range_bounds(keys: DataFrame, order: Sequence[str], n: int) -> list[list]:
+    """At most n - 1 ascending keys that cut ``keys`` into ranges of about equal size."""
+    if n < 2:
+        return []
+    some = keys.orderBy(F.xxhash64(*order)).limit(min(_SAMPLED * n, _MOST_SAMPLED))
+    sample = [list(r) for r in some.orderBy(*order).select(*[F.to_json(F.struct(c), {"ignoreNullFields": "false"}) for c in order]).collect()]
+    cuts = [sample[len(sample) * i // n] for i in range(1, n)] if sample else []
+    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
+
+
+def range_of(schema: T.StructType, order: Sequence[str], bounds: list[list]) -> Column:
+    """How many bounds lie at or below a row's key, by binary search."""
+    if not bounds:
+        return F.lit(0)
+    key = F.struct(*order)
+    kind = T.StructType([schema[c] for c in order])
+    values = [json.loads("{" + ", ".join(part[1:-1] for part in b) + "}") for b in bounds]
+    table = _literal(values, T.ArrayType(kind))
+    steps = len(bounds).bit_length()
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        below = (s["low"] < s["high"]) & (F.element_at(table, F.least(middle + 1, F.lit(len(bounds)))) <= key)
+        return F.struct(F.when(below, middle + 1).otherwise(s["low"]).alias("low"),
+                        F.when(below | (s["low"] >= s["high"]), s["high"]).otherwise(middle).alias("high"))
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+    return F.aggregate(F.array(*[F.lit(i) for i in range(steps)]), start, halve, lambda s: s["low"])
+
+
+def _literal(values: list, kind: T.DataType) -> Column:
+    """A constant of any size as one expression."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
 
 
 def _joins(df: DataFrame) -> bool:

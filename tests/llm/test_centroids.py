@@ -1,0 +1,99 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from tests.llm.util import same_as_sql
+from tillroll.llm import centroids as C
+from tillroll.llm import queries
+
+
+def lloyd(rows, clusters, rounds, seed=2, scale=4):
+    """Plain rounds over Python integers."""
+    kept = [(i, [int(np.floor(scale * np.float64(np.float32(x)))) for x in e]) for i, e in rows
+            if e is not None and len(e) == 8 and all(x is not None and np.isfinite(x) for x in e)]
+    order = sorted((hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest(), v) for i, v in kept)
+    centre = [v for _, v in order[:clusters]]
+
+    def assign():
+        out = []
+        for i, v in kept:
+            d, c = min((sum((a - b) ** 2 for a, b in zip(v, m)), c) for c, m in enumerate(centre))
+            out.append((i, v, c, d))
+        return out
+
+    for _ in range(rounds):
+        now = assign()
+        for c in range(len(centre)):
+            own = [v for _, v, k, _ in now if k == c]
+            if own:
+                centre[c] = [sum(x) // len(own) for x in zip(*own)]
+    now = assign()
+    total = sum(d for *_, d in now)
+    return sorted((str(i), c, d, sum(x[3] for x in now if x[2] == c), total, centre[c]) for i, _, c, d in now)
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    rng = random.Random(5)
+    spots = [[rng.uniform(-9, 9) for _ in range(8)] for _ in range(6)]
+    rows = [(i, [x + rng.gauss(0, 0.7) for x in rng.choice(spots)]) for i in range(300)]
+    rows += [(1000 + i, [0.25, -0.25] * 4) for i in range(5)] + [rows[3], rows[3], (None, [1.0] * 8)]
+    rows += [(2000, None), (2001, [1.0] * 7), (2002, [1.0] * 7 + [None]), (2003, [float("nan")] * 8), (2004, [float("inf")] * 8), (2005, [])]
+    df = spark.createDataFrame([(i, e, 0, "x") for i, e in rows], "vec_id long, embedding array<float>, cluster int, distance string")
+    return rows, df
+
+
+def test_clusters_equal_plain_rounds(vectors):
+    rows, df = vectors
+    got = C.cluster(df, clusters=7, rounds=4, dimensions=8, scale=4).collect()
+    assert sorted((str(r.vec_id), r.cluster, r.distance, r.cluster_inertia, r.inertia, r.centroid) for r in got) == lloyd(rows, 7, 4)
+    assert min(r.scans for r in got) < 5  # the bounds spare scans where vectors form clusters
+
+
+def test_fewer_vectors_than_clusters_and_none(spark, vectors):
+    rows, df = vectors
+    few = df.where("vec_id < 3")
+    got = C.cluster(few, clusters=7, rounds=2, dimensions=8, scale=4).collect()
+    want = lloyd([r for r in rows if r[0] is not None and r[0] < 3], 7, 2)
+    assert sorted((str(r.vec_id), r.cluster, r.distance, r.cluster_inertia, r.inertia, r.centroid) for r in got) == want
+    none = C.cluster(df.limit(0), dimensions=8)
+    assert none.count() == 0 and none.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid", "scans"]
+    assert C.cluster(df.where("vec_id >= 2000"), dimensions=8).count() == 0
+
+
+def test_a_component_too_large_for_long_distances_is_left_out(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1e30, 0.0]), (3, [3e5, -3e5])], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in C.cluster(df, clusters=1, rounds=1, dimensions=2, scale=256).collect()}
+    assert set(got) == {1, 3}
+    mid = [(256 + 76_800_000) // 2, (512 - 76_800_000) // 2]
+    assert got[1].centroid == mid and got[1].distance == (256 - mid[0]) ** 2 + (512 - mid[1]) ** 2
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_loosening_bounds_every_point_of_the_sphere(seed):
+    rng = np.random.RandomState(seed)
+    old = rng.normal(size=(5, 6)) * 10
+    new = old + rng.normal(size=(5, 6)) * rng.choice([0, 0.1, 5], (5, 1))
+    radius = rng.uniform(0, 12, 5)
+    fall = C.loosening(old, new, radius)
+    drift = np.sqrt(((new - old) ** 2).sum(1))
+    for i in range(5):
+        ball = rng.normal(size=(4000, 6))
+        ball *= (radius[i] / np.sqrt((ball**2).sum(1)))[:, None] * rng.uniform(0.5, 1, (4000, 1))
+        x = old[i] + ball
+        seen = np.sqrt(((x[:, None] - old) ** 2).sum(2)) - np.sqrt(((x[:, None] - new) ** 2).sum(2))
+        seen[:, i] = -np.inf
+        assert seen.max() <= fall[i] <= np.delete(drift, i).max() * (1 + 1e-6) + 1e-6
+
+
+def test_loosening_is_less_than_the_drift_where_the_sphere_lies_aside():
+    old = np.array([[0.0, 0.0], [10.0, 0.0]])
+    new = np.array([[0.0, 0.0], [10.0, 4.0]])  # moves across the line of sight
+    assert C.loosening(old, new, np.array([1.0, 1.0]))[0] < 1.0 < 4.0
+
+
+def test_query_equals_sql(spark, tables):
+    tables.execute("CREATE OR REPLACE VIEW embeddings AS SELECT * FROM read_parquet('/root/testdata/sf0.001/embeddings.parquet')")
+    same_as_sql(queries.QUERIES["op11_centroid_clusters"](spark, "/root/testdata/sf0.001"), tables, queries.ORACLE_SQL["op11_centroid_clusters"])

@@ -45,6 +45,27 @@ def test_cutoffs_reject_bad_documents_within_the_risk_and_equal_the_sql(spark, t
                 con, oracle.quality_rules())
 
 
+def test_copies_of_one_document_prove_nothing(spark):
+    rng = random.Random(8)
+    text = " ".join(f"w{j}" for j in range(60))
+    other = [(1000 + i, " ".join(f"x{rng.randint(0, 99999)}#" for _ in range(60)), "en", None) for i in range(10)]
+    copies = [(1, text, "en", 1)] * 700 + [(2 + i, text, "en", 1) for i in range(300)]
+    df = spark.createDataFrame(copies + other, "doc_id long, text string, lang string, quality int")
+    labels = df.where("quality is not null").select("doc_id", "quality")
+    judged = quality_rules.judge(df.drop("quality"), labels)
+    assert judged.where("not kept").count() == 0  # one good text is no evidence
+    assert quality_rules.keep_good(df.drop("quality"), labels).count() == df.count()
+
+
+def test_judge_and_keep_good_decide_alike(spark):
+    df = _labelled(spark, 700).cache()
+    labels = df.select("doc_id", "quality")
+    judged = quality_rules.judge(df.drop("quality"), labels)
+    kept = quality_rules.keep_good(df.drop("quality"), labels)
+    assert sorted(r["doc_id"] for r in judged.where("kept").collect()) == sorted(r["doc_id"] for r in kept.collect())
+    assert judged.where("not base_failed and not kept").count() > 80
+
+
 def test_too_few_labels_prove_nothing():
     grid = quality_rules.RULES
     none = {"stratum": "en", "n_good": 0} | {f"{r}_{i}": 0 for r, (_, _, g) in grid.items() for i in range(len(g))}
@@ -109,6 +130,97 @@ def test_quality_model_separates_held_out_documents(spark):
     assert pdf.score.between(0, 1).all() and ((pdf.score >= 0.5) == (pdf.predicted == 1)).all()
 
 
+def test_one_id_that_repeats_gives_one_training_row(spark):
+    rows = [(1, f"copy {i % 40} of a text", 1) for i in range(3000)] + [(10 + i, f"text {i}", i % 2) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    from tillroll.llm.features import text_features
+
+    features = text_features(df, ["doc_id"])
+    every = lambda c: F.lit(True)
+    x, y = quality_model.training_rows(features, df.select("doc_id", "quality").distinct(), every)
+    assert x.shape == (51, len(quality_model.INPUTS)) and y.sum() == 26
+    x, _ = quality_model.training_rows(features, df.select("doc_id", "quality").distinct(), every, most=20)
+    assert len(x) == 20
+
+
+def _plain_boosting(x, y, rounds):
+    """Cyclic boosting of depth-2 trees over quantile bins, row by row, without pairs."""
+    n = len(y)
+    train = [i for i in range(n) if i % 5 != 4]
+    base = np.log((sum(y) + 1) / (n - sum(y) + 1))
+    f = [base] * n
+    d = len(x[0])
+    edges = [sorted(set(np.quantile([r[j] for r in x], np.arange(1, quality_model.BINS) / quality_model.BINS))) for j in range(d)]
+    place = [[sum(v >= e for e in edges[j]) for v in (r[j] for r in x)] for j in range(d)]
+
+    def split(rows, j, g, h, bins):
+        total_g, total_h = sum(g[i] for i in rows), sum(h[i] for i in rows)
+        best, at = 0.0, None
+        for c in range(bins[0], bins[1] - 1):
+            left = [i for i in rows if place[j][i] <= c]
+            gl, hl = sum(g[i] for i in left), sum(h[i] for i in left)
+            if hl < 0.5 or total_h - hl < 0.5:
+                continue
+            gain = gl**2 / (hl + 1) + (total_g - gl) ** 2 / (total_h - hl + 1) - total_g**2 / (total_h + 1)
+            if gain > best + 1e-12:
+                best, at = gain, c
+        return at
+
+    def grow(rows, j, g, h, bins, depth, leaf):
+        at = split(rows, j, g, h, bins) if depth else None
+        if at is None:
+            value = sum(g[i] for i in rows) / (sum(h[i] for i in rows) + 1)
+            for b in range(*bins):
+                leaf[b] = value
+            return
+        grow([i for i in rows if place[j][i] <= at], j, g, h, (bins[0], at + 1), depth - 1, leaf)
+        grow([i for i in rows if place[j][i] > at], j, g, h, (at + 1, bins[1]), depth - 1, leaf)
+
+    for _ in range(rounds):
+        for j in range(d):
+            p = [1 / (1 + np.exp(-v)) for v in f]
+            leaf = {}
+            grow(train, j, [a - b for a, b in zip(y, p)], [b * (1 - b) for b in p], (0, len(edges[j]) + 1), 2, leaf)
+            f = [v + quality_model.RATE * leaf[place[j][i]] for i, v in enumerate(f)]
+    return f
+
+
+def test_boosting_equals_a_plain_version(monkeypatch):
+    rng = np.random.RandomState(4)
+    x = np.round(rng.rand(120, 3), 2)
+    y = ((x[:, 0] > 0.4) & (rng.rand(120) < 0.9)).astype(float)
+    monkeypatch.setattr(quality_model, "ROUNDS", 6)
+    monkeypatch.setattr(quality_model, "PAIRS", 0)
+    model = quality_model.fit(x, y)
+    # the number of rounds is where the held-back rows have their smallest loss
+    test = np.arange(120) % 5 == 4
+
+    def loss(f):
+        p = np.clip(1 / (1 + np.exp(-np.array(f)[test])), 1e-9, 1 - 1e-9)
+        return -np.mean(y[test] * np.log(p) + (1 - y[test]) * np.log(1 - p))
+
+    paths = [_plain_boosting(x.tolist(), y.tolist(), r) for r in range(7)]
+    best = 0
+    for r in range(1, 7):
+        if loss(paths[r]) < loss(paths[best]) - 1e-6:
+            best = r
+    assert best > 0 and np.allclose(model.margin(x), paths[best], atol=1e-9)
+
+
+def test_registered_quality_query_scores_each_document_by_its_text(spark, docs):
+    got = {r["doc_id"]: r for r in QUERIES["op9_quality_model"](spark, SF).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert set(got) == set(texts)
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
+    by_text: dict = {}
+    for i, t in texts.items():
+        by_text.setdefault(t, set()).add(got[i]["score"])
+    assert all(len(s) == 1 for s in by_text.values())
+    quality = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    held = [(got[i]["predicted"], q) for i, q in quality.items() if i in got and got[i]["held_out"]]
+    assert np.mean([a == b for a, b in held]) > 0.9
+
+
 def test_pair_tables_learn_an_interaction():
     rng = np.random.RandomState(0)
     x = rng.rand(6000, 3)
@@ -148,29 +260,72 @@ def test_greedy_parse_agrees_with_substring_search():
                     j += 1
                 count += 1 if j > i else 1
                 i = max(j, i + 1)
-            bits = model.models[m][4]
+            bits = model.models[m].bits
             got = model.parse([probe])[0][0, m] * len(probe) / bits
             assert abs(got - count) <= sum(c not in train for c in probe) + 1e-6
 
 
 def test_language_edge_cases(spark, odd_docs, no_docs):
-    spans = language_id.training_spans(odd_docs)
-    found = {r["doc_id"]: r for r in language_id.identify(odd_docs, spans).collect()}
+    texts = language_id.training_texts(odd_docs, doc_chars=1_000_000, language_chars=2_000_000)
+    found = {r["doc_id"]: r for r in language_id.identify(odd_docs, texts).collect()}
     assert {found[i]["lang_pred"] for i in (3, 4, 6)} == {"und"} and found[3]["score"] == 0
     assert found[7]["lang_pred"] in ("en", "de")
-    assert language_id.training_spans(no_docs) == {} and language_id.identify(no_docs, spans).count() == 0
+    assert language_id.training_texts(no_docs) == {} and language_id.identify(no_docs, texts).count() == 0
     assert {r["lang_pred"] for r in language_id.identify(odd_docs, {}).collect()} == {"und"}
 
 
+def test_every_letter_counts_in_scripts_of_many_letters():
+    """Texts of thousands of letters, of which two languages share all."""
+    rng = random.Random(2)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+
+    def language(seed):
+        follow = random.Random(seed)
+        table = {c: follow.choices(letters, k=4) for c in letters}
+
+        def text(n):
+            c, out = rng.choice(letters), []
+            for _ in range(n):
+                out.append(c)
+                c = rng.choice(table[c])
+            return "".join(out)
+
+        return text
+
+    one, two = language(1), language(2)
+    model = language_id.Languages({"one": [one(2000) for _ in range(10)], "two": [two(2000) for _ in range(10)]})
+    names, score = model.predict([one(200) for _ in range(20)] + [two(200) for _ in range(20)])
+    assert names == ["one"] * 20 + ["two"] * 20 and (score > 0.1).all()
+    assert all(m.edges.key.nbytes < 3_000_000 for m in model.models)  # not states x letters
+
+
+def test_training_texts_are_whole_and_bounded(spark):
+    rows = [(i, f"word{i} " * (i % 50 + 1), "en" if i % 2 else "de") for i in range(400)] + [(1, "word1 " * 2, "en")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.training_texts(df, language_chars=5000, doc_chars=300)
+    known = {t for _, t, _ in rows}
+    for texts in got.values():
+        assert set(texts) <= known and len(set(texts)) == len(texts) and max(map(len, texts)) <= 300
+        assert 2000 < sum(map(len, texts)) <= 5000
+
+
 def _contained(docs, items, k=5, percent=80):
     import re
 
-    def sh(t):
-        w = re.findall(r"[a-z0-9\x80-\U0010ffff]+", (t or "").lower())
-        return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+    def words(t):
+        return re.findall(r"[a-z0-9\x80-\U0010ffff]+", (t or "").lower())
+
+    def sh(w, n):
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
-    ds, qs = [(i, sh(t)) for i, t in docs], [(i, sh(t)) for i, t in items]
-    return {(d, q) for d, x in ds for q, y in qs if y and 100 * len(x & y) >= percent * len(y)}
+    ds, qs = [(i, words(t)) for i, t in docs], [(i, words(t)) for i, t in items]
+    shingles = {n: [(i, sh(w, n)) for i, w in ds] for n in range(1, k + 1)}
+    out = set()
+    for q, w in qs:
+        if w:  # an item of fewer than k words is one shingle of all its words
+            y = sh(w, min(k, len(w)))
+            out |= {(d, q) for d, x in shingles[min(k, len(w))] if 100 * len(x & y) >= percent * len(y)}
+    return out
 
 
 def test_decontamination_finds_partial_passages_and_nothing_else(spark):
@@ -203,11 +358,20 @@ def test_signature_always_meets_a_contained_item(spark):
     assert set(sig[sig._minimum]._h.astype("uint64")) == set(sorted(sig._h.astype("uint64"))[: sig._minimum.sum()])
 
 
+def test_a_short_item_is_found_inside_a_long_document(spark):
+    docs = [(1, "zero One, two three four five six seven eight nine ten"), (2, "one two three x four"), (3, "two three four five"), (4, "one")]
+    items = [(1, "two three four five"), (2, "one"), (3, "three four"), (4, "four three")]
+    d, q = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.contained(d, q).collect()}
+    assert got == {(1, 1), (3, 1), (1, 2), (2, 2), (4, 2), (1, 3), (3, 3)} == _contained(docs, items)
+
+
 def test_decontamination_edge_cases(spark, odd_docs, no_docs):
-    items = spark.createDataFrame([(1, "x")], "item_id long, text string")
-    assert [r["doc_id"] for r in decontamination.contained(odd_docs, items).collect()] == [5]
+    items = spark.createDataFrame([(1, "x"), (2, "two line one two")], "item_id long, text string")
+    found = decontamination.contained(odd_docs, items).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(5, 1), (11, 2)]
     clean = decontamination.decontaminate(odd_docs, items)
-    assert clean.columns == odd_docs.columns and clean.count() == odd_docs.count() - 1
+    assert clean.columns == odd_docs.columns and clean.count() == odd_docs.count() - 2
     assert decontamination.contained(no_docs, items).count() == 0
     assert decontamination.contained(odd_docs, items.limit(0)).count() == 0
     assert decontamination.decontaminate(odd_docs, items.limit(0)).count() == odd_docs.count()

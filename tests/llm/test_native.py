@@ -78,6 +78,16 @@ def test_documents_of_higher_weight_are_taken_more_often(spark):
     assert clean > 3 * dirty > 0
 
 
+def test_key_buckets_stay_small_whatever_the_weight(spark):
+    """At weights of 0.1 and 1 no bucket holds more than a few of 20,000 keys."""
+    for weight in (0.1, 0.2, 1.0):
+        keys = spark.range(20_000).select(mixing.sampling_key(F.col("id"), F.lit("t"), F.lit(weight)).alias("x"))
+        held = keys.select("x", mixing._bucket(F.col("x")).alias("b"))
+        assert held.groupBy("b").count().agg(F.max("count")).first()[0] <= 5
+        pdf = held.orderBy("x").toPandas()
+        assert pdf.b.is_monotonic_increasing
+
+
 def test_mixing_edge_cases(spark, odd_docs, no_docs):
     got = mixing.mixture(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(r["taken"] == 0 for r in got if r["doc_id"] in (3, 4, 6))
@@ -125,16 +135,19 @@ def test_partition_is_minimax(seed):
     if seed % 3 == 0:
         sizes[rng.randint(len(sizes))] = 2000
     n = int(rng.randint(1, 9))
-    buckets = np.sort(rng.randint(0, 16, len(sizes)))
-    keys = np.arange(len(sizes)) + 100
-    coarse = np.bincount(buckets, sizes, 16).astype(np.int64)
+    # keys that share their first bits, so some nodes have parts of parts
+    keys = np.sort(rng.choice(1 << 14, len(sizes), replace=False).astype(np.int64)) << int(rng.choice([20, 34, 47]))
     fetched = []
 
-    def groups_of(wanted):
-        fetched.extend(wanted)
-        return {b: (keys[buckets == b], sizes[buckets == b]) for b in wanted}
+    def rows(bits, keep):
+        prefix = keys >> (63 - bits)
+        return [(int(p), int(sizes[prefix == p].sum()), int((prefix == p).sum()), int(keys[prefix == p].min())) for p in np.unique(prefix[keep])]
 
-    order = sharding.Order(coarse, groups_of)
+    def parts_of(nodes):
+        fetched.extend((n.bits, n.prefix) for n in nodes)
+        return [(n, rows(n.bits + 8, keys >> (63 - n.bits) == n.prefix)) for n in nodes]
+
+    order = sharding.Order(rows(16, sizes > 0), parts_of)
     cuts = sharding.boundaries(order, n, int(sizes.max()))
     ends = set(np.concatenate([[0], np.cumsum(sizes)]).tolist())
     assert cuts == sorted(cuts) and set(cuts) <= ends
@@ -143,6 +156,41 @@ def test_partition_is_minimax(seed):
     assert len(fetched) == len(set(fetched))
 
 
+def test_the_query_cuts_at_the_minimax_capacity(spark, tmp_path):
+    """The registered query against a plain one: groups by text in key order, the best
+    capacity by dynamic programming, gapless slots."""
+    rng = np.random.RandomState(7)
+    texts = ["".join(rng.choice(list("abé "), rng.randint(0, 60))) for _ in range(70)] + [None, "", "big " * 400]
+    rows = [(i, texts[rng.randint(len(texts))]) for i in range(300)] + [(5, "twice")] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op10_sharding"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and {r["law"] for r in got} == {"bytes"} and {r["grown_shard"] for r in got} == {None}
+    size = lambda t: len((t or "").encode()) + 1
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter((i, size(t), zlib.crc32((t or "").encode())) for i, t in rows)
+    total = Counter()
+    for r in got:
+        total[r["shard"]] += r["size"]
+        assert 0 <= r["shard"] < 8
+    for s in range(8):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+    keyed = df.select(F.xxhash64("text").alias("k"), "text").collect()
+    groups = Counter()
+    for r in keyed:
+        groups[r["k"]] += size(r["text"])
+    sizes = np.array([groups[k] for k in sorted(groups)])
+    assert max(total.values()) == _best(sizes, 8)
+
+
+def test_many_groups_in_one_range_are_found_part_by_part(spark):
+    """Keys that differ in their last bits alone."""
+    keyed = spark.range(3000).select((F.col("id") - 1500).alias("key"), (F.col("id") % 17 + 1).alias("size"))
+    cuts = sharding.cut_keys(keyed, 8)
+    sizes = np.array([i % 17 + 1 for i in range(3000)])
+    parts = [sizes[a:b].sum() for a, b in zip([0, *(c + 1500 for c in cuts)], [*(c + 1500 for c in cuts), 3000])]
+    assert max(parts) == _best(sizes, 8) if len(sizes) < 500 else max(parts) - min(parts) <= 40
+
+
 def test_sharding_edge_cases(spark, odd_docs, no_docs):
     got = sharding.shard(odd_docs)
     assert got.columns == [*odd_docs.columns, "_size", "text_crc32", "_shard", "slot"]
@@ -202,6 +250,33 @@ def test_every_kind_keeps_its_format(spark):
     assert len(set(out)) == len(set(ips)) and all(all(0 <= int(x) < 256 for x in o.split(".")) for o in out)
 
 
+def test_every_slash_date_has_a_pseudonym_of_its_own(spark):
+    """Both readings of a '/' date: those that are dates month first only are permuted
+    among themselves. 28,224 dates of 48 years, and the ends of the range."""
+    import datetime
+
+    days = [datetime.date(1980, 1, 1) + datetime.timedelta(i) for i in range(17_532)] + [
+        datetime.date(1800, 1, 13), datetime.date(1800, 12, 31), datetime.date(2199, 12, 31), datetime.date(2000, 2, 29), datetime.date(1900, 2, 28)]
+    shown = sorted({d.strftime("%d/%m/%Y") for d in days} | {d.strftime("%m/%d/%Y") for d in days})
+    out = _perm(spark, shown)
+    assert len(shown) > 28_000 and len(set(out)) == len(shown)
+    for a, b in zip(shown, out):
+        month_first = int(a[3:5]) > 12
+        assert (int(b[3:5]) > 12) == month_first
+        back = datetime.datetime.strptime(b, "%m/%d/%Y" if month_first else "%d/%m/%Y")
+        assert 1800 <= back.year < 2200
+
+
+def test_month_first_dates_are_permuted_onto_themselves(spark):
+    """The whole set of such days maps onto itself."""
+    import datetime
+
+    first = datetime.date(1800, 1, 1)
+    shown = [d.strftime("%m/%d/%Y") for d in (first + datetime.timedelta(i) for i in range(146_097)) if d.day > 12]
+    assert len(shown) == 88_497 == 9 * 9833
+    assert sorted(_perm(spark, shown)) == sorted(shown)
+
+
 def test_phone_numbers_outside_the_number_plan(spark):
     rng = random.Random(9)
     pairs = [(17, 555), (132, 555), (0, 0), (199, 999), (200, 0), (999, 199), (200, 199), (199, 200)]
@@ -244,6 +319,8 @@ def test_pseudonyms_link_across_documents_and_keep_the_rest(spark):
 def test_pseudonyms_edge_cases(spark, odd_docs, no_docs):
     assert rows(pseudonyms.pseudonymise(odd_docs, "k")) == rows(odd_docs)
     assert pseudonyms.pseudonymise(no_docs, "k", counts=True).count() == 0
+    clash = odd_docs.select("doc_id", "text", odd_docs.n_words.alias("n_phone"))
+    assert pseudonyms.pseudonymise(clash, "k", counts=True).columns == ["doc_id", "text", "n_phone", "n_email", "n_date", "n_ip", "_n_phone", "n_ssn", "n_card"]
     counted = pseudonyms.pseudonymise(odd_docs.select("doc_id", "text"), "k", counts=True).collect()
     assert all(r[f"n_{k}"] == 0 for r in counted for k in pseudonyms.PATTERNS)
 

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from tillroll.llm import secrets_crf as S
 from tillroll.llm.queries import QUERIES
@@ -103,6 +104,69 @@ def test_the_field_adds_secrets_that_no_pattern_knows(spark):
             assert test[i][1][f["start"] : f["end"]] == f["secret"]
 
 
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def _injected(spark, sf, make, every=3):
+    """Held-out documents of the table (not drawn for training) with a secret put in
+    between two words of every third, behind words that no pattern knows."""
+    rng = random.Random(12)
+    leads = ["credential = ", "auth_key: ", "Bearer_value=\"", "private = '", "cred: "]
+    rows, want = [], {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        words = (r["text"] or "").split(" ")
+        if r["doc_id"] % 2 and len(words) > 20:
+            if r["doc_id"] % every == 0:
+                lead, value = rng.choice(leads), make(rng)
+                close = lead[-1] if lead[-1] in "\"'" else ""
+                at = rng.randrange(1, len(words))
+                words[at:at] = [f"\n{lead}{value}{close}\n"]
+                want[r["doc_id"]] = value
+            rows.append((r["doc_id"], " ".join(words)))
+    return spark.createDataFrame(rows, "doc_id long, text string"), want
+
+
+def _measured(spark, make):
+    """(recall of the injected values, share of other documents with a field span)."""
+    train = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id % 2 = 0")
+    field = S.train(train)
+    docs, want = _injected(spark, "/root/testdata/sf0.01", make)
+    found = {r["doc_id"]: [f for f in r["found"] if f["kind"] == "crf"] for r in S.find(docs, field).collect()}
+    hit = sum(any(f["secret"] in v or v in f["secret"] for f in found[i]) for i, v in want.items())
+    false = sum(bool(x) for i, x in found.items() if i not in want)
+    return hit / len(want), false / max(1, len(found) - len(want))
+
+
+@pytest.mark.parametrize("make, least", [
+    (lambda rng: "".join(rng.choices(LETTERS + "0123456789", k=24)), 0.9),
+    (lambda rng: "".join(rng.choices(LETTERS, k=20)), 0.85),
+    (lambda rng: "xoxb-" + "".join(rng.choices("0123456789", k=11)) + "-" + "".join(rng.choices(LETTERS, k=18)), 0.75),
+], ids=["mixed", "letters only", "two parts"])
+def test_recall_of_unseen_formats_and_precision(spark, make, least):
+    recall, false = _measured(spark, make)
+    assert recall >= least and false <= 0.02
+
+
+def test_letters_only_and_glued_secrets_can_be_tagged():
+    text = 'caf\u00e9Xk2Lq9Vb4Tn7Rw1Zs "kdjQWErtyplm" = qwertyuiopasdf plainwordsonly'.encode()
+    raw = np.frombuffer(text, np.uint8)
+    starts, ends, _ = S.A.spans(S._TOKEN[raw], np.array([0, len(raw)]))
+    chain = S.Chain(text, (starts, ends))
+    tokens = {text[starts[i] : ends[i]] for run in chain.runs for i in run}
+    assert tokens == {b"Xk2Lq9Vb4Tn7Rw1Zs", b"kdjQWErtyplm", b"qwertyuiopasdf"}
+
+
+def test_copies_count_once_in_training(spark):
+    one = "token = \"0a1b2c3d4e5f60718293\" end"
+    rows = [(i, one) for i in range(3000)] + [(5000 + i, f"note{i} chapter{i}9 secret=abc{i}defghijk99") for i in range(30)]
+    runs = S.training_runs(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert runs == S.training_runs(spark.createDataFrame(rows[2999:], "doc_id long, text string"))
+    assert len(S.training_runs(spark.createDataFrame(rows, "doc_id long, text string"), most_runs=7)) == 7
+    long = " ".join(f"v{i}x{i}0" * 3 for i in range(5000))
+    runs = S.training_runs(spark.createDataFrame([(1, long)], "doc_id long, text string"))
+    assert max(len(t) for _, t in runs) <= S.TRAIN_TOKENS
+
+
 def test_edge_cases(spark, odd_docs, no_docs):
     field = S.train(odd_docs)
     assert S.find(odd_docs, field).count() == odd_docs.count()

@@ -10,10 +10,13 @@ of its q <= u shingles and so holds at least one of the m smallest: no
 containment is missed. Candidates are then verified by exact counts of shared
 shingles.
 
-Documents are scanned once. Two fixed-size bitmaps, of all signature hashes and
-of all item hashes, are broadcast; their size doesn't depend on the tables. A
-document without a signature hit emits nothing; others emit the item shingles
-they hold, and an equi-join with the item table does the rest.
+An item of q words, fewer than a shingle has, is one shingle of q words. Documents
+are searched for windows of those lengths too, of which there are k - 1 at most.
+
+Documents are scanned once. Two bitmaps, of all signature hashes and of all item
+hashes, are broadcast; they are sized by the items, up to 8 MB each. A document
+without a signature hit emits nothing; others emit the item shingles they hold, and
+an equi-join with the item table does the rest.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm import arrays as A
-from tillroll.llm.membership import BITS, bitmap, has
+from tillroll.llm.membership import in_bitmap, sized_bitmap
 from tillroll.llm.scratch import free_name, ready, written
 
 SHINGLE = 5
@@ -36,38 +39,45 @@ _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
-def _windows(column: pa.Array, k: int):
-    """Window hashes of all rows of a block and each row's part of them."""
+def _windows(column: pa.Array, k: int, shorter: tuple[int, ...] = ()):
+    """Hashes of the k-word windows of all rows of a block, and each row's part of them.
+    Of a row with fewer words its whole sequence is one. ``shorter``: lengths below k
+    whose windows every row has as well."""
     raw, offsets = A.utf8(pc.utf8_lower(pc.cast(column, pa.large_string())))
     starts, ends, first = A.spans(_WORD[raw], offsets)
     h = A.span_hash(raw, starts, ends)
-    win, count = A.windows(h, first, k)
-    short = np.flatnonzero((count == 0) & (np.diff(first) > 0))
-    if len(short):  # fewer words than k: the whole sequence is one shingle
-        parts, at = [], np.concatenate([[0], np.cumsum(count)])
-        for i in range(len(count)):
-            if count[i]:
-                parts.append(win[at[i] : at[i + 1]])
-            elif first[i + 1] > first[i]:
-                few = h[first[i] : first[i + 1]]
-                whole, _ = A.windows(few, np.array([0, len(few)]), len(few))
-                parts.append(A.mix(whole + np.uint64(len(few))))
-        win, count[short] = np.concatenate(parts), 1
-    return win, np.concatenate([[0], np.cumsum(count)])
+    win, row = [], []
+    for q in (*sorted(shorter), k):
+        hashes, count = A.windows(h, first, q)
+        with np.errstate(over="ignore"):
+            win.append(hashes if q == k else A.mix(hashes + np.uint64(q)))
+        row.append(np.repeat(np.arange(len(count)), count))
+    n = np.diff(first)
+    for i in np.flatnonzero((n > 0) & (n < k)):
+        few = h[first[i] : first[i + 1]]
+        whole, _ = A.windows(few, np.array([0, len(few)]), len(few))
+        win.append(A.mix(whole + np.uint64(len(few))))
+        row.append(np.array([i]))
+    win, row = np.concatenate(win), np.concatenate(row)
+    if len(row) and np.any(row[1:] < row[:-1]):
+        order = np.argsort(row, kind="stable")
+        win, row = win[order], row[order]
+    return win, np.searchsorted(row, np.arange(len(n) + 1)), n
 
 
 def item_shingles(items: DataFrame, item_id: str, text: str, k: int, percent: int) -> DataFrame:
-    """_item, _set, _q, _h, _minimum (whether _h is in the item's signature)."""
+    """_item, _set, _q, _h, _minimum (whether _h is in the item's signature), _words
+    (how many words its shingle has)."""
     src = items.select(items[item_id].alias("_item"), items[text].alias("_text"))
     schema = T.StructType([src.schema["_item"], T.StructField("_set", T.BinaryType()), T.StructField("_q", T.LongType()),
-                           T.StructField("_h", T.LongType()), T.StructField("_minimum", T.BooleanType())])
+                           T.StructField("_h", T.LongType()), T.StructField("_minimum", T.BooleanType()), T.StructField("_words", T.IntegerType())])
 
     def run(batches):
         import hashlib
 
         for batch in batches:
             for part in A.blocks(batch, "_text"):
-                win, at = _windows(part.column("_text"), k)
+                win, at, n_words = _windows(part.column("_text"), k)
                 rows, sets, sizes, hashes, minimum = [], [], [], [], []
                 for i in range(part.num_rows):
                     s = np.unique(win[at[i] : at[i + 1]])
@@ -81,10 +91,12 @@ def item_shingles(items: DataFrame, item_id: str, text: str, k: int, percent: in
                     hashes.append(s)
                     minimum.append(np.arange(len(s)) < m)
                 if rows:
-                    ids = part.column("_item").take(pa.array(np.concatenate(rows)))
+                    row = np.concatenate(rows)
+                    ids = part.column("_item").take(pa.array(row))
                     yield pa.RecordBatch.from_arrays(
                         [ids, pa.array(sets, pa.binary()), pa.array(np.concatenate(sizes), pa.int64()),
-                         pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(minimum))],
+                         pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(minimum)),
+                         pa.array(np.minimum(n_words[row], k).astype(np.int32))],
                         names=schema.names)
 
     return src.mapInArrow(run, schema).distinct()
@@ -96,32 +108,31 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id
     pair in which the document holds ``percent`` or more of the item's shingles.
 
     Words are runs of letters and digits of the lower-cased text (ASCII signs and
-    white space separate). A text of fewer than k words is one shingle, so a very
-    short item is found only in a document that consists of it. Null and empty
+    white space separate). An item of fewer than k words is one shingle of all its
+    words, found wherever a document has those words in a row. Null and empty
     texts hold nothing and are found nowhere. Repeated rows of either side give a
     pair once; rows that share an id but not a text are searched apart. Empty
     tables give an empty result; other columns aren't read.
     """
     ready(docs.sparkSession)
     table = written(item_shingles(items, item_id, text, k, percent), "item-shingles")
-    mask = F.lit((1 << BITS) - 1)
     sc = docs.sparkSession.sparkContext
-    minima = sc.broadcast(bitmap(table.where("_minimum").select(F.col("_h").bitwiseAND(mask).alias("p"))))
-    whole = sc.broadcast(bitmap(table.select(F.col("_h").bitwiseAND(mask).alias("p"))))
+    minima = sc.broadcast(sized_bitmap(table.where("_minimum").select("_h").distinct()))
+    whole = sc.broadcast(sized_bitmap(table.select("_h").distinct()))
+    shorter = tuple(r[0] for r in table.where(F.col("_words") < k).select("_words").distinct().collect())
     src = docs.select(docs[doc_id].alias("_id"), docs[text].alias("_text"), F.xxhash64(docs[text]).alias("_hash"))
     schema = T.StructType([src.schema["_id"], T.StructField("_hash", T.LongType()), T.StructField("_held", T.ArrayType(T.LongType()))])
 
     def run(batches):
-        low = np.uint64((1 << BITS) - 1)
         for batch in batches:
             for part in A.blocks(batch, "_text"):
-                win, at = _windows(part.column("_text"), k)
-                found = np.flatnonzero(has(minima.value, win & low))
+                win, at, _ = _windows(part.column("_text"), k, shorter)
+                found = np.flatnonzero(in_bitmap(*minima.value, win))
                 rows = np.unique(np.searchsorted(at, found, "right") - 1)
                 held = []
                 for i in rows:
                     s = win[at[i] : at[i + 1]]
-                    held.append(np.unique(s[has(whole.value, s & low)]).view(np.int64))
+                    held.append(np.unique(s[in_bitmap(*whole.value, s)]).view(np.int64))
                 take = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_id").take(take), part.column("_hash").take(take), pa.array(held, pa.list_(pa.int64()))],
@@ -140,7 +151,9 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no item, columns as they were."""
+    """The rows of ``docs`` that hold no item, columns as they were. Null and empty
+    texts hold none and stay; rows that repeat stay or go together, and rows that share
+    an id but not a text are judged apart; with no items, or no rows, nothing goes."""
     ident, digest = free_name(docs, "leaked_id", "leaked_text")
     leaked = contained(docs, items, doc_id, item_id, text, **options).select(
         F.col(doc_id).alias(ident), F.col("text_hash").alias(digest)).distinct()

@@ -8,16 +8,17 @@ entropy, phrases * log2(training length) / text length, and the smallest value
 wins (ties: the language that sorts first).
 
 Letters are lower-cased and every run of other characters is one gap, so signs,
-digits and layout carry no weight. Texts are parsed whole, in windows of
-``WINDOW`` symbols that run in lockstep over arrays: a phrase also ends where a
-window does, alike for every language.
+digits and layout carry no weight. Every letter of the training texts has a symbol;
+one that a language's texts lack ends a phrase and is one itself. Transitions are kept
+in an open-addressed table, so a language costs memory for its text, not for its
+alphabet. Texts are parsed whole, in windows of ``WINDOW`` symbols that run in lockstep
+over arrays: a phrase also ends where a window does, alike for every language.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,11 @@ from tillroll.llm.arrays import blocks
 from tillroll.llm.scratch import ready
 
 UNKNOWN_LANGUAGE = "und"
-#: bound of the training sample: spans of documents and characters per span, for each language
+#: bound of the training sample of each language: whole documents, their characters in
+#: all, and the characters of one
 DOCS_PER_LANGUAGE = 200
-SPAN_CHARS = 120
-#: letters of a language that have a symbol of their own; rarer ones count as unknown
-MOST_LETTERS = 250
+LANGUAGE_CHARS = 60_000
+DOC_CHARS = 6_000
 WINDOW = 256
 _GAP, _UNKNOWN = 0, 1  # global symbols; letters follow
 _MODELS: dict[str, "Languages"] = {}
@@ -51,9 +52,9 @@ def code_points(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton as a table (states + 1, width): entry 0 is
-    no transition, state 1 the root, other entries are states times ``width``."""
+def suffix_automaton(symbols: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Transitions (from, symbol, to) of the suffix automaton; states count from 1, which
+    is the root."""
     length, link, follow, last = [0], [-1], [{}], 0
     for c in symbols:
         cur = len(length)
@@ -78,49 +79,73 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.zeros((len(length) + 1, width), np.int32)
-    for s, out in enumerate(follow):
-        for c, t in out.items():
-            table[s + 1, c] = (t + 1) * width
-    return table
+    n = sum(map(len, follow))
+    edges = np.fromiter((x for s, out in enumerate(follow) for c, t in out.items() for x in (s + 1, c, t + 1)), np.int64, 3 * n)
+    return tuple(edges.reshape(n, 3).T)
+
+
+class Edges:
+    """(state, symbol) -> state in an open-addressed table; 0 where there is none."""
+
+    def __init__(self, state: np.ndarray, symbol: np.ndarray, to: np.ndarray, symbols: int):
+        self.symbols = symbols
+        self.bits = max(4, (2 * len(to)).bit_length())
+        self.key, self.to = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
+        key = state * symbols + symbol
+        at, left = self._first(key), np.arange(len(key))
+        while len(left):
+            free = left[self.key[at[left]] < 0]
+            self.key[at[free]] = key[free]  # of several keys for a place one stays
+            left = left[self.key[at[left]] != key[left]]
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+        self.to[self._find(key)] = to
+
+    def _first(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _find(self, key: np.ndarray) -> np.ndarray:
+        """The place of each key, or a free one."""
+        at = self._first(key)
+        held = self.key[at]
+        open_ = np.flatnonzero((held != key) & (held >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
+            held = self.key[at[open_]]
+            open_ = open_[(held != key[open_]) & (held >= 0)]
+        return at
+
+    def follow(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        return self.to[self._find(state * self.symbols + symbol)]
+
+
+class Model:
+    """The automaton of one language: edges, the root's own, and the length's logarithm."""
+
+    def __init__(self, train: list[int], symbols: int):
+        state, symbol, to = suffix_automaton(train)
+        self.edges = Edges(state, symbol, to, symbols)
+        self.root = np.zeros(symbols, np.int64)
+        self.root[symbol[state == 1]] = to[state == 1]
+        self.bits = math.log2(max(2, len(train)))
 
 
 class Languages:
-    """Automata of all languages, built from {language: [spans of text]}."""
+    """Automata of all languages, built from {language: [training texts]}."""
 
-    def __init__(self, spans: dict[str, list[str]]):
-        self.names = sorted(spans)
+    def __init__(self, texts: dict[str, list[str]]):
+        self.names = sorted(texts)
         is_letter = _letters()
-        seen: dict[int, int] = {}
-        texts = {}
-        for name in self.names:
-            texts[name] = [code_points(t) for t in spans[name]]
-            count = Counter(int(c) for t in texts[name] for c in t if is_letter[c])
-            texts[name] = (texts[name], [c for c, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))[:MOST_LETTERS]])
-            for c in texts[name][1]:
-                seen.setdefault(c, len(seen) + 2)
-        self.symbol = np.full(0x110000, _UNKNOWN, np.int32)
-        for c, s in seen.items():
-            self.symbol[c] = s
-        self.models = []
-        for name in self.names:
-            parts, letters = texts[name]
-            # columns: gap 0, unknown 1, pad 2, break between spans 3, letters
-            column = np.full(len(seen) + 3, 1, np.int32)
-            column[_GAP], column[-1] = 0, 2
-            for i, c in enumerate(letters):
-                column[seen[c]] = 4 + i
-            width = 4 + len(letters)
-            train: list[int] = []
-            for part in parts:
-                train += [int(x) for x in column[self._symbols(part)[0]] if x != 1] + [3]
-            table = suffix_automaton(train, width)
-            table[:, 2] = np.arange(len(table)) * width  # padding moves nothing
-            table[:, 1] = 0
-            start = table[1].copy()
-            start[start == 0] = width
-            self.models.append((column, width, table.ravel(), start, math.log2(max(2, len(train)))))
-        self.pad = len(seen) + 2
+        points = {name: [code_points(t) for t in texts[name]] for name in self.names}
+        used = [np.unique(p) for parts in points.values() for p in parts]
+        letters = np.unique(np.concatenate(used)) if used else np.zeros(0, np.uint32)
+        letters = letters[is_letter[letters]]
+        self.symbol = np.full(0x110000, _UNKNOWN, np.int64)
+        self.symbol[letters] = 2 + np.arange(len(letters))
+        self.pad = 2 + len(letters)  # also what divides training texts: no document has it
+        self.models = [
+            Model([x for p in points[name] for x in (*self._symbols(p)[0].tolist(), self.pad)], self.pad + 1) for name in self.names
+        ]
 
     def _symbols(self, points: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Symbols with runs of gaps made one (not across ``starts``), the flags of
@@ -155,17 +180,21 @@ class Languages:
             at = start[i : i + 4096] + steps
             inside = at < stop[i : i + 4096]
             grid = np.where(inside, symbols[np.minimum(at, len(symbols) - 1)], self.pad)
-            for m, (column, width, table, root, _) in enumerate(self.models):
-                cols = column[grid]
-                count = 1 + np.count_nonzero(cols == 1, axis=0)
-                state = np.full(cols.shape[1], width, np.int32)
-                for c in cols:
-                    to = table[state + c]
-                    dead = to == 0
+            for m, model in enumerate(self.models):
+                begin = model.root[grid]  # 0: a symbol that the language's texts lack
+                lacks = inside & (begin == 0)
+                begin[begin == 0] = 1
+                count = 1 + np.count_nonzero(lacks, axis=0)
+                state = np.ones(grid.shape[1], np.int64)
+                for t in range(WINDOW):
+                    if not inside[t].any():
+                        break
+                    to = model.edges.follow(state, grid[t])
+                    dead = (to == 0) & inside[t]
                     count += dead
-                    state = np.where(dead, root[c], to)
+                    state = np.where(dead, begin[t], np.where(inside[t], to, state))
                 phrases[:, m] += np.bincount(doc[i : i + 4096], count, len(texts))
-        bits = np.array([m[4] for m in self.models])
+        bits = np.array([m.bits for m in self.models])
         return phrases * bits / np.maximum(n, 1)[:, None], lettered
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -182,33 +211,36 @@ class Languages:
         return [self.names[b] if ok else UNKNOWN_LANGUAGE for b, ok in zip(best, lettered)], np.where(lettered, np.clip(score, 0, 1), 0.0)
 
 
-def training_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-                   docs_per_language: int = DOCS_PER_LANGUAGE, span_chars: int = SPAN_CHARS) -> dict[str, list[str]]:
-    """For each language, one span of at most ``span_chars`` characters from each of
-    at most ``docs_per_language`` documents, both chosen by a hash of id and text."""
+def training_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", docs_per_language: int = DOCS_PER_LANGUAGE,
+                   language_chars: int = LANGUAGE_CHARS, doc_chars: int = DOC_CHARS) -> dict[str, list[str]]:
+    """For each language whole texts in the order of a hash of id and text, as long as
+    they are ``docs_per_language`` at most with ``language_chars`` characters at most in
+    all; texts of over ``doc_chars`` are passed over."""
     h = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(1 << 40))
-    usable = docs.where(F.col(lang).isNotNull() & (F.length(F.col(text)) > 0)).select(F.col(lang).alias("lang"), F.col(text).alias("text"), h.alias("h"))
+    usable = docs.where(F.col(lang).isNotNull() & F.length(F.col(text)).between(1, doc_chars)).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), h.alias("h"))
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
     bound = F.lit(0)
     for name, n in counts.items():
         bound = F.when(F.col("lang") == name, F.lit(int((1 << 40) * min(1.0, 4 * docs_per_language / n)))).otherwise(bound)
-    start = F.pmod(F.col("h"), F.greatest(F.lit(1), F.length("text") - span_chars + 1)).cast("int") + 1
-    some = usable.where(F.col("h") < bound).select("lang", "h", F.substring("text", start, F.lit(span_chars)).alias("span"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "span"))
-    out: dict[str, list[str]] = {name: [] for name in counts}
-    for r in some.withColumn("rank", rank).where(F.col("rank") <= docs_per_language).orderBy("lang", "rank").collect():
-        out[r["lang"]].append(r["span"])
-    return {k: v for k, v in out.items() if v}
-
-
-def languages(spans: dict[str, list[str]]) -> Languages:
-    """The model of these spans, built once in each Python process."""
-    key = hashlib.sha256(repr(sorted(spans.items())).encode("utf-8", "surrogatepass")).hexdigest()
+    # rows that repeat count once
+    some = usable.where(F.col("h") < bound).dropDuplicates(["lang", "h"])
+    first = Window.partitionBy("lang").orderBy("h")
+    ranked = some.withColumns({"rank": F.row_number().over(first), "chars": F.sum(F.length("text")).over(first)})
+    out: dict[str, list[str]] = {}
+    for r in ranked.where((F.col("rank") <= docs_per_language) & (F.col("chars") <= language_chars)).orderBy("lang", "rank").collect():
+        out.setdefault(r["lang"], []).append(r["text"])
+    return out
+
+
+def languages(texts: dict[str, list[str]]) -> Languages:
+    """The model of these texts, built once in each Python process."""
+    key = hashlib.sha256(repr(sorted(texts.items())).encode("utf-8", "surrogatepass")).hexdigest()
     if key not in _MODELS:
         _MODELS.clear()
-        _MODELS[key] = Languages(spans)
+        _MODELS[key] = Languages(texts)
     return _MODELS[key]
 
 
@@ -217,7 +249,7 @@ def held_out(doc_id: Column, parts: int = 5, part: int = 0) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(True))
 
 
-def identify(docs: DataFrame, spans: dict[str, list[str]], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, texts: dict[str, list[str]], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of every row, from the whole text alone.
 
     ``und`` with score 0 for a null text, a text without a letter, or if no language
@@ -225,7 +257,7 @@ def identify(docs: DataFrame, spans: dict[str, list[str]], doc_id: str = "doc_id
     columns aren't read.
     """
     ready(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(spans)
+    shared = docs.sparkSession.sparkContext.broadcast(texts)
     src = docs.select(docs[doc_id].alias("_id"), docs[text].alias("_text"))
     schema = T.StructType([src.schema["_id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 

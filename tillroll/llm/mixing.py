@@ -6,10 +6,11 @@ source first takes complete epochs of all its documents, then documents in key
 order while the prefix sum of their words stays nearest to what is left of the
 source's budget.
 
-Prefix sums don't sort a source: 1 - exp(-x) cuts the keys into 2^24 ordered
-buckets. Sums of 4,096 coarse buckets find the one where the budget ends, sums
-of its 4,096 fine buckets the next, and only the documents of that one are
-ordered. What leaves this is one cut key per source, so the documents are
+Prefix sums don't sort a source: the logarithm of the key cuts the keys into
+ordered buckets, each 2^-18 of a doubling wide, so none holds more than about a
+millionth of a source whatever its weights are. Sums of coarse buckets (4,096 fine
+ones each) find the one where the budget ends, sums of its fine buckets the next,
+and only the documents of that one are ordered. What leaves this is one cut key per source, so the documents are
 compared with their source's row and neither sorted nor shuffled.
 """
 
@@ -23,7 +24,8 @@ from tillroll.llm.scratch import free_name, written
 WORD = r"[^\x20\x09-\x0D]+"
 MOST_EPOCHS = 3
 SEED = "mix-1"
-_BITS, _FINE = 24, 12
+#: a key is at least 2^-_LOW; a doubling of it has 2^_BITS buckets
+_LOW, _BITS, _FINE = 60, 18, 12
 
 
 def n_words(text: Column) -> Column:
@@ -43,7 +45,7 @@ def sampling_key(doc_id: Column, text: Column, weight: Column, seed: str = SEED)
 
 
 def _bucket(x: Column) -> Column:
-    return F.floor((F.lit(1.0) - F.exp(-x)) * F.lit(float(1 << _BITS))).cast("long")
+    return F.floor((F.log2(F.greatest(x, F.lit(2.0**-_LOW))) + F.lit(float(_LOW))) * F.lit(float(1 << _BITS))).cast("long")
 
 
 def targets(sizes: DataFrame, most: int = MOST_EPOCHS) -> DataFrame:

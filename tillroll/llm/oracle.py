@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tillroll.llm.mixing import MOST_EPOCHS, SEED
-from tillroll.llm.quality_rules import DELTA, MAX_REPEAT_PERCENT, MIN_WORDS, RISK, RULES
+from tillroll.llm.quality_rules import DELTA, MAX_REPEAT_PERCENT, MIN_WORDS, RISK, RULES, joint_path
 from tillroll.llm.warc import LEAST_REVISIT
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -14,9 +14,16 @@ def quality_rules() -> str:
         "n_bangs": "length(regexp_replace(t, '[^!?]', '', 'g'))",
         "n_upper": "length(regexp_replace(t, '[^A-Z]', '', 'g'))",
     }
+    order = {r: i for i, r in enumerate(RULES)}
     grid = ",\n".join(
-        f"({i}, '{r}', {j}, {c!r}::DOUBLE)" for i, (r, (_, _, g)) in enumerate(RULES.items()) for j, c in enumerate(g)
+        [f"('apart', {order[r]}, '{r}', {j}, {c!r}::DOUBLE)" for r, (_, _, g) in RULES.items() for j, c in enumerate(g)]
+        + [f"('joint', {order[r]}, '{r}', {j}, {c!r}::DOUBLE)" for j, step in enumerate(joint_path(RULES)) for r, c in step.items()]
     )
+
+    def tail(share: str) -> str:
+        return f"""(SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}) + (n - i) * ln(1 - {share})))
+                   FROM (SELECT unnest(range(0, k + 1)) AS i))"""
+
     ratios = " UNION ALL ".join(
         f"SELECT doc_id, text_no, lang, base_failed, '{r}' AS rule, {a}::DOUBLE / greatest({b}, 1)::DOUBLE AS v FROM f"
         for r, (a, b, _) in RULES.items()
@@ -29,7 +36,7 @@ tri AS (SELECT text_no, i, ws[i] || chr(10) || ws[i + 1] || chr(10) || ws[i + 2]
         FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 1)) AS i)),
 twice AS (SELECT text_no, i FROM (SELECT text_no, i, count(*) OVER (PARTITION BY text_no, g) AS c FROM tri) WHERE c > 1),
 rep AS (SELECT text_no, count(DISTINCT i + j) AS n FROM twice, (VALUES (0), (1), (2)) AS o(j) GROUP BY text_no),
-f AS (SELECT doc_id, w.text_no, lang, len(ws)::BIGINT AS n_words,
+f AS (SELECT doc_id, w.text_no, lang, t, len(ws)::BIGINT AS n_words,
              length(array_to_string(ws, ''))::BIGINT AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
              len(ls) AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
@@ -38,24 +45,28 @@ f AS (SELECT doc_id, w.text_no, lang, len(ws)::BIGINT AS n_words,
              (len(ws) < {MIN_WORDS} OR 100 * coalesce(rep.n, 0) > {MAX_REPEAT_PERCENT} * len(ws)) AS base_failed
       FROM w LEFT JOIN rep USING (text_no)),
 v AS ({ratios}),
-grid(rule_no, rule, step, cutoff) AS (VALUES {grid}),
-good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
-strata AS (SELECT DISTINCT lang FROM f),
-n AS (SELECT lang, rule, count(*) AS n FROM v SEMI JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY ALL),
-k AS (SELECT v.lang, v.rule, step, count(*) FILTER (WHERE v.v > cutoff) AS k
-      FROM v SEMI JOIN good USING (doc_id) JOIN grid ON v.rule = grid.rule WHERE NOT base_failed GROUP BY ALL),
-tested AS (SELECT n.lang, n.rule, k.step, k.k, n.n,
-                  k.k <= {RISK / len(RULES)!r} * n.n AND
-                  (SELECT sum(exp(lgamma(n.n + 1) - lgamma(i + 1) - lgamma(n.n - i + 1)
-                              + i * ln({RISK / len(RULES)!r}) + (n.n - i) * ln(1 - {RISK / len(RULES)!r})))
-                   FROM (SELECT unnest(range(0, k.k + 1)) AS i))
-                  <= {DELTA!r} / ({len(RULES)} * (SELECT count(*) FROM strata)) AS proven
-           FROM n JOIN k ON n.lang IS NOT DISTINCT FROM k.lang AND n.rule = k.rule),
-stop AS (SELECT lang, rule, coalesce(min(step) FILTER (WHERE NOT proven), 1000) AS s FROM tested GROUP BY ALL),
-cut AS (SELECT lang, grid.rule, min(cutoff) AS c FROM stop JOIN grid ON stop.rule = grid.rule AND step < s GROUP BY ALL),
-bad AS (SELECT text_no, string_agg(v.rule, ',' ORDER BY rule_no) AS failed_rules
-        FROM v JOIN cut ON v.rule = cut.rule AND v.lang IS NOT DISTINCT FROM cut.lang
-        JOIN (SELECT DISTINCT rule_no, rule FROM grid) g ON g.rule = v.rule WHERE v.v > c GROUP BY text_no)
+grid(kind, rule_no, rule, step, cutoff) AS (VALUES {grid}),
+strata AS (SELECT count(*) AS strata FROM (SELECT DISTINCT lang FROM f)),
+labelled AS (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
+-- one row for each distinct good text
+good AS (SELECT lang, any_value(text_no) AS text_no FROM f JOIN labelled USING (doc_id) WHERE NOT base_failed GROUP BY lang, t HAVING min(q) = 1),
+n AS (SELECT lang, count(*) AS n FROM good GROUP BY lang),
+lost AS (SELECT v.lang, kind, CASE WHEN kind = 'apart' THEN grid.rule ELSE '' END AS path, step, count(DISTINCT v.text_no) FILTER (WHERE v.v > cutoff) AS k
+         FROM v SEMI JOIN good USING (text_no) JOIN grid ON v.rule = grid.rule GROUP BY ALL),
+tested AS (SELECT lost.lang, kind, path, step, CASE kind
+             WHEN 'apart' THEN k <= {RISK / len(RULES)!r} * n AND {tail(repr(RISK / len(RULES)))} <= {DELTA / 2!r} / ({len(RULES)} * strata)
+             ELSE k <= {RISK!r} * n AND {tail(repr(RISK))} <= {DELTA / 2!r} / strata END AS proven
+           FROM lost JOIN n ON lost.lang IS NOT DISTINCT FROM n.lang, strata),
+stop AS (SELECT lang, kind, path, coalesce(min(step) FILTER (WHERE NOT proven), 1000) AS s FROM tested GROUP BY ALL),
+cut AS (SELECT lang, stop.kind, rule, rule_no, arg_max(cutoff, step) AS c FROM stop
+        JOIN grid ON stop.kind = grid.kind AND (path = '' OR path = rule) AND step < s GROUP BY ALL),
+hit AS (SELECT kind, v.lang, text_no, base_failed, string_agg(v.rule, ',' ORDER BY rule_no) AS failed_rules
+        FROM v JOIN cut ON v.rule = cut.rule AND v.lang IS NOT DISTINCT FROM cut.lang WHERE v.v > c GROUP BY ALL),
+-- of the two sets of cutoffs the one that rejects more documents, jointly proven ones if equal
+rejects AS (SELECT lang, count(*) FILTER (WHERE kind = 'apart' AND NOT base_failed) > count(*) FILTER (WHERE kind = 'joint' AND NOT base_failed) AS apart
+            FROM hit GROUP BY lang),
+bad AS (SELECT text_no, failed_rules FROM hit JOIN rejects ON hit.lang IS NOT DISTINCT FROM rejects.lang
+        WHERE kind = CASE WHEN apart THEN 'apart' ELSE 'joint' END)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND failed_rules IS NULL AS kept, coalesce(failed_rules, '') AS failed_rules
 FROM f LEFT JOIN bad USING (text_no)
@@ -89,16 +100,19 @@ SELECT s.doc_id, len(g)::BIGINT AS n_shingles, component_id, s.doc_id = componen
 
 
 def decontamination(k: int, percent: int) -> str:
-    """Exact containment of every pair that shares a shingle."""
-    def shingles(table: str, ident: str) -> str:
-        return rf"""
-SELECT DISTINCT {ident}, n, unnest(CASE WHEN len(ws) = 0 THEN []
-    WHEN len(ws) < {k} THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - {k - 2}), lambda i: array_to_string(ws[i:i + {k - 1}], ' ')) END) AS g
-FROM (SELECT row_number() OVER () AS n, {ident}, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') AS ws FROM {table})"""
+    """Exact containment of every pair that shares a shingle. An item of fewer than k
+    words is one string of all its words; documents have strings of every length to k."""
+    def words(table: str, ident: str) -> str:
+        return rf"""SELECT row_number() OVER () AS n, {ident}, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') AS ws FROM {table}"""
+
+    def cut(length: str) -> str:
+        return f"list_transform(range(1, len(ws) - {length} + 2), lambda i: array_to_string(ws[i:i + {length} - 1], ' '))"
 
     return rf"""
-WITH d AS ({shingles('documents', 'doc_id')}), i AS ({shingles('benchmark', 'item_id')}),
+WITH iw AS ({words('benchmark', 'item_id')}), dw AS ({words('documents', 'doc_id')}),
+i AS (SELECT DISTINCT item_id, n, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {k} THEN [array_to_string(ws, ' ')] ELSE {cut(str(k))} END) AS g FROM iw),
+lengths AS (SELECT DISTINCT least(len(ws), {k}) AS l FROM iw WHERE len(ws) > 0),
+d AS (SELECT DISTINCT doc_id, n, unnest({cut('l')}) AS g FROM dw, lengths WHERE len(ws) >= l),
 q AS (SELECT n, count(*) AS q FROM i GROUP BY n),
 p AS (SELECT d.doc_id, i.item_id, d.n AS dn, i.n AS iq, count(*) AS c FROM d JOIN i USING (g) GROUP BY ALL)
 SELECT DISTINCT doc_id, item_id, q.q::BIGINT AS n_item_shingles, c::BIGINT AS n_shared, c / q.q AS containment

@@ -15,11 +15,12 @@ to be walked back in:
   exchange (000 to 199) are permuted among themselves: 60000 x 60000;
 * ip: four octets: 65536 x 65536;
 * ssn: area 001 to 899 but 666, group 01 to 99, serial 0001 to 9999: 88902 x 9999;
-* date: days of the 400 Gregorian years from 1800: 146097 = 189 x 773.
+* date: days of the 400 Gregorian years from 1800: 146097 = 189 x 773. A '/' date is
+  read day first, or month first where only that is a date. The latter have a day
+  beyond the 12th and are permuted among such days: 88497 = 9 x 9833.
 
 An e-mail address isn't a number: its local part becomes a keyed hash, its domain
-stays. Signs between digits stay where they were. A '/' date is read day first,
-or month first where only that is a date.
+stays. Signs between digits stay where they were.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.scratch import free_name
+
 ROUNDS = 10
 
 _LEFT, _RIGHT = r"(?<![A-Za-z0-9_.+-])", r"(?![A-Za-z0-9_])"
@@ -190,16 +193,45 @@ def _day(m: Column) -> Column:
     return F.when(F.substring(m, 5, 1) == "-", iso).when(F.substring(m, 3, 1) == ".", first).otherwise(F.coalesce(first, second))
 
 
+_BASE = "1800-01-01"
+
+
+def _month_first(m: Column, key: str) -> Column:
+    """A date of the form MM/dd/yyyy with dd > 12. Its number counts such days alone: a
+    month has 12 days less, and month i begins with number days(i) - 12 * i."""
+    base = F.lit(_BASE).cast("date")
+
+    def begins(i: Column) -> Column:
+        return F.datediff(F.add_months(base, i), base) - 12 * i
+
+    def number(d: Column) -> Column:
+        i = (F.year(d) - 1800) * 12 + F.month(d) - 1
+        return (begins(i) + F.dayofmonth(d) - 13).cast("long")
+
+    def shown(y: Column) -> Column:
+        # 88497 days in 4800 months; the guess is wrong by one at most
+        guess = F.floor(y * F.lit(4800.0) / F.lit(88497.0)).cast("int")
+        month = F.array_max(F.filter(F.transform(F.array(*[F.lit(k) for k in (-2, -1, 0, 1, 2)]), lambda k: guess + k), lambda i: (i >= 0) & (begins(i) <= y)))
+        return _let(month, lambda i: F.date_format(F.date_add(F.add_months(base, i), (y - begins(i) + 12).cast("int")), "MM/dd/yyyy"))
+
+    x = _let(_day(m), number)
+    return _let(feistel(x, F.lit(9).cast("long"), F.lit(9833).cast("long"), key, F.lit("date, month first")), shown)
+
+
 def _date(m: Column, key: str) -> Column:
-    base = F.lit("1800-01-01").cast("date")
-    x = F.datediff(_day(m), base).cast("long")
-    y = F.date_add(base, feistel(x, F.lit(189).cast("long"), F.lit(773).cast("long"), key, F.lit("date")).cast("int"))
+    base = F.lit(_BASE).cast("date")
+
+    def moved(shape: str) -> Column:
+        x = F.datediff(_day(m), base).cast("long")
+        y = feistel(x, F.lit(189).cast("long"), F.lit(773).cast("long"), key, F.lit("date"))
+        return F.date_format(F.date_add(base, y.cast("int")), shape)
+
     day_first = F.try_to_date(F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)), "yyyy-MM-dd").isNotNull()
-    return _let(y, lambda d: (
-        F.when(F.substring(m, 5, 1) == "-", F.date_format(d, "yyyy-MM-dd"))
-        .when(F.substring(m, 3, 1) == ".", F.date_format(d, "dd.MM.yyyy"))
-        .when(day_first, F.date_format(d, "dd/MM/yyyy")).otherwise(F.date_format(d, "MM/dd/yyyy"))
-    ))
+    return (
+        F.when(F.substring(m, 5, 1) == "-", moved("yyyy-MM-dd"))
+        .when(F.substring(m, 3, 1) == ".", moved("dd.MM.yyyy"))
+        .when(day_first, moved("dd/MM/yyyy")).otherwise(_month_first(m, key))
+    )
 
 
 def _email(m: Column, key: str) -> Column:
@@ -237,36 +269,45 @@ def pseudonym(m: Column, key: str, kind: Column | None = None) -> Column:
     return _let(kind_of(m), of) if kind is None else of(kind)
 
 
-def _replaced(text: Column, pattern: str, any_: Column, key: str) -> tuple[Column, Column]:
-    """``text`` with every match replaced, and the kinds of the matches (an empty
-    array where ``any_`` says that there is none)."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def _found(text: Column, pattern: str) -> Column:
+    """(value, kind) of every match, in order."""
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(m.alias("v"), kind_of(m).alias("k")))
+
+
+def _replaced(text: Column, pattern: str, found: Column, key: str) -> Column:
+    """``text`` with its matches replaced, of which ``found`` has the values and kinds."""
     gaps = F.split(text, pattern, -1)
     rebuilt = F.concat(
         F.element_at(gaps, 1),
-        F.array_join(F.zip_with(found, F.slice(gaps, 2, F.size(found)), lambda m, g: F.concat(pseudonym(m, key), g)), ""),
+        F.array_join(F.zip_with(found, F.slice(gaps, 2, F.size(found)), lambda f, g: F.concat(pseudonym(f["v"], key, f["k"]), g)), ""),
     )
-    none = F.array().cast("array<string>")
-    return F.when(any_, rebuilt).otherwise(text), F.when(any_, F.transform(found, kind_of)).otherwise(none)
+    return F.when(F.size(found) > 0, rebuilt).otherwise(text)
 
 
 def _is(kind: str):
-    return lambda x: x == kind
+    return lambda f: F.coalesce(f["k"] == kind, F.lit(False))
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", counts: bool = False) -> DataFrame:
     """``docs`` with ``text`` replaced, other columns as they were; with ``counts``,
-    also ``n_<kind>`` of the values replaced (``docs`` must not have such columns).
+    also ``n_<kind>`` of the values replaced (where ``docs`` has a column of such a name,
+    the new one gets underscores in front).
 
     A null text stays null, an empty one empty; values that fail validation stay;
     repeated rows give equal rows; an empty table gives an empty one.
     """
     column = F.col(f"`{text}`")
-    # e-mail addresses first: what replaces them holds no number or date
-    mail, mails = _replaced(column, PATTERNS["email"], F.contains(column, F.lit("@")), key)
-    out, numbers = _replaced(mail, NUMBERS, mail.rlike(NUMBERS), key)
+    mails, half, numbers = free_name(docs, "found_mails", "text_without_mails", "found_numbers")
+    none = F.array().cast("array<struct<v:string,k:string>>")
+    # e-mail addresses first: what replaces them holds no number or date. Each step is a
+    # column of its own, so a text is searched once for what is found in it and, only if
+    # that is something, once more for what lies between
+    out = docs.withColumn(mails, F.when(F.contains(column, F.lit("@")), _found(column, PATTERNS["email"])).otherwise(none))
+    out = out.withColumn(half, _replaced(column, PATTERNS["email"], F.col(mails), key))
+    out = out.withColumn(numbers, F.coalesce(_found(F.col(half), NUMBERS), none))
     more = {}
     if counts:
         kinds = F.concat(mails, numbers)
-        more = {f"n_{k}": F.coalesce(F.size(F.filter(kinds, _is(k))), F.lit(0)).cast("long") for k in PATTERNS}
-    return docs.withColumns({**more, text: out})
+        names = free_name(docs, *[f"n_{k}" for k in PATTERNS])
+        more = {n: F.size(F.filter(kinds, _is(k))).cast("long") for k, n in zip(PATTERNS, names)}
+    return out.withColumns({**more, text: _replaced(F.col(half), NUMBERS, F.col(numbers), key)}).drop(mails, half, numbers)

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from tillroll.llm.features import text_features
 from tillroll.llm.scratch import ready, written
 
-#: rows of the training sample, in expectation where more are labelled
+#: rows of the training sample at most, one for each labelled id
 MOST_ROWS = 20_000
 BINS, PAIR_BINS, PAIRS = 32, 8, 8
 ROUNDS, PAIR_ROUNDS, RATE = 300, 150, 0.1
@@ -197,16 +197,17 @@ def fit(x: np.ndarray, y: np.ndarray) -> Additive:
 
 
 def training_rows(features: DataFrame, labels: DataFrame, learn, doc_id: str = "doc_id", most: int = MOST_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Inputs and labels of about ``most`` labelled rows at most, chosen by a hash of
-    the id; ``learn`` is a condition on the id. Labels other than 0 and 1, and
-    documents whose labels disagree, are left out."""
+    """Inputs and labels of ``most`` labelled ids at most, the first by a hash of the id;
+    ``learn`` is a condition on the id. Labels other than 0 and 1, and documents whose
+    labels disagree, are left out. An id gives one row however often it repeats: of
+    different texts that with the smallest counts."""
     good = (
         labels.where(labels["quality"].isin(0, 1) & learn(labels[doc_id])).groupBy(labels[doc_id].alias("_label_id"))
         .agg(F.min("quality").alias("_y"), F.max("quality").alias("_z")).where("_y = _z")
     )
-    n = good.count()
-    part = F.pmod(F.xxhash64("_label_id"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, most / max(n, 1)))
-    rows = features.join(good.where(part), features[doc_id] == F.col("_label_id")).orderBy(F.xxhash64("_label_id"), *INPUT_COUNTS).toPandas()
+    h = F.xxhash64("_label_id")
+    one = features.join(good, features[doc_id] == F.col("_label_id")).groupBy("_label_id", "_y").agg(F.min(F.struct(*INPUT_COUNTS)).alias("_x"))
+    rows = one.orderBy(h, "_label_id").limit(most).select("_y", *[F.col(f"_x.{c}").alias(c) for c in INPUT_COUNTS]).toPandas()
     return inputs({c: rows[c].to_numpy(np.float64) for c in INPUT_COUNTS}), rows["_y"].to_numpy(np.float64)
 
 

@@ -32,8 +32,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    spans = language_id.training_spans(docs.where(~language_id.held_out(F.col("doc_id"))))
-    found = language_id.identify(docs, spans)
+    texts = language_id.training_texts(docs.where(~language_id.held_out(F.col("doc_id"))))
+    found = language_id.identify(docs, texts)
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 

@@ -3,6 +3,7 @@ lost executor, and keep a narrow copy of what later steps read again."""
 
 from __future__ import annotations
 
+import gc
 import pathlib
 import tempfile
 import uuid
@@ -43,6 +44,40 @@ def clear(spark: SparkSession) -> None:
     delete(spark, own_folder(spark))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: it does so when the driver
+    collects the objects that stand for them, which may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+class Temporary:
+    """``written`` for tables that are deleted when they have been used: by ``drop`` or
+    at the end of a ``with`` block. After each write the shuffle files that made the
+    table are freed."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self) -> "Temporary":
+        return self
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.paths[name] = folder(self.spark, name)
+        df.write.parquet(path)
+        free_shuffles(self.spark)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.paths:
+                delete(self.spark, self.paths.pop(name))
+
+    def __exit__(self, *_) -> None:
+        self.drop(*list(self.paths))
+        free_shuffles(self.spark)
+
+
 def ready(spark: SparkSession) -> None:
     """What operators with Python tasks need: this package on every executor, and
     Arrow batches of a few MB, so that long texts can't fill a worker's memory."""

@@ -1,20 +1,28 @@
 """Secret scan: fixed patterns, and a linear-chain conditional random field.
 
-Tokens are runs of [A-Za-z0-9+/_-]. A chain over the tokens of a text carries the
-tags outside, begin and inside. Tokens that can't be part of a secret (shorter than
-8, without a digit, or with other than ASCII around them) are fixed to outside, so
-the best path falls apart into the short runs of candidate tokens between them:
-Viterbi decodes those, in lockstep, and the result is that of the whole chain. A
-token's features are its shape, the words before and after, the signs between them
-and features of the file; a span joins a begin with the insides that follow.
-
-The field is trained here, on a bounded sample of documents, with the spans of the
-patterns as weak labels (digit-only runs are labelled outside: they are numbers).
-What the patterns find always stays; the field adds spans that touch none of them.
+Tokens are runs of [A-Za-z0-9+/_-]; any other character ends one. A chain over the
+tokens of a text carries the tags outside, begin and inside. Tokens that can't be part
+of a secret are fixed to outside: those of under 8 characters, and those of letters
+alone unless capitals stand within them or a sign of an assignment or a quote stands
+right before (white space aside). So the best path falls apart into the short runs of
+candidate tokens between them: Viterbi decodes those, in lockstep, and the result is
+that of the whole chain. A token's features are its shape, the words before and after,
+the signs between them and features of the file; a span joins a begin with the insides
+that follow.
+
+The field is trained here, on a bounded sample of distinct texts, with the spans of
+the patterns as weak labels (digit-only runs are labelled outside: they are numbers).
+The patterns know few words and few shapes. So that the field learns what is around
+and in a secret rather than those, each labelled token is also shown in ``variants``: in
+its place random values of other alphabets, behind other signs of assignment, still
+a secret; and plain words and words with a number there, no secret. Each run is also
+shown with the words before its tokens taken away. What the patterns find always
+stays; the field adds spans that touch none of them.
 """
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 
@@ -33,8 +41,9 @@ ASSIGN = re.compile(rb"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
-#: bound of the training sample (documents, in expectation)
-TRAIN_DOCS = 20_000
+#: bounds of the training sample: distinct texts, runs of candidate tokens in all, and
+#: tokens of a run (longer ones are cut, in training only)
+TRAIN_DOCS, TRAIN_RUNS, TRAIN_TOKENS = 20_000, 200_000, 32
 LEAST_TOKEN = 8
 _SLOTS = 1 << 16
 _EPOCHS = 40
@@ -50,8 +59,9 @@ def _flags(chars: bytes) -> np.ndarray:
 _DIGIT = _flags(b"0123456789")
 _HEX = _flags(b"0123456789abcdef")
 _TOKEN = _flags(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
-_WORD = _TOKEN.copy()
-_WORD[128:] = True
+_CAPITAL = _flags(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_SMALL = _flags(b"abcdefghijklmnopqrstuvwxyz")
+_LEADS = _flags(b"=:\"'")
 
 
 def base_spans(text: bytes) -> list[tuple[int, int, str]]:
@@ -92,9 +102,10 @@ def _slot(*parts) -> int:
 
 
 class Chain:
-    """The runs of candidate tokens of one text: byte spans and feature slots."""
+    """The runs of candidate tokens of one text: byte spans and feature slots. ``file``:
+    features of the file, if the text is a part of one."""
 
-    def __init__(self, text: bytes, words: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, text: bytes, words: tuple[np.ndarray, np.ndarray], file: tuple | None = None):
         starts, ends = words
         raw = np.frombuffer(text, np.uint8)
         self.runs: list[list[int]] = []
@@ -103,13 +114,18 @@ class Chain:
         long_ = np.flatnonzero(ends - starts >= LEAST_TOKEN)
         if not len(long_):
             return
-        digits = np.flatnonzero(_DIGIT[raw])
-        has_digit = np.searchsorted(digits, ends[long_]) > np.searchsorted(digits, starts[long_])
-        file = None
-        for i in long_[has_digit].tolist():
+        s, e = starts[long_], ends[long_]
+
+        def holds(flags: np.ndarray, begin: np.ndarray) -> np.ndarray:
+            at = np.flatnonzero(flags[raw])
+            return np.searchsorted(at, e) > np.searchsorted(at, begin)
+
+        solid = np.flatnonzero(~A.SPACE[raw])
+        before = np.searchsorted(solid, s) - 1
+        led = (before >= 0) & _LEADS[raw[solid[np.maximum(before, 0)]]]
+        mixed = holds(_CAPITAL, s + 1) & holds(_SMALL, s)
+        for i in long_[holds(_DIGIT, s) | mixed | led].tolist():
             token = text[starts[i] : ends[i]]
-            if max(token) > 127:
-                continue
             file = file or _file_features(text)
             self.slots[i] = self._slots(text, i, token, file)
             if self.runs and self.runs[-1][-1] == i - 1:
@@ -129,15 +145,17 @@ class Chain:
         shape = _shape(token)
         hex_ = all(_HEX[b] for b in token)
         one, two, nxt = self._word(text, i - 1), self._word(text, i - 2), self._word(text, i + 1)
+        lead = (b"=" in before, b":" in before, any(q in before for q in (b'"', b"'")), b" " in before.strip() or b"\n" in before, after[:1] in (b'"', b"'"))
         return [_slot("bias"), _slot("shape", shape), _slot("size", shape[0], hex_), _slot("digits", shape[4], shape[5]),
                 _slot("head", token[:4]), _slot("before", before), _slot("after", after), _slot("word-1", one), _slot("word-2", two),
-                _slot("word+1", nxt), _slot("word-1 before", one, before), _slot("file", file), _slot("file hex", file, hex_)]
+                _slot("word+1", nxt), _slot("word-1 before", one, before), _slot("file", file), _slot("file hex", file, hex_),
+                _slot("lead", lead), _slot("lead shape", lead, shape[1:])]
 
 
 def _chains(part: pa.RecordBatch, column: str):
     """(text, chain) of each row of a block."""
     raw, offsets = A.utf8(part.column(column))
-    starts, ends, first = A.spans(_WORD[raw], offsets)
+    starts, ends, first = A.spans(_TOKEN[raw], offsets)
     data = raw.tobytes()
     for i in range(len(offsets) - 1):
         a, b = int(offsets[i]), int(offsets[i + 1])
@@ -272,13 +290,61 @@ def field_spans(field: Field, chains: list[Chain]) -> list[list[tuple[int, int]]
     return [sorted(x) for x in out]
 
 
-def training_runs(docs: DataFrame, text: str = "text", most: int = TRAIN_DOCS) -> list:
-    """Candidate runs with weak tags of about ``most`` documents at most, chosen by a
-    hash of the text."""
+_LETTERS = b"abcdefghijklmnopqrstuvwxyz"
+_ALPHABETS = (b"0123456789abcdef", _LETTERS + _LETTERS.upper() + b"0123456789", _LETTERS + _LETTERS.upper(),
+              _LETTERS + _LETTERS.upper() + b"0123456789+/_-", _LETTERS.upper() + b"0123456789")
+_SIGNS = (b' = "', b'="', b': "', b" = '", b"='", b": ", b" = ", b"=", b":")
+
+
+def variants(text: bytes, chain: Chain, tags: dict[int, int]) -> list[tuple[list, list]]:
+    """Runs (slots, tags) with other values in the place of each secret of one token:
+    of every alphabet behind a sign (a secret), and words and words with a number,
+    behind a sign or a blank (none). What is drawn depends on the text alone."""
+    out = []
+    file = _file_features(text)
+    words = [w for w in re.findall(rb"[A-Za-z]{5,20}", text) if not w.isupper()] or [b"ordinary"]
+    for i, tag in tags.items():
+        if tag != _BEGIN or tags.get(i + 1) == _INSIDE:
+            continue
+        rng = random.Random(zlib.crc32(text[max(0, int(chain.start[i]) - 40) : int(chain.end[i])]))
+        s, e = int(chain.end[i - 1]) if i else 0, int(chain.end[i])
+        tail = text[e : e + 80].lstrip(b"\"'")
+        values = [(bytes(rng.choices(a, k=rng.randint(14, 44))), rng.choice(_SIGNS), _BEGIN) for a in _ALPHABETS for _ in range(5)]
+        for _ in range(6):
+            word = rng.choice(words)
+            values += [(word.lower() + rng.choice(words).lower()[:3], rng.choice(_SIGNS), _OUT), (word + b"%d" % rng.randint(0, 9999), b" ", _OUT),
+                       (word + b"-" + rng.choice(words).title(), b" ", _OUT), (b"%d-%d" % (rng.randint(10, 9999), rng.randint(1000, 999999)), b" ", _OUT),
+                       (word.title() + rng.choice(words).title(), b" ", _OUT)]
+        for value, sign, own in values:
+            head = text[max(0, s - 120) : s] + sign
+            part = head + value + (sign[-1:] if sign[-1:] in b"\"'" else b"") + tail
+            raw = np.frombuffer(part, np.uint8)
+            starts, ends, _ = A.spans(_TOKEN[raw], np.array([0, len(raw)]))
+            new = Chain(part, (starts, ends), file)
+            for r in new.runs:
+                if any(starts[t] == len(head) for t in r):
+                    out.append(([new.slots[t] for t in r], [own if starts[t] == len(head) else _OUT for t in r]))
+    return out
+
+
+#: places of the slots of the words before a token, and what stands there without one
+_WORD_SLOTS = (7, 8, 10)
+
+
+def without_words(slots: list[int]) -> list[int]:
+    """A token's slots as if no word stood before it."""
+    return [_slot("no word", i) if i in _WORD_SLOTS else x for i, x in enumerate(slots)]
+
+
+def training_runs(docs: DataFrame, text: str = "text", most: int = TRAIN_DOCS, most_runs: int = TRAIN_RUNS) -> list:
+    """Candidate runs with weak tags of ``most`` distinct texts at most, the first by a
+    hash of the text, and of their runs the first ``most_runs`` by a hash of the run.
+    Copies of a text count once."""
     ready(docs.sparkSession)
-    h = F.pmod(F.xxhash64(docs[text]), F.lit(1 << 40))
-    n = docs.count()
-    some = docs.where(h < int((1 << 40) * min(1.0, most / max(n, 1)))).select(docs[text].alias("_text"))
+    h = F.xxhash64(docs[text])
+    hashes = docs.where(docs[text].isNotNull()).select(h.alias("h")).distinct().orderBy("h").limit(most)
+    last = hashes.agg(F.max("h")).first()[0]
+    some = docs.where(docs[text].isNotNull() & (h <= F.lit(last))).select(docs[text].alias("_text"), h.alias("_h")).dropDuplicates(["_h"])
     schema = "slots array<array<int>>, tags array<int>"
 
     def run(batches):
@@ -287,13 +353,23 @@ def training_runs(docs: DataFrame, text: str = "text", most: int = TRAIN_DOCS) -
                 slots, tags = [], []
                 for body, chain in _chains(part, "_text"):
                     tag = weak_tags(body, chain) if chain.runs else {}
-                    for r in chain.runs:
-                        slots.append([chain.slots[i] for i in r])
-                        tags.append([tag[i] for i in r])
+                    for whole in chain.runs:
+                        for i in range(0, len(whole), TRAIN_TOKENS):
+                            r = whole[i : i + TRAIN_TOKENS]
+                            slots.append([chain.slots[t] for t in r])
+                            tags.append([tag[t] for t in r])
+                            if tags[-1][0] == _INSIDE:  # cut within a secret
+                                tags[-1][0] = _BEGIN
+                    for more, own in variants(body, chain, tag):
+                        slots.append(more)
+                        tags.append(own)
+                slots += [[without_words(x) for x in r] for r in slots]
+                tags += tags
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(slots, pa.list_(pa.list_(pa.int32()))), pa.array(tags, pa.list_(pa.int32()))], names=["slots", "tags"])
 
-    rows = some.mapInArrow(run, schema).collect()
+    runs = some.select("_text").mapInArrow(run, schema)
+    rows = runs.orderBy(F.xxhash64("slots", "tags")).limit(most_runs).collect()
     return sorted((tuple(map(tuple, r["slots"])), tuple(r["tags"])) for r in rows)
 
 

@@ -5,13 +5,17 @@ of their text. The smallest capacity at which a greedy left-to-right filling
 needs no more than n shards is found by binary search, and the order is cut
 there: each cut as near to an equal share as that capacity leaves open.
 
-The driver holds the sums of 2^16 hash ranges, a fixed number. Greedy steps that
-end within a range fetch the groups of that range from a written table, so the
-partition is exact over groups and no list of all groups leaves the executors.
+The driver holds the sums of 2^16 hash ranges. Where a step of the search ends within a
+range, the sums of its 256 parts are asked for, then of a part's parts, until a part
+is one group. So the partition is exact over groups, and what comes to the driver is
+256 sums a question, however many groups a range has.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,68 +24,80 @@ from tillroll.llm.scratch import free_name, written
 
 SHARDS = 8
 BUCKET_BITS = 16
-CELLS = 1024
+_MORE_BITS = 8
+#: slots are numbered in cells of about so many rows, and at least so many cells a shard
+CELL_ROWS, LEAST_CELLS = 20_000, 1024
 
 
 def size_of(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + F.lit(1)
 
 
-class Order:
-    """Sums over the ordered groups: coarse ones at hand, groups on demand."""
+class Node:
+    """Groups whose keys share their first ``bits`` bits: where they begin in the order
+    of all sizes, the sum of them, how many there are and the smallest key."""
+
+    __slots__ = ("bits", "prefix", "begin", "size", "groups", "key", "parts")
+
+    def __init__(self, bits: int, prefix: int, begin: int, size: int, groups: int, key: int):
+        self.bits, self.prefix, self.begin, self.size, self.groups, self.key = bits, prefix, begin, size, groups, key
+        self.parts: tuple[np.ndarray, list[Node]] | None = None
 
-    def __init__(self, coarse: np.ndarray, groups_of):
-        self.begin = np.concatenate([[0], np.cumsum(coarse)])
-        self.total = int(self.begin[-1])
-        self.groups_of = groups_of  # list of ranges -> {range: (keys, sizes)}
-        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.missing: set[int] = set()
+
+class Order:
+    """Sums over the ordered groups, as fine as was asked for. ``parts_of`` maps nodes to
+    the rows (prefix, size, groups, smallest key) of their parts with ``bits`` bits."""
+
+    def __init__(self, coarse: list[tuple], parts_of):
+        self.parts_of = parts_of
+        top = Node(0, 0, 0, 0, 0, 0)
+        self.total = self._set(top, BUCKET_BITS, coarse)
+        self.top = top
+        self.missing: list[Node] = []
+
+    @staticmethod
+    def _set(node: Node, bits: int, rows: list[tuple]) -> int:
+        parts, at = [], node.begin
+        for prefix, size, groups, key in sorted(rows):
+            parts.append(Node(bits, prefix, at, size, groups, key))
+            at += size
+        node.parts = (np.array([p.begin for p in parts], np.int64), parts)
+        return at
 
     def fetch(self) -> bool:
-        """Get the ranges that were asked for; whether there were any."""
-        wanted, self.missing = sorted(self.missing), set()
-        if wanted:
-            for b, (keys, sizes) in self.groups_of(wanted).items():
-                self.known[b] = (keys, self.begin[b] + np.concatenate([[0], np.cumsum(sizes)]))
+        """Get the parts that were asked for; whether there were any."""
+        wanted, self.missing = list({id(n): n for n in self.missing}.values()), []
+        for node, rows in self.parts_of(wanted) if wanted else ():
+            self._set(node, node.bits + _MORE_BITS, rows)
         return bool(wanted)
 
-    def range_at(self, position: int) -> int:
-        return int(np.searchsorted(self.begin, position, "right") - 1)
+    def around(self, position: int) -> tuple[int, int, int | None]:
+        """The last group boundary at or before ``position``, that after it, and the key
+        of the group between (None: not known yet, and asked for)."""
+        node = self.top
+        while True:
+            begins, parts = node.parts
+            node = parts[int(np.searchsorted(begins, position, "right")) - 1]
+            if node.groups == 1:
+                return node.begin, node.begin + node.size, node.key
+            if node.parts is None:
+                self.missing.append(node)
+                return node.begin, node.begin + node.size, None
 
     def floor(self, position: int) -> int:
         """The last group boundary at or before ``position``."""
-        if position >= self.total:
-            return self.total
-        b = self.range_at(position)
-        if self.begin[b] == position:
-            return int(position)
-        if b not in self.known:
-            self.missing.add(b)
-            return int(self.begin[b])
-        ends = self.known[b][1]
-        return int(ends[np.searchsorted(ends, position, "right") - 1])
+        return self.total if position >= self.total else self.around(position)[0]
 
     def ceil(self, position: int) -> int:
         """The first group boundary at or after ``position``."""
-        if position <= 0:
-            return 0
-        b = self.range_at(position)
-        if position >= self.total or self.begin[b] == position:
-            return int(min(position, self.total))
-        if b not in self.known:
-            self.missing.add(b)
-            return int(self.begin[b + 1])
-        ends = self.known[b][1]
-        return int(ends[np.searchsorted(ends, position, "left")])
+        if position <= 0 or position >= self.total:
+            return max(0, min(position, self.total))
+        low, high, _ = self.around(position)
+        return low if low == position else high
 
     def key_at(self, boundary: int):
         """The key of the group that begins at ``boundary``."""
-        b = self.range_at(boundary)
-        if b not in self.known:
-            self.missing.add(b)
-            return None
-        keys, ends = self.known[b]
-        return int(keys[np.searchsorted(ends, boundary, "right") - 1])
+        return self.around(boundary)[2]
 
 
 def reaches(order: Order, capacity: int, n: int) -> list[int]:
@@ -137,32 +153,38 @@ def boundaries(order: Order, n: int, largest: int) -> list[int]:
     return cuts
 
 
+def _prefix(key: Column, bits: int) -> Column:
+    """The first bits of a signed key, ordered like the key."""
+    return F.shiftright(key, 64 - bits)
+
+
 def cut_keys(keyed: DataFrame, n: int) -> list[int]:
     """The keys with which shards 1 ... n - 1 begin (``keyed``: key, size)."""
     spark = keyed.sparkSession
     groups = keyed.groupBy("key").agg(F.sum("size").alias("size"))
-    groups = groups.withColumn("range", F.shiftright("key", 64 - BUCKET_BITS) + F.lit(1 << (BUCKET_BITS - 1)))
     groups = written(groups.repartitionByRange(spark.sparkContext.defaultParallelism, "key").sortWithinPartitions("key"), "groups")
-    sums = groups.groupBy("range").agg(F.sum("size").alias("size"), F.max("size").alias("most")).toPandas()
-    coarse = np.zeros(1 << BUCKET_BITS, np.int64)
-    coarse[sums["range"].to_numpy(np.int64)] = sums["size"].to_numpy(np.int64)
-
-    def groups_of(ranges: list[int]):
-        lows = [(r - (1 << (BUCKET_BITS - 1))) << (64 - BUCKET_BITS) for r in ranges]
-        within = None
-        for low in lows:
-            one = F.col("key").between(low, low + (1 << (64 - BUCKET_BITS)) - 1)
-            within = one if within is None else within | one
-        rows = groups.where(within).toPandas().sort_values("key")
-        none = np.zeros(0, np.int64)
-        return {r: (none, none) for r in ranges} | {
-            int(r): (g["key"].to_numpy(np.int64), g["size"].to_numpy(np.int64)) for r, g in rows.groupby("range")}
-
-    order = Order(coarse, groups_of)
-    at = boundaries(order, n, int(sums["most"].max()) if len(sums) else 0)
+    sums = [F.sum("size"), F.count("*"), F.min("key"), F.max("size")]
+    coarse = [tuple(r) for r in groups.groupBy(_prefix(F.col("key"), BUCKET_BITS)).agg(*sums).collect()]
+
+    def parts_of(nodes: list[Node]):
+        """256 rows a node at most, for all nodes in one job."""
+        jobs: dict[int, list[Node]] = {}
+        for node in nodes:
+            jobs.setdefault(node.bits, []).append(node)
+        for bits, same in jobs.items():
+            within = reduce(or_, [F.col("key").between(x.prefix << (64 - bits), ((x.prefix + 1) << (64 - bits)) - 1) for x in same])
+            rows = groups.where(within).groupBy(_prefix(F.col("key"), bits + _MORE_BITS)).agg(*sums[:3]).collect()
+            by_node: dict[int, list[tuple]] = {x.prefix: [] for x in same}
+            for r in rows:
+                by_node[r[0] >> _MORE_BITS].append(tuple(r))
+            yield from ((x, by_node[x.prefix]) for x in same)
+
+    if not coarse:
+        return [None] * (n - 1)
+    order = Order([r[:4] for r in coarse], parts_of)
+    at = boundaries(order, n, max(r[4] for r in coarse))
     inner = [c for c in at if 0 < c < order.total]
-    keys = settled(order, lambda: [order.key_at(c) for c in inner])
-    by_cut = dict(zip(inner, keys))
+    by_cut = dict(zip(inner, settled(order, lambda: [order.key_at(c) for c in inner])))
     return [by_cut.get(c, -(1 << 63) if c <= 0 else None) for c in at]
 
 
@@ -174,17 +196,19 @@ def shard(docs: DataFrame, n: int = SHARDS, doc_id: str = "doc_id", text: str =
     Equal texts share a shard; null texts are one group, of size 1 each. Repeated
     rows get slots of their own. Fewer groups than shards leave shards empty, and
     an empty table gives an empty result. Slots follow a hash of id and text, in
-    cells that are counted apart, so a group of equal texts is not numbered in
-    one task.
+    cells of about ``CELL_ROWS`` rows that are counted apart, so a group of equal texts
+    is not numbered in one task; rows that repeat id and text share a cell.
     """
     size, crc, key, where, slot, cell = free_name(docs, "size", "text_crc32", "shard_key", "shard", "slot", "shard_cell")
     keyed = docs.withColumns({
         size: size_of(docs[text]),
         crc: F.crc32(F.coalesce(docs[text], F.lit(""))),
         key: F.xxhash64(docs[text]),
-        cell: F.pmod(F.xxhash64(docs[doc_id], docs[text], F.lit(1)), F.lit(CELLS)),
+        cell: F.xxhash64(docs[doc_id], docs[text], F.lit(1)),
     })
     narrow = written(keyed.select(F.col(key).alias("key"), F.col(size).alias("size"), F.col(cell).alias("cell")), "shard-keys")
+    cells = F.lit(max(LEAST_CELLS, -(-narrow.count() // (n * CELL_ROWS))))
+    narrow, keyed = (df.withColumn(c, F.pmod(F.col(c), cells)) for df, c in ((narrow, "cell"), (keyed, cell)))
     cuts = cut_keys(narrow.select("key", "size"), n)
 
     def number(k: Column) -> Column:

@@ -296,7 +296,7 @@ def test_every_letter_counts_in_scripts_of_many_letters():
     model = language_id.Languages({"one": [one(2000) for _ in range(10)], "two": [two(2000) for _ in range(10)]})
     names, score = model.predict([one(200) for _ in range(20)] + [two(200) for _ in range(20)])
     assert names == ["one"] * 20 + ["two"] * 20 and (score > 0.1).all()
-    assert all(m.edges.key.nbytes < 3_000_000 for m in model.models)  # not states x letters
+    assert all(m.edges.to.nbytes < 3_000_000 for m in model.models)  # not states x letters
 
 
 def test_training_texts_are_whole_and_bounded(spark):

@@ -9,9 +9,9 @@ wins (ties: the language that sorts first).
 
 Letters are lower-cased and every run of other characters is one gap, so signs,
 digits and layout carry no weight. Every letter of the training texts has a symbol;
-one that a language's texts lack ends a phrase and is one itself. Transitions are kept
-in an open-addressed table, so a language costs memory for its text, not for its
-alphabet. Texts are parsed whole, in windows of ``WINDOW`` symbols that run in lockstep
+one that a language's texts lack ends a phrase and is one itself. The rows of the
+transition table are laid over each other, so a language costs memory for its text,
+not for its alphabet. Texts are parsed whole, in windows of ``WINDOW`` symbols that run in lockstep
 over arrays: a phrase also ends where a window does, alike for every language.
 """
 
@@ -85,38 +85,43 @@ def suffix_automaton(symbols: list[int]) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 class Edges:
-    """(state, symbol) -> state in an open-addressed table; 0 where there is none."""
+    """(state, symbol) -> state, 0 where there is none. The rows of the transition table
+    are laid over each other so that no two entries meet: a state's row begins at its
+    base, and an entry there is its own if it bears the state's number."""
 
     def __init__(self, state: np.ndarray, symbol: np.ndarray, to: np.ndarray, symbols: int):
-        self.symbols = symbols
-        self.bits = max(4, (2 * len(to)).bit_length())
-        self.key, self.to = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
-        key = state * symbols + symbol
-        at, left = self._first(key), np.arange(len(key))
-        while len(left):
-            free = left[self.key[at[left]] < 0]
-            self.key[at[free]] = key[free]  # of several keys for a place one stays
-            left = left[self.key[at[left]] != key[left]]
-            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
-        self.to[self._find(key)] = to
-
-    def _first(self, key: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _find(self, key: np.ndarray) -> np.ndarray:
-        """The place of each key, or a free one."""
-        at = self._first(key)
-        held = self.key[at]
-        open_ = np.flatnonzero((held != key) & (held >= 0))
-        while len(open_):
-            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
-            held = self.key[at[open_]]
-            open_ = open_[(held != key[open_]) & (held >= 0)]
-        return at
+        order = np.lexsort((symbol, state))
+        state, symbol, to = state[order], symbol[order], to[order]
+        first = np.flatnonzero(np.diff(state, prepend=0))
+        degree = np.diff(np.append(first, len(state)))
+        self.base = np.zeros(int(max(state.max(initial=1), to.max(initial=1))) + 1, np.int64)
+        used = bytearray(2 * len(state) + 2 * symbols + 1)
+        rows, at, last = symbol.tolist(), symbols, 0
+        for i in np.argsort(-degree, kind="stable").tolist():  # the fullest rows first
+            row = rows[first[i] : first[i] + degree[i]]
+            if degree[i] != last:
+                at, last = symbols, int(degree[i])
+            while True:
+                at = used.find(0, at)
+                if at < 0 or at + symbols >= len(used):
+                    used += bytearray(len(used))
+                    at = max(at, symbols)
+                    at = used.find(0, at)
+                begin = at - row[0]
+                if not any(used[begin + c] for c in row):
+                    break
+                at += 1
+            for c in row:
+                used[begin + c] = 1
+            self.base[state[first[i]]] = begin
+        place = self.base[state] + symbol
+        size = int(max(place.max(initial=0), self.base.max())) + symbols + 1
+        self.owner, self.to = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        self.owner[place], self.to[place] = state, to
 
     def follow(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        return self.to[self._find(state * self.symbols + symbol)]
+        at = self.base.take(state) + symbol
+        return np.where(self.owner.take(at) == state, self.to.take(at), 0)
 
 
 class Model:

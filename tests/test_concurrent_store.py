@@ -151,3 +151,14 @@ def test_buckets_grow_with_the_table(spark, tmp_path):
         _upsert(store, spark, [(i, f"v{i:040d}-{day}", "") for i in range(n)], day=day)
     _, many = store._layout(store.current_path("raw", "t"))
     assert many > 2 * few and len(_rows(store)) == 6001
+
+
+def test_scratch_folders_are_an_applications_own(spark):
+    from tillroll.session import clear_scratch, scratch_dir, work_root
+
+    mine, other = scratch_dir(spark, "x"), f"{work_root(spark)}/scratch/another-application/x"
+    for p in (mine, other):
+        spark.range(3).write.parquet(p)
+    clear_scratch(spark)
+    assert not fs.exists(spark, mine) and fs.exists(spark, other)
+    fs.delete(spark, other)

@@ -4,7 +4,6 @@ reports don't reach. Each works on feeds projected from the given tables."""
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from tillroll.operators import rules as R
 from tillroll.plans import checks, ingest, ledger, marts
 from tillroll.plans.warehouse import open_warehouse
 from tillroll.schemas import SPECS
-from tillroll.session import work_root
+from tillroll.session import scratch_dir
 from tillroll.sources import audit, fixtures
 from tillroll.sources.files import load_csv, load_json
 from tillroll.sources.fixtures import SEQ, table
@@ -26,10 +25,6 @@ from tillroll.sources.tables import TableStore
 RUN_TS = dt.datetime(2024, 1, 1)
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{work_root(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def _text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string") for c in df.columns if c != SEQ])
 
@@ -44,7 +39,7 @@ def csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     read, cleaned and validated."""
     feed = _text(fixtures.customers_feed(spark, sf_dir))
     feed = feed.withColumn("first_name", F.concat(F.lit('A "quoted", '), F.trim("first_name")))
-    path = _scratch(spark, "csv")
+    path = scratch_dir(spark, "csv")
     feed.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     loaded = load_csv(spark, path, SPECS["customers"].required_columns)
     return ingest.prepare(loaded, "customers").where(R.is_valid()).select("customer_id", "first_name", "last_name", "email", "signup_date")
@@ -52,7 +47,7 @@ def csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-2: the payments feed, landed as JSON Lines and read as text (P-5 from text)."""
-    path = _scratch(spark, "json")
+    path = scratch_dir(spark, "json")
     _text(fixtures.payments_feed(spark, sf_dir)).write.json(path)
     loaded = load_json(spark, path, lines=True, schema=SPECS["payments"].feed_struct())
     return ingest.prepare(loaded, "payments").where(R.is_valid()).select("payment_id", "order_id", "amount", "payment_status", "payment_date")
@@ -61,7 +56,7 @@ def json_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quoted_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-1: product names with commas, quotes and line ends inside quoted fields; such
     files are read in splits."""
-    path = _scratch(spark, "quoted")
+    path = scratch_dir(spark, "quoted")
     k = F.col("product_id").cast("long")
     lead = F.when(k % 3 == 0, F.lit('big "new",\n')).when(k % 3 == 1, F.lit("two\n\nlines ")).otherwise(F.lit(""))
     feed = _text(fixtures.products_feed(spark, sf_dir)).withColumn("product_name", F.concat(lead, "product_name"))
@@ -89,7 +84,7 @@ def _loaded_and_rejected(valid: DataFrame, rejects: DataFrame) -> DataFrame:
 
 def broken_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-2, S-8, I-6: each broken line is a reject of its own, recorded with its text."""
-    path = _scratch(spark, "lines")
+    path = scratch_dir(spark, "lines")
     _payment_lines(spark, sf_dir, path)
     spec = SPECS["payments"]
     tagged = ingest.prepare(load_json(spark, path, lines=True, schema=spec.feed_struct()), "payments")
@@ -101,7 +96,7 @@ def streamed_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines through the incremental file stream."""
     from tillroll.streaming import ingest_stream
 
-    base = _scratch(spark, "line-stream")
+    base = scratch_dir(spark, "line-stream")
     _payment_lines(spark, sf_dir, f"{base}/feed")
     store = TableStore(spark, f"{base}/wh")
     ingest_stream(spark, store, "payments", f"{base}/feed", f"{base}/ckpt", fmt="json", run_ts=RUN_TS)
@@ -111,7 +106,7 @@ def streamed_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-5, S-10: two stores over one root upsert in turn; no batch is lost, and small
     buckets make each upsert rewrite a part of the table."""
-    root, spec = _scratch(spark, "writers"), SPECS["customers"]
+    root, spec = scratch_dir(spark, "writers"), SPECS["customers"]
     one, two = (TableStore(spark, root, bucket_bytes=1 << 15) for _ in range(2))
     k = F.col("c_custkey")
 
@@ -129,14 +124,14 @@ def two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-4: no extract has landed, so the snapshot alone is the products feed."""
-    feed, label = products_input(lambda: fixtures.products_feed(spark, sf_dir), lambda: load_json(spark, _scratch(spark, "no-extract")))
+    feed, label = products_input(lambda: fixtures.products_feed(spark, sf_dir), lambda: load_json(spark, scratch_dir(spark, "no-extract")))
     tagged = ingest.prepare(feed, "products")
     return tagged.where(R.is_valid()).select("product_id", "product_name", "category", "price", F.lit(label).alias("source"))
 
 
 def appended_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-6, S-7: replace, append, truncate, append again."""
-    store = TableStore(spark, _scratch(spark, "load"))
+    store = TableStore(spark, scratch_dir(spark, "load"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     store.load(part, "parts", "replace")
     store.truncate("parts")

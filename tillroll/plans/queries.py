@@ -6,7 +6,6 @@ them."""
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from tillroll.plans import checks, feature_queries, ingest, ledger, marts, model
 from tillroll.plans.pipeline import models_of
 from tillroll.plans.warehouse import STATUS, Warehouse, last_batch, open_warehouse
 from tillroll.schemas import SPECS
-from tillroll.session import work_root
+from tillroll.session import scratch_dir
 from tillroll.sources import fixtures
 from tillroll.sources.overlay import overlay_products
 from tillroll.sources.tables import TableStore
@@ -121,7 +120,7 @@ def products_overlay(spark, sf_dir) -> DataFrame:
 def customers_upsert(spark, sf_dir) -> DataFrame:
     """S-5: load a first customer batch (with city), then upsert a second one
     (changed last names, no city column, new ids); returns the final table."""
-    store = TableStore(spark, f"{work_root(spark)}/scratch/upsert-{uuid.uuid4().hex[:12]}")
+    store = TableStore(spark, scratch_dir(spark, "upsert"))
     spec = SPECS["customers"]
     run1, run2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
     first = ingest.prepare(fixtures.customers_feed(spark, sf_dir, with_city=True), "customers")
@@ -163,7 +162,7 @@ def streamed_orders(spark, sf_dir) -> DataFrame:
     loaded by the incremental file stream into a fresh bronze table."""
     from tillroll.streaming import ingest_stream
 
-    base = f"{work_root(spark)}/scratch/stream-{uuid.uuid4().hex[:12]}"
+    base = scratch_dir(spark, "stream")
     spec = SPECS["orders"]
     feed = fixtures.orders_feed(spark, sf_dir).select(*[F.col(c).cast("string") for c in spec.column_names])
     feed.write.option("header", True).csv(f"{base}/feed")

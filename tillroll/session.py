@@ -7,6 +7,7 @@ DataFrames (or a ``SparkSession``) from the caller.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +41,20 @@ def work_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/{_ROOT_NAME}"
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for rows that a query lands on their way, under one that is this
+    application's own."""
+    return f"{work_root(spark)}/scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what queries of this application landed; call it when their results, which
+    read from there, have been stored."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{work_root(spark)}/scratch/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tillroll") -> SparkSession:
     """A local session configured like the cluster one (AQE on, UTC, no UI)."""
     spark = (

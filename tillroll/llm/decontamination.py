@@ -34,6 +34,8 @@ from tillroll.llm.scratch import free_name, ready, written
 
 SHINGLE = 5
 PERCENT = 80
+#: the item shingles are broadcast to the join up to so many rows (about 20 MB)
+BROADCAST_ROWS = 200_000
 #: bytes that make words, after lower-casing: a-z, 0-9 and every non-ASCII byte
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -139,8 +141,9 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id
                     names=schema.names)
 
     hits = src.mapInArrow(run, schema).select("_id", "_hash", F.explode("_held").alias("_h"))
+    wanted = table.drop("_words")
     pairs = (
-        hits.join(table, "_h")
+        hits.join(F.broadcast(wanted) if table.count() <= BROADCAST_ROWS else wanted, "_h")
         .groupBy("_id", "_hash", "_item", "_set", "_q")
         .agg(F.countDistinct("_h").alias("_shared"), F.max("_minimum").alias("_candidate"))
         .where(F.col("_candidate") & (100 * F.col("_shared") >= percent * F.col("_q")))

@@ -71,6 +71,18 @@ def test_results_equal_those_without_copies(spark, wh, nothing_fits):
     assert a.exceptAll(b).count() == 0 and a.count() == b.count()
 
 
+def test_buckets_follow_partitions_and_size(spark):
+    cores = spark.sparkContext.defaultParallelism
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1000")
+        assert clustered.bucket_count(spark, 1) == cores
+        assert clustered.bucket_count(spark, 100 * clustered.LEAST_BYTES) == 100
+        assert clustered.bucket_count(spark, 10**15) == 1000 == clustered.bucket_count(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
 def test_another_version_has_another_copy(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "wh"))
     rows = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 7).alias("order_id"))

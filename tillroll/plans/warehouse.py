@@ -80,7 +80,8 @@ class Warehouse:
 
     def cluster_orders(self) -> None:
         """Copies of orders, order lines and payments on order_id, in like buckets."""
-        buckets = clustered.bucket_count(self.spark)
+        sizes = [sum(fs.size(self.spark, f) for f in self.store.folders("raw", n)) for n in BY_ORDER]
+        buckets = clustered.bucket_count(self.spark, max(sizes))
         with ThreadPoolExecutor(max_workers=len(BY_ORDER)) as pool:
             for f in [pool.submit(clustered.cluster, self.store, "raw", n, "order_id", buckets) for n in BY_ORDER if self.store.exists("raw", n)]:
                 f.result()

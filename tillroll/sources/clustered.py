@@ -24,9 +24,17 @@ DATABASE = "tillroll_clustered"
 _LOCK = threading.Lock()
 
 
-def bucket_count(spark: SparkSession) -> int:
-    """As many buckets as a shuffle has partitions, which is sized to the data."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: buckets aren't made smaller than this, as long as every core has one
+LEAST_BYTES = 32 << 20
+
+
+def bucket_count(spark: SparkSession, size: int | None = None) -> int:
+    """As many buckets as a shuffle has partitions, which is sized to the data; fewer
+    where the largest table, of ``size`` bytes, is small for that."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if size is None:
+        return parts
+    return min(parts, max(spark.sparkContext.defaultParallelism, -(-size // LEAST_BYTES)))
 
 
 def _place(store: TableStore, version_path: str, column: str, buckets: int) -> tuple[str, str]:

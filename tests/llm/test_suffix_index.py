@@ -50,7 +50,7 @@ def mixed_rows(seed):
 
 @pytest.mark.parametrize("seed, hot", [(1, 4096), (2, 4096), (3, 2)])
 def test_equals_brute_force(spark, monkeypatch, seed, hot):
-    monkeypatch.setattr(S, "HOT", hot)  # 2: nearly all mixed grams are dealt by window
+    monkeypatch.setattr(S, "most_contexts", lambda total, parts: hot)  # 2: nearly all mixed grams are dealt by window
     rows = mixed_rows(seed)
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA).repartition(5)
     assert found(df) == brute(rows)
@@ -101,6 +101,10 @@ def test_family_levels_are_geometric_and_exact():
     assert sum(len(x) for x, _ in family.levels) == len(first)
 
 
+def test_a_gram_is_hot_beyond_a_fair_share():
+    assert S.most_contexts(10, 8) == S.HOT and S.most_contexts(10**6, 100) == 10**4
+
+
 def test_odd_rows_and_empty_table(odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
     assert found(odd_docs) == brute(rows)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm import arrays as A
-from tillroll.llm.scratch import ready
+from tillroll.llm.scratch import ready, written
 
 KINDS = ("assign", "access", "hex", "crf")
 #: fixed values: the base patterns and their shortest matches
@@ -338,13 +338,18 @@ def without_words(slots: list[int]) -> list[int]:
 
 def training_runs(docs: DataFrame, text: str = "text", most: int = TRAIN_DOCS, most_runs: int = TRAIN_RUNS) -> list:
     """Candidate runs with weak tags of ``most`` distinct texts at most, the first by a
-    hash of the text, and of their runs the first ``most_runs`` by a hash of the run.
+    hash of the text, and of their runs about ``most_runs`` at most by a hash of the run.
     Copies of a text count once."""
     ready(docs.sparkSession)
     h = F.xxhash64(docs[text])
-    hashes = docs.where(docs[text].isNotNull()).select(h.alias("h")).distinct().orderBy("h").limit(most)
-    last = hashes.agg(F.max("h")).first()[0]
-    some = docs.where(docs[text].isNotNull() & (h <= F.lit(last))).select(docs[text].alias("_text"), h.alias("_h")).dropDuplicates(["_h"])
+    hashes = docs.where(docs[text].isNotNull()).select(h.alias("h")).distinct()
+    # twice as many as are wanted, so that few hashes are sorted; then an exact cut
+    share = F.pmod(F.col("h"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, 2 * most / max(hashes.count(), 1)))
+    chosen = hashes.where(share).orderBy(F.pmod(F.col("h"), F.lit(1 << 40)), "h").limit(most)
+    some = (
+        docs.where(docs[text].isNotNull()).select(docs[text].alias("_text"), h.alias("h"))
+        .join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h"])
+    )
     schema = "slots array<array<int>>, tags array<int>"
 
     def run(batches):
@@ -368,9 +373,9 @@ def training_runs(docs: DataFrame, text: str = "text", most: int = TRAIN_DOCS, m
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(slots, pa.list_(pa.list_(pa.int32()))), pa.array(tags, pa.list_(pa.int32()))], names=["slots", "tags"])
 
-    runs = some.select("_text").mapInArrow(run, schema)
-    rows = runs.orderBy(F.xxhash64("slots", "tags")).limit(most_runs).collect()
-    return sorted((tuple(map(tuple, r["slots"])), tuple(r["tags"])) for r in rows)
+    runs = written(some.select("_text").mapInArrow(run, schema), "training-runs")
+    kept = F.pmod(F.xxhash64("slots", "tags"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, most_runs / max(runs.count(), 1)))
+    return sorted((tuple(map(tuple, r["slots"])), tuple(r["tags"])) for r in runs.where(kept).collect())[: 2 * most_runs]
 
 
 def train(docs: DataFrame, text: str = "text", most: int = TRAIN_DOCS) -> Field:

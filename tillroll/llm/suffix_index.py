@@ -15,8 +15,9 @@ with a smaller id. Only suffixes that may begin such a string are indexed:
    batches. Each batch gets a suffix array (its windows, sorted) that is
    merge-scanned against the levels of the family; what no level holds becomes a level,
    and levels of about equal size are merged, so a partition of n windows has
-   log n levels. A gram with more than ``HOT`` contexts is dealt by window instead, with
-   equal windows combined before the shuffle, so no task gets all of them.
+   log n levels. A gram with more contexts than a partition's fair share is dealt by
+   window instead, with equal windows combined before the shuffle, so no task gets all
+   of them.
 4. What was found goes back to the documents by id and text digest; runs are computed
    again from the text, so no position is ever shuffled.
 """
@@ -38,6 +39,7 @@ from tillroll.llm.scratch import Temporary, ready, written
 
 MATCH, GRAM = 50, 24
 RUN = MATCH - GRAM + 1
+#: a gram of more contexts than a partition's fair share, and than this, is dealt by window
 HOT = 1024
 CONTEXTS_A_PARTITION, _BATCH = 50_000, 4096
 _PIECE, _FLUSH = 1 << 20, 1 << 20
@@ -334,6 +336,11 @@ def _passing(seen: DataFrame, wanted: tuple) -> DataFrame:
     return seen.mapInArrow(run, seen.schema)
 
 
+def most_contexts(total: int, parts: int) -> int:
+    """The contexts up to which a gram is one partition's work."""
+    return max(HOT, total // parts)
+
+
 def repeats(src: DataFrame) -> DataFrame:
     """(_doc, _part, _marks) of the rows of ``src`` (_doc, _part, _text) with repeated
     windows; a mark is a context's digest and the windows of it that go."""
@@ -353,9 +360,11 @@ def repeats(src: DataFrame) -> DataFrame:
         mixed = kept(
             some.join(wanted, ["_g", "_c", "_first"]).groupBy("_g", "_c", "_first", "_n").agg(F.any_value("_context").alias("_context")), "mixed-contexts")
         kept.drop("mixed-grams", "wanted")
-        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(mixed.count() / CONTEXTS_A_PARTITION))
-        dealt = mixed.where(F.col("_n") <= HOT).repartition(parts, "_g").sortWithinPartitions("_first")
-        masks = kept(_merge_scanned(dealt).where("_mask <> 0").union(_dealt_by_window(mixed.where(F.col("_n") > HOT), kept)), "masks")
+        total = mixed.count()
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / CONTEXTS_A_PARTITION))
+        most = most_contexts(total, parts)
+        dealt = mixed.where(F.col("_n") <= most).repartition(parts, "_g").sortWithinPartitions("_first")
+        masks = kept(_merge_scanned(dealt).where("_mask <> 0").union(_dealt_by_window(mixed.where(F.col("_n") > most), kept)), "masks")
         kept.drop("mixed-contexts", "hot-windows")
         repeated = firsts.join(masks, ["_g", "_c"], "left").where("_first < _last or _mask is not null")
         repeated = kept(repeated.select("_g", "_c", "_first", "_mask"), "repeated")

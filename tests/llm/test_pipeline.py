@@ -63,5 +63,27 @@ def test_quality_stage_where_cutoffs_act(spark, tmp_path):
     assert sorted(r["doc_id"] for r in got.collect()) == [i for i, _, _, good in out if good]
 
 
-def test_run_equals_the_stages(spark):
-    assert P.run(spark, SF).count() > 0 and P.ORACLE_SQL is None
+def _staged(spark, docs, sf_dir):
+    for _, stage in P.STAGES:
+        docs = written(stage(spark, docs, sf_dir), "test-run")
+    return docs
+
+
+def test_run_equals_the_stages(spark, docs):
+    got, want = rows(P.run(spark, SF)), rows(_staged(spark, docs, SF))
+    assert got == want and sum(got.values()) > 0 and P.ORACLE_SQL is None
+
+
+def test_odd_rows_and_empty_tables_through_all_stages(spark, odd_docs, no_docs, tmp_path):
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_path}/odd/{t}.parquet")
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{t}.parquet")
+    out = _staged(spark, odd_docs, f"{tmp_path}/odd")
+    assert out.columns[: len(odd_docs.columns)] == odd_docs.columns
+    assert set(rows(out.select(odd_docs.columns))) <= set(rows(odd_docs))
+    ids = {r["doc_id"] for r in out.collect()}
+    assert not ids & {3, 4, 5, 6}  # no words, or too few of them
+    odd_docs.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    assert rows(P.run(spark, f"{tmp_path}/odd")) == rows(out)
+    no_docs.write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert P.run(spark, f"{tmp_path}/none").count() == 0

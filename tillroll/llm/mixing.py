@@ -144,7 +144,9 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mixed rows of ``docs``, each as often as it is taken, columns as they
-    were. Texts are not shuffled: each row meets its source's row of the plan."""
+    were. Texts are not shuffled: each row meets its source's row of the plan. Null
+    texts have no words and are taken or left like other empty ones, null sources are one
+    source, rows that repeat id and text are taken alike, and no rows give none."""
     names = free_name(docs, "mix_size", "mix_weight", "mix_x", "mix_b")
     keyed = _keyed(docs, doc_id, text, source, names)
     plan = _plan(_narrow(docs, doc_id, text, source))

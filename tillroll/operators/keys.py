@@ -66,14 +66,13 @@ def dense_key(
         keys = _stored(keys, f"{scratch}/keys")
     n = num_partitions or partitions_for(df)
     bounds = range_bounds(keys, order, n)
-    place = range_of(keys.schema, order, bounds)
     # one row per range: bounded by the partition count, not the data
-    counts = {r["p"]: r["count"] for r in keys.groupBy(place.alias("p")).count().collect()}
+    counts = {r["_range"]: r["count"] for r in with_range(keys, order, bounds, "_range").groupBy("_range").count().collect()}
     before, offsets = 0, []
     for p in range(len(bounds) + 1):
         offsets.append(before)
         before += counts.get(p, 0)
-    ranged = df.withColumn("_range", place).repartitionById(len(offsets), F.col("_range")).sortWithinPartitions(*order)
+    ranged = with_range(df, order, bounds, "_range").repartitionById(len(offsets), F.col("_range")).sortWithinPartitions(*order)
     start = F.element_at(_literal(offsets, T.ArrayType(T.LongType())), F.col("_range") + 1)
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))
     numbered = ranged.select((start + position + 1).alias(out), *cols)
@@ -90,24 +89,23 @@ def range_bounds(keys: DataFrame, order: Sequence[str], n: int) -> list[list]:
     return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
 
 
-def range_of(schema: T.StructType, order: Sequence[str], bounds: list[list]) -> Column:
-    """How many bounds lie at or below a row's key, by binary search."""
+def with_range(df: DataFrame, order: Sequence[str], bounds: list[list], out: str) -> DataFrame:
+    """Add ``out``: how many bounds lie at or below a row's key, by binary search. Each
+    halving is a column of its own, so that it is compiled and evaluated once a row."""
+    cols = df.columns
     if not bounds:
-        return F.lit(0)
+        return df.withColumn(out, F.lit(0))
     key = F.struct(*order)
-    kind = T.StructType([schema[c] for c in order])
+    kind = T.StructType([df.schema[c] for c in order])
     values = [json.loads("{" + ", ".join(part[1:-1] for part in b) + "}") for b in bounds]
     table = _literal(values, T.ArrayType(kind))
-    steps = len(bounds).bit_length()
-
-    def halve(s: Column, _: Column) -> Column:
-        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
-        below = (s["low"] < s["high"]) & (F.element_at(table, F.least(middle + 1, F.lit(len(bounds)))) <= key)
-        return F.struct(F.when(below, middle + 1).otherwise(s["low"]).alias("low"),
-                        F.when(below | (s["low"] >= s["high"]), s["high"]).otherwise(middle).alias("high"))
-
-    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
-    return F.aggregate(F.array(*[F.lit(i) for i in range(steps)]), start, halve, lambda s: s["low"])
+    found = df.withColumn(out, F.lit(0))
+    for i in reversed(range(len(bounds).bit_length())):
+        ahead = F.col(out) + (1 << i)
+        # the element is looked up within the table even where the answer is no
+        below = (ahead <= len(bounds)) & (F.element_at(table, F.least(ahead, F.lit(len(bounds)))) <= key)
+        found = found.select(*cols, F.when(below, ahead).otherwise(F.col(out)).alias(out))
+    return found
 
 
 def _literal(values: list, kind: T.DataType) -> Column:

@@ -12,6 +12,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 _ROOT_NAME = "tillroll"
+# What a task reads of compressed files at most, unless the session was given another
+# size. Rows of the feeds take some 15 times as much in the sort of a keep-first group-by
+# as in their files; Spark's 128 MB would be sorted by spilling.
+SPLIT_BYTES = 16 << 20
+_SPLITS = "spark.sql.files.maxPartitionBytes"
+# Likewise of a shuffle: 64 MB of sorted keys are some ten million, more than an
+# aggregate's hash map holds in a task's memory.
+_COALESCED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -85,3 +93,6 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    for size in (_SPLITS, _COALESCED):
+        if spark.conf.get(size, None) is None:
+            spark.conf.set(size, str(SPLIT_BYTES))

@@ -13,8 +13,8 @@ from pyspark.sql import SparkSession
 
 _ROOT_NAME = "tillroll"
 # What a task reads of compressed files at most, unless the session was given another
-# size. Rows of the feeds take some 15 times as much in the sort of a keep-first group-by
-# as in their files; Spark's 128 MB would be sorted by spilling.
+# size. Rows of order lines take over ten times as much in the sort of a keep-first
+# group-by as in their files; Spark's 128 MB would be sorted by spilling.
 SPLIT_BYTES = 16 << 20
 _SPLITS = "spark.sql.files.maxPartitionBytes"
 # Likewise of a shuffle: 64 MB of sorted keys are some ten million, more than an

@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A side is broadcast only when its measured size is at most this many bytes
-# (after projecting it to the columns the join needs).
+# (after projecting it to the columns the join needs),
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+# and at most this part of the driver's heap. The driver collects the rows, hashes them
+# into a table that grows by doubling, and keeps that table and its blocks: some three
+# times the size, for each of several dimensions of a plan.
+DRIVER_PART = 32
 CONF_KEY = "tillroll.broadcast.maxBytes"
 # Above this estimate (compressed files) the answer is "no" without a job:
 # declining to broadcast is always safe, only "yes" needs the proof.
@@ -22,8 +26,15 @@ _ROW_BYTES = 48
 
 
 def broadcast_limit(df: DataFrame) -> int:
+    """Bytes of a side that may be broadcast: as the session says, else what the
+    driver can hold."""
     v = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(v) if v else DEFAULT_BROADCAST_BYTES
+    return int(v) if v else min(DEFAULT_BROADCAST_BYTES, driver_heap(df) // DRIVER_PART)
+
+
+def driver_heap(df: DataFrame) -> int:
+    """Bytes that the driver's heap can grow to."""
+    return int(df.sparkSession.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory())
 
 
 @lru_cache(maxsize=512)
@@ -84,6 +95,15 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     return slot[0]
 
 
+def sized(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``df`` as a side of a join: broadcast when proven small, else to be merged.
+
+    Without that hint Spark may broadcast a side that was declined: it goes by the
+    bytes of the compressed files, and dense ids take a hundredth there of what they
+    take in the driver."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df.hint("merge")
+
+
 def dim_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -93,6 +113,4 @@ def dim_join(
 ) -> DataFrame:
     """Join ``fact`` to ``dim``: broadcast-hash when ``dim`` is proven small,
     else a shuffle join (AQE splits skewed partitions)."""
-    if fits_broadcast(dim, max_bytes):
-        dim = F.broadcast(dim)
-    return fact.join(dim, on, how)
+    return fact.join(sized(dim, max_bytes), on, how)

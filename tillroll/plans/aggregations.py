@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.coerce import line_total
-from tillroll.operators.joins import fits_broadcast
+from tillroll.operators.joins import sized
 from tillroll.schemas import SUM_MONEY
 
 
@@ -40,7 +40,7 @@ def top_n_products(order_items: DataFrame, products: DataFrame, n: int = 10) ->
     """
     names = products.select("product_id", "product_name")
     per_product = _lines(order_items, "product_id").groupBy("product_id").agg(F.sum("line_total").alias("_r"))
-    j = per_product.join(F.broadcast(names) if fits_broadcast(names) else names, "product_id")
+    j = per_product.join(sized(names), "product_id")
     r = j.groupBy("product_name").agg(F.sum("_r").cast(SUM_MONEY).alias("revenue"))
     return r.orderBy(F.desc("revenue"), "product_name").limit(n)
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.joins import fits_broadcast
+from tillroll.operators.joins import sized
 from tillroll.schemas import VALID_PAYMENT_STATUSES
 
 Reader = Callable[[str], DataFrame]
@@ -49,9 +49,7 @@ def _stack(df: DataFrame, table: str, names: list[str]) -> DataFrame:
 
 def _anti_count(child: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
     # anti join: duplicates in the parent do not change the result
-    p = parent.select(key)
-    p = F.broadcast(p) if fits_broadcast(p) else p
-    return child.select(key).join(p, key, "left_anti").agg(F.count(F.lit(1)).alias(name))
+    return child.select(key).join(sized(parent.select(key)), key, "left_anti").agg(F.count(F.lit(1)).alias(name))
 
 
 def failing_rows(read_raw: Reader) -> DataFrame:

@@ -4,8 +4,8 @@ A generic test is (model, column, kind, args, severity). The tests compile to
 one Spark SQL statement, as dbt compiles tests to SQL. Per model, all
 ``not_null``, ``accepted_values`` and ``relationships`` tests become ONE
 aggregate over one scan (relationships as left joins against the parent's
-distinct keys, broadcast only when proven small; otherwise a shuffle anti
-join); the ``unique`` tests of all models share one group-by per type of key. Failure
+distinct keys, broadcast only when proven small, those of a statement together;
+otherwise a shuffle anti join); the ``unique`` tests of all models share one group-by per type of key. Failure
 counts: rows for not_null / relationships, duplicated values for unique,
 distinct offending values for accepted_values.
 """
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillroll.operators.joins import fits_broadcast
+from tillroll.operators.joins import broadcast_limit, fits_broadcast
 from tillroll.schemas import VALID_PAYMENT_STATUSES
 
 
@@ -117,6 +117,9 @@ def _compile(models: Mapping[str, DataFrame], view: Mapping[str, str], tests, si
     for t in tests:
         by_model.setdefault(t.model, []).append(t)
     parts: list[str] = []
+    # the driver may hold the keys of all parents at once
+    parents = {t.to for t in tests if t.kind == "relationships"}
+    share = broadcast_limit(next(iter(models.values()))) // max(1, len(parents))
     for model, ts in by_model.items():
         v = view[model]
         # ONE scan per model for not_null / accepted_values / relationships
@@ -131,15 +134,15 @@ def _compile(models: Mapping[str, DataFrame], view: Mapping[str, str], tests, si
             elif t.kind == "relationships":
                 pm, pf = t.to
                 # parent rows bound its distinct keys: prove the cheaper plan small
-                if fits_broadcast(models[pm].select(pf)):
+                if fits_broadcast(models[pm].select(pf), share):
                     alias = f"p{i}"
                     source += (f" LEFT JOIN (SELECT DISTINCT {_q(pf)} AS k, true AS hit FROM {view[pm]}) AS {alias}"
                                f" ON {col} = {alias}.k")
                     hints.append(alias)
                     items.append((t, f"count_if({col} IS NOT NULL AND {alias}.hit IS NULL)"))
-                else:  # parent too big to broadcast: shuffle anti join
+                else:  # parent too big to broadcast: shuffle anti join, whatever its files' bytes
                     parts.append(
-                        f"SELECT {_lit(model)} AS model, {_lit(t.column)} AS column_name, {_lit(t.name)} AS test_name, "
+                        f"SELECT /*+ MERGE(p) */ {_lit(model)} AS model, {_lit(t.column)} AS column_name, {_lit(t.name)} AS test_name, "
                         f"{_lit(t.severity)} AS severity, count(*) AS failures FROM {v} AS c "
                         f"LEFT ANTI JOIN {view[pm]} AS p ON {col} = p.{_q(pf)} WHERE {col} IS NOT NULL"
                     )
@@ -184,7 +187,7 @@ def _compile(models: Mapping[str, DataFrame], view: Mapping[str, str], tests, si
             one("assert_positive_revenue", "total_amount", f"SELECT count_if(total_amount < 0) AS failures FROM {f}"),
             # orders x fact: distinct fact order ids first (one row per order)
             one("assert_valid_orders", "order_id",
-                f"SELECT count(*) AS failures FROM {o} AS o LEFT ANTI JOIN (SELECT DISTINCT order_id FROM {f}) AS fo "
+                f"SELECT /*+ MERGE(fo) */ count(*) AS failures FROM {o} AS o LEFT ANTI JOIN (SELECT DISTINCT order_id FROM {f}) AS fo "
                 f"ON o.order_id = fo.order_id"),
         ]
     body = " UNION ALL ".join(f"SELECT model, column_name, test_name, severity, CAST(failures AS BIGINT) AS failures "

@@ -60,7 +60,7 @@ def rollup_by_dim(
         F.sum("quantity").cast("long").alias("_u"),
         F.count(F.lit(1)).alias("_n"),
     )
-    j = pre.join(d, key)
+    j = pre.join(d.hint("merge"), key)
     aggs = []
     if money:
         aggs.append(_money(F.sum("_m")).alias(money))

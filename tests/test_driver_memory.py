@@ -1,11 +1,12 @@
 """The driver holds what is broadcast: only measured sides, in all a part of its heap."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from tillroll.operators import joins
+from tillroll.operators import joins, keys
 from tillroll.operators.joins import CONF_KEY
 from tillroll.plans import checks, marts, model_tests
 from tillroll.plans.model_tests import ModelTest
@@ -92,3 +93,24 @@ def test_payments_are_no_broadcast_lookup(spark, limit, tmp_path):
     got = sorted((r.order_item_id, r.store_key, r.payment_status) for r in lines.collect())
     assert got == [(10, None, "pending"), (20, 9, "success")]
     assert "SortMergeJoin [order_id" in _plan(lines).split("Initial Plan")[0]
+
+
+@pytest.mark.parametrize("n", [2, 3, 7, 30, 500])
+def test_only_the_cuts_of_the_sampled_keys_reach_the_driver(spark, monkeypatch, n):
+    rows = [(i * 13 % 41 if i % 9 else None, f"k{i % 50:02d}") for i in range(400)]
+    df = spark.createDataFrame(rows, "a long, b string").repartition(3)
+    frame, got = type(df), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: got.append(collect(self)) or got[-1])
+    bounds = keys.range_bounds(df, ["a", "b"], n)
+    assert [len(x) for x in got] == [min(n - 1, len(got[0]))] and len(bounds) < n
+    monkeypatch.undo()
+    # of the sampled keys in order, those at i/n of their number
+    some = df.orderBy(F.xxhash64("a", "b")).limit(keys._SAMPLED * n).orderBy("a", "b").collect()
+    cuts = [some[len(some) * i // n] for i in range(1, n)]
+    want = [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
+    assert [tuple(json.loads(part)[c] for part, c in zip(b, ("a", "b"))) for b in bounds] == [tuple(w) for w in want]
+
+
+def test_an_empty_table_has_no_bounds(spark):
+    assert keys.range_bounds(spark.createDataFrame([], "a long"), ["a"], 8) == []

@@ -84,8 +84,13 @@ def range_bounds(keys: DataFrame, order: Sequence[str], n: int) -> list[list]:
     if n < 2:
         return []
     some = keys.orderBy(F.xxhash64(*order)).limit(min(_SAMPLED * n, _MOST_SAMPLED))
-    sample = [list(r) for r in some.orderBy(*order).select(*[F.to_json(F.struct(c), {"ignoreNullFields": "false"}) for c in order]).collect()]
-    cuts = [sample[len(sample) * i // n] for i in range(1, n)] if sample else []
+    # one task sorts the sampled keys; the driver gets only those that cut them
+    sample = some.agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_s"))
+    placed = sample.select(F.size("_s").cast("long").alias("_m"), F.posexplode("_s").alias("_i", "_k"))
+    nth = F.greatest(F.lit(1), F.expr(f"(_i * {n}L + _m - 1) div _m"))
+    kept = placed.where((nth < n) & (F.col("_i") == F.floor(F.col("_m") * nth / n)))
+    rows = kept.select("_i", *[F.to_json(F.struct(F.col("_k")[c].alias(c)), {"ignoreNullFields": "false"}) for c in order]).collect()
+    cuts = [list(r)[1:] for r in sorted(rows, key=lambda r: r[0])]
     return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
 
 
